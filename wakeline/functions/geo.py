@@ -20,5 +20,10 @@ def distance_from_a(a: Column, radius: float) -> Column:
 
 def distance_nm(lat1, lon1, lat2, lon2, radius: float = 3440.065) -> Column:
     """Great-circle distance in the unit of ``radius`` (nautical miles by default)."""
-    lat1, lon1, lat2, lon2 = (x if isinstance(x, Column) else F.lit(float(x)) for x in (lat1, lon1, lat2, lon2))
+    def as_col(x):
+        if isinstance(x, Column):
+            return x
+        return F.col(x) if isinstance(x, str) else F.lit(float(x))
+
+    lat1, lon1, lat2, lon2 = (as_col(x) for x in (lat1, lon1, lat2, lon2))
     return distance_from_a(haversine_a(lat1, lon1, lat2, lon2), radius)

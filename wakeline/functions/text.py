@@ -39,10 +39,8 @@ def text_or_empty(c: Column) -> Column:
 def parse_float(c: Column) -> Column:
     """Python ``float(x.strip())``: bad or blank text gives null; accepts nan/inf."""
     t = strip(c)
-    return F.when(
-        t.rlike(NUMBER_RE),
-        F.when(F.lower(t).endswith("nan"), F.lit(float("nan"))).otherwise(t.try_cast("double")),
-    )
+    # behind the grammar guard the cast fails only for a signed nan ("+nan", "-nan")
+    return F.when(t.rlike(NUMBER_RE), F.coalesce(t.try_cast("double"), F.lit(float("nan"))))
 
 
 def parse_int(c: Column) -> Column:
@@ -53,10 +51,11 @@ def parse_int(c: Column) -> Column:
 def parse_timestamp(c: Column) -> Column:
     """Day-first ``d/m/Y H:M:S`` text to timestamp_ntz; invalid dates give null."""
     t = strip(c)
-    parts = F.split(t, f"[/:{WS_CLASS}]+")
+    # behind the grammar guard the digit groups are exactly day, month, year, hour, minute, second
+    parts = F.regexp_extract_all(t, F.lit("[0-9]+"), 0)
 
     def part(i: int) -> Column:
-        return parts.getItem(i).try_cast("int")
+        return F.get(parts, i).try_cast("int")
 
     return F.when(
         t.rlike(TIMESTAMP_RE) & (part(2) >= 1),

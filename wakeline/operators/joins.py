@@ -25,4 +25,4 @@ def semi_join_checked(big: DataFrame, keys: DataFrame, on: str | list[str], max_
     """
     stored, n = materialize_keys(keys)
     side = F.broadcast(stored) if n <= max_broadcast_rows else stored
-    return big.join(side, on, how)
+    return big.join(side, on, how).select(*big.columns)

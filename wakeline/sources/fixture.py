@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.config import AIS_HEADERS
+from wakeline.sources.spread import spread
 
 _V = "(CASE WHEN user_id % 3 = 0 THEN user_id ELSE user_id - user_id % 3 + 1 END)"
 _SEC = "(((event_id - event_id % 4) * 8) % 86400)"
@@ -95,7 +96,8 @@ FIXTURE_EXPRS = {
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
+    return spread(ev)
 
 
 def ais_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
