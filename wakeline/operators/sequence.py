@@ -27,19 +27,26 @@ from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
 
-EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+def epoch_millis(ts: Column | str) -> Column:
+    """Milliseconds since 1970-01-01 of a timestamp_ntz wall time, truncated to the ms.
+
+    Built from date and time-of-day fields, so it does not depend on the session
+    time zone (casting timestamp_ntz to timestamp would, across DST changes).
+    """
+    t = ts if isinstance(ts, Column) else F.col(ts)
+    day_ms = F.unix_date(F.to_date(t)).cast("bigint") * F.lit(86_400_000)
+    clock_ms = F.hour(t) * F.lit(3_600_000) + F.minute(t) * F.lit(60_000)
+    sec_ms = F.floor(F.date_part(F.lit("SECOND"), t) * F.lit(1000))
+    return (day_ms + clock_ms + sec_ms).cast("bigint")
 
 
 def ms_between(start: Column | str, end: Column | str) -> Column:
-    """Whole milliseconds from start to end (timestamp_ntz, zone-free)."""
-    s = start if isinstance(start, Column) else F.col(start)
-    e = end if isinstance(end, Column) else F.col(end)
-    return F.timestamp_diff("MILLISECOND", s, e)
+    """Whole milliseconds from start to end: each side truncated to the ms, then subtracted."""
+    return epoch_millis(end) - epoch_millis(start)
 
 
 def time_bucket(ts: str, bucket_seconds: int) -> Column:
-    secs = F.expr(f"timestampdiff(SECOND, {EPOCH}, `{ts}`)")
-    return F.floor(secs / F.lit(bucket_seconds)).cast("bigint")
+    return F.floor(epoch_millis(ts) / F.lit(bucket_seconds * 1000)).cast("bigint")
 
 
 def with_previous_time(df: DataFrame, key: str = "mmsi", ts: str = "ts", order_id: str = "row_id",
