@@ -62,14 +62,15 @@ def apply_row_cap(rows: DataFrame, row_cap: int | None) -> DataFrame:
     return rows.filter(F.col("row_id") < F.lit(int(row_cap)))
 
 
-def write_ais_csv(rows: DataFrame, path: str, header_map=AIS_HEADERS) -> None:
+def write_ais_csv(rows: DataFrame, path: str, header_map=AIS_HEADERS, n_files: int | None = None) -> None:
     """Write field-named string rows as CSV with the real headers, in ``row_id`` order.
 
     Range partitioning on row_id makes part files follow input order, so a read
     of the folder (files in name order) gives back the same positions.
     Cell text is written verbatim (no whitespace trimming).
     """
-    out = rows.repartitionByRange("row_id").sortWithinPartitions("row_id")
+    ranged = rows.repartitionByRange(n_files, "row_id") if n_files else rows.repartitionByRange("row_id")
+    out = ranged.sortWithinPartitions("row_id")
     (out.select(*(F.col(f).alias(h) for f, h in header_map))
      .write.mode("overwrite").options(**CSV_OPTIONS)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
