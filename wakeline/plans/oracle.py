@@ -187,6 +187,11 @@ SELECT mmsi FROM clean WHERE mmsi IS NOT NULL AND mmsi <> 0 ORDER BY mmsi, ts, r
     "ais_vessel_lookup": PRELUDE + """
 SELECT row_id, mmsi, ts FROM clean WHERE mmsi = (SELECT min(mmsi) FROM clean)
 ORDER BY ts, row_id LIMIT 5""",
+    "events_inter_arrival": """
+SELECT event_id, user_id, ts, prev_ts, epoch_us(ts) // 1000 - epoch_us(prev_ts) // 1000 AS delta_ms
+FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM events)
+WHERE prev_ts IS NOT NULL""",
+    "ais_stream_ingest": PRELUDE + f"SELECT {', '.join(FIELDS)} FROM raw",
     "merge_keep_existing": PRELUDE + f"""
 , tgt AS (SELECT * FROM raw WHERE ts < TIMESTAMP '2026-04-18 12:00:00'),
 new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= TIMESTAMP '2026-04-18 06:00:00')

@@ -18,13 +18,15 @@ from wakeline.functions.text import parse_float, parse_int, parse_timestamp, str
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.positions import positions_raw, reject_reasons, typed_rows
 from wakeline.operators.profile import bucket_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
-from wakeline.operators.sequence import ms_between
+from wakeline.operators.sequence import ms_between, with_previous_time
 from wakeline.operators.vessels import valid_vessels, vessel_counts
 from wakeline.plans.pipeline import build_stages, load_report
 from wakeline.session import scratch_path
 from wakeline.sources.csv import apply_row_cap, read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
+from wakeline.sources.spread import spread
 from wakeline.sources.tables import merge_keep_existing, merge_replace
+from wakeline.streaming.ingest import start_raw_ingest
 
 CFG = DEFAULT_CONFIG
 # the original loader's default cap on input rows
@@ -159,6 +161,26 @@ def q_merge_replace(spark, sf_dir):
     return merge_replace(target, new, "row_id")
 
 
+def q_events_inter_arrival(spark, sf_dir):
+    """The gap operator on another entity time series: events per user (microsecond times)."""
+    ev = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts"))
+    with_prev = with_previous_time(ev, key="user_id", ts="ts", order_id="event_id",
+                                   bucket_seconds=CFG.lag_bucket_seconds)
+    return (with_prev.filter(F.col("prev_ts").isNotNull())
+            .select("event_id", "user_id", "ts", "prev_ts", ms_between("prev_ts", "ts").alias("delta_ms")))
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Fixture written as CSV files, loaded by the streaming ingest (several micro-batches)."""
+    src = scratch_path(spark, "ais-stream-src")
+    write_ais_csv(ais_strings(spark, sf_dir), src, n_files=4)
+    out = scratch_path(spark, "ais-stream-out")
+    query = start_raw_ingest(spark, src, out, CFG, checkpoint_location=scratch_path(spark, "ais-stream-ckpt"),
+                             max_files_per_trigger=2)
+    query.awaitTermination()
+    return spark.read.parquet(out).select(*FIELDS)
+
+
 QUERIES: dict[str, Query] = {
     "ais_csv_scan": q_csv_scan,
     "ais_row_cap": q_row_cap,
@@ -181,4 +203,6 @@ QUERIES: dict[str, Query] = {
     "ais_vessel_lookup": q_vessel_lookup,
     "merge_keep_existing": q_merge_keep_existing,
     "merge_replace": q_merge_replace,
+    "events_inter_arrival": q_events_inter_arrival,
+    "ais_stream_ingest": q_stream_ingest,
 }

@@ -32,16 +32,24 @@ def with_input_position(df: DataFrame, out: str = "row_id", max_broadcast_rows:
 
     ``df`` must carry ``_file`` / ``_block`` (see :func:`read_csv_strings`).
     Each split's rows are consecutive in ``monotonically_increasing_id``; one
-    small row per split (count, first id) gives the offsets by a running sum.
-    The split table has one row per input split, so its size is bounded by
-    input bytes / split size; it is broadcast only within ``max_broadcast_rows``.
+    small row per split (count, first id) gives the offsets by running sums:
+    within a file (a window per file, in parallel), then across files (one row
+    per file).  The split table is bounded by input bytes / split size; it is
+    materialized, counted and broadcast only within ``max_broadcast_rows``.
     Positions are the same on every recomputation of a file scan.
     """
     tagged = df.withColumn("_mid", F.monotonically_increasing_id())
     splits = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("_file", "_block", "_mid0",
-                            F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_off"))
+    before = Window.unboundedPreceding
+    in_file = splits.select(
+        "_file", "_block", "_mid0", "_n",
+        F.coalesce(F.sum("_n").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(before, -1)),
+                   F.lit(0)).alias("_off_in_file"))
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_file_n"))
+    file_off = files.select("_file", F.coalesce(
+        F.sum("_file_n").over(Window.orderBy("_file").rowsBetween(before, -1)), F.lit(0)).alias("_file_off"))
+    offsets = (in_file.join(file_off, "_file")
+               .select("_file", "_block", "_mid0", (F.col("_file_off") + F.col("_off_in_file")).alias("_off")))
     offsets, n_splits = materialize_keys(offsets)
     side = F.broadcast(offsets) if n_splits <= max_broadcast_rows else offsets
     return (tagged.join(side, ["_file", "_block"], "inner")
