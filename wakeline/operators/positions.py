@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, FIELD_KINDS, FIELDS, AisConfig
+from wakeline.functions.memo import per_context
 from wakeline.functions.predicates import MMSI_TEXT, load_keep, reject_reason
 from wakeline.functions.text import parse_float, parse_int, parse_timestamp, text_or_empty
 
@@ -16,15 +17,29 @@ def typed_column(field: str) -> Column:
     return _PARSERS[FIELD_KINDS[field]](F.col(field)).alias(field)
 
 
+@per_context
+def _typed_columns() -> list[Column]:
+    return [typed_column(f) for f in FIELDS]
+
+
+@per_context
+def _keep(cfg: AisConfig) -> Column:
+    return load_keep(cfg)
+
+
+@per_context
+def _reason(cfg: AisConfig) -> Column:
+    return reject_reason(cfg).alias("reason")
+
+
 def typed_rows(strings: DataFrame) -> DataFrame:
     """String rows -> ``row_id`` + the 26 typed fields (no filtering)."""
-    return strings.select("row_id", *(typed_column(f) for f in FIELDS))
+    return strings.select("row_id", *_typed_columns())
 
 
 def parsed_rows(strings: DataFrame) -> DataFrame:
     """Typed fields plus the stripped MMSI text the shape checks look at."""
-    return strings.select("row_id", *(typed_column(f) for f in FIELDS),
-                          text_or_empty(F.col("mmsi")).alias(MMSI_TEXT))
+    return strings.select("row_id", *_typed_columns(), text_or_empty(F.col("mmsi")).alias(MMSI_TEXT))
 
 
 def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -35,12 +50,12 @@ def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFr
     ``filter`` would be pushed below the parsing projection by the optimizer and
     re-parse every field inside the predicate (several times per field).
     """
-    checked = parsed_rows(strings).withColumn("_keep", load_keep(cfg))
+    checked = parsed_rows(strings).withColumn("_keep", _keep(cfg))
     row = F.struct("row_id", *FIELDS)
     return checked.select(F.inline(F.slice(F.array(row), 1, F.when(F.col("_keep"), 1).otherwise(0))))
 
 
 def reject_reasons(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
     """Rows per first failing load check ('ok' for loaded rows)."""
-    return (parsed_rows(strings).select(reject_reason(cfg).alias("reason"))
+    return (parsed_rows(strings).select(_reason(cfg))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))

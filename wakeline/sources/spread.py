@@ -12,7 +12,9 @@ def spread(df: DataFrame) -> DataFrame:
     parsing that follows; on real inputs (many splits) this is a no-op, so no
     shuffle is added at scale.  The check is planning-only (no job runs).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API: keep the scan as it is
+        return df
+    return df.repartition(target) if current < target else df
