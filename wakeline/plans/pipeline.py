@@ -14,7 +14,7 @@ from wakeline.operators.profile import count_of, metric_rows
 from wakeline.operators.sequence import positions_dt
 from wakeline.operators.vessels import positions_clean, valid_vessels
 from wakeline.session import scratch_path
-from wakeline.sources.csv import read_ais_csv
+from wakeline.sources.csv import read_ais_csv, read_csv_strings
 from wakeline.sources.tables import write_table, write_vessel_ordered
 
 
@@ -60,22 +60,34 @@ def load_report(stages: Stages, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
 
 
 def run_all(spark: SparkSession, csv_paths: str | list[str], out_dir: str,
-            cfg: AisConfig = DEFAULT_CONFIG) -> dict[str, str]:
+            cfg: AisConfig = DEFAULT_CONFIG,
+            ordered: tuple[str, ...] = ("positions_clean", "positions_dt")) -> dict[str, str]:
     """Load CSV -> raw -> clean -> dt -> histogram, each written as a table under ``out_dir``.
 
     Every stage reads the previous stage's written table, so a lost executor
-    only recomputes the current stage.  Tables are laid out by (mmsi, ts).
+    only recomputes the current stage.  Tables named in ``ordered`` are laid out
+    by (mmsi, ts) (one range shuffle each, for vessel/time lookups); the raw
+    table is written as loaded, since its only reader is the clean semi-join.
     """
+
+    def write(df: DataFrame, name: str) -> None:
+        if name in ordered:
+            write_vessel_ordered(df, paths[name])
+        else:
+            write_table(df, paths[name])
+
     paths = {name: os.path.join(out_dir, name) for name in
              ("positions_raw", "positions_clean", "positions_dt", "delta_histogram", "delta_summary", "load_report")}
     strings = read_ais_csv(spark, csv_paths, cfg.row_cap)
-    write_vessel_ordered(positions_raw(strings, cfg), paths["positions_raw"])
+    write(positions_raw(strings, cfg), "positions_raw")
     raw = spark.read.parquet(paths["positions_raw"])
-    write_vessel_ordered(positions_clean(raw, cfg), paths["positions_clean"])
+    write(positions_clean(raw, cfg), "positions_clean")
     clean = spark.read.parquet(paths["positions_clean"])
-    write_vessel_ordered(positions_dt(clean, cfg), paths["positions_dt"])
+    write(positions_dt(clean, cfg), "positions_dt")
     dt = spark.read.parquet(paths["positions_dt"])
     write_table(gap_histogram(dt, cfg), paths["delta_histogram"])
     write_table(gap_summary(dt, cfg), paths["delta_summary"])
-    write_table(load_report(Stages(strings, raw, clean, dt), cfg), paths["load_report"])
+    # rows read: a plain CSV count unless a cap makes positions matter
+    read = strings if cfg.row_cap is not None else read_csv_strings(spark, csv_paths)
+    write_table(load_report(Stages(read, raw, clean, dt), cfg), paths["load_report"])
     return paths
