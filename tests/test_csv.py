@@ -1,8 +1,6 @@
 """CSV scan bound by header name, input positions and the row cap."""
 
-import os
 
-from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from wakeline.config import AIS_HEADERS, FIELDS

@@ -1,6 +1,5 @@
 """The shuffled (non-broadcast) branches give the same results as the broadcast ones."""
 
-from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from wakeline.config import AisConfig

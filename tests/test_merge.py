@@ -1,6 +1,5 @@
 """Merge laws: upsert is idempotent, insert-if-absent never changes existing keys."""
 
-from pyspark.sql import functions as F
 
 from wakeline.session import scratch_path
 from wakeline.sources.tables import merge_into_path, merge_keep_existing, merge_replace

@@ -2,7 +2,6 @@
 
 import hashlib
 import math
-import os
 
 import duckdb
 import pytest

@@ -7,7 +7,6 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
