@@ -20,7 +20,7 @@ NUMBER_RE = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infini
 
 # strptime("%d/%m/%Y %H:%M:%S") field grammar; a space in the format matches a whitespace run.
 TIMESTAMP_RE = (
-    r"^(3[01]|[12][0-9]|0[1-9]|[1-9])/(1[0-2]|0[1-9]|[1-9])/([0-9]{4})"
+    r"^(3[01]|[12][0-9]|0[1-9]|[1-9])/(1[0-2]|0[1-9]|[1-9])/(000[1-9]|00[1-9][0-9]|0[1-9][0-9]{2}|[1-9][0-9]{3})"
     rf"[{WS_CLASS}]+"
     r"(2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9]):([0-5][0-9]|[0-9])$"
 )
@@ -51,13 +51,12 @@ def parse_int(c: Column) -> Column:
 def parse_timestamp(c: Column) -> Column:
     """Day-first ``d/m/Y H:M:S`` text to timestamp_ntz; invalid dates give null."""
     t = strip(c)
-    # behind the grammar guard the digit groups are exactly day, month, year, hour, minute, second
-    parts = F.regexp_extract_all(t, F.lit("[0-9]+"), 0)
+    # behind the grammar guard the digit groups are exactly day, month, year, hour, minute,
+    # second; otherwise the array is null and so is the result.  The array is an unconditional
+    # common sub-expression, so it is extracted once per row (not once per field).
+    parts = F.when(t.rlike(TIMESTAMP_RE), F.regexp_extract_all(t, F.lit("[0-9]+"), 0))
 
     def part(i: int) -> Column:
         return F.get(parts, i).try_cast("int")
 
-    return F.when(
-        t.rlike(TIMESTAMP_RE) & (part(2) >= 1),
-        F.try_make_timestamp_ntz(part(2), part(1), part(0), part(3), part(4), part(5)),
-    )
+    return F.try_make_timestamp_ntz(part(2), part(1), part(0), part(3), part(4), part(5))
