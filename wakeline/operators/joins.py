@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from wakeline.session import checkpoint_dir
 
 
 def materialize_keys(keys: DataFrame) -> tuple[DataFrame, int]:
-    """Write a key table to the shared checkpoint folder (cuts lineage) and count it."""
+    """Checkpoint a (small) key table to the shared checkpoint folder and count it.
+
+    The table is persisted first: the count fills the cache and the checkpoint
+    write reads from it, so the plan behind the keys (e.g. an aggregate over the
+    whole raw table) runs once.  The checkpoint files cut lineage.
+    """
     checkpoint_dir(keys.sparkSession)
-    stored = keys.checkpoint(eager=True)
-    return stored, stored.count()
+    cached = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    stored = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return stored, n
 
 
 def semi_join_checked(big: DataFrame, keys: DataFrame, on: str | list[str], max_broadcast_rows: int,

@@ -13,9 +13,8 @@ from wakeline.operators.positions import positions_raw
 from wakeline.operators.profile import count_of, metric_rows
 from wakeline.operators.sequence import positions_dt
 from wakeline.operators.vessels import positions_clean, valid_vessels
-from wakeline.session import scratch_path
 from wakeline.sources.csv import read_ais_csv, read_csv_strings
-from wakeline.sources.tables import write_table, write_vessel_ordered
+from wakeline.sources.tables import write_stage, write_table, write_vessel_ordered
 
 
 @dataclass
@@ -26,23 +25,12 @@ class Stages:
     dt: DataFrame
 
 
-def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write a stage as Parquet under the shared checkpoint folder and continue from it.
-
-    This cuts lineage (a lost executor does not re-run earlier stages) and, unlike
-    an RDD checkpoint, later steps read only the columns they need.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def build_stages(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG, materialize: bool = True) -> Stages:
     """raw -> clean -> dt.  With ``materialize`` the raw table is written once (as the
     original persists its raw collection), so parsing is not repeated by later steps."""
     raw = positions_raw(strings, cfg)
     if materialize:
-        raw = checkpointed(raw, "positions_raw")
+        raw = write_stage(raw, "positions_raw")
     clean = positions_clean(raw, cfg)
     dt = positions_dt(clean, cfg)
     return Stages(strings, raw, clean, dt)

@@ -8,6 +8,20 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wakeline.session import scratch_path
+
+
+def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a stage as Parquet under the shared checkpoint folder and continue from the files.
+
+    One job (an RDD checkpoint would compute the plan twice unless persisted);
+    it cuts lineage, so a lost executor does not re-run earlier stages, and
+    later steps read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """``overwrite`` replaces the table (drop + load); ``append`` adds rows."""
