@@ -31,6 +31,7 @@ from wakeline.streaming.ingest import start_raw_ingest
 CFG = DEFAULT_CONFIG
 # the original loader's default cap on input rows
 REFERENCE_ROW_CAP = 1_000_000
+STREAM_TIMEOUT_S = 1800
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,7 +178,9 @@ def q_stream_ingest(spark, sf_dir):
     out = scratch_path(spark, "ais-stream-out")
     query = start_raw_ingest(spark, src, out, CFG, checkpoint_location=scratch_path(spark, "ais-stream-ckpt"),
                              max_files_per_trigger=2)
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_S):
+        query.stop()
+        raise TimeoutError(f"streaming ingest did not finish within {STREAM_TIMEOUT_S} s")
     return spark.read.parquet(out).select(*FIELDS)
 
 
