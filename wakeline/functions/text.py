@@ -27,8 +27,15 @@ TIMESTAMP_RE = (
 
 
 def strip(c: Column) -> Column:
-    """Remove leading/trailing whitespace (Python's definition); null stays null."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Remove leading/trailing whitespace (Python's definition); null stays null.
+
+    ``btrim`` with a character set scans and allocates on every call, so it runs
+    only when the first or last character is whitespace (two one-character
+    hash-set lookups otherwise).
+    """
+    ws = list(WHITESPACE)
+    at_ends = F.substring(c, 1, 1).isin(*ws) | F.substring(c, -1, 1).isin(*ws)
+    return F.when(at_ends, F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def text_or_empty(c: Column) -> Column:
@@ -36,21 +43,18 @@ def text_or_empty(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit(""))
 
 
-def parse_float(c: Column) -> Column:
-    """Python ``float(x.strip())``: bad or blank text gives null; accepts nan/inf."""
-    t = strip(c)
+def float_of_stripped(t: Column) -> Column:
+    """``float(t)`` for already-stripped text."""
     # behind the grammar guard the cast fails only for a signed nan ("+nan", "-nan")
     return F.when(t.rlike(NUMBER_RE), F.coalesce(t.try_cast("double"), F.lit(float("nan"))))
 
 
-def parse_int(c: Column) -> Column:
-    """Python ``int(float(x))``: truncates toward zero; nan, inf and overflow give null."""
-    return parse_float(c).try_cast("bigint")
+def int_of_stripped(t: Column) -> Column:
+    return float_of_stripped(t).try_cast("bigint")
 
 
-def parse_timestamp(c: Column) -> Column:
-    """Day-first ``d/m/Y H:M:S`` text to timestamp_ntz; invalid dates give null."""
-    t = strip(c)
+def timestamp_of_stripped(t: Column) -> Column:
+    """Day-first ``d/m/Y H:M:S`` (already-stripped text) to timestamp_ntz; invalid gives null."""
     # behind the grammar guard the digit groups are exactly day, month, year, hour, minute,
     # second; otherwise the array is null and so is the result.  The array is an unconditional
     # common sub-expression, so it is extracted once per row (not once per field).
@@ -60,3 +64,18 @@ def parse_timestamp(c: Column) -> Column:
         return F.get(parts, i).try_cast("int")
 
     return F.try_make_timestamp_ntz(part(2), part(1), part(0), part(3), part(4), part(5))
+
+
+def parse_float(c: Column) -> Column:
+    """Python ``float(x.strip())``: bad or blank text gives null; accepts nan/inf."""
+    return float_of_stripped(strip(c))
+
+
+def parse_int(c: Column) -> Column:
+    """Python ``int(float(x))``: truncates toward zero; nan, inf and overflow give null."""
+    return int_of_stripped(strip(c))
+
+
+def parse_timestamp(c: Column) -> Column:
+    """Python ``datetime.strptime(x.strip(), "%d/%m/%Y %H:%M:%S")``; invalid gives null."""
+    return timestamp_of_stripped(strip(c))

@@ -8,18 +8,33 @@ from pyspark.sql import functions as F
 from wakeline.config import DEFAULT_CONFIG, FIELD_KINDS, FIELDS, AisConfig
 from wakeline.functions.memo import per_context
 from wakeline.functions.predicates import MMSI_TEXT, load_keep, reject_reason
-from wakeline.functions.text import parse_float, parse_int, parse_timestamp, text_or_empty
+from wakeline.functions.text import (float_of_stripped, int_of_stripped, parse_float, parse_int, parse_timestamp,
+                                     strip, text_or_empty, timestamp_of_stripped)
 
 _PARSERS = {"ts": parse_timestamp, "int": parse_int, "float": parse_float, "text": text_or_empty}
+_OF_STRIPPED = {"ts": timestamp_of_stripped, "int": int_of_stripped, "float": float_of_stripped,
+                "text": lambda t: F.coalesce(t, F.lit(""))}
 
 
 def typed_column(field: str) -> Column:
     return _PARSERS[FIELD_KINDS[field]](F.col(field)).alias(field)
 
 
+@per_context
+def _stripped_columns() -> list[Column]:
+    return [strip(F.col(f)).alias(f) for f in FIELDS]
+
+
 @per_context
 def _typed_columns() -> list[Column]:
-    return [typed_column(f) for f in FIELDS]
+    """Typed fields from *stripped* text.  Stripping is its own projection: a stripped
+    value is used by both the grammar guard and the cast, and Spark's sub-expression
+    elimination does not reach into conditional branches, so inlined it would run twice."""
+    return [_OF_STRIPPED[FIELD_KINDS[f]](F.col(f)).alias(f) for f in FIELDS]
+
+
+def _stripped(strings: DataFrame) -> DataFrame:
+    return strings.select("row_id", *_stripped_columns())
 
 
 @per_context
@@ -34,12 +49,12 @@ def _reason(cfg: AisConfig) -> Column:
 
 def typed_rows(strings: DataFrame) -> DataFrame:
     """String rows -> ``row_id`` + the 26 typed fields (no filtering)."""
-    return strings.select("row_id", *_typed_columns())
+    return _stripped(strings).select("row_id", *_typed_columns())
 
 
 def parsed_rows(strings: DataFrame) -> DataFrame:
     """Typed fields plus the stripped MMSI text the shape checks look at."""
-    return strings.select("row_id", *_typed_columns(), text_or_empty(F.col("mmsi")).alias(MMSI_TEXT))
+    return _stripped(strings).select("row_id", *_typed_columns(), F.coalesce(F.col("mmsi"), F.lit("")).alias(MMSI_TEXT))
 
 
 def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
