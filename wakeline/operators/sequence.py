@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
 
+
 def epoch_millis(ts: Column | str) -> Column:
     """Milliseconds since 1970-01-01 of a timestamp_ntz wall time, truncated to the ms.
 
@@ -51,7 +52,12 @@ def time_bucket(ts: str, bucket_seconds: int) -> Column:
 
 def with_previous_time(df: DataFrame, key: str = "mmsi", ts: str = "ts", order_id: str = "row_id",
                        out: str = "prev_ts", bucket_seconds: int = 3600) -> DataFrame:
-    """``df`` plus ``out`` = ts of the previous row of the same key in (ts, order_id) order."""
+    """``df`` plus ``out`` = ts of the previous row of the same key in (ts, order_id) order.
+
+    Rows with a null key or time are not returned (callers filter them first).
+    The per-key carry table holds one row per non-empty time bucket, so it grows
+    with a key's time span, not with its row count.
+    """
     firsts = (df.select(key, ts, order_id)
               .groupBy(key, ts).agg(F.min(order_id).alias("_first_id"))
               .withColumn("_b", time_bucket(ts, bucket_seconds)))
