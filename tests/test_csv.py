@@ -55,3 +55,10 @@ def test_row_cap_takes_first_rows_before_filtering(spark, tmp_path):
     p.write_text("\n".join(lines) + "\n")
     capped = read_ais_csv(spark, str(p), row_cap=10)
     assert sorted(int(r.mmsi) - 219000000 for r in capped.collect()) == list(range(10))
+
+
+def test_per_file_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("MMSI,Latitude\n219000001,55.5\n")
+    (tmp_path / "b.csv").write_text("Latitude,MMSI\n56.5,219000002\n")
+    rows = read_ais_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], per_file_headers=True)
+    assert sorted((r.row_id, r.mmsi, r.lat) for r in rows.collect()) == [(0, "219000001", "55.5"), (1, "219000002", "56.5")]

@@ -29,3 +29,19 @@ def test_stream_matches_batch(spark):
     b = sorted(_norm(r) for r in positions_raw(strings).select(*cols).collect())
     assert a == b
     assert got.select("row_id").distinct().count() == got.count()
+
+
+def test_stream_binds_columns_by_header_name(spark, tmp_path):
+    src = tmp_path / "landing"
+    src.mkdir()
+    base = "18/04/2026 00:00:{s:02d},{m},55.5,12.0,Under way using engine,0,10.2,90,90"
+    header = "# Timestamp,MMSI,Latitude,Longitude,Navigational status,ROT,SOG,COG,Heading"
+    (src / "a.csv").write_text(header + "\n" + base.format(s=5, m=219000001) + "\n")
+    # same columns, different order
+    (src / "b.csv").write_text("MMSI,# Timestamp,Longitude,Latitude,Heading,COG,SOG,ROT,Navigational status\n"
+                               "219000002,18/04/2026 00:00:06,12.0,55.5,90,90,10.2,0,Under way using engine\n")
+    out = scratch_path(spark, "stream-by-name")
+    q = start_raw_ingest(spark, str(src), out, checkpoint_location=scratch_path(spark, "stream-by-name-ckpt"))
+    q.awaitTermination(300)
+    rows = sorted((r.mmsi, r.lat, r.lon) for r in spark.read.parquet(out).collect())
+    assert rows == [(219000001, 55.5, 12.0), (219000002, 55.5, 12.0)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,20 @@ def read_csv_strings(spark: SparkSession, paths: str | list[str], header_map=AIS
                       F.col("_metadata.file_block_start").alias("_block"))
 
 
+def read_csv_strings_per_header(spark: SparkSession, files: list[str], header_map=AIS_HEADERS) -> DataFrame:
+    """Like :func:`read_csv_strings` for files whose header lines may differ.
+
+    Files are grouped by their own header (one small header read per file, so
+    meant for a bounded list such as one streaming micro-batch), each group is
+    read bound by name, and the groups are unioned.
+    """
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        groups.setdefault(tuple(spark.read.options(**CSV_OPTIONS).csv(f).columns), []).append(f)
+    parts = [read_csv_strings(spark, fs, header_map) for fs in groups.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def with_input_position(df: DataFrame, out: str = "row_id", max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Add a dense 0-based input position: file path order, then row order in the file.
 
@@ -57,9 +73,16 @@ def with_input_position(df: DataFrame, out: str = "row_id", max_broadcast_rows:
             .drop("_mid", "_mid0", "_off", "_file", "_block"))
 
 
-def read_ais_csv(spark: SparkSession, paths: str | list[str], row_cap: int | None = None) -> DataFrame:
-    """Field-named string rows with ``row_id`` = input position, optionally the first ``row_cap``."""
-    rows = with_input_position(read_csv_strings(spark, paths))
+def read_ais_csv(spark: SparkSession, paths: str | list[str], row_cap: int | None = None,
+                 per_file_headers: bool = False) -> DataFrame:
+    """Field-named string rows with ``row_id`` = input position, optionally the first ``row_cap``.
+
+    ``per_file_headers`` binds each file by its own header line (``paths`` must
+    then list files); otherwise all files share the first file's header.
+    """
+    files = [paths] if isinstance(paths, str) else list(paths)
+    strings = read_csv_strings_per_header(spark, files) if per_file_headers else read_csv_strings(spark, paths)
+    rows = with_input_position(strings)
     return apply_row_cap(rows, row_cap)
 
 

@@ -1,10 +1,12 @@
 """Incremental load: CSV files landing in a folder -> the raw positions table.
 
-A Structured Streaming file source picks up new CSV files; each micro-batch is
-parsed and checked exactly like the batch load (:func:`positions_raw`) and
-written to its own ``batch_id=<n>`` folder of the raw table.  A re-run of a
-batch after a failure overwrites that folder, so output is exactly-once with
-the stream checkpoint (kept under the shared ``spark.checkpoint.dir``).
+A Structured Streaming file source discovers new files and keeps the
+exactly-once bookkeeping in its checkpoint.  Each micro-batch reads *its* files
+with the batch CSV reader, grouped by each file's own header, so columns are
+bound by header name as in the original per-file reader (a streaming CSV
+source needs a fixed schema and would bind by position), then parses and checks them with :func:`positions_raw` and writes
+them to the batch's own ``batch_id=<n>`` folder of the raw table.  A re-run of
+a batch after a failure overwrites that folder, so output is exactly-once.
 Row ids are ``batch_id * 2**40 + input position within the batch``: unique and
 increasing in arrival order.
 """
@@ -16,29 +18,22 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
-from wakeline.config import AIS_HEADERS, DEFAULT_CONFIG, AisConfig
+from wakeline.config import DEFAULT_CONFIG, AisConfig
 from wakeline.operators.positions import positions_raw
 from wakeline.session import checkpoint_dir
-from wakeline.sources.csv import CSV_OPTIONS, with_input_position
+from wakeline.sources.csv import read_csv_strings_per_header, with_input_position
 
 BATCH_ID_SHIFT = 1 << 40
+# files per micro-batch (each file's header is read once per batch)
+DEFAULT_FILES_PER_TRIGGER = 200
 
 
-def csv_schema(header_map=AIS_HEADERS) -> StructType:
-    return StructType([StructField(h, StringType()) for _, h in header_map])
-
-
-def stream_strings(spark: SparkSession, src_dir: str, header_map=AIS_HEADERS,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(csv_schema(header_map)).options(**CSV_OPTIONS)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.csv(src_dir)
-    return raw.select(*(F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(f) for f, h in header_map),
-                      F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"))
+def new_files(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the lines of newly landed files, reduced to their file paths."""
+    reader = spark.readStream.option("pathGlobFilter", "*.csv")
+    reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER))
+    return reader.text(src_dir).select(F.col("_metadata.file_path").alias("_file"))
 
 
 def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisConfig = DEFAULT_CONFIG,
@@ -48,11 +43,16 @@ def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisC
     location = checkpoint_location or os.path.join(checkpoint_dir(spark), "raw-ingest-stream")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_input_position(batch, max_broadcast_rows=cfg.max_broadcast_rows)
+        # file names only (at most maxFilesPerTrigger of them), not rows
+        files = sorted(r._file for r in batch.select("_file").distinct().collect())
+        if not files:
+            return
+        strings = read_csv_strings_per_header(spark, files)
+        rows = with_input_position(strings, max_broadcast_rows=cfg.max_broadcast_rows)
         rows = rows.withColumn("row_id", F.col("row_id") + F.lit(batch_id * BATCH_ID_SHIFT))
         positions_raw(rows, cfg).write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
-    writer = (stream_strings(spark, src_dir, max_files_per_trigger=max_files_per_trigger)
+    writer = (new_files(spark, src_dir, max_files_per_trigger)
               .writeStream.foreachBatch(write_batch).option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
