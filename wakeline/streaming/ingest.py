@@ -25,15 +25,16 @@ from wakeline.session import checkpoint_dir
 from wakeline.sources.csv import read_csv_strings_per_header, with_input_position
 
 BATCH_ID_SHIFT = 1 << 40
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 # files per micro-batch (each file's header is read once per batch)
 DEFAULT_FILES_PER_TRIGGER = 200
 
 
 def new_files(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of the lines of newly landed files, reduced to their file paths."""
-    reader = spark.readStream.option("pathGlobFilter", "*.csv")
-    reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER))
-    return reader.text(src_dir).select(F.col("_metadata.file_path").alias("_file"))
+    """Stream of newly landed CSV file paths: one row per file (file content is not read here)."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", "*.csv")
+              .option("maxFilesPerTrigger", str(max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER)))
+    return reader.load(src_dir).select(F.col("path").alias("_file"))
 
 
 def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisConfig = DEFAULT_CONFIG,
@@ -44,7 +45,7 @@ def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisC
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # file names only (at most maxFilesPerTrigger of them), not rows
-        files = sorted(r._file for r in batch.select("_file").distinct().collect())
+        files = sorted(r._file for r in batch.collect())
         if not files:
             return
         strings = read_csv_strings_per_header(spark, files)
