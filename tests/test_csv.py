@@ -62,3 +62,13 @@ def test_per_file_headers(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Latitude,MMSI\n56.5,219000002\n")
     rows = read_ais_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], per_file_headers=True)
     assert sorted((r.row_id, r.mmsi, r.lat) for r in rows.collect()) == [(0, "219000001", "55.5"), (1, "219000002", "56.5")]
+
+
+def test_quoting_and_crlf(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_bytes(("MMSI,Name,Destination,Latitude\r\n"
+                   '219000001,"NORTH, STAR","SAY ""HI""",55.5\r\n'
+                   "219000002,PLAIN,,56.0\r\n").encode("utf-8"))
+    rows = sorted((r.mmsi, r.name, r.destination, r.lat) for r in read_ais_csv(spark, str(p)).collect())
+    assert [(m, n, d, la.strip()) for m, n, d, la in rows] == [
+        ("219000001", "NORTH, STAR", 'SAY "HI"', "55.5"), ("219000002", "PLAIN", "", "56.0")]
