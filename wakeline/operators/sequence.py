@@ -54,7 +54,8 @@ def with_previous_time(df: DataFrame, key: str = "mmsi", ts: str = "ts", order_i
                        out: str = "prev_ts", bucket_seconds: int = 3600) -> DataFrame:
     """``df`` plus ``out`` = ts of the previous row of the same key in (ts, order_id) order.
 
-    Rows with a null key or time are not returned (callers filter them first).
+    ``order_id`` must be unique (row ids are).  Rows with a null key or time are
+    not returned (callers filter them first).
     The per-key carry table holds one row per non-empty time bucket, so it grows
     with a key's time span, not with its row count.
     """
