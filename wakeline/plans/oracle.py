@@ -183,7 +183,11 @@ SELECT 'positions_raw' AS table_name, CAST(((mmsi % 3) + 3) % 3 AS INTEGER) AS s
 UNION ALL
 SELECT 'positions_clean', CAST(((mmsi % 3) + 3) % 3 AS INTEGER), count(*) FROM clean GROUP BY 2""",
     "ais_sample_mmsi": PRELUDE + """
-SELECT mmsi FROM clean WHERE mmsi IS NOT NULL AND mmsi <> 0 ORDER BY mmsi, ts, row_id LIMIT 10""",
+SELECT * FROM (SELECT 'positions_raw' AS table_name, mmsi FROM raw WHERE mmsi IS NOT NULL AND mmsi <> 0
+               ORDER BY mmsi, ts, row_id LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'positions_clean' AS table_name, mmsi FROM clean WHERE mmsi IS NOT NULL AND mmsi <> 0
+               ORDER BY mmsi, ts, row_id LIMIT 10)""",
     "ais_vessel_lookup": PRELUDE + """
 SELECT row_id, mmsi, ts FROM clean WHERE mmsi = (SELECT min(mmsi) FROM clean)
 ORDER BY ts, row_id LIMIT 5""",

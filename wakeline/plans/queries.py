@@ -135,7 +135,10 @@ def q_bucket_profile(spark, sf_dir):
 
 
 def q_sample_mmsi(spark, sf_dir):
-    return sample_mmsi(_stages(spark, sf_dir).clean, 10)
+    """First 10 vessel ids of the raw and of the clean table (the status report samples both)."""
+    st = _stages(spark, sf_dir)
+    return (sample_mmsi(st.raw, 10).select(F.lit("positions_raw").alias("table_name"), "mmsi")
+            .unionByName(sample_mmsi(st.clean, 10).select(F.lit("positions_clean").alias("table_name"), "mmsi")))
 
 
 def q_vessel_lookup(spark, sf_dir):
