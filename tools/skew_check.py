@@ -81,6 +81,7 @@ def main() -> None:
                     if recs:
                         tasks.setdefault(ev["Stage ID"], []).append(recs)
     print(f"rows {n}, hot vessel rows {hot} ({hot / n:.0%}); event log: {log_dir}")
+    shares = {}
     for group in ("skew_safe", "semi_shuffled", "plain_window"):
         worst = 0
         for sid in sorted(s for s, g in stage_group.items() if g == group and s in tasks and sum(tasks[s]) > 1000):
@@ -89,6 +90,8 @@ def main() -> None:
             print(f"  {group:13s} stage {sid:3d}: tasks {len(r):3d}  max records/task {max(r):7d}"
                   f"  median {int(statistics.median(r)):7d}")
         print(f"  {group}: largest task reads {worst} records = {worst / n:.0%} of all rows")
+        shares[group] = worst / n
+    print("SKEW " + " ".join(f"{g}={v:.3f}" for g, v in shares.items()) + f" hot={hot / n:.3f}")
 
 
 if __name__ == "__main__":
