@@ -68,3 +68,17 @@ def test_run_all_from_csv(spark):
     report = {r.metric: r.value for r in spark.read.parquet(paths["load_report"]).collect()}
     assert report == {"rows_read": 1000, "rows_inserted_raw": 779, "valid_vessels": 4,
                       "rows_clean": 431, "rows_delta": 427}
+
+
+def test_run_all_with_row_cap(spark):
+    from wakeline.operators.positions import positions_raw
+    from wakeline.sources.csv import apply_row_cap
+
+    src = scratch_path(spark, "run-all-cap-csv")
+    strings = ais_strings(spark, SF001)
+    write_ais_csv(strings, src, n_files=3)
+    cfg = AisConfig(row_cap=500)
+    paths = run_all(spark, src, scratch_path(spark, "run-all-cap-out"), cfg)
+    report = {r.metric: r.value for r in spark.read.parquet(paths["load_report"]).collect()}
+    assert report["rows_read"] == 500
+    assert report["rows_inserted_raw"] == positions_raw(apply_row_cap(strings, 500)).count()
