@@ -3,7 +3,7 @@
 
 from tests.conftest import SF001
 from wakeline.config import AisConfig
-from wakeline.plans.pipeline import build_stages
+from wakeline.plans.jobs import build_stages
 from wakeline.session import scratch_path
 from wakeline.sources.csv import read_csv_strings, with_input_position, write_ais_csv
 from wakeline.sources.fixture import ais_strings

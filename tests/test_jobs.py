@@ -7,7 +7,7 @@ from tests.conftest import SF001, SF01
 from wakeline.config import AisConfig
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.vessels import valid_vessels
-from wakeline.plans.pipeline import build_stages, run_all
+from wakeline.plans.jobs import build_stages, run_all
 from wakeline.session import scratch_path
 from wakeline.sources.csv import write_ais_csv
 from wakeline.sources.fixture import ais_strings

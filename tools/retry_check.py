@@ -38,7 +38,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wakeline-retry-ckpt-"))
-    from wakeline.plans.pipeline import build_stages
+    from wakeline.plans.jobs import build_stages
     from wakeline.session import scratch_path
     from wakeline.sources.csv import read_ais_csv, write_ais_csv
     from wakeline.sources.fixture import ais_strings

@@ -20,7 +20,7 @@ from wakeline.operators.positions import positions_raw, reject_reasons, typed_ro
 from wakeline.operators.profile import bucket_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
 from wakeline.operators.sequence import ms_between, with_previous_time
 from wakeline.operators.vessels import valid_vessels, vessel_counts
-from wakeline.plans.pipeline import build_stages, load_report
+from wakeline.plans.jobs import build_stages, load_report
 from wakeline.session import scratch_path
 from wakeline.sources.csv import apply_row_cap, read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
