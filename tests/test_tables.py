@@ -31,3 +31,19 @@ def test_append_marker(spark):
     rows = spark.read.parquet(path).orderBy("mmsi").collect()
     assert [r.mmsi for r in rows] == [219000001, 219000002]
     assert all(r.test_connection_marker for r in rows) and all(r.created_at_epoch > 0 for r in rows)
+
+
+def test_point_lookup_is_pushed_to_the_scan(spark):
+    from wakeline.operators.profile import vessel_reports
+
+    raw = positions_raw(ais_strings(spark, SF001))
+    path = scratch_path(spark, "layout-lookup")
+    write_vessel_ordered(raw, path, partitions=4)
+    table = spark.read.parquet(path)
+    target = table.agg(F.min("mmsi")).first()[0]
+    q = vessel_reports(table, target, 5)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(mmsi," in plan  # pushed filter on the Parquet scan
+    rows = q.collect()
+    assert len(rows) == 5 and all(r.mmsi == target for r in rows)
+    assert [(r.ts, r.row_id) for r in rows] == sorted((r.ts, r.row_id) for r in rows)

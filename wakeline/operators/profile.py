@@ -53,9 +53,23 @@ def sample_mmsi(df: DataFrame, k: int = 10) -> DataFrame:
             .select(F.col("mmsi")))
 
 
-def vessel_lookup(df: DataFrame, k: int = 5) -> DataFrame:
-    """First vessel present (lowest mmsi) and its first ``k`` reports: row_id, mmsi, ts."""
-    target = df.filter(F.col("mmsi").isNotNull()).agg(F.min("mmsi").alias("mmsi"))
-    return (df.join(F.broadcast(target), "mmsi", "left_semi")  # one row
+def first_vessel(df: DataFrame) -> int | None:
+    """The lowest vessel id present (one scalar to the driver), or None."""
+    return df.filter(F.col("mmsi").isNotNull()).agg(F.min("mmsi")).first()[0]
+
+
+def vessel_reports(df: DataFrame, mmsi: int | None, k: int = 5) -> DataFrame:
+    """The first ``k`` reports of one vessel: row_id, mmsi, ts.
+
+    The equality on a literal is pushed into the Parquet scan, so on a
+    vessel-ordered table (min/max statistics per file and row group) the lookup
+    skips the data of other vessels.
+    """
+    return (df.filter(F.col("mmsi") == F.lit(mmsi).cast("bigint"))
             .orderBy("ts", "row_id").limit(k)
             .select("row_id", "mmsi", "ts"))
+
+
+def vessel_lookup(df: DataFrame, k: int = 5) -> DataFrame:
+    """First vessel present (lowest mmsi) and its first ``k`` reports (find one, then query it)."""
+    return vessel_reports(df, first_vessel(df), k)
