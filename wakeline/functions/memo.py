@@ -18,7 +18,8 @@ def per_context(fn):
 
     @functools.wraps(fn)
     def wrapper(*args):
-        key = (id(SparkContext._active_spark_context), args)
+        sc = SparkContext._active_spark_context
+        key = (id(sc), sc.applicationId if sc is not None else None, args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]
