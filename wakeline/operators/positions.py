@@ -90,5 +90,6 @@ def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFr
 
 def reject_reasons(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
     """Rows per first failing load check ('ok' for loaded rows)."""
-    return (parsed_rows(strings).select(_reason(cfg))
-            .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
+    mmsi_text = F.coalesce(F.col("mmsi"), F.lit("")).alias(MMSI_TEXT)
+    checked = _stripped(strings).select(*_checked_columns(), mmsi_text)  # only what the checks read
+    return checked.select(_reason(cfg)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
