@@ -45,3 +45,22 @@ def test_stream_binds_columns_by_header_name(spark, tmp_path):
     q.awaitTermination(300)
     rows = sorted((r.mmsi, r.lat, r.lon) for r in spark.read.parquet(out).collect())
     assert rows == [(219000001, 55.5, 12.0), (219000002, 55.5, 12.0)]
+
+
+def test_second_run_processes_only_new_files(spark, tmp_path):
+    src = tmp_path / "landing2"
+    src.mkdir()
+    header = "# Timestamp,MMSI,Latitude,Longitude,Navigational status,ROT,SOG,COG,Heading"
+
+    def land(name, mmsi):
+        (src / name).write_text(header + "\n" + f"18/04/2026 00:00:05,{mmsi},55.5,12.0,Under way,0,10.2,90,90\n")
+
+    out, ckpt = scratch_path(spark, "stream-incr"), scratch_path(spark, "stream-incr-ckpt")
+    land("a.csv", 219000001)
+    land("b.csv", 219000002)
+    start_raw_ingest(spark, str(src), out, checkpoint_location=ckpt).awaitTermination(300)
+    land("c.csv", 219000003)
+    start_raw_ingest(spark, str(src), out, checkpoint_location=ckpt).awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert sorted(r.mmsi for r in got.collect()) == [219000001, 219000002, 219000003]
+    assert got.select("batch_id").distinct().count() == 2
