@@ -66,7 +66,7 @@ def test_run_all_from_csv(spark):
     assert spark.read.parquet(paths["positions_dt"]).count() == 427
     assert spark.read.parquet(paths["delta_histogram"]).count() == 50
     report = {r.metric: r.value for r in spark.read.parquet(paths["load_report"]).collect()}
-    assert report == {"rows_read": 1000, "rows_inserted_raw": 779, "valid_vessels": 4,
+    assert report == {"rows_read": 1000, "rows_seen": 1000, "rows_inserted_raw": 779, "valid_vessels": 4,
                       "rows_clean": 431, "rows_delta": 427}
 
 

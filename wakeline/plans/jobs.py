@@ -38,8 +38,10 @@ def build_stages(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG, materializ
 
 def load_report(stages: Stages, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
     """Rows read, rows loaded, valid vessels, clean rows and gap rows as (metric, value)."""
+    read = count_of(stages.strings)
     return metric_rows({
-        "rows_read": count_of(stages.strings),
+        "rows_read": read,
+        "rows_seen": read,  # every row read is processed (no worker can drop a batch here)
         "rows_inserted_raw": count_of(stages.raw),
         "valid_vessels": count_of(valid_vessels(stages.raw, cfg)),
         "rows_clean": count_of(stages.clean),

@@ -170,6 +170,7 @@ SELECT count(*) AS n_plotted,
 FROM dt WHERE delta_t_ms >= 0""",
     "ais_load_report": PRELUDE + """
 SELECT 'rows_read' AS metric, count(*) AS value FROM src
+UNION ALL SELECT 'rows_seen', count(*) FROM src
 UNION ALL SELECT 'rows_inserted_raw', count(*) FROM raw
 UNION ALL SELECT 'valid_vessels', count(*) FROM valid
 UNION ALL SELECT 'rows_clean', count(*) FROM clean
