@@ -1,7 +1,8 @@
 """The registered query set: one callable (spark, sf_dir) -> DataFrame per operator.
 
-Every query reads the driver's ``events`` table through the AIS fixture
-(:mod:`wakeline.sources.fixture`) and runs over all of its rows.
+Every query reads the driver's ``events`` table -- through the AIS fixture
+(:mod:`wakeline.sources.fixture`), or directly for ``events_inter_arrival`` --
+and runs over all of its rows.
 """
 
 from __future__ import annotations
