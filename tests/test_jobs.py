@@ -82,3 +82,15 @@ def test_run_all_with_row_cap(spark):
     report = {r.metric: r.value for r in spark.read.parquet(paths["load_report"]).collect()}
     assert report["rows_read"] == 500
     assert report["rows_inserted_raw"] == positions_raw(apply_row_cap(strings, 500)).count()
+
+
+def test_empty_clean_table_flows_through(spark):
+    from wakeline.operators.profile import vessel_lookup
+
+    cfg = AisConfig(min_reports=10**9)  # no vessel qualifies
+    st = build_stages(ais_strings(spark, SF001), cfg)
+    assert st.clean.count() == 0 and st.dt.count() == 0
+    hist = gap_histogram(st.dt, cfg).collect()
+    assert len(hist) == 50 and sum(r.n for r in hist) == 0
+    assert gap_summary(st.dt, cfg).collect()[0].n_plotted == 0
+    assert vessel_lookup(st.clean).count() == 0
