@@ -52,6 +52,7 @@ CASES = [
     ({"sog": "1f"}, False, "P8_sog"),
     ({"sog": "0x1p3"}, False, "P8_sog"),
     ({"sog": "1e1"}, True, "ok"),
+    ({"sog": "1_0"}, False, "P8_sog"),  # documented deviation: Python reads 10
     ({"cog": "0"}, True, "ok"),
     ({"cog": "359.9"}, True, "ok"),
     ({"cog": "360"}, False, "P9_cog"),
