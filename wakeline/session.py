@@ -18,6 +18,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # local data is small: without this, AQE folds a 1-2 MB shuffle into one task
+        # (its 1 MB minimum), serializing the stages after it; clusters keep the default
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # generated methods above HotSpot's 8000-bytecode JIT limit would run interpreted;
