@@ -30,17 +30,21 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 DEFAULT_FILES_PER_TRIGGER = 200
 
 
-def new_files(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def new_files(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None,
+              glob: str = "*.csv") -> DataFrame:
     """Stream of newly landed CSV file paths: one row per file (file content is not read here)."""
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", "*.csv")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
               .option("maxFilesPerTrigger", str(max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER)))
     return reader.load(src_dir).select(F.col("path").alias("_file"))
 
 
 def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisConfig = DEFAULT_CONFIG,
                      checkpoint_location: str | None = None, available_now: bool = True,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+                     max_files_per_trigger: int | None = None, glob: str = "*.csv") -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    ``glob`` selects the landed files (e.g. ``"*.csv.gz"`` for compressed days).
+    """
     location = checkpoint_location or os.path.join(checkpoint_dir(spark), "raw-ingest-stream")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -53,7 +57,7 @@ def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisC
         rows = rows.withColumn("row_id", F.col("row_id") + F.lit(batch_id * BATCH_ID_SHIFT))
         positions_raw(rows, cfg).write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
-    writer = (new_files(spark, src_dir, max_files_per_trigger)
+    writer = (new_files(spark, src_dir, max_files_per_trigger, glob)
               .writeStream.foreachBatch(write_batch).option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
