@@ -72,3 +72,13 @@ def test_quoting_and_crlf(spark, tmp_path):
     rows = sorted((r.mmsi, r.name, r.destination, r.lat) for r in read_ais_csv(spark, str(p)).collect())
     assert [(m, n, d, la.strip()) for m, n, d, la in rows] == [
         ("219000001", "NORTH, STAR", 'SAY "HI"', "55.5"), ("219000002", "PLAIN", "", "56.0")]
+
+
+def test_gzip_files_keep_positions(spark, tmp_path):
+    import gzip
+
+    for f, base in enumerate((0, 3)):
+        with gzip.open(tmp_path / f"day{f}.csv.gz", "wt") as fh:
+            fh.write("MMSI,Latitude\n" + "".join(f"{219000000 + base + i},55.5\n" for i in range(3)))
+    rows = read_ais_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.row_id, int(r.mmsi)) for r in rows) == [(i, 219000000 + i) for i in range(6)]
