@@ -5,24 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
+from wakeline.sources.tables import write_stage
 
-from wakeline.session import checkpoint_dir
 
+def materialize_keys(keys: DataFrame, name: str = "keys") -> tuple[DataFrame, int]:
+    """Write a (small) key table under the shared checkpoint folder and count it.
 
-def materialize_keys(keys: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint a (small) key table to the shared checkpoint folder and count it.
-
-    The table is persisted first: the count fills the cache and the checkpoint
-    write reads from it, so the plan behind the keys (e.g. an aggregate over the
-    whole raw table) runs once.  The checkpoint files cut lineage.
+    A Parquet stage write runs the plan behind the keys once, cuts lineage, and
+    lets AQE coalesce the output into a few files.  (A persisted plan keeps all
+    ``spark.sql.shuffle.partitions`` partitions, so a checkpoint of it would
+    write one tiny file per partition -- tens of thousands on a cluster.)
     """
-    checkpoint_dir(keys.sparkSession)
-    cached = keys.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    stored = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return stored, n
+    stored = write_stage(keys, name)
+    return stored, stored.count()
 
 
 def semi_join_checked(big: DataFrame, keys: DataFrame, on: str | list[str], max_broadcast_rows: int,

@@ -66,7 +66,7 @@ def with_input_position(df: DataFrame, out: str = "row_id", max_broadcast_rows:
         F.sum("_file_n").over(Window.orderBy("_file").rowsBetween(before, -1)), F.lit(0)).alias("_file_off"))
     offsets = (in_file.join(file_off, "_file")
                .select("_file", "_block", "_mid0", (F.col("_file_off") + F.col("_off_in_file")).alias("_off")))
-    offsets, n_splits = materialize_keys(offsets)
+    offsets, n_splits = materialize_keys(offsets, "split-offsets")
     side = F.broadcast(offsets) if n_splits <= max_broadcast_rows else offsets
     return (tagged.join(side, ["_file", "_block"], "inner")
             .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint"))
