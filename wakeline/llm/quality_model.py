@@ -28,7 +28,8 @@ N_GRADES = 3
 @dataclass(frozen=True)
 class FitParams:
     max_labelled: int = 6_000   # bound of the labelled sample
-    min_documents: int = 5      # documents of the sample that a feature must occur in
+    min_documents: int = 10     # documents of the sample that a feature must occur in
+    min_z: float = 4.0          # standard errors between the grades with and without it
     l2: float = 0.5
     rounds: int = 300
     min_tail: float = 0.5       # keep from this probability of the top grade on
@@ -94,9 +95,14 @@ def document_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, params: FitParams = FitParams()) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty, by full-batch Adam on the bounded sample."""
+    """Maximum likelihood with an L2 penalty, by full-batch Adam on the bounded sample.
+
+    Features whose documents' mean grade is not clearly off the overall mean get no weight:
+    most words of a corpus are rare, and labels are noisy.
+    """
     names, inverse, seen = np.unique(feature, return_inverse=True, return_counts=True)
-    use = (seen >= params.min_documents)
+    z = (np.bincount(inverse, weights=grade[row]) / seen - grade.mean()) / (grade.std() / np.sqrt(seen))
+    use = (seen >= params.min_documents) & (np.abs(z) >= params.min_z)
     column = np.cumsum(use) - 1
     on = use[inverse]
     rows, cols, names = row[on], column[inverse[on]], names[use]
