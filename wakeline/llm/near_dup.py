@@ -8,11 +8,12 @@ element's weight; per coordinate it keeps the dart of the earliest rank. About
 coordinates still empty are served by going to higher ranks. Two documents agree in a
 coordinate with the probability of their weighted Jaccard similarity.
 
-The join: equal texts are folded first. Band keys meet per bucket at one pivot (never all
-pairs); candidates are verified exactly on their shingle sets, links are contracted to
-components, and buckets that still hold several components get new pivots, then the
-cross-component pairs that are left. Every text that shares a band with a similar one
-is so compared until linked or excluded.
+The join: equal texts are folded first. The texts of a bucket (one band key) meet one pivot,
+never each other: candidates are verified exactly on their shingle sets, links are
+contracted to components, and the pivot leaves the bucket, having met all of it. What
+still holds several components after ``pivot_rounds`` is settled in blocks of bounded
+size inside tasks, on bit sets, with one link returned for each pair of components. So
+every two texts that share a band are compared or already connected.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +42,8 @@ class NearDupParams:
     bands: int = 25          # a pair at 0.8 shares no band with probability 2e-6
     rows_per_band: int = 4
     weighted: bool = False   # weights: occurrences of a shingle instead of 1
-    pivot_rounds: int = 3
+    pivot_rounds: int = 2
+    block_texts: int = 2048  # texts of a bucket that a task holds, twice
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -170,6 +173,42 @@ def _verify(params: NearDupParams):
     return verify
 
 
+def _settle(params: NearDupParams):
+    """One link for each two components of a block pair that some two of its texts connect."""
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("node").reset_index(drop=True)
+        sets = [np.frombuffer(x, "<u8") for x in rows["shingles"]]
+        m = len(sets)
+        times = [np.frombuffer(x, "<u4").astype(np.int64) if params.weighted else np.ones(len(s), np.int64) for x, s in zip(rows["times"], sets)]
+        size = np.array([int(t.sum()) for t in times])
+        # a weight of k counts as k elements, so that overlaps are counts of common bits
+        element = np.concatenate([np.repeat(s, t) for s, t in zip(sets, times)])
+        nth = np.concatenate([np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t) for t in times])
+        with np.errstate(over="ignore"):
+            element = mix(element + nth.astype(U64) * U64(BASE), 29) if params.weighted else element
+        owner = np.repeat(np.arange(m), size)
+        _, bit, seen = np.unique(element, return_inverse=True, return_counts=True)
+        common = seen > 1
+        bit, owner = (np.cumsum(common) - 1)[bit[common[bit]]], owner[common[bit]]
+        bits = np.zeros((m, -(-int(common.sum()) // 64) or 1), U64)
+        np.bitwise_or.at(bits, (owner, bit >> 6), U64(1) << (bit & 63).astype(U64))
+        block = rows["block"].to_numpy()
+        component = np.unique(np.array([bytes(c) for c in rows["component"]], object), return_inverse=True)[1]
+        largest = np.bincount(component).argmax()
+        one_block = rows["lo"].iloc[0] == rows["hi"].iloc[0]
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for r in np.flatnonzero(component != largest).tolist():
+            other = (component != component[r]) & (size >= params.similarity * size[r]) & (size * params.similarity <= size[r])
+            other &= (np.arange(m) > r) | (component == largest) if one_block else block != block[r]
+            at = np.flatnonzero(other)
+            both = np.bitwise_count(bits[at] & bits[r]).sum(axis=1, dtype=np.int64)
+            for k in at[both >= params.similarity * (size[at] + size[r] - both)].tolist():
+                found.setdefault((int(component[r]), int(component[k])), (r, k))
+        node = rows["node"]
+        return pd.DataFrame({"a": [node[r] for r, _ in found.values()], "b": [node[k] for _, k in found.values()]}, columns=["a", "b"])
+    return settle
+
+
 class NearDuplicates:
     """The tables of one run: ``rows`` (document to text), ``texts`` (distinct texts), ``links``, ``groups``."""
 
@@ -184,6 +223,7 @@ class NearDuplicates:
             F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")),
             "dart-texts")
         self.buckets = self._shared_buckets()
+        self.sets = self._sets()
         self.groups = self._group()
 
     def _shared_buckets(self) -> DataFrame:
@@ -197,55 +237,51 @@ class NearDuplicates:
         return pairs.where(F.least("n_a", "n_b") >= self.params.similarity * F.greatest("n_a", "n_b")).select(
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    def _sets_of(self, pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def _sets(self) -> DataFrame:
+        """The shingle sets of all texts in shared buckets; each is fetched from the row of its first document."""
+        nodes = self.buckets.select("node").distinct()
         first = self.texts.select("node", F.col("first_doc").alias("doc_id")).join(nodes, "node", "left_semi")
-        # one row per text is fetched: that of its first document
         fetched = self.docs.alias("d").join(
             first.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.node") == F.col("f.node")), "left_semi")
         packed = fetched.select("node", "text").mapInArrow(_pack_sets(self.params), "node binary, shingles binary, times binary")
-        return packed.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("times").alias("times"))
+        return stored(packed.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("times").alias("times")), "dart-sets")
 
-    def _links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        sets = sets.select("node", F.struct("shingles", "times").alias("set"))
+    def _links(self, pairs: DataFrame) -> DataFrame:
+        sets = self.sets.select("node", F.struct("shingles", "times").alias("set"))
         with_left = pairs.join(sets.withColumnsRenamed({"node": "a", "set": "left"}), "a")
         with_both = with_left.join(sets.withColumnsRenamed({"node": "b", "set": "right"}), "b")
         return with_both.select("a", "b", "left", "right").mapInArrow(_verify(self.params), "a binary, b binary")
 
+    def _still_open(self, rows: DataFrame, groups: DataFrame) -> DataFrame:
+        """Rows with their components as of now, in the buckets that hold several."""
+        labelled = rows.select("key", "node", "n_shingles").join(groups, "node", "left").select(
+            "key", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+        mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        return stored(labelled.join(mixed.select("key"), "key", "left_semi"), "dart-open")
+
     def _group(self) -> DataFrame:
         """``node, component`` of the texts that have a link."""
-        spark = self.docs.sparkSession
-        groups = spark.createDataFrame([], "node binary, component binary")
-        open_rows = self.buckets.withColumn("component", F.col("node"))
-        sets = None
-        for round_ in range(self.params.pivot_rounds + 1):
-            if round_ < self.params.pivot_rounds:
-                order = F.xxhash64("node", F.lit(round_)) if round_ else F.lit(0)
-                pivots = open_rows.groupBy("key").agg(F.min(F.struct(order.alias("o"), "node", "component", "n_shingles")).alias("p"))
-                pairs = open_rows.join(pivots, "key").where(F.col("component") != F.col("p.component")).select(
-                    F.col("node").alias("a"), F.col("p.node").alias("b"), F.col("n_shingles").alias("n_a"), F.col("p.n_shingles").alias("n_b"))
-            else:
-                x, y = open_rows.alias("x"), open_rows.alias("y")
-                pairs = x.join(y, F.col("x.key") == F.col("y.key")).where(
-                    (F.col("x.component") != F.col("y.component")) & (F.col("x.node") > F.col("y.node"))
-                    & (F.col("x.n_shingles") >= self.params.similarity * F.col("y.n_shingles"))
-                    & (F.col("y.n_shingles") >= self.params.similarity * F.col("x.n_shingles"))
-                ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
-                         F.col("x.n_shingles").alias("n_a"), F.col("y.n_shingles").alias("n_b"))
-            pairs = stored(self._sized(pairs), "dart-pairs")
-            if pairs.isEmpty():
-                if round_ < self.params.pivot_rounds:
-                    continue
-                break
-            # a later round's texts are among the first round's almost always; those that are not are fetched
-            sets = stored(self._sets_of(pairs), "dart-sets")
-            links = stored(self._links(pairs, sets), "dart-links")
-            groups = self._merge(groups, links)
-            labelled = self.buckets.join(groups, "node", "left").select(
-                "key", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
-            mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-            open_rows = stored(labelled.join(mixed, "key", "left_semi"), "dart-open")
-        return groups
+        groups = self.docs.sparkSession.createDataFrame([], "node binary, component binary")
+        rows = self.buckets.withColumn("component", F.col("node"))
+        for round_ in range(self.params.pivot_rounds):
+            order = F.xxhash64("node", F.lit(round_)) if round_ else F.lit(0).cast("long")
+            pivots = stored(rows.groupBy("key").agg(
+                F.min(F.struct(order.alias("o"), "node", "component", "n_shingles")).alias("p")), "dart-pivots")
+            met = rows.join(pivots, "key")
+            pairs = stored(self._sized(met.where(F.col("component") != F.col("p.component")).select(
+                F.col("node").alias("a"), F.col("p.node").alias("b"), F.col("n_shingles").alias("n_a"),
+                F.col("p.n_shingles").alias("n_b"))), "dart-pairs")
+            if not pairs.isEmpty():
+                groups = self._merge(groups, stored(self._links(pairs), "dart-links"))
+            rows = self._still_open(met.where(F.col("node") != F.col("p.node")), groups)
+        if rows.isEmpty():
+            return groups
+        blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / self.params.block_texts).cast("int").alias("n"))
+        dealt = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int")).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+            "key", "node", "component", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+        links = dealt.join(self.sets, "node").groupBy("key", "lo", "hi").applyInPandas(_settle(self.params), "a binary, b binary")
+        return self._merge(groups, stored(links, "dart-links"))
 
     @staticmethod
     def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
