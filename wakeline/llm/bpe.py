@@ -14,7 +14,7 @@ result is fixed by its neighbouring pairs. A window that has grown over a whole
 settles that side in any case.
 
 Leaves take each distinct white-space separated word through the library once and keep
-its ids in a bounded memo: no step of the tokenizer looks across ASCII white space.
+its ids in a memo of two bounded generations: no step of the tokenizer looks across ASCII white space.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,10 +33,19 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 SPACES = " \t\n\x0b\x0c\r"
+MARK = "\x01"
 LEAF_CHARS = 32_768
 FIRST_WINDOW = 32
 AGREEING = 4
-MEMO_WORDS = 300_000
+MEMO_WORDS = 250_000
+
+
+def _pack(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype="<u4").tobytes()
+
+
+def unpack(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, "<u4").astype(np.int64)
 
 
 class Encoder:
@@ -50,20 +58,53 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, list[int]] = {}
-
-    def leaf(self, text: str) -> list[int]:
-        """Ids of a text, word by word."""
-        words = WORD.findall(text)
-        memo = self.memo
-        new = [w for w in dict.fromkeys(words) if w not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                memo[w] = e.ids
-        return list(chain.from_iterable(map(memo.__getitem__, words)))
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
+        self.mark_id, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        # without a decoder the library joins the tokens with spaces, so texts decode word by word
+        self.by_word = self.tokenizer.decoder is None
+
+    def _known(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Ids and decoded text of each word."""
+        found = list(map(self.words.get, words))
+        if None in found:
+            missing = {w for w, x in zip(words, found) if x is None}
+            if len(self.words) + len(missing) > MEMO_WORDS:
+                self.older, self.words = self.words, {}
+            again = {w: self.older[w] for w in missing if w in self.older}
+            self.words.update(again)
+            self._learn(missing.difference(again))
+            found = [self.words[w] if x is None else x for w, x in zip(words, found)]
+        return found
+
+    def _learn(self, words: set[str]) -> None:
+        """Encode new words in one call, set apart by a mark that is a token of its own."""
+        def keep(word: str, ids: list[int]) -> None:
+            self.words[word] = _pack(ids), self.decode(ids)
+
+        for w in [w for w in words if MARK in w]:
+            keep(w, self.tokenizer.encode(w, add_special_tokens=False).ids)
+        rest = [w for w in words if MARK not in w]
+        ids = self.tokenizer.encode_batch_fast([f" {MARK} ".join(rest)], add_special_tokens=False)[0].ids
+        lo = 0
+        for w in rest[:-1]:
+            hi = ids.index(self.mark_id, lo)
+            keep(w, ids[lo:hi])
+            lo = hi + 1
+        for w in rest[-1:]:
+            keep(w, ids[lo:])
+
+    def leaf(self, text: str) -> bytes:
+        """Packed ids of a text, word by word."""
+        return b"".join([x[0] for x in self._known(WORD.findall(text))])
+
+    def leaf_and_text(self, text: str) -> tuple[bytes, str]:
+        """Packed ids of a text and what they decode to."""
+        known = self._known(WORD.findall(text))
+        ids = b"".join([x[0] for x in known])
+        if self.by_word:
+            return ids, " ".join([x[1] for x in known if x[0]])
+        return ids, self.decode(unpack(ids).tolist())
 
     def spans(self, text: str) -> np.ndarray:
         """Rows (id, start, end) of the tokens of ``text``, in characters."""
@@ -89,52 +130,62 @@ def _common(side: np.ndarray, window: np.ndarray, text: str, offset: int, after:
     ``after``: the side lies left of the seam and the token must settle what
     follows it; else the side lies right and the token settles what precedes it.
     """
-    at = {(i, s, e): k for k, (i, s, e) in enumerate(side.tolist())}
-    rows = [(j, at.get(t)) for j, t in enumerate(map(tuple, window.tolist()))]
+    at = {token: k for k, token in enumerate(map(tuple, side.tolist()))}
+    rows = [(j, at.get(token)) for j, token in enumerate(map(tuple, window.tolist()))]
+
+    def whole(tokens: np.ndarray, k: int) -> bool:
+        """No part of the token's characters lies in the neighbour that it must settle."""
+        if after:
+            return k + 1 == len(tokens) or tokens[k + 1, 1] >= tokens[k, 2]
+        return k == 0 or tokens[k - 1, 2] <= tokens[k, 1]
+
     run = 0
-    # from the seam's far side inwards: the first settled token wins
+    # from the window's edge towards the seam: the first settled token wins
     for j, k in rows if after else reversed(rows):
         run = run + 1 if k is not None else 0
-        if k is None:
+        if k is None or not whole(side, k) or not whole(window, j):
             continue
-        edge = window[j, 2] if after else window[j, 1] - 1
-        if run >= AGREEING or (0 <= edge - offset < len(text) and text[edge - offset] in SPACES):
+        edge = (window[j, 2] if after else window[j, 1] - 1) - offset
+        if run >= AGREEING or (0 <= edge < len(text) and text[edge] in SPACES):
             return k, j
     return None
 
 
+def _edge(text: str, want: int, end: bool) -> int:
+    """How many characters from the text's end (or start) make its edge: at least ``want``, cut at white space."""
+    at = want
+    while at < len(text) and text[len(text) - at - 1 if end else at] not in SPACES:
+        at += 1
+    return min(at, len(text))
+
+
 def join(enc: Encoder, left_text: str, left: np.ndarray, right_text: str, right: np.ndarray) -> np.ndarray:
-    """Tokens of ``left_text + right_text`` from the tokens of its two sides."""
+    """Ids of ``left_text + right_text`` from the ids of its two sides."""
     n, m = len(left_text), len(right_text)
-    right = right + np.array([0, n, n])
     grow = FIRST_WINDOW
     while True:
         a, b = max(0, n - grow), min(m, grow)
         text = left_text[a:] + right_text[:b]
         window = enc.spans(text) + np.array([0, a, a])
-        first, last = (-1, 0), (len(right), len(window))
-        # a token of the side counts only where the window can hold it
-        near_left = int(np.searchsorted(left[:, 1], a))
-        near_right = int(np.searchsorted(right[:, 2], n + b, side="right"))
-        if a > 0:
-            found = _common(left[near_left:], window, text, a, True)
-            first = None if found is None else (found[0] + near_left, found[1])
-        if b < m:
-            last = _common(right[:near_right], window, text, a, False)
-        if first is not None and last is not None:
-            kept = left[: first[0]] if a > 0 else left[:0]
-            if first[1] <= last[1]:
-                return np.concatenate([kept, window[first[1] if a > 0 else 0: last[1]], right[last[0]:]])
+        # the sides' own tokens near the seam, from an edge that white space sets apart
+        z, y = n - _edge(left_text, n - a, True), _edge(right_text, b, False)
+        tail = enc.spans(left_text[z:]) + np.array([0, z, z])
+        head = enc.spans(right_text[:y]) + np.array([0, n, n])
+        first = _common(tail, window, text, a, True) if a else (-len(left) + len(tail), 0)
+        last = _common(head, window, text, a, False) if b < m else (len(right) - 1, len(window) - 1)
+        if first is not None and last is not None and first[1] <= last[1] + 1:
+            kept = left[: len(left) - len(tail) + first[0]] if a else left[:0]
+            return np.concatenate([kept, window[first[1]: last[1] + 1, 0], right[last[0] + 1:]])
         grow *= 2
 
 
-def tree_join(enc: Encoder, texts: list[str], tokens: list[np.ndarray]) -> np.ndarray:
+def tree_join(enc: Encoder, texts: list[str], ids: list[np.ndarray]) -> np.ndarray:
     """Join neighbouring pieces pairwise, level by level."""
     while len(texts) > 1:
-        tokens = [join(enc, texts[i], tokens[i], texts[i + 1], tokens[i + 1]) if i + 1 < len(texts) else tokens[i]
-                  for i in range(0, len(texts), 2)]
+        ids = [join(enc, texts[i], ids[i], texts[i + 1], ids[i + 1]) if i + 1 < len(texts) else ids[i]
+               for i in range(0, len(texts), 2)]
         texts = ["".join(texts[i:i + 2]) for i in range(0, len(texts), 2)]
-    return tokens[0]
+    return ids[0]
 
 
 def halves(text: str, leaf_chars: int) -> list[str]:
@@ -147,11 +198,7 @@ def halves(text: str, leaf_chars: int) -> list[str]:
 def encode_tree(enc: Encoder, text: str, leaf_chars: int = LEAF_CHARS) -> list[int]:
     """Ids of one text by tree concatenation, all in this process."""
     parts = halves(text, leaf_chars)
-    return tree_join(enc, parts, [enc.spans(p) for p in parts])[:, 0].tolist()
-
-
-def _pack(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return tree_join(enc, parts, [unpack(enc.leaf(p)) for p in parts]).tolist()
 
 
 def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
@@ -167,22 +214,21 @@ def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            ids = [enc.leaf(t) for t in batch.column("text").to_pylist()]
+            done = [enc.leaf_and_text(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(_pack, ids), pa.binary()), pa.array(map(enc.decode, ids), pa.string())],
+                [batch.column("doc_id"), pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.string())],
                 ["doc_id", "ids", "decoded"])
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            tokens = [enc.spans(t).astype("<i8").tobytes() for t in batch.column("piece").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.binary())], [*batch.schema.names, "tokens"])
+            ids = [enc.leaf(t) for t in batch.column("piece").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
 
     def merge(pieces: pd.DataFrame) -> pd.DataFrame:
         enc = encoder(vocabulary)
         pieces = pieces.sort_values("part")
-        tokens = [np.frombuffer(t, "<i8").reshape(-1, 3) for t in pieces["tokens"]]
-        ids = tree_join(enc, pieces["piece"].tolist(), tokens)[:, 0].tolist()
+        ids = tree_join(enc, pieces["piece"].tolist(), [unpack(t) for t in pieces["ids"]]).tolist()
         return pd.DataFrame({"doc_id": pieces["doc_id"].iloc[:1], "ids": [_pack(ids)], "decoded": [enc.decode(ids)]})
 
     schema = "doc_id long, ids binary, decoded string"
@@ -200,7 +246,7 @@ def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -
         .select("row", "doc_id", "part", F.substring("text", cut(F.col("part")) + 1, cut(F.col("part") + 1) - cut(F.col("part"))).alias("piece"))
     )
     encoded = pieces.repartition("row", "part").mapInArrow(
-        encode_pieces, "row struct<n:long,doc_id:long>, doc_id long, part int, piece string, tokens binary")
+        encode_pieces, "row struct<n:long,doc_id:long>, doc_id long, part int, piece string, ids binary")
     return short.unionByName(encoded.groupBy("row").applyInPandas(merge, schema))
 
 
