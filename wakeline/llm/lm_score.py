@@ -87,7 +87,7 @@ def hot_words(rows: DataFrame, n_buckets: int) -> np.ndarray:
             big = n * (16 * n_buckets) >= n.sum()
             total = np.append(n[big], n.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.append(word[big], 0).astype(np.int64)), pa.array(total), pa.array(np.arange(len(total)) == len(total) - 1)],
+                [pa.array(np.append(word[big], U64(0)).astype(np.int64)), pa.array(total), pa.array(np.arange(len(total)) == len(total) - 1)],
                 ["word", "n", "is_total"])
 
         for batch in slices(batches, "text"):
