@@ -136,6 +136,22 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[Seeds]:
         yield build_seeds(ids, texts)
 
 
+def _overlaps(column: pa.Array, seeds: Seeds) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(row, item) to the first word, end word and equal words of the item's best place in the text."""
+    words = words_of(column, NOT_TOKEN)
+    cut = np.searchsorted(words.row, np.arange(len(column) + 1))
+    best: dict[tuple[int, int], tuple] = {}
+    for start, item, row in diagonals(words.hash, words.row, seeds).tolist():
+        first = int(cut[row])
+        got = compare(words.hash, first, int(cut[row + 1]), start, seeds.tokens[item])
+        if got:
+            a, b, n = got
+            score = (n, a - b, -a)
+            if (row, item) not in best or best[row, item][0] < score:
+                best[row, item] = score, (a - first, b - first, n)
+    return {k: place for k, (_, place) in sorted(best.items())}
+
+
 LEAKS = "doc_id long, item_id long, first_word int, end_word int, n_equal int, item_words int"
 
 
@@ -157,19 +173,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def finder(seeds: Seeds):
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text"):
-                words = words_of(batch.column("text"), NOT_TOKEN)
-                cut = np.searchsorted(words.row, np.arange(batch.num_rows + 1))
-                best: dict[tuple[int, int], tuple] = {}
-                for start, item, row in diagonals(words.hash, words.row, seeds).tolist():
-                    got = compare(words.hash, int(cut[row]), int(cut[row + 1]), start, seeds.tokens[item])
-                    if got:
-                        a, b, n = got
-                        score = (n, -(b - a), -a)
-                        if (row, item) not in best or best[row, item][0] < score:
-                            best[row, item] = (score, a - int(cut[row]), b - int(cut[row]), n)
                 ids = batch.column("doc_id").to_pylist()
-                out = [(ids[row], seeds.item_ids[item], a, b, n, len(seeds.tokens[item]))
-                       for (row, item), (_, a, b, n) in sorted(best.items())]
+                out = [(ids[row], seeds.item_ids[item], *place, len(seeds.tokens[item]))
+                       for (row, item), place in _overlaps(batch.column("text"), seeds).items()]
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(("doc_id", "item_id", "first_word", "end_word", "n_equal", "item_words"), r)) for r in out],
                     schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), *((c, pa.int32()) for c in (
@@ -182,5 +188,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows that any item leaks into; all columns stay as they are."""
+    def keep(seeds: Seeds):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                leaky = {row for row, _ in _overlaps(batch.column("text"), seeds)}
+                yield batch.filter(pa.array([row not in leaky for row in range(batch.num_rows)], pa.bool_()))
+        return run
+
+    schema = docs.schema
+    for seeds in _item_blocks(benchmark):
+        docs = docs.mapInArrow(keep(seeds), schema)
+    return docs
+
+
 def op2_spaced_seed_leaks(spark, sf_dir):
     return find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -318,5 +318,16 @@ def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParam
     return NearDuplicates(docs, params).classes().drop("node")
 
 
+def one_per_class(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
+    """``docs`` with one row of each class: that of its ``class_id``; of repeated rows one stays."""
+    key = lambda c: F.coalesce(c.cast("long"), F.lit(-(1 << 63)))  # noqa: E731  null doc_ids are one key
+    named = NearDuplicates(docs, params).classes()
+    first = named.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key(F.col("class_id")).alias("_near_dup_id"), "node")
+    heads = first.groupBy("_near_dup_id").agg(F.min("node").alias("_near_dup_node"))  # a doc_id may stand for several texts
+    text = F.coalesce(docs["text"], F.lit(""))
+    keyed = docs.withColumns({"_near_dup_id": key(docs["doc_id"]), "_near_dup_node": F.unhex(F.md5(text.cast("binary")))})
+    return keyed.join(heads, ["_near_dup_id", "_near_dup_node"], "left_semi").dropDuplicates(["_near_dup_id", "_near_dup_node"]).select(*docs.columns)
+
+
 def op9_dart_minhash(spark, sf_dir):
     return near_duplicate_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))

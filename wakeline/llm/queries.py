@@ -11,9 +11,19 @@ from wakeline.llm.quality_model import op4_ordinal_quality
 from wakeline.llm.quality_rules import OP8_SQL, op8_quality_rules
 from wakeline.llm.sharding import OP3_SQL, op3_byte_shards
 from wakeline.llm.suffix_dedup import op1_suffix_dedup
+from wakeline.llm.tables import ship_package
 from wakeline.llm.url_filter import OP6_SQL, op6_url_filter
 
-QUERIES = {
+
+
+def _shipped(query):
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_spaced_seed_leaks": op2_spaced_seed_leaks,
     "op3_byte_shards": op3_byte_shards,
@@ -24,7 +34,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_dart_minhash": op9_dart_minhash,
     "op10_bpe_tree": op10_bpe_tree,
-}
+}.items()}
 
 ORACLE_SQL = {
     "op3_byte_shards": OP3_SQL,

@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from wakeline.llm.suffix_array import permuted_common_prefixes, suffix_array
 from wakeline.llm.tables import shuffle_width, stored
@@ -358,8 +359,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*rest, "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text"])
 
 
-def remove_repeats(docs: DataFrame, params: MatchParams = MatchParams()) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_bytes, kept_text`` of every document.
+def remove_repeats(docs: DataFrame, params: MatchParams = MatchParams(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_bytes, kept_text`` of every document, and its columns ``keep``.
 
     A byte is removed when a ``match``-byte string that covers it also starts earlier, in a
     document with a smaller doc_id or earlier in its own; strings are judged on the
@@ -374,6 +375,7 @@ def remove_repeats(docs: DataFrame, params: MatchParams = MatchParams()) -> Data
     text = F.coalesce(docs["text"], F.lit(""))
     order_id = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
     rows = docs.select(order_id.alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    carried = [docs[c].alias(f"_carried_{c}") for c in keep]
     n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     long_rows = rows.where(F.octet_length("text") >= params.match)
     dealt = long_rows.mapInArrow(_deal_segments(params, shuffle_width(spark, n_bytes, BUCKET_BYTES)), DEALT)
@@ -388,11 +390,13 @@ def remove_repeats(docs: DataFrame, params: MatchParams = MatchParams()) -> Data
 
     spans = matches.where("kind = 0").unionByName(sorted_spans).groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("starts", "ends")).alias("spans"))
-    joined = rows.join(spans, ["doc_id", "text_key"], "left")
-    out = joined.mapInArrow(_cut, (
-        "doc_id long, text_key long, text string, n_bytes long, n_removed long, n_spans long, kept_bytes binary, kept_text string"))
-    return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"),
-                      "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text")
+    whole = docs.select(order_id.alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"), *carried)
+    joined = whole.join(spans, ["doc_id", "text_key"], "left")
+    schema = StructType([*whole.schema, *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
+                         StructField("kept_bytes", BinaryType()), StructField("kept_text", StringType())])
+    return joined.mapInArrow(_cut, schema).select(
+        F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+        "kept_bytes", "kept_text", *(F.col(f"_carried_{c}").alias(c) for c in keep))
 
 
 def op1_suffix_dedup(spark, sf_dir):

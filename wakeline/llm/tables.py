@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+import wakeline
 from wakeline.session import scratch_path
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver runs from another folder.
+
+    On a cluster the package is installed or sent along (``--py-files``); the path added
+    here is then one more that holds nothing.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(wakeline.__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
