@@ -5,7 +5,8 @@ k-grams (winnowing): two sequences that share ``GRAM + WINNOW - 1`` tokens in a
 a fingerprint. Templates' fingerprints form an inverted index; a document's own
 fingerprints look up (template, diagonal) candidates. Each candidate is settled by an
 edit-distance alignment of the template with the document's tokens inside a band
-around the diagonal; its matched share and span are reported.
+around the diagonal, as wide as the edits that the coverage allows; its matched share and
+span are reported.
 
 Digits are folded, so a notice is found for any version or year.
 """
@@ -23,7 +24,6 @@ from wakeline.llm.tokens import U64, shingle_hashes, slices, span_hashes, text_b
 
 GRAM = 3
 WINNOW = 2
-BAND = 12
 MIN_COVERAGE = 0.8
 
 # Wording of public license notices.
@@ -99,7 +99,11 @@ def winnow(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return h[at], whole[at]
 
 
-def align(template: np.ndarray, text: np.ndarray, centre: int, band: int = BAND) -> tuple[int, int, int, int]:
+def allowed_edits(length: int) -> int:
+    return int(length * (1 - MIN_COVERAGE) + 1e-9)
+
+
+def align(template: np.ndarray, text: np.ndarray, centre: int, band: int) -> tuple[int, int, int, int]:
     """Best alignment of the whole template inside ``text``, within ``band`` of the diagonal ``centre``.
 
     ``centre`` is where the template's first token would stand. Cost 1 for each
@@ -161,7 +165,7 @@ class TemplateIndex:
         named = sorted(set(zip(row[where].tolist(), self.template[hit].tolist(), (where - self.position[hit]).tolist())))
         out: list[tuple[int, int, int]] = []
         for r, t, start in named:
-            if not out or out[-1][:2] != (r, t) or start - out[-1][2] > BAND // 2:
+            if not out or out[-1][:2] != (r, t) or start - out[-1][2] > allowed_edits(len(self.tokens[t])):
                 out.append((r, t, start))
         return out
 
@@ -174,9 +178,9 @@ class TemplateIndex:
             if start >= a and start + m <= b and np.array_equal(tokens[start:start + m], template):
                 errors, equal, first, end = 0, m, start - a, start - a + m
             else:
-                errors, equal, first, end = align(template, tokens[a:b], start - a)
+                errors, equal, first, end = align(template, tokens[a:b], start - a, 2 * allowed_edits(m) + 1)
             coverage = equal / m
-            if coverage >= MIN_COVERAGE and errors <= m * (1 - MIN_COVERAGE) and (r, t, first) not in seen:
+            if coverage >= MIN_COVERAGE and errors <= allowed_edits(m) and (r, t, first) not in seen:
                 seen.add((r, t, first))
                 yield r, t, coverage, errors, first, end
 
