@@ -37,9 +37,9 @@ from wakeline.llm.tokens import U64, mix, slices, words_of
 CONTEXTS = 1 << 14
 START = 0
 END_WORD = U64(0xE0D)
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 1_000_000
 FLUSH_DOCS = 60_000
-BUCKET_TEXT = 14 << 20        # bytes of text per bucket
+BUCKET_TEXT = 8 << 20        # bytes of text per bucket
 SCORE_TEXT = 100 << 20        # bytes of text per scoring task
 ONE_BY_ONE = 256
 
