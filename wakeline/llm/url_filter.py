@@ -109,10 +109,10 @@ def mine_rules(pages: DataFrame, labels: DataFrame, mining: Mining = Mining()) -
     ).otherwise(url_tokens(F.col("url"), F.col("_h"), F.col("_p"))).alias("items")), "url-transactions")
     n = transactions.count()
     schema = "tokens array<string>, index_token string, confidence double, support double"
-    if n == 0:
-        return spark.createDataFrame([], schema)
     pages_needed = max(mining.min_pages, ceil(mining.min_support * n))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (pages_needed - 0.5) / n),
+    if pages_needed > n:
+        return spark.createDataFrame([], schema)
+    model = FPGrowth(itemsCol="items", minSupport=(pages_needed - 0.5) / n,
                      minConfidence=mining.min_confidence).fit(transactions)
     rules = model.associationRules.where(
         (F.col("consequent")[0] == BLOCK) & (F.size("antecedent") <= mining.max_tokens)
