@@ -239,11 +239,13 @@ def seat(customers: np.ndarray, strength: np.ndarray | float, discount: float, p
     for the ``t`` tables there are. After ``ONE_BY_ONE`` customers, whose weights change little
     from one to the next, they are seated in blocks of a sixteenth of those seated.
     """
-    order = np.argsort(-customers, kind="stable")
-    n = customers[order]
-    s = np.broadcast_to(strength, customers.shape)[order]
-    p = np.broadcast_to(parent, customers.shape)[order]
-    t = np.minimum(n, 1).astype(np.float64)
+    out = np.minimum(customers, 1).astype(np.float64)
+    several = np.flatnonzero(customers > 1)  # one customer takes one table
+    several = several[np.argsort(-customers[several], kind="stable")]
+    n = customers[several]
+    s = np.broadcast_to(strength, customers.shape)[several]
+    p = np.broadcast_to(parent, customers.shape)[several]
+    t = np.ones(len(n))
     largest = int(n[0]) if len(n) else 0
     done = 1
     while done < largest:
@@ -256,8 +258,7 @@ def seat(customers: np.ndarray, strength: np.ndarray | float, discount: float, p
         else:
             t[:k] += rng.binomial(np.minimum(block, n[:k] - done), q)
         done += block
-    out = np.empty(len(n))
-    out[order] = t
+    out[several] = t
     return out
 
 
@@ -270,7 +271,12 @@ class Bucket:
         self.word_count, self.word_hot, self.context, self.count = x["word_count"], x["word_hot"], x["cell_context"], x["cell_count"]
         self.word = _runs(x["word_cells"])
         self.hot = self.word_hot >= 0
-        self.tables = np.minimum(self.count, 1).astype(np.float64)
+        # a cell of one customer has one table whatever happens: only the others are seated anew
+        self.several = np.flatnonzero(self.count > 1)
+        self.tables = np.ones(len(self.several))
+        single = self.count == 1
+        self.single_by_word = np.bincount(self.word[single], minlength=len(self.word_count))
+        self.single_by_context = np.bincount(self.context[single], minlength=CONTEXTS)
         self.sweep = 0
 
     def _rng(self, *key: int) -> np.random.Generator:
@@ -278,7 +284,10 @@ class Bucket:
 
     def customers(self) -> np.ndarray:
         """Customers of the parent by word; for hot words this bucket's part."""
-        return np.bincount(self.word, weights=self.tables, minlength=len(self.word_count))
+        return self.single_by_word + np.bincount(self.word[self.several], weights=self.tables, minlength=len(self.word_count))
+
+    def tables_by_context(self) -> np.ndarray:
+        return self.single_by_context + np.bincount(self.context[self.several], weights=self.tables, minlength=CONTEXTS)
 
     def root(self) -> tuple[np.ndarray, np.ndarray]:
         """Customers and tables of the parent by word, for the current sweep's seating."""
@@ -303,8 +312,9 @@ class Bucket:
         """One Gibbs sweep over the cells of this bucket."""
         t, s = self.totals, self.sweep
         parent = self.parent(t.root_tables[s - 1] if s else float(t.vocabulary))
-        others = t.tables[s][self.context] - self.tables
-        self.tables = seat(self.count, self.params.strength + t.discount * others, t.discount, parent[self.word], self._rng(s, 2, self.number))
+        others = t.tables[s][self.context[self.several]] - self.tables
+        self.tables = seat(self.count[self.several], self.params.strength + t.discount * others, t.discount,
+                           parent[self.word[self.several]], self._rng(s, 2, self.number))
         self.sweep += 1
 
     def probabilities(self) -> np.ndarray:
@@ -314,7 +324,9 @@ class Bucket:
         parent = self.parent(t.root_tables[s])
         seen = strength + t.context_count[self.context]
         new = strength + t.discount * t.tables[s][self.context]
-        return ((self.count - t.discount * self.tables) + new * parent[self.word]) / seen
+        tables = np.minimum(self.count, 1).astype(np.float64)
+        tables[self.several] = self.tables
+        return (self.count - t.discount * tables + new * parent[self.word]) / seen
 
 
 def hot_root_tables(t: Totals, sweep: int, params: LmParams) -> np.ndarray:
@@ -361,7 +373,7 @@ def _sweep_totals(n_hot: int, totals: Totals | None, sweep: int, params: LmParam
                         parts.append((SCALAR, np.array([b.root()[1][~b.hot].sum()])))
                         if sweep <= params.sweeps:
                             b.reseat()
-                parts.append((TABLES, np.bincount(b.context, weights=b.tables, minlength=CONTEXTS)))
+                parts.append((TABLES, b.tables_by_context()))
                 parts.append((HOT_CUSTOMERS, np.bincount(b.word_hot[b.hot], weights=b.customers()[b.hot], minlength=n_hot)))
                 yield _total_batch(parts)
     return run
