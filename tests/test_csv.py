@@ -1,22 +1,28 @@
-"""CSV scan bound by header name, input positions and the row cap."""
+"""CSV scan: columns bound by each file's own header, odd records, ids that survive other splits."""
 
+import gzip
 
+import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from wakeline.config import AIS_HEADERS, FIELDS
+from wakeline.plans.jobs import observed
 from wakeline.session import scratch_path
-from wakeline.sources.csv import read_ais_csv, read_csv_strings, with_input_position, write_ais_csv
+from wakeline.sources.csv import header_lines, read_ais_csv, read_csv_strings, write_ais_csv
 from wakeline.sources.fixture import ais_strings
+from wakeline.sources.tables import write_stage
 
 
-def test_round_trip_keeps_text_and_positions(spark):
+def test_round_trip_keeps_text(spark):
     src = ais_strings(spark, SF001)
     path = scratch_path(spark, "csv-rt")
     write_ais_csv(src, path)
     back = read_ais_csv(spark, path)
-    a = sorted(tuple(r) for r in src.select("row_id", *FIELDS).collect())
-    b = sorted(tuple(r) for r in back.select("row_id", *FIELDS).collect())
-    assert a == b  # includes ' 219000079 ' style padding and '' cells
+    a = sorted(tuple(r) for r in src.select(*FIELDS).collect())
+    assert a == sorted(tuple(r) for r in back.select(*FIELDS).collect())  # ' 219000079 ' style padding and '' cells too
+    assert back.select("row_id").distinct().count() == len(a)
+    assert not back.where("malformed").count()
 
 
 def test_binding_by_header_name_not_position(spark, tmp_path):
@@ -27,41 +33,46 @@ def test_binding_by_header_name_not_position(spark, tmp_path):
     p.write_text(",".join(cols) + "\n" + "219000001,zzz,18/04/2026 00:00:05,55.5,12.0\n"
                  + "219000002,yyy,\"18/04/2026 00:00:06\",\"55.6\",12.1\n")
     rows = read_ais_csv(spark, str(p)).orderBy("row_id").collect()
-    assert [r.row_id for r in rows] == [0, 1]
     assert rows[0].mmsi == "219000001" and rows[0].ts == "18/04/2026 00:00:05" and rows[0].lat == "55.5"
     assert rows[1].lat == "55.6" and rows[0].callsign == "" and rows[0].heading == ""
 
 
-def test_positions_follow_file_order_across_splits(spark, tmp_path):
-    d = tmp_path / "many"
-    d.mkdir()
-    n = 0
-    for f in range(3):
-        lines = ["# Timestamp,MMSI"] + [f"18/04/2026 00:00:{i % 60:02d},{219000000 + n + i}" for i in range(500)]
-        (d / f"part-{f:02d}.csv").write_text("\n".join(lines) + "\n")
-        n += 500
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # several splits per file
-    try:
-        df = with_input_position(read_csv_strings(spark, str(d)))
-        got = sorted((r.row_id, int(r.mmsi)) for r in df.select("row_id", "mmsi").collect())
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert got == [(i, 219000000 + i) for i in range(1500)]
+def test_each_file_has_its_own_layout(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("MMSI,Latitude,Longitude\n219000001,55.5,12\n")
+    (tmp_path / "b.csv").write_text("Latitude,MMSI,Longitude\n56.5,219000002,13\n")
+    (tmp_path / "c.csv").write_text("\nLatitude,MMSI\n57.5,219000003\n")
+    (tmp_path / "d.csv").write_text("﻿MMSI,Latitude,Longitude\n219000004,58.5,15\n", encoding="utf-8")
+    (tmp_path / "empty.csv").write_text("")
+    rows = read_ais_csv(spark, str(tmp_path))
+    assert sorted((r.mmsi, r.lat, r.lon, r.malformed) for r in rows.collect()) == [
+        ("219000001", "55.5", "12", False), ("219000002", "56.5", "13", False),
+        ("219000003", "57.5", "", False), ("219000004", "58.5", "15", False)]
+    assert rows.select("row_id").distinct().count() == 4
+    assert header_lines(spark, str(tmp_path)).count() == 4
 
 
-def test_row_cap_takes_first_rows_before_filtering(spark, tmp_path):
-    p = tmp_path / "cap.csv"
-    lines = ["MMSI,Latitude"] + [f"{219000000 + i},{'0' if i % 2 else '55.5'}" for i in range(100)]
-    p.write_text("\n".join(lines) + "\n")
-    capped = read_ais_csv(spark, str(p), row_cap=10)
-    assert sorted(int(r.mmsi) - 219000000 for r in capped.collect()) == list(range(10))
+def test_no_file_with_a_header(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert read_ais_csv(spark, str(tmp_path)).count() == 0
 
 
-def test_per_file_headers(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("MMSI,Latitude\n219000001,55.5\n")
-    (tmp_path / "b.csv").write_text("Latitude,MMSI\n56.5,219000002\n")
-    rows = read_ais_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], per_file_headers=True)
-    assert sorted((r.row_id, r.mmsi, r.lat) for r in rows.collect()) == [(0, "219000001", "55.5"), (1, "219000002", "56.5")]
+def test_all_rows_stay_when_splits_differ_between_plan_and_run(spark, tmp_path):
+    """The number of cores, and with it the file splits, may change between building a scan and running it."""
+    for f in range(2):
+        lines = ["# Timestamp,MMSI"] + [f"18/04/2026 00:00:{i % 60:02d},{219000000 + 1000 * f + i}" for i in range(1000)]
+        (tmp_path / f"part-{f}.csv").write_text("\n".join(lines) + "\n")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "8")
+        rows = read_ais_csv(spark, str(tmp_path)).select("row_id", "mmsi")
+        for n in ("8", "4", "3", "2"):
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", n)
+            raw = write_stage(rows, "splits")
+            assert sorted(int(r.mmsi) for r in raw.collect()) == [219000000 + i for i in range(2000)]
+            assert raw.select("row_id").distinct().count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
 
 
 def test_quoting_and_crlf(spark, tmp_path):
@@ -74,11 +85,26 @@ def test_quoting_and_crlf(spark, tmp_path):
         ("219000001", "NORTH, STAR", 'SAY "HI"', "55.5"), ("219000002", "PLAIN", "", "56.0")]
 
 
-def test_gzip_files_keep_positions(spark, tmp_path):
-    import gzip
+@pytest.mark.parametrize("multiline,names,malformed", [(True, ["NORTH\nSTAR", "PLAIN"], 0), (False, None, 2)])
+def test_line_breaks_in_quotes(spark, tmp_path, multiline, names, malformed):
+    (tmp_path / "m.csv").write_text('MMSI,Name,Latitude\n219000001,"NORTH\nSTAR",55.5\n219000002,PLAIN,56.0\n')
+    counted, seen = observed(read_ais_csv(spark, str(tmp_path), multiline=multiline))
+    rows = write_stage(counted, "lines").collect()
+    assert seen.get == {"rows_read": 2 if multiline else 3, "rows_malformed": malformed}
+    if names:
+        assert sorted(r.name for r in rows) == names
+
+
+def test_wrong_cell_counts_are_marked(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("MMSI,Latitude\n219000001,55.5\n219000002\n219000003,56,extra\n")
+    got = {r.mmsi: r.malformed for r in read_csv_strings(spark, str(tmp_path)).collect()}
+    assert got == {"219000001": False, "219000002": True, "219000003": True}
+
 
+def test_gzip_files(spark, tmp_path):
     for f, base in enumerate((0, 3)):
         with gzip.open(tmp_path / f"day{f}.csv.gz", "wt") as fh:
             fh.write("MMSI,Latitude\n" + "".join(f"{219000000 + base + i},55.5\n" for i in range(3)))
-    rows = read_ais_csv(spark, str(tmp_path)).collect()
-    assert sorted((r.row_id, int(r.mmsi)) for r in rows) == [(i, 219000000 + i) for i in range(6)]
+    rows = read_ais_csv(spark, str(tmp_path))
+    assert sorted(int(r.mmsi) for r in rows.collect()) == [219000000 + i for i in range(6)]
+    assert rows.agg(F.count_distinct("row_id")).first()[0] == 6

@@ -28,7 +28,7 @@ def test_stream_matches_batch(spark):
     a = sorted(_norm(r) for r in got.select(*cols).collect())
     b = sorted(_norm(r) for r in positions_raw(strings).select(*cols).collect())
     assert a == b
-    assert got.select("row_id").distinct().count() == got.count()
+    assert got.select("batch_id", "row_id").distinct().count() == got.count()
 
 
 def test_stream_binds_columns_by_header_name(spark, tmp_path):

@@ -79,12 +79,6 @@ class AisConfig:
     # gap histogram: equal-width bins on [0, range_ms], last bin closed
     hist_bins: int = 50
     hist_range_ms: int = 1_000_000
-    # first-N input rows to load; None loads everything (the original default is 1,000,000)
-    row_cap: int | None = None
-    # a sequence partition (vessel x time bucket) spans this many seconds
-    lag_bucket_seconds: int = 3600
-    # largest key table that is broadcast (rows); above it a shuffled join is used
-    max_broadcast_rows: int = 2_000_000
     placeholder_mmsi: tuple = field(default=PLACEHOLDER_MMSI)
 
 

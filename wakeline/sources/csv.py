@@ -1,103 +1,82 @@
-"""CSV position logs: scan bound by header name (S1), input positions (S8), row cap (S2)."""
+"""CSV position logs: every file bound by its own header line (S1), unique row ids (S8)."""
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wakeline.config import AIS_HEADERS
-from wakeline.operators.joins import materialize_keys
 
 # RFC 4180 quoting (doubled quotes), as written by common CSV tools.
 CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
+MALFORMED = "malformed"
+_BROKEN = "_broken_record"
 
 
-def read_csv_strings(spark: SparkSession, paths: str | list[str], header_map=AIS_HEADERS) -> DataFrame:
-    """Rows of field-named strings; columns are bound by header name, not position.
+def header_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``header, file``: the first line of each file that is not blank.
 
-    A header missing from the file reads as '' for every row, and so does an
-    empty or missing cell.  All files of one call must share one header; mix
-    header layouts by unioning separate calls.
+    One distributed job over all files, whatever their number; it reads lines without
+    parsing them. Only the block that starts a file takes part.
     """
-    raw = spark.read.options(**CSV_OPTIONS).csv(paths)
-    present = set(raw.columns)
-    cols = [F.coalesce(F.col(f"`{h}`"), F.lit("")).alias(f) if h in present else F.lit("").alias(f)
-            for f, h in header_map]
-    return raw.select(*cols, F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"))
-
-
-def read_csv_strings_per_header(spark: SparkSession, files: list[str], header_map=AIS_HEADERS) -> DataFrame:
-    """Like :func:`read_csv_strings` for files whose header lines may differ.
-
-    Files are grouped by their own header (one small header read per file, so
-    meant for a bounded list such as one streaming micro-batch), each group is
-    read bound by name, and the groups are unioned.
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    return (lines.where((F.col("at") == 0) & (F.trim("value") != ""))
+            .groupBy("file").agg(F.first("value").alias("header")).select("header", "file"))
+
+
+def _read_with_header(spark: SparkSession, paths: str | list[str], header: str, header_map, multiline: bool) -> DataFrame:
+    names = next(csv.reader([header.lstrip("\ufeff")]))
+    place = {name: i for i, name in enumerate(names)}  # of a repeated name the last column counts
+    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))] + [StructField(_BROKEN, StringType())])
+    raw = (spark.read.options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", "false")
+           .option("multiLine", str(multiline).lower()).schema(schema).csv(paths))
+    cols = [F.coalesce(F.col(f"_c{place[h]}"), F.lit("")).alias(f) if h in place else F.lit("").alias(f) for f, h in header_map]
+    # Spark marks broken records only where some field is read too: the length makes sure of that
+    broken = F.col(_BROKEN).isNotNull() & (F.length(F.coalesce(F.col("_c0"), F.lit(""))) >= 0)
+    return raw.select(*cols, broken.alias(MALFORMED))
+
+
+def read_csv_strings(spark: SparkSession, paths: str | list[str], header_map=AIS_HEADERS, multiline: bool = False) -> DataFrame:
+    """Rows of field-named strings plus ``malformed``; each file's columns are bound by its own header.
+
+    A header missing from a file reads as '' for its rows, and so does an empty or
+    missing cell. ``malformed`` marks a record with more or fewer cells than its header.
+    Files are grouped by header line and every group is one scan, so files of one
+    layout are one scan in all.
+
+    ``multiline`` reads quoted cells that hold line breaks; files are then not split, so a
+    file is one task. Without it such a record falls apart into malformed ones.
     """
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        groups.setdefault(tuple(spark.read.options(**CSV_OPTIONS).csv(f).columns), []).append(f)
-    parts = [read_csv_strings(spark, fs, header_map) for fs in groups.values()]
+    heads = header_lines(spark, paths)
+    layouts = sorted(r["header"] for r in heads.select("header").distinct().collect())  # one per layout
+    if not layouts:
+        return spark.createDataFrame([], ", ".join([*(f"{f} string" for f, _ in header_map), f"{MALFORMED} boolean"]))
+    if len(layouts) == 1:
+        return _read_with_header(spark, paths, layouts[0], header_map, multiline)
+    # several layouts: file names of each (names, not rows)
+    parts = [_read_with_header(spark, sorted(r["file"] for r in heads.where(F.col("header") == h).select("file").collect()),
+                               h, header_map, multiline) for h in layouts]
     return reduce(DataFrame.unionByName, parts)
 
 
-def with_input_position(df: DataFrame, out: str = "row_id", max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Add a dense 0-based input position: file path order, then row order in the file.
+def read_ais_csv(spark: SparkSession, paths: str | list[str], multiline: bool = False) -> DataFrame:
+    """Field-named string rows with a unique ``row_id``.
 
-    ``df`` must carry ``_file`` / ``_block`` (see :func:`read_csv_strings`).
-    Each split's rows are consecutive in ``monotonically_increasing_id``; one
-    small row per split (count, first id) gives the offsets by running sums:
-    within a file (a window per file, in parallel), then across files (one row
-    per file).  The split table is bounded by input bytes / split size; it is
-    materialized, counted and broadcast only within ``max_broadcast_rows``.
-    Positions are the same on every recomputation of a file scan.
+    Ids are unique within one run of the scan and rise within each split; they are made
+    to be written with the rows (the raw table), which is read back from then on. Rows
+    of equal time are ordered by them, in no promised order between files.
     """
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    splits = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
-    before = Window.unboundedPreceding
-    in_file = splits.select(
-        "_file", "_block", "_mid0", "_n",
-        F.coalesce(F.sum("_n").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(before, -1)),
-                   F.lit(0)).alias("_off_in_file"))
-    files = splits.groupBy("_file").agg(F.sum("_n").alias("_file_n"))
-    file_off = files.select("_file", F.coalesce(
-        F.sum("_file_n").over(Window.orderBy("_file").rowsBetween(before, -1)), F.lit(0)).alias("_file_off"))
-    offsets = (in_file.join(file_off, "_file")
-               .select("_file", "_block", "_mid0", (F.col("_file_off") + F.col("_off_in_file")).alias("_off")))
-    offsets, n_splits = materialize_keys(offsets, "split-offsets")
-    side = F.broadcast(offsets) if n_splits <= max_broadcast_rows else offsets
-    return (tagged.join(side, ["_file", "_block"], "inner")
-            .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_mid0")).cast("bigint"))
-            .drop("_mid", "_mid0", "_off", "_file", "_block"))
-
-
-def read_ais_csv(spark: SparkSession, paths: str | list[str], row_cap: int | None = None,
-                 per_file_headers: bool = False) -> DataFrame:
-    """Field-named string rows with ``row_id`` = input position, optionally the first ``row_cap``.
-
-    ``per_file_headers`` binds each file by its own header line (``paths`` must
-    then list files); otherwise all files share the first file's header.
-    """
-    files = [paths] if isinstance(paths, str) else list(paths)
-    strings = read_csv_strings_per_header(spark, files) if per_file_headers else read_csv_strings(spark, paths)
-    rows = with_input_position(strings)
-    return apply_row_cap(rows, row_cap)
-
-
-def apply_row_cap(rows: DataFrame, row_cap: int | None) -> DataFrame:
-    """First ``row_cap`` input rows (counted before any filtering); None keeps all."""
-    if row_cap is None:
-        return rows
-    return rows.filter(F.col("row_id") < F.lit(int(row_cap)))
+    return read_csv_strings(spark, paths, multiline=multiline).withColumn("row_id", F.monotonically_increasing_id())
 
 
 def write_ais_csv(rows: DataFrame, path: str, header_map=AIS_HEADERS, n_files: int | None = None) -> None:
     """Write field-named string rows as CSV with the real headers, in ``row_id`` order.
 
-    Range partitioning on row_id makes part files follow input order, so a read
-    of the folder (files in name order) gives back the same positions.
     Cell text is written verbatim (no whitespace trimming).
     """
     ranged = rows.repartitionByRange(n_files, "row_id") if n_files else rows.repartitionByRange("row_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 
 
@@ -10,11 +11,12 @@ def spread(df: DataFrame) -> DataFrame:
 
     A single-row-group Parquet file is one task however CPU-heavy the per-row
     parsing that follows; on real inputs (many splits) this is a no-op, so no
-    shuffle is added at scale.  The check is planning-only (no job runs).
+    shuffle is added at scale. The check is planning-only (no job runs), and rows are
+    the same either way.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API: keep the scan as it is
+    except PySparkException:  # a session without the RDD API keeps the scan as it is
         return df
     return df.repartition(target) if current < target else df

@@ -7,8 +7,8 @@ bound by header name as in the original per-file reader (a streaming CSV
 source needs a fixed schema and would bind by position), then parses and checks them with :func:`positions_raw` and writes
 them to the batch's own ``batch_id=<n>`` folder of the raw table.  A re-run of
 a batch after a failure overwrites that folder, so output is exactly-once.
-Row ids are ``batch_id * 2**40 + input position within the batch``: unique and
-increasing in arrival order.
+Rows are identified by the two columns (batch_id, row_id): ``row_id`` is unique within its
+batch, and batches are numbered in arrival order.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 from wakeline.config import DEFAULT_CONFIG, AisConfig
 from wakeline.operators.positions import positions_raw
 from wakeline.session import checkpoint_dir
-from wakeline.sources.csv import read_csv_strings_per_header, with_input_position
+from wakeline.sources.csv import read_ais_csv
 
-BATCH_ID_SHIFT = 1 << 40
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 # files per micro-batch (each file's header is read once per batch)
 DEFAULT_FILES_PER_TRIGGER = 200
@@ -52,10 +51,8 @@ def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisC
         files = sorted(r._file for r in batch.collect())
         if not files:
             return
-        strings = read_csv_strings_per_header(spark, files)
-        rows = with_input_position(strings, max_broadcast_rows=cfg.max_broadcast_rows)
-        rows = rows.withColumn("row_id", F.col("row_id") + F.lit(batch_id * BATCH_ID_SHIFT))
-        positions_raw(rows, cfg).write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
+        rows = positions_raw(read_ais_csv(spark, files), cfg)
+        rows.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
 
     writer = (new_files(spark, src_dir, max_files_per_trigger, glob)
               .writeStream.foreachBatch(write_batch).option("checkpointLocation", location))
