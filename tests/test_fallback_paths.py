@@ -1,39 +1,27 @@
-"""The shuffled (non-broadcast) branches give the same results as the broadcast ones."""
-
+"""The shuffled (non-broadcast) plans give the same results as the broadcast ones."""
 
 from tests.conftest import SF001
-from wakeline.config import AisConfig
 from wakeline.plans.jobs import build_stages
-from wakeline.session import scratch_path
-from wakeline.sources.csv import read_csv_strings, with_input_position, write_ais_csv
+from wakeline.operators.vessels import positions_clean
 from wakeline.sources.fixture import ais_strings
 
-NO_BROADCAST = AisConfig(max_broadcast_rows=0)
+COLS = ["row_id", "mmsi", "ts", "prev_ts", "delta_t_ms"]
 
 
-def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+def _rows(df):
+    return sorted(tuple(r) for r in df.select(*COLS).collect())
 
 
 def test_clean_and_gaps_without_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     try:
-        shuffled = build_stages(ais_strings(spark, SF001), NO_BROADCAST)
-        plan = shuffled.clean._jdf.queryExecution().executedPlan().toString()
+        for s in settings:
+            spark.conf.set(s, "-1")
+        shuffled = build_stages(ais_strings(spark, SF001))
+        plan = positions_clean(shuffled.raw)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan
-        cols = ["row_id", "mmsi", "ts", "prev_ts", "delta_t_ms"]
-        got = _rows(shuffled.dt, cols)
+        got = _rows(shuffled.dt)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert got == _rows(build_stages(ais_strings(spark, SF001)).dt, cols)
-
-
-def test_positions_without_broadcast(spark):
-    path = scratch_path(spark, "pos-nb")
-    write_ais_csv(ais_strings(spark, SF001), path, n_files=3)
-    a = with_input_position(read_csv_strings(spark, path), max_broadcast_rows=0).select("row_id", "mmsi")
-    b = with_input_position(read_csv_strings(spark, path)).select("row_id", "mmsi")
-    assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
-    assert sorted(r.row_id for r in a.collect()) == list(range(1000))
+        for s in settings:
+            spark.conf.unset(s)
+    assert got == _rows(build_stages(ais_strings(spark, SF001)).dt)

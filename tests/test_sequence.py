@@ -26,24 +26,27 @@ def _events_with_copies(spark):
     return base.unionByName(copies).unionByName(hot)
 
 
-def test_matches_window_lag_with_copies_and_small_buckets(spark):
+def test_matches_window_lag_with_copies_and_small_ranges(spark):
     df = _events_with_copies(spark)
-    for bucket_seconds in (60, 3600, 86400 * 40):
-        got = with_previous_time(df, key="k", ts="t", order_id="row_id", bucket_seconds=bucket_seconds)
+    for rows_per_range in (10, 200, 1_000_000):
+        got = with_previous_time(df, key="k", ts="t", order_id="row_id", rows_per_range=rows_per_range)
         assert _rows(got, "k", "t") == _rows(_brute(df, "k", "t", "row_id"), "k", "t")
 
 
 def test_microsecond_times(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet").select(
         F.col("event_id").alias("row_id"), F.col("user_id").alias("k"), F.col("ts").alias("t"))
-    got = with_previous_time(ev, key="k", ts="t", order_id="row_id", bucket_seconds=600)
+    got = with_previous_time(ev, key="k", ts="t", order_id="row_id", rows_per_range=50)
     assert _rows(got, "k", "t") == _rows(_brute(ev, "k", "t", "row_id"), "k", "t")
 
 
-def test_window_partitions_are_bounded_by_bucket(spark):
-    df = _events_with_copies(spark)
-    plan = with_previous_time(df, key="k", ts="t", bucket_seconds=3600)._jdf.queryExecution().executedPlan().toString()
-    assert "_b" in plan  # the lag window is partitioned by (key, time bucket), not by key alone
+def test_ranges_are_bounded_whatever_the_key(spark):
+    """All rows of one key within one second: the lag's windows are still ranges of few rows."""
+    df = spark.range(4000).select(F.col("id").alias("row_id"), F.lit(1).alias("k"),
+                                  F.timestamp_micros(F.lit(1_776_000_000_000_000) + F.col("id") * 7).alias("t"))
+    got = with_previous_time(df, key="k", ts="t", rows_per_range=100)
+    assert "hashpartitioning(_part" in got._jdf.queryExecution().executedPlan().toString()
+    assert _rows(got, "k", "t") == _rows(_brute(df, "k", "t", "row_id"), "k", "t")
 
 
 def test_ms_between_is_zone_free(spark):

@@ -12,10 +12,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def test_largest_task_share():
     out = subprocess.run([sys.executable, os.path.join(ROOT, "tools", "skew_check.py"), "/root/testdata/sf0.01"],
                          capture_output=True, text=True, timeout=900)
-    m = re.search(r"SKEW skew_safe=([\d.]+) semi_shuffled=([\d.]+) plain_window=([\d.]+) hot=([\d.]+)", out.stdout)
+    m = re.search(r"SKEW (.*)", out.stdout)
     assert m, out.stdout[-2000:] + out.stderr[-2000:]
-    skew_safe, semi, plain, hot = map(float, m.groups())
-    assert hot > 0.3
-    assert plain > hot          # the plain per-vessel window puts the hot vessel in one task
-    assert skew_safe < hot / 2  # ours splits it
-    assert semi < hot / 2       # the shuffled semi-join branch is split by AQE
+    share = {k: float(v) for k, v in (x.split("=") for x in m.group(1).split())}
+    assert share["hot"] > 0.3
+    assert share["plain_window"] > share["hot"]  # the plain per-vessel window puts the hot vessel in one task
+    for ours in ("skew_safe", "clean_and_gaps", "busy_hour"):
+        assert share[ours] < share["hot"] / 2, (ours, out.stdout[-3000:])

@@ -1,10 +1,10 @@
 """Skew check from Spark's event log: largest task (records read) per shuffle stage.
 
-Runs the gap operator on a skewed derivation of the fixture -- every third raw
-row re-assigned to one vessel, so that vessel holds a third of all rows -- once
-with the skew-safe operator and once with a plain ``lag`` over
-``Window.partitionBy("mmsi")``, with the event log written to a fresh folder
-under /tmp.  For each job it prints, per stage that reads a shuffle, the
+On a skewed derivation of the fixture -- every third raw row re-assigned to one vessel, so
+that vessel holds a third of all rows -- runs the gap operator, the registered
+composition of clean and gaps on the shuffled branch, and a plain ``lag`` over
+``Window.partitionBy("mmsi")``; and the gap operator on events of which a third fall into
+one hour of one user. The event log goes to a fresh folder under /tmp.  For each job it prints, per stage that reads a shuffle, the
 largest and the median number of records read by one task.
 
 Usage: python tools/skew_check.py [sf_dir]
@@ -51,13 +51,23 @@ def main() -> None:
     n = skewed.count()
     hot = skewed.filter(F.col("mmsi") == 219999999).count()
 
-    spark.sparkContext.setJobGroup("skew_safe", "skew-safe gaps")
-    with_previous_time(skewed).write.format("noop").mode("overwrite").save()
-    spark.sparkContext.setJobGroup("semi_shuffled", "clean semi-join without broadcast")
     from wakeline.config import AisConfig
+    from wakeline.operators.sequence import positions_dt
     from wakeline.operators.vessels import positions_clean
-    positions_clean(skewed, AisConfig(min_reports=1, max_broadcast_rows=0)) \
-        .write.format("noop").mode("overwrite").save()
+
+    noop = lambda df: df.write.format("noop").mode("overwrite").save()
+    cfg = AisConfig(min_reports=1)
+    spark.sparkContext.setJobGroup("skew_safe", "gaps of the stored table")
+    noop(with_previous_time(skewed))
+    spark.sparkContext.setJobGroup("clean_and_gaps", "clean on the shuffled branch, written, then gaps")
+    noop(positions_dt(write_stage(positions_clean(skewed, cfg), "skewed-clean"), cfg))
+    spark.sparkContext.setJobGroup("busy_hour", "events of one user within one hour, a third of all")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")
+    busy = write_stage(ev.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.timestamp_micros(
+        F.lit(1_776_000_000_000_000) + F.pmod(F.xxhash64("event_id"), F.lit(3_600_000_000)))).otherwise(F.col("ts")))
+        .withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))), "busy")
+    noop(with_previous_time(busy, key="user_id", ts="ts", order_id="event_id"))
+    busy_rows = busy.count()
     spark.sparkContext.setJobGroup("plain_window", "plain window lag")
     (skewed.withColumn("prev_ts", F.lag("ts").over(Window.partitionBy("mmsi").orderBy("ts", "row_id")))
      .write.format("noop").mode("overwrite").save())
@@ -82,7 +92,7 @@ def main() -> None:
                         tasks.setdefault(ev["Stage ID"], []).append(recs)
     print(f"rows {n}, hot vessel rows {hot} ({hot / n:.0%}); event log: {log_dir}")
     shares = {}
-    for group in ("skew_safe", "semi_shuffled", "plain_window"):
+    for group in ("skew_safe", "clean_and_gaps", "busy_hour", "plain_window"):
         worst = 0
         for sid in sorted(s for s, g in stage_group.items() if g == group and s in tasks and sum(tasks[s]) > 1000):
             r = tasks[sid]
@@ -90,7 +100,7 @@ def main() -> None:
             print(f"  {group:13s} stage {sid:3d}: tasks {len(r):3d}  max records/task {max(r):7d}"
                   f"  median {int(statistics.median(r)):7d}")
         print(f"  {group}: largest task reads {worst} records = {worst / n:.0%} of all rows")
-        shares[group] = worst / n
+        shares[group] = worst / (busy_rows if group == "busy_hour" else n)
     print("SKEW " + " ".join(f"{g}={v:.3f}" for g, v in shares.items()) + f" hot={hot / n:.3f}")
 
 

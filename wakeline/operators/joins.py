@@ -1,33 +1,18 @@
-"""Joins against a key table whose size is checked before it is broadcast."""
+"""Joins against a key table that is written first, so that its size is measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wakeline.sources.tables import write_stage
 
 
-def materialize_keys(keys: DataFrame, name: str = "keys") -> tuple[DataFrame, int]:
-    """Write a (small) key table under the shared checkpoint folder and count it.
-
-    A Parquet stage write runs the plan behind the keys once, cuts lineage, and
-    lets AQE coalesce the output into a few files.  (A persisted plan keeps all
-    ``spark.sql.shuffle.partitions`` partitions, so a checkpoint of it would
-    write one tiny file per partition -- tens of thousands on a cluster.)
-    """
-    stored = write_stage(keys, name)
-    return stored, stored.count()
-
-
-def semi_join_checked(big: DataFrame, keys: DataFrame, on: str | list[str], max_broadcast_rows: int,
-                      how: str = "left_semi") -> DataFrame:
+def semi_join_stored(big: DataFrame, keys: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """``big`` rows whose key is (semi) or is not (anti) in ``keys``.
 
-    The key table is materialized and counted first; it is broadcast only when
-    the count is within ``max_broadcast_rows``, otherwise both sides shuffle on
-    the key (AQE's skew-join split covers a hot key on the big side).
+    The key table is written as a stage: the plan behind it runs once, and Spark
+    knows its bytes. It broadcasts it only under its own size limit
+    (``spark.sql.autoBroadcastJoinThreshold``); above that both sides shuffle on the key,
+    where AQE splits a hot key of the large side.
     """
-    stored, n = materialize_keys(keys)
-    side = F.broadcast(stored) if n <= max_broadcast_rows else stored
-    return big.join(side, on, how).select(*big.columns)
+    return big.join(write_stage(keys, "keys"), on, how).select(*big.columns)

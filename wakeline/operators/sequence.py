@@ -11,11 +11,11 @@ of the rows.  Instead:
    holding the smallest row_id (partial aggregation, so before any shuffle).
    Within such a group the first row (smallest row_id) takes the previous
    *distinct* time; every other row's previous time is ts itself.
-2. The distinct times are windowed per (mmsi, time bucket); a bucket of
-   ``bucket_seconds`` holds at most that many whole-second times, so no window
-   partition grows with the data.
-3. A bucket's first time takes the last time of the vessel's previous non-empty
-   bucket: a small per-(mmsi, bucket) table, windowed per vessel.
+2. The distinct (mmsi, ts) pairs are put in order over range partitions of equal
+   row counts. A vessel of any size, and times of any resolution, spread over as many
+   ranges as they need.
+3. The previous pair is a lag inside the range; a range's first pair takes the
+   last pair of the range before it, from a table of one row per range.
 4. Rows join back on (mmsi, ts).  This is the only shuffle of full rows; a hot
    (mmsi, ts) group is split by AQE's skew-join handling.
 """
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
+from wakeline.sources.tables import write_stage
 
 
 def epoch_millis(ts: Column | str) -> Column:
@@ -46,31 +47,27 @@ def ms_between(start: Column | str, end: Column | str) -> Column:
     return epoch_millis(end) - epoch_millis(start)
 
 
-def time_bucket(ts: str, bucket_seconds: int) -> Column:
-    return F.floor(epoch_millis(ts) / F.lit(bucket_seconds * 1000)).cast("bigint")
-
-
 def with_previous_time(df: DataFrame, key: str = "mmsi", ts: str = "ts", order_id: str = "row_id",
-                       out: str = "prev_ts", bucket_seconds: int = 3600) -> DataFrame:
+                       out: str = "prev_ts", rows_per_range: int = 1_000_000) -> DataFrame:
     """``df`` plus ``out`` = ts of the previous row of the same key in (ts, order_id) order.
 
-    ``order_id`` must be unique (row ids are).  Rows with a null key or time are
-    not returned (callers filter them first).
-    The per-key carry table holds one row per non-empty time bucket, so it grows
-    with a key's time span, not with its row count.
+    ``order_id`` must be unique (row ids are). Rows with a null key or time are
+    not returned (callers filter them first). ``df`` is read twice: it should be a
+    stored table.
     """
-    firsts = (df.select(key, ts, order_id)
-              .groupBy(key, ts).agg(F.min(order_id).alias("_first_id"))
-              .withColumn("_b", time_bucket(ts, bucket_seconds)))
-    firsts = firsts.withColumn("_prev_in_b", F.lag(ts).over(Window.partitionBy(key, "_b").orderBy(ts)))
-
-    bucket_last = firsts.groupBy(key, "_b").agg(F.max(ts).alias("_last"))
-    carry = bucket_last.select(
-        key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
-
-    distinct_prev = (firsts.join(carry, [key, "_b"], "inner")
-                     .select(key, ts, "_first_id",
-                             F.coalesce("_prev_in_b", "_carry").alias("_prev_distinct")))
+    spark = df.sparkSession
+    firsts = write_stage(df.groupBy(key, ts).agg(F.min(order_id).alias("_first_id")), "times")
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-firsts.count() // rows_per_range))
+    # written, because range bounds are sampled anew by each run of a plan
+    ranged = write_stage(firsts.repartitionByRange(width, key, ts).withColumn("_part", F.spark_partition_id()), "time-ranges")
+
+    inside = Window.partitionBy("_part").orderBy(key, ts)
+    # one row per range: a window and a broadcast of at most ``width`` rows
+    ends = ranged.groupBy("_part").agg(F.max(F.struct(key, ts)).alias("_end"))
+    before = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_before"))
+    previous = F.coalesce(F.lag(F.struct(key, ts)).over(inside), F.col("_before"))
+    distinct_prev = (ranged.join(F.broadcast(before), "_part").withColumn("_p", previous)
+                     .select(key, ts, "_first_id", F.when(F.col(f"_p.{key}") == F.col(key), F.col(f"_p.{ts}")).alias("_prev_distinct")))
 
     return (df.join(distinct_prev, [key, ts], "inner")
             .withColumn(out, F.when(F.col(order_id) == F.col("_first_id"), F.col("_prev_distinct"))
@@ -82,6 +79,6 @@ def positions_dt(clean: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame
     """Clean rows plus ``prev_ts`` and ``delta_t_ms``; each vessel's first report is dropped."""
     cols = clean.columns
     keyed = clean.filter(F.col("mmsi").isNotNull() & F.col("ts").isNotNull())
-    with_prev = with_previous_time(keyed, bucket_seconds=cfg.lag_bucket_seconds)
+    with_prev = with_previous_time(keyed)
     return (with_prev.filter(F.col("prev_ts").isNotNull())
             .select(*cols, "prev_ts", ms_between("prev_ts", "ts").alias("delta_t_ms")))

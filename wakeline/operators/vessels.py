@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
 from wakeline.functions.predicates import stored_row_counts
-from wakeline.operators.joins import semi_join_checked
+from wakeline.operators.joins import semi_join_stored
 
 
 def vessel_counts(raw: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -24,8 +24,8 @@ def valid_vessels(raw: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
 def positions_clean(raw: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
     """Whole raw rows of valid vessels (NaN rows of a valid vessel included).
 
-    The valid set has at most rows/min_reports entries; it is materialized,
-    counted, and broadcast only within ``cfg.max_broadcast_rows``.
+    The valid set has at most rows/min_reports entries; it is written first, and
+    Spark's byte limit decides whether it is broadcast.
     """
     keys = valid_vessels(raw, cfg).select("mmsi")
-    return semi_join_checked(raw, keys, "mmsi", cfg.max_broadcast_rows)
+    return semi_join_stored(raw, keys, "mmsi")
