@@ -35,10 +35,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), read from the session.
 
-    The setting is read from the session; only when it is unset (local tests)
-    is a private folder created and registered.
+    Where it is unset, a private folder is made for a local master only; on a cluster,
+    whose executors would each see another disk, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,11 +46,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is unset: {sc.master} needs a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="wakeline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder wherever Spark's file systems reach it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this process has made; frames read from them are void then."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
+    return n

@@ -1,26 +1,26 @@
-"""Table IO: replace / append writes (S3, S4), vessel-ordered layout (S9, S10),
-insert-if-absent and upsert merges on Parquet (S6, S7), single-row append (S11).
+"""Table IO: replace / append writes (S3, S4), the day layout (S9, S10), and
+insert-if-absent and upsert merges on Parquet (S6, S7).
 """
 
 from __future__ import annotations
 
-import time
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from wakeline.session import delete_path, scratch_path
 
-from wakeline.session import scratch_path
+DAY = "day"
 
 
 def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a stage as Parquet under the shared checkpoint folder and continue from the files.
 
-    One job (an RDD checkpoint would compute the plan twice unless persisted);
-    it cuts lineage, so a lost executor does not re-run earlier stages, and
+    One job; it cuts lineage, so a lost executor does not re-run earlier stages, and
     later steps read only the columns they need.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -28,44 +28,73 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_vessel_ordered(df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
-    """Lay rows out by (mmsi, ts, row_id): each file holds a contiguous key range, sorted.
+def day_of(ts: str = "ts") -> Column:
+    return F.to_date(ts)
 
-    Range placement on the full order key (rather than a hash of mmsi) splits a
-    vessel that holds a large share of the rows over several files, and the
-    sorted files give Parquet min/max skipping for vessel and time lookups.
+
+def write_by_day(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Lay rows out in day folders, within a file sorted by (mmsi, ts, row_id).
+
+    Rows are dealt by (day, vessel). The rebalance lets Spark size the files by their
+    bytes: it joins small parts and splits a large one by its map outputs, so neither
+    the core count nor a busy vessel decides a file's size, and no sampling pass reads
+    the input twice. Day folders prune time ranges; sorted files give row-group
+    min/max skipping for vessel lookups.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, "mmsi", "ts", "row_id")
-     .sortWithinPartitions("mmsi", "ts", "row_id")
-     .write.mode(mode).parquet(path))
+    (df.withColumn(DAY, day_of()).hint("rebalance", DAY, "mmsi")
+     .sortWithinPartitions(DAY, "mmsi", "ts", "row_id")
+     .write.mode(mode).partitionBy(DAY).parquet(path))
+
+
+def latest(new: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
+    """One row per key: the last by ``order_by`` (ties, and no order: by all columns).
 
+    A partial aggregate, so many rows of one key meet before the shuffle.
+    """
+    row = F.struct(*new.columns)
+    by = F.struct(*([order_by] if order_by else []), *new.columns)
+    return new.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, by).alias("_row")).select("_row.*")
 
-def merge_keep_existing(target: DataFrame, new: DataFrame, key: str | list[str] = "row_id") -> DataFrame:
-    """Insert rows of ``new`` whose key is absent from ``target``; existing rows stay as they are."""
-    return target.unionByName(new.join(target.select(key), key, "left_anti"))
 
+def merge_keep_existing(target: DataFrame, new: DataFrame, key: str = "row_id", order_by: str | None = None) -> DataFrame:
+    """Insert rows of ``new`` whose key is absent from ``target``; existing rows stay as they are.
 
-def merge_replace(target: DataFrame, new: DataFrame, key: str | list[str] = "row_id") -> DataFrame:
-    """Upsert: a row of ``new`` replaces the whole target row with its key, or is inserted."""
-    return target.join(new.select(key), key, "left_anti").unionByName(new)
+    Of several new rows with one key the last goes in (:func:`latest`).
+    """
+    return target.unionByName(latest(new, key, order_by).join(target.select(key), key, "left_anti").select(*target.columns))
 
 
-def merge_into_path(spark: SparkSession, target_path: str, new: DataFrame, out_path: str,
-                    key: str | list[str] = "row_id", when_matched: str = "replace") -> DataFrame:
-    """Merge ``new`` into the Parquet table at ``target_path``, writing the result to ``out_path``.
+def merge_replace(target: DataFrame, new: DataFrame, key: str = "row_id", order_by: str | None = None) -> DataFrame:
+    """Upsert: a row of ``new`` replaces the whole target row with its key, or is inserted.
 
-    Parquet files cannot be overwritten while they are read, so the merged table
-    goes to a new path; the caller switches readers to it.
+    Of several new rows with one key the last counts (:func:`latest`).
     """
-    target = spark.read.parquet(target_path)
-    merged = merge_replace(target, new, key) if when_matched == "replace" else merge_keep_existing(target, new, key)
-    merged.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+    last = latest(new, key, order_by)
+    return target.join(last.select(key), key, "left_anti").select(*target.columns).unionByName(last.select(*target.columns))
 
 
-def append_marker(spark: SparkSession, path: str, mmsi: int) -> None:
-    """Append one marker row (mmsi, test_connection_marker, created_at_epoch)."""
-    row = spark.createDataFrame([(int(mmsi), True, time.time())],
-                                "mmsi bigint, test_connection_marker boolean, created_at_epoch double")
-    row.write.mode("append").parquet(path)
+def merge_into_days(spark: SparkSession, path: str, new: DataFrame, key: str = "row_id", when_matched: str = "replace",
+                    order_by: str | None = None) -> DataFrame:
+    """Merge ``new`` into the day-layout table at ``path`` and return the table as it is then.
+
+    Only the days that the merge touches are read whole and rewritten: days of the new
+    rows, and days in which a key of theirs stands already. They are written beside the
+    table first and put in place after that write has ended; days that a replacement
+    emptied are removed.
+    """
+    target = spark.read.parquet(path)
+    rows = write_stage(latest(new, key, order_by).withColumn(DAY, day_of()), "merge-new")
+    matched = write_stage(target.select(key, DAY).join(rows.select(key), key, "left_semi"), "merge-matched")
+    days = [r[DAY] for r in rows.select(DAY).union(matched.select(DAY)).distinct().collect()]  # touched days
+    if not days:
+        return target
+    # a key may stand in another day than its new row: both sides are in the touched days
+    touched = target.where(F.col(DAY).isin(days))
+    merged = (merge_replace if when_matched == "replace" else merge_keep_existing)(touched, rows, key)
+    staged = write_stage(merged.hint("rebalance", DAY, "mmsi").sortWithinPartitions(DAY, "mmsi", "ts", key), "merge-staged")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path))
+    left = {r[DAY] for r in staged.select(DAY).distinct().collect()}
+    for day in days:
+        if day not in left and day is not None:
+            delete_path(spark, f"{path}/{DAY}={day}")
+    return spark.read.parquet(path)
