@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001, SF01
-from wakeline.config import AisConfig
+from wakeline.config import AIS_HEADERS, AisConfig
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.vessels import valid_vessels
 from wakeline.plans.jobs import build_stages, run_all
@@ -58,30 +58,30 @@ def test_threshold_is_a_parameter(spark):
 
 
 def test_run_all_from_csv(spark):
-    src = scratch_path(spark, "run-all-csv")
-    write_ais_csv(ais_strings(spark, SF001), src)
+    rows = ais_strings(spark, SF001)
+    src = [scratch_path(spark, "run-all-csv"), scratch_path(spark, "run-all-csv-2")]
+    write_ais_csv(rows.where("row_id < 500"), src[0])
+    write_ais_csv(rows.where("row_id >= 500"), src[1], AIS_HEADERS[::-1])
     paths = run_all(spark, src, scratch_path(spark, "run-all-out"))
     assert spark.read.parquet(paths["positions_raw"]).count() == 779
     assert spark.read.parquet(paths["positions_clean"]).count() == 431
     assert spark.read.parquet(paths["positions_dt"]).count() == 427
     assert spark.read.parquet(paths["delta_histogram"]).count() == 50
-    report = {r.metric: r.value for r in spark.read.parquet(paths["load_report"]).collect()}
-    assert report == {"rows_read": 1000, "rows_seen": 1000, "rows_inserted_raw": 779, "valid_vessels": 4,
-                      "rows_clean": 431, "rows_delta": 427}
-
-
-def test_run_all_with_row_cap(spark):
-    from wakeline.operators.positions import positions_raw
-    from wakeline.sources.csv import apply_row_cap
-
-    src = scratch_path(spark, "run-all-cap-csv")
-    strings = ais_strings(spark, SF001)
-    write_ais_csv(strings, src, n_files=3)
-    cfg = AisConfig(row_cap=500)
-    paths = run_all(spark, src, scratch_path(spark, "run-all-cap-out"), cfg)
-    report = {r.metric: r.value for r in spark.read.parquet(paths["load_report"]).collect()}
-    assert report["rows_read"] == 500
-    assert report["rows_inserted_raw"] == positions_raw(apply_row_cap(strings, 500)).count()
+    report = [(r.metric, r.value) for r in spark.read.parquet(paths["load_report"]).collect()]
+    assert dict(report) == {"rows_read": 1000, "rows_malformed": 0, "rows_inserted_raw": 779, "valid_vessels": 4,
+                            "rows_clean": 431, "rows_delta": 427}
+
+
+def test_profiles_are_sorted(spark):
+    from wakeline.operators.profile import slice_profile, table_profile
+    from wakeline.plans.jobs import load_report
+
+    st = build_stages(ais_strings(spark, SF001))
+    tables = {"positions_raw": st.raw, "positions_clean": st.clean}
+    names = [r.table_name for r in table_profile(tables).collect()]
+    slices = [(r.table_name, r.slice) for r in slice_profile(tables, 3).collect()]
+    metrics = [r.metric for r in load_report(st).collect()]
+    assert names == sorted(names) and slices == sorted(slices) and metrics == sorted(metrics)
 
 
 def test_empty_clean_table_flows_through(spark):

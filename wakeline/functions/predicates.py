@@ -53,10 +53,10 @@ def load_checks(cfg: AisConfig) -> list[tuple[str, Column]]:
         mmsi != F.repeat(F.substring(mmsi, 1, 1), 9),
         ~mmsi.isin(*cfg.placeholder_mmsi),
         (nav != "") & ~nav.rlike(NAV_REJECT_RE),
-        rot.isNotNull() & ~(rot == -128) & ~lt(rot, -127) & ~gt(rot, 127),
+        rot.isNotNull() & ~lt(rot, -127) & ~gt(rot, 127),
         sog.isNotNull() & ~lt(sog, 0) & ~ge(sog, 102.3),
         cog.isNotNull() & ~lt(cog, 0) & ~ge(cog, 360),
-        hdg.isNotNull() & ~(hdg == 511) & ~lt(hdg, 0) & ~gt(hdg, 359),
+        hdg.isNotNull() & ~lt(hdg, 0) & ~gt(hdg, 359),
         F.col("ts").isNotNull() & F.col("mmsi").isNotNull() & lat.isNotNull() & lon.isNotNull(),
     ]
     return [(r, _safe(c)) for r, c in zip(REASONS, checks)]
@@ -85,8 +85,8 @@ def stored_row_counts(cfg: AisConfig) -> Column:
         & in_closed(F.col("lat"), -90, 90)
         & in_closed(F.col("lon"), -180, 180)
         & F.coalesce(~F.col("nav_status").isin(*NAV_STATUS_STORED_REJECT), F.lit(False))
-        & in_closed(F.col("rot"), -127, 127) & ~_safe(F.col("rot") == -128)
+        & in_closed(F.col("rot"), -127, 127)
         & in_closed(F.col("sog"), 0, 102.3) & ~_safe(F.col("sog") >= 102.3)
         & in_closed(F.col("cog"), 0, 360) & ~_safe(F.col("cog") >= 360)
-        & in_closed(F.col("heading"), 0, 359) & ~_safe(F.col("heading") == 511)
+        & in_closed(F.col("heading"), 0, 359)
     )

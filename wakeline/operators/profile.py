@@ -8,13 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.sources.tables import DAY
+
 
 def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table: rows and distinct vessels (one aggregate per table, unioned)."""
+    """One row per table: rows and distinct vessels (one aggregate per table, unioned), by table."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("mmsi").alias("n_vessels"))
              .select(F.lit(name).alias("table_name"), "n_rows", "n_vessels")
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
 
 
 def metric_rows(metrics: dict[str, DataFrame]) -> DataFrame:
@@ -24,26 +26,21 @@ def metric_rows(metrics: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def count_of(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
 def slice_profile(tables: dict[str, DataFrame], n_slices: int = 3) -> DataFrame:
     """Rows per ``mmsi mod n`` slice, per table (the original splits work this way)."""
     parts = [df.groupBy(F.pmod("mmsi", F.lit(n_slices)).cast("int").alias("slice"))
              .agg(F.count(F.lit(1)).alias("n_rows"))
              .select(F.lit(name).alias("table_name"), "slice", "n_rows")
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name", "slice")
 
 
-def bucket_profile(tables: dict[str, DataFrame], n_buckets: int = 3) -> DataFrame:
-    """Rows per hash bucket of mmsi (Spark's hash), per table: placement balance."""
-    parts = [df.groupBy(F.pmod(F.hash("mmsi"), F.lit(n_buckets)).cast("int").alias("bucket"))
-             .agg(F.count(F.lit(1)).alias("n_rows"))
-             .select(F.lit(name).alias("table_name"), "bucket", "n_rows")
+def layout_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and vessels per table and day folder, of tables in the day layout."""
+    parts = [df.groupBy(DAY).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("mmsi").alias("n_vessels"))
+             .select(F.lit(name).alias("table_name"), DAY, "n_rows", "n_vessels")
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name", DAY)
 
 
 def sample_mmsi(df: DataFrame, k: int = 10) -> DataFrame:

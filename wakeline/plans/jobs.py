@@ -6,62 +6,75 @@ import os
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.positions import positions_raw
-from wakeline.operators.profile import count_of, metric_rows
+from wakeline.operators.profile import metric_rows
 from wakeline.operators.sequence import positions_dt
-from wakeline.operators.vessels import positions_clean, valid_vessels
-from wakeline.sources.csv import read_ais_csv, read_csv_strings
-from wakeline.sources.tables import write_stage, write_table, write_vessel_ordered
+from wakeline.operators.vessels import positions_clean
+from wakeline.sources.csv import MALFORMED, read_ais_csv
+from wakeline.sources.tables import write_by_day, write_stage, write_table
 
 
 @dataclass
 class Stages:
-    strings: DataFrame
+    """The stored tables of a load and what was counted while it ran."""
+
     raw: DataFrame
     clean: DataFrame
     dt: DataFrame
+    read: dict[str, int]
+
+
+def observed(strings: DataFrame) -> tuple[DataFrame, Observation]:
+    """``strings`` with the rows read and the malformed records counted as they pass."""
+    seen = Observation("load")
+    malformed = F.count_if(F.col(MALFORMED)) if MALFORMED in strings.columns else F.count_if(F.lit(False))
+    return strings.observe(seen, F.count(F.lit(1)).alias("rows_read"), malformed.alias("rows_malformed")), seen
 
 
-def build_stages(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG, materialize: bool = True) -> Stages:
-    """raw -> clean -> dt.  With ``materialize`` the raw table is written once (as the
-    original persists its raw collection), so parsing is not repeated by later steps."""
-    raw = positions_raw(strings, cfg)
-    if materialize:
-        raw = write_stage(raw, "positions_raw")
-    clean = positions_clean(raw, cfg)
-    dt = positions_dt(clean, cfg)
-    return Stages(strings, raw, clean, dt)
+def build_stages(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> Stages:
+    """raw -> clean -> dt. Raw and clean are written once each; all later steps read them.
+
+    ``dt`` is a plan over the stored clean table.
+    """
+    counted, seen = observed(strings)
+    raw = write_stage(positions_raw(counted, cfg), "positions_raw")
+    clean = write_stage(positions_clean(raw, cfg), "positions_clean")
+    return Stages(raw, clean, positions_dt(clean, cfg), dict(seen.get))
+
 
+def load_report(stages: Stages) -> DataFrame:
+    """Counts of a load as (metric, value), by metric.
 
-def load_report(stages: Stages, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Rows read, rows loaded, valid vessels, clean rows and gap rows as (metric, value)."""
-    read = count_of(stages.strings)
+    Rows read and malformed were counted in the load; the rest are counts of stored
+    tables. Every valid vessel has rows in the clean table, so its vessels are the valid ones.
+    """
+    spark = stages.raw.sparkSession
+    count = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
+    read = {k: spark.range(1).select(F.lit(v).alias("n")) for k, v in stages.read.items()}
     return metric_rows({
-        "rows_read": read,
-        "rows_seen": read,  # every row read is processed (no worker can drop a batch here)
-        "rows_inserted_raw": count_of(stages.raw),
-        "valid_vessels": count_of(valid_vessels(stages.raw, cfg)),
-        "rows_clean": count_of(stages.clean),
-        "rows_delta": count_of(stages.dt),
-    })
-
-
-def run_all(spark: SparkSession, csv_paths: str | list[str], out_dir: str,
-            cfg: AisConfig = DEFAULT_CONFIG,
-            ordered: tuple[str, ...] = ("positions_clean", "positions_dt"),
-            timings: dict[str, float] | None = None) -> dict[str, str]:
+        **read,
+        "rows_inserted_raw": count(stages.raw),
+        "valid_vessels": stages.clean.agg(F.count_distinct("mmsi").alias("n")),
+        "rows_clean": count(stages.clean),
+        "rows_delta": count(stages.dt),
+    }).orderBy("metric")
+
+
+TABLES = ("positions_raw", "positions_clean", "positions_dt", "delta_histogram", "delta_summary", "load_report")
+
+
+def run_all(spark: SparkSession, csv_paths: str | list[str], out_dir: str, cfg: AisConfig = DEFAULT_CONFIG,
+            multiline: bool = False, timings: dict[str, float] | None = None) -> dict[str, str]:
     """Load CSV -> raw -> clean -> dt -> histogram, each written as a table under ``out_dir``.
 
-    Every stage reads the previous stage's written table, so a lost executor
-    only recomputes the current stage.  Tables named in ``ordered`` are laid out
-    by (mmsi, ts) (one range shuffle each, for vessel/time lookups); the raw
-    table is written as loaded, since its only reader is the clean semi-join.
-    ``timings``, when given, receives the wall seconds of each phase (load,
-    clean, delta, histogram, report), each reading the previous phase's table.
+    One scan of the input. Every stage reads the table of the one before, so a lost
+    executor only recomputes the current stage. The position tables lie by day
+    (:func:`write_by_day`). ``timings``, when given, receives the wall seconds of each phase.
     """
     clock = {"t": time.perf_counter()}
 
@@ -71,29 +84,22 @@ def run_all(spark: SparkSession, csv_paths: str | list[str], out_dir: str,
             timings[name] = round(now - clock["t"], 3)
         clock["t"] = now
 
-    def write(df: DataFrame, name: str) -> None:
-        if name in ordered:
-            write_vessel_ordered(df, paths[name])
-        else:
-            write_table(df, paths[name])
+    paths = {name: os.path.join(out_dir, name) for name in TABLES}
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        write_by_day(df, paths[name])
+        return spark.read.parquet(paths[name]).select(*df.columns)
 
-    paths = {name: os.path.join(out_dir, name) for name in
-             ("positions_raw", "positions_clean", "positions_dt", "delta_histogram", "delta_summary", "load_report")}
-    strings = read_ais_csv(spark, csv_paths, cfg.row_cap)
-    write(positions_raw(strings, cfg), "positions_raw")
+    counted, seen = observed(read_ais_csv(spark, csv_paths, multiline))
+    raw = placed(write_stage(positions_raw(counted, cfg), "positions_raw"), "positions_raw")
     phase("load_raw")
-    raw = spark.read.parquet(paths["positions_raw"])
-    write(positions_clean(raw, cfg), "positions_clean")
+    clean = placed(positions_clean(raw, cfg), "positions_clean")
     phase("clean")
-    clean = spark.read.parquet(paths["positions_clean"])
-    write(positions_dt(clean, cfg), "positions_dt")
+    dt = placed(positions_dt(clean, cfg), "positions_dt")
     phase("delta")
-    dt = spark.read.parquet(paths["positions_dt"])
     write_table(gap_histogram(dt, cfg), paths["delta_histogram"])
     write_table(gap_summary(dt, cfg), paths["delta_summary"])
     phase("histogram")
-    # rows read: a plain CSV count unless a cap makes positions matter
-    read = strings if cfg.row_cap is not None else read_csv_strings(spark, csv_paths)
-    write_table(load_report(Stages(read, raw, clean, dt), cfg), paths["load_report"])
+    write_table(load_report(Stages(raw, clean, dt, dict(seen.get))), paths["load_report"])
     phase("report")
     return paths

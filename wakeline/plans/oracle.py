@@ -1,18 +1,21 @@
 """DuckDB SQL for every registered query: an independent SQL statement of the same rules.
 
-Tables ``events`` etc. are views in the checking DuckDB session.  The fixture
-expressions are shared text (they define the *input*); every parsing rule,
-check and aggregate below is written separately in SQL.
+Tables ``events`` etc. are views in the checking DuckDB session. The fixture
+expressions are shared text (they define the *input*), and so are plain values
+(field names, thresholds, placeholder ids). Every rule -- what white space, a number
+and a time are, the checks and the aggregates -- is written here in SQL's own terms.
 """
 
 from __future__ import annotations
 
 from wakeline.config import FIELD_KINDS, FIELDS, NAV_STATUS_STORED_REJECT, PLACEHOLDER_MMSI, DEFAULT_CONFIG
-from wakeline.functions.text import NUMBER_RE, TIMESTAMP_RE, WHITESPACE, WS_CLASS
 from wakeline.sources.fixture import duckdb_fixture_sql
 
 CFG = DEFAULT_CONFIG
-WS = "||".join(f"chr({ord(c)})" for c in WHITESPACE)
+# Code points of Unicode white space, and the four separators below space.
+SPACE_CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+WS = "||".join(f"chr({c})" for c in SPACE_CODES)
+SPACE = "[" + "".join(f"\\x{{{c:X}}}" for c in SPACE_CODES) + "]"
 
 
 def _q(s: str) -> str:
@@ -20,8 +23,13 @@ def _q(s: str) -> str:
 
 
 def _float(t: str) -> str:
-    return (f"CASE WHEN regexp_full_match({t}, {_q(NUMBER_RE)}) "
-            f"THEN coalesce(TRY_CAST({t} AS DOUBLE), CAST('nan' AS DOUBLE)) END")
+    """Sign, digits with at most one point and one of them before or after it, exponent; or a name of no number."""
+    digits = f"regexp_full_match({t}, '[-+]?[0-9]+([.][0-9]*)?([eE][-+]?[0-9]+)?')"
+    point_first = f"regexp_full_match({t}, '[-+]?[.][0-9]+([eE][-+]?[0-9]+)?')"
+    name = f"lower(ltrim({t}, '+-')) IN ('inf', 'infinity', 'nan') AND length({t}) - length(ltrim({t}, '+-')) <= 1"
+    return (f"CASE WHEN {digits} OR {point_first} THEN CAST({t} AS DOUBLE) "
+            f"WHEN {name} THEN CASE WHEN lower({t}) LIKE '%nan' THEN CAST('nan' AS DOUBLE) "
+            f"WHEN starts_with({t}, '-') THEN CAST('-inf' AS DOUBLE) ELSE CAST('inf' AS DOUBLE) END END")
 
 
 def _int(t: str) -> str:
@@ -29,9 +37,13 @@ def _int(t: str) -> str:
 
 
 def _ts(t: str) -> str:
-    return (f"CASE WHEN regexp_full_match({t}, {_q(TIMESTAMP_RE)}) "
-            f"AND CAST(regexp_extract({t}, '/([0-9]{{4}})', 1) AS INT) >= 1 "
-            f"THEN try_strptime(regexp_replace({t}, {_q('[' + WS_CLASS + ']+')}, ' ', 'g'), '%d/%m/%Y %H:%M:%S') END")
+    """Day, month, four-digit year, white space, hour, minute, second; numbers in range, the date a real one."""
+    part = lambda k: f"TRY_CAST(regexp_extract({t}, '^([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}){SPACE}+([0-9]{{1,2}}):([0-9]{{1,2}}):([0-9]{{1,2}})$', {k}) AS BIGINT)"
+    d, m, y, hh, mi, ss = (part(k) for k in range(1, 7))
+    leap = f"(({y} % 4 = 0 AND {y} % 100 <> 0) OR {y} % 400 = 0)"
+    last = f"CASE WHEN {m} IN (4, 6, 9, 11) THEN 30 WHEN {m} = 2 AND {leap} THEN 29 WHEN {m} = 2 THEN 28 ELSE 31 END"
+    return (f"CASE WHEN {y} >= 1 AND {m} BETWEEN 1 AND 12 AND {d} BETWEEN 1 AND {last} AND {hh} <= 23 AND {mi} <= 59 AND {ss} <= 59 "
+            f"THEN make_timestamp({y}, {m}, {d}, {hh}, {mi}, CAST({ss} AS DOUBLE)) END")
 
 
 _TYPED = {"ts": _ts, "int": _int, "float": _float, "text": lambda t: f"coalesce({t}, '')"}
@@ -61,10 +73,10 @@ _CHECKS = [
     ("P4_mmsi_repeated", "mmsi_text <> repeat(substr(mmsi_text, 1, 1), 9)"),
     ("P5_mmsi_placeholder", f"mmsi_text NOT IN ({_in_list(PLACEHOLDER_MMSI)})"),
     ("P6_nav_status", "nav_status <> '' AND NOT regexp_full_match(nav_status, '(?i)(unknown|undefined|not available)')"),
-    ("P7_rot", f"rot IS NOT NULL AND rot <> -128 AND NOT {_lt('rot', -127)} AND NOT {_gt('rot', 127)}"),
+    ("P7_rot", f"rot IS NOT NULL AND NOT {_lt('rot', -127)} AND NOT {_gt('rot', 127)}"),
     ("P8_sog", f"sog IS NOT NULL AND NOT {_lt('sog', 0)} AND NOT {_ge('sog', 102.3)}"),
     ("P9_cog", f"cog IS NOT NULL AND NOT {_lt('cog', 0)} AND NOT {_ge('cog', 360)}"),
-    ("P10_heading", f"heading IS NOT NULL AND heading <> 511 AND NOT {_lt('heading', 0)} AND NOT {_gt('heading', 359)}"),
+    ("P10_heading", f"heading IS NOT NULL AND NOT {_lt('heading', 0)} AND NOT {_gt('heading', 359)}"),
     ("P11_unparsed_key", "ts IS NOT NULL AND mmsi IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL"),
 ]
 
@@ -73,10 +85,10 @@ _REASON = "CASE " + " ".join(f"WHEN NOT coalesce({c}, false) THEN {_q(r)}" for r
 _COUNTED = (
     "mmsi IS NOT NULL AND NOT isnan(lat) AND lat BETWEEN -90 AND 90 AND NOT isnan(lon) AND lon BETWEEN -180 AND 180 "
     f"AND nav_status NOT IN ({_in_list(NAV_STATUS_STORED_REJECT)}) "
-    "AND NOT isnan(rot) AND rot BETWEEN -127 AND 127 AND rot <> -128 "
+    "AND NOT isnan(rot) AND rot BETWEEN -127 AND 127 "
     "AND NOT isnan(sog) AND sog >= 0 AND sog < 102.3 "
     "AND NOT isnan(cog) AND cog >= 0 AND cog < 360 "
-    "AND NOT isnan(heading) AND heading BETWEEN 0 AND 359 AND heading <> 511"
+    "AND NOT isnan(heading) AND heading BETWEEN 0 AND 359"
 )
 
 COLS = ", ".join(["row_id", *FIELDS])
@@ -132,9 +144,33 @@ dt AS (
 
 _BIN_W = CFG.hist_range_ms // CFG.hist_bins
 
+_BINS = f"""
+SELECT b.bin, b.bin_start_ms, b.bin_end_ms, coalesce(c.n, 0) AS n
+FROM (SELECT CAST(i AS INTEGER) AS bin, i * {_BIN_W} AS bin_start_ms, (i + 1) * {_BIN_W} AS bin_end_ms
+      FROM range({CFG.hist_bins}) t(i)) b
+LEFT JOIN (SELECT CAST(least(delta_t_ms // {_BIN_W}, {CFG.hist_bins - 1}) AS INTEGER) AS bin, count(*) AS n
+           FROM dt WHERE delta_t_ms BETWEEN 0 AND {CFG.hist_range_ms} GROUP BY 1) c USING (bin)"""
+
+_SUMMARY = f"""
+SELECT count(*) AS n_plotted,
+       count(*) FILTER (WHERE delta_t_ms <= {CFG.hist_range_ms}) AS n_in_range,
+       count(*) FILTER (WHERE delta_t_ms > {CFG.hist_range_ms}) AS n_above_range,
+       count(*) FILTER (WHERE delta_t_ms = 0) AS n_zero,
+       min(delta_t_ms) AS min_delta_ms, max(delta_t_ms) AS max_delta_ms
+FROM dt WHERE delta_t_ms >= 0"""
+
+_REPORT = """
+SELECT 'rows_read' AS metric, count(*) AS value FROM src
+UNION ALL SELECT 'rows_malformed', 0
+UNION ALL SELECT 'rows_inserted_raw', count(*) FROM raw
+UNION ALL SELECT 'valid_vessels', count(*) FROM valid
+UNION ALL SELECT 'rows_clean', count(*) FROM clean
+UNION ALL SELECT 'rows_delta', count(*) FROM dt"""
+
+MERGE_FROM, MERGE_TO = "TIMESTAMP '2026-04-19 00:00:00'", "TIMESTAMP '2026-04-19 00:30:00'"
+
 ORACLE_SQL: dict[str, str] = {
-    "ais_csv_scan": f"WITH src AS ({duckdb_fixture_sql()}) SELECT {COLS} FROM src",
-    "ais_row_cap": PRELUDE + "SELECT * FROM raw WHERE row_id < 1000000",
+    "ais_csv_scan": f"WITH src AS ({duckdb_fixture_sql()}) SELECT {', '.join(FIELDS)} FROM src",
     "ais_typed_rows": PRELUDE + f"SELECT {COLS} FROM typed",
     "ais_scalar_battery": PRELUDE + f"""
 SELECT s.row_id, s.nav_status AS nav_stripped, t.lat AS lat_f, t.mmsi AS mmsi_i, t.ts AS ts_parsed,
@@ -155,26 +191,13 @@ FROM raw r JOIN geo g USING (row_id)""",
     "ais_valid_vessels": PRELUDE + "SELECT * FROM valid",
     "ais_positions_clean": PRELUDE + "SELECT * FROM clean",
     "ais_delta_t": PRELUDE + "SELECT * FROM dt",
-    "ais_delta_histogram": PRELUDE + f"""
-SELECT b.bin, b.bin_start_ms, b.bin_end_ms, coalesce(c.n, 0) AS n
-FROM (SELECT CAST(i AS INTEGER) AS bin, i * {_BIN_W} AS bin_start_ms, (i + 1) * {_BIN_W} AS bin_end_ms
-      FROM range({CFG.hist_bins}) t(i)) b
-LEFT JOIN (SELECT CAST(least(delta_t_ms // {_BIN_W}, {CFG.hist_bins - 1}) AS INTEGER) AS bin, count(*) AS n
-           FROM dt WHERE delta_t_ms BETWEEN 0 AND {CFG.hist_range_ms} GROUP BY 1) c USING (bin)""",
-    "ais_delta_summary": PRELUDE + f"""
-SELECT count(*) AS n_plotted,
-       count(*) FILTER (WHERE delta_t_ms <= {CFG.hist_range_ms}) AS n_in_range,
-       count(*) FILTER (WHERE delta_t_ms > {CFG.hist_range_ms}) AS n_above_range,
-       count(*) FILTER (WHERE delta_t_ms = 0) AS n_zero,
-       min(delta_t_ms) AS min_delta_ms, max(delta_t_ms) AS max_delta_ms
-FROM dt WHERE delta_t_ms >= 0""",
-    "ais_load_report": PRELUDE + """
-SELECT 'rows_read' AS metric, count(*) AS value FROM src
-UNION ALL SELECT 'rows_seen', count(*) FROM src
-UNION ALL SELECT 'rows_inserted_raw', count(*) FROM raw
-UNION ALL SELECT 'valid_vessels', count(*) FROM valid
-UNION ALL SELECT 'rows_clean', count(*) FROM clean
-UNION ALL SELECT 'rows_delta', count(*) FROM dt""",
+    "ais_delta_histogram": PRELUDE + _BINS,
+    "ais_delta_summary": PRELUDE + _SUMMARY,
+    "ais_load_report": PRELUDE + _REPORT,
+    "ais_pipeline_tables": PRELUDE + f"""
+SELECT 'load_report' AS table_name, metric AS name, value FROM ({_REPORT})
+UNION ALL SELECT 'delta_histogram', 'bin_' || lpad(CAST(bin AS VARCHAR), 2, '0'), n FROM ({_BINS})
+UNION ALL SELECT 'delta_summary', name, value FROM (UNPIVOT ({_SUMMARY}) ON COLUMNS(*) INTO NAME name VALUE value)""",
     "ais_table_profile": PRELUDE + """
 SELECT 'positions_raw' AS table_name, count(*) AS n_rows, count(DISTINCT mmsi) AS n_vessels FROM raw
 UNION ALL SELECT 'positions_clean', count(*), count(DISTINCT mmsi) FROM clean
@@ -183,6 +206,10 @@ UNION ALL SELECT 'positions_dt', count(*), count(DISTINCT mmsi) FROM dt""",
 SELECT 'positions_raw' AS table_name, CAST(((mmsi % 3) + 3) % 3 AS INTEGER) AS slice, count(*) AS n_rows FROM raw GROUP BY 2
 UNION ALL
 SELECT 'positions_clean', CAST(((mmsi % 3) + 3) % 3 AS INTEGER), count(*) FROM clean GROUP BY 2""",
+    "ais_layout_profile": PRELUDE + """
+SELECT 'positions_raw' AS table_name, CAST(ts AS DATE) AS day, count(*) AS n_rows, count(DISTINCT mmsi) AS n_vessels FROM raw GROUP BY 2
+UNION ALL
+SELECT 'positions_clean', CAST(ts AS DATE), count(*), count(DISTINCT mmsi) FROM clean GROUP BY 2""",
     "ais_sample_mmsi": PRELUDE + """
 SELECT * FROM (SELECT 'positions_raw' AS table_name, mmsi FROM raw WHERE mmsi IS NOT NULL AND mmsi <> 0
                ORDER BY mmsi, ts, row_id LIMIT 10)
@@ -198,13 +225,13 @@ FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY
 WHERE prev_ts IS NOT NULL""",
     "ais_stream_ingest": PRELUDE + f"SELECT {', '.join(FIELDS)} FROM raw",
     "merge_keep_existing": PRELUDE + f"""
-, tgt AS (SELECT * FROM raw WHERE ts < TIMESTAMP '2026-04-18 12:00:00'),
-new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= TIMESTAMP '2026-04-18 06:00:00')
+, tgt AS (SELECT * FROM raw WHERE ts < {MERGE_TO}),
+new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= {MERGE_FROM})
 SELECT {COLS} FROM tgt
 UNION ALL SELECT {COLS} FROM new WHERE row_id NOT IN (SELECT row_id FROM tgt)""",
     "merge_replace": PRELUDE + f"""
-, tgt AS (SELECT * FROM raw WHERE ts < TIMESTAMP '2026-04-18 12:00:00'),
-new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= TIMESTAMP '2026-04-18 06:00:00')
+, tgt AS (SELECT * FROM raw WHERE ts < {MERGE_TO}),
+new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= {MERGE_FROM})
 SELECT {COLS} FROM tgt WHERE row_id NOT IN (SELECT row_id FROM new)
 UNION ALL SELECT {COLS} FROM new""",
 }

@@ -12,27 +12,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.config import DEFAULT_CONFIG, FIELDS, NAV_STATUS_REJECT_LOWER
+from wakeline.config import AIS_HEADERS, DEFAULT_CONFIG, FIELDS, NAV_STATUS_REJECT_LOWER
 from wakeline.functions.geo import distance_nm
 from wakeline.functions.predicates import MMSI_RE
 from wakeline.functions.text import parse_float, parse_int, parse_timestamp, strip
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.positions import positions_raw, reject_reasons, typed_rows
-from wakeline.operators.profile import bucket_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
+from wakeline.operators.profile import layout_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
 from wakeline.operators.sequence import ms_between, with_previous_time
 from wakeline.operators.vessels import valid_vessels, vessel_counts
-from wakeline.plans.jobs import build_stages, load_report
+from wakeline.plans.jobs import build_stages, load_report, run_all
 from wakeline.session import scratch_path
-from wakeline.sources.csv import apply_row_cap, read_ais_csv, write_ais_csv
+from wakeline.sources.csv import read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
 from wakeline.sources.spread import spread
-from wakeline.sources.tables import merge_keep_existing, merge_replace
+from wakeline.sources.tables import merge_into_days, write_by_day, write_stage
 from wakeline.streaming.ingest import start_raw_ingest
 
 CFG = DEFAULT_CONFIG
-# the original loader's default cap on input rows
-REFERENCE_ROW_CAP = 1_000_000
-STREAM_TIMEOUT_S = 1800
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,15 +38,31 @@ def _stages(spark: SparkSession, sf_dir: str):
     return build_stages(ais_strings(spark, sf_dir), CFG)
 
 
+def _two_layouts(spark, sf_dir) -> list[str]:
+    """The fixture as two CSV folders: the real column order, and the reverse order."""
+    rows = ais_strings(spark, sf_dir)
+    paths = [scratch_path(spark, "ais-csv"), scratch_path(spark, "ais-csv-reversed")]
+    write_ais_csv(rows.where("row_id % 3 <> 0"), paths[0])
+    write_ais_csv(rows.where("row_id % 3 = 0"), paths[1], AIS_HEADERS[::-1])
+    return paths
+
+
 def q_csv_scan(spark, sf_dir):
-    """Fixture written as CSV with the real headers, read back by header name."""
-    path = scratch_path(spark, "ais-csv")
-    write_ais_csv(ais_strings(spark, sf_dir), path)
-    return read_ais_csv(spark, path).select("row_id", *FIELDS)
+    """CSV files of two column orders read back by header name."""
+    return read_ais_csv(spark, _two_layouts(spark, sf_dir)).select(*FIELDS)
 
 
-def q_row_cap(spark, sf_dir):
-    return positions_raw(apply_row_cap(ais_strings(spark, sf_dir), REFERENCE_ROW_CAP), CFG)
+def q_pipeline_tables(spark, sf_dir):
+    """The whole job from CSV files; report, bins and summary as read from the written tables."""
+    paths = run_all(spark, _two_layouts(spark, sf_dir), scratch_path(spark, "ais-tables"), CFG)
+    table = lambda name: spark.read.parquet(paths[name])
+    report = table("load_report").select(F.lit("load_report").alias("table_name"), F.col("metric").alias("name"), "value")
+    bins = table("delta_histogram").select(
+        F.lit("delta_histogram").alias("table_name"), F.format_string("bin_%02d", "bin").alias("name"), F.col("n").alias("value"))
+    summary = table("delta_summary")
+    values = summary.select(F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias("value"))
+                                                 for c in summary.columns))).alias("x"))
+    return report.unionByName(bins).unionByName(values.select(F.lit("delta_summary").alias("table_name"), "x.name", "x.value"))
 
 
 def q_typed_rows(spark, sf_dir):
@@ -117,7 +130,7 @@ def q_delta_summary(spark, sf_dir):
 
 
 def q_load_report(spark, sf_dir):
-    return load_report(_stages(spark, sf_dir), CFG)
+    return load_report(_stages(spark, sf_dir))
 
 
 def q_table_profile(spark, sf_dir):
@@ -130,9 +143,17 @@ def q_slice_profile(spark, sf_dir):
     return slice_profile({"positions_raw": st.raw, "positions_clean": st.clean}, 3)
 
 
-def q_bucket_profile(spark, sf_dir):
+def _placed(spark, df, name):
+    """``df`` written in the day layout and read back."""
+    path = scratch_path(spark, f"{name}-by-day")
+    write_by_day(df, path)
+    return spark.read.parquet(path)
+
+
+def q_layout_profile(spark, sf_dir):
+    """Rows and vessels per day, counted in tables that the layout writer has written."""
     st = _stages(spark, sf_dir)
-    return bucket_profile({"positions_raw": st.raw, "positions_clean": st.clean}, 3)
+    return layout_profile({n: _placed(spark, t, n) for n, t in (("positions_raw", st.raw), ("positions_clean", st.clean))})
 
 
 def q_sample_mmsi(spark, sf_dir):
@@ -143,34 +164,37 @@ def q_sample_mmsi(spark, sf_dir):
 
 
 def q_vessel_lookup(spark, sf_dir):
-    return vessel_lookup(_stages(spark, sf_dir).clean, 5)
+    """One vessel's first reports, looked up in the day layout."""
+    return vessel_lookup(_placed(spark, _stages(spark, sf_dir).clean, "positions_clean"), 5)
 
 
-def _merge_halves(spark, sf_dir):
-    """Overlapping halves of the raw table: target = first 12 hours, new = from 06:00 on,
-    with the new side's status text marked so matched rows show which side won."""
-    raw = positions_raw(ais_strings(spark, sf_dir), CFG)
-    target = raw.filter(F.col("ts") < F.lit("2026-04-18 12:00:00").cast("timestamp_ntz"))
-    new = (raw.filter(F.col("ts") >= F.lit("2026-04-18 06:00:00").cast("timestamp_ntz"))
-           .withColumn("nav_status", F.concat(F.col("nav_status"), F.lit(" (new)"))))
-    return target, new
+# the halves of the merge queries overlap in this half hour
+MERGE_FROM, MERGE_TO = "2026-04-19 00:00:00", "2026-04-19 00:30:00"
+
+
+def _merged(spark, sf_dir, when_matched):
+    """A table of the rows before ``MERGE_TO`` takes in those from ``MERGE_FROM`` on, whose
+    status text is marked so that matched rows show which side won."""
+    raw = write_stage(positions_raw(ais_strings(spark, sf_dir), CFG), "positions_raw")
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    path = scratch_path(spark, "merge-target")
+    write_by_day(raw.filter(F.col("ts") < at(MERGE_TO)), path)
+    new = raw.filter(F.col("ts") >= at(MERGE_FROM)).withColumn("nav_status", F.concat(F.col("nav_status"), F.lit(" (new)")))
+    return merge_into_days(spark, path, new, "row_id", when_matched).select("row_id", *FIELDS)
 
 
 def q_merge_keep_existing(spark, sf_dir):
-    target, new = _merge_halves(spark, sf_dir)
-    return merge_keep_existing(target, new, "row_id")
+    return _merged(spark, sf_dir, "keep")
 
 
 def q_merge_replace(spark, sf_dir):
-    target, new = _merge_halves(spark, sf_dir)
-    return merge_replace(target, new, "row_id")
+    return _merged(spark, sf_dir, "replace")
 
 
 def q_events_inter_arrival(spark, sf_dir):
     """The gap operator on another entity time series: events per user (microsecond times)."""
     ev = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts"))
-    with_prev = with_previous_time(ev, key="user_id", ts="ts", order_id="event_id",
-                                   bucket_seconds=CFG.lag_bucket_seconds)
+    with_prev = with_previous_time(ev, key="user_id", ts="ts", order_id="event_id")
     return (with_prev.filter(F.col("prev_ts").isNotNull())
             .select("event_id", "user_id", "ts", "prev_ts", ms_between("prev_ts", "ts").alias("delta_ms")))
 
@@ -182,15 +206,12 @@ def q_stream_ingest(spark, sf_dir):
     out = scratch_path(spark, "ais-stream-out")
     query = start_raw_ingest(spark, src, out, CFG, checkpoint_location=scratch_path(spark, "ais-stream-ckpt"),
                              max_files_per_trigger=2)
-    if not query.awaitTermination(STREAM_TIMEOUT_S):
-        query.stop()
-        raise TimeoutError(f"streaming ingest did not finish within {STREAM_TIMEOUT_S} s")
+    query.awaitTermination()
     return spark.read.parquet(out).select(*FIELDS)
 
 
 QUERIES: dict[str, Query] = {
     "ais_csv_scan": q_csv_scan,
-    "ais_row_cap": q_row_cap,
     "ais_typed_rows": q_typed_rows,
     "ais_scalar_battery": q_scalar_battery,
     "ais_distance_nm": q_distance_nm,
@@ -205,7 +226,8 @@ QUERIES: dict[str, Query] = {
     "ais_load_report": q_load_report,
     "ais_table_profile": q_table_profile,
     "ais_slice_profile": q_slice_profile,
-    "layout_bucket_profile": q_bucket_profile,
+    "ais_layout_profile": q_layout_profile,
+    "ais_pipeline_tables": q_pipeline_tables,
     "ais_sample_mmsi": q_sample_mmsi,
     "ais_vessel_lookup": q_vessel_lookup,
     "merge_keep_existing": q_merge_keep_existing,

@@ -6,7 +6,7 @@ The driver data holds no AIS reports, so the test input is derived from
 
 ``e`` = event_id, ``v`` merges user pairs into one vessel so that about half of
 the vessels hover around the 100-report threshold, and every fourth event shares
-a second so that equal timestamps (ties) occur.  Edge values (bad time, bad
+a second so that equal timestamps (ties) occur. Times run over up to nine days.  Edge values (bad time, bad
 MMSI, zero / out-of-range coordinates, unknown status, NaN rate of turn, ...)
 are injected at fixed event-id residues.
 """
@@ -19,7 +19,10 @@ from wakeline.config import AIS_HEADERS
 from wakeline.sources.spread import spread
 
 _V = "(CASE WHEN user_id % 3 = 0 THEN user_id ELSE user_id - user_id % 3 + 1 END)"
-_SEC = "(((event_id - event_id % 4) * 8) % 86400)"
+# seconds from 23:00 of the first day on, so that gaps across midnight occur at every size
+_T = "(82800 + (event_id - event_id % 4) * 8)"
+_DAY = f"(({_T} - {_T} % 86400) / 86400)"
+_SEC = f"({_T} % 86400)"
 
 
 def _s(x: str) -> str:
@@ -39,7 +42,7 @@ FIXTURE_EXPRS = {
     "ts": (
         "CASE WHEN event_id % 101 = 0 THEN 'not a time' "
         "WHEN event_id % 103 = 0 THEN '31/02/2026 00:00:00' "
-        f"ELSE '18/04/2026 ' || {_pad2(_HH)} || ':' || {_pad2(_MI)} || ':' || {_pad2(_SS)} END"
+        f"ELSE {_s(f'CAST(18 + {_DAY} % 9 AS INT)')} || '/04/2026 ' || {_pad2(_HH)} || ':' || {_pad2(_MI)} || ':' || {_pad2(_SS)} END"
     ),
     "mobile_type": "'Class A'",
     "mmsi": (
