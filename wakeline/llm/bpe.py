@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.tokens import slices
+
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 SPACES = " \t\n\x0b\x0c\r"
 MARK = "\x01"
@@ -213,7 +215,7 @@ def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -
 
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, "text", 2 << 20):
             done = [enc.leaf_and_text(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.string())],
@@ -221,7 +223,7 @@ def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        for batch in batches:
+        for batch in slices(batches, "piece", 2 << 20):
             ids = [enc.leaf(t) for t in batch.column("piece").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
 
