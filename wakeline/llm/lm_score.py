@@ -39,7 +39,7 @@ START = 0
 END_WORD = U64(0xE0D)
 FLUSH_TOKENS = 1_000_000
 FLUSH_DOCS = 60_000
-BUCKET_TEXT = 8 << 20        # bytes of text per bucket
+BUCKET_TEXT = 4 << 20        # bytes of text per bucket
 SCORE_TEXT = 100 << 20        # bytes of text per scoring task
 ONE_BY_ONE = 256
 
@@ -252,7 +252,8 @@ def seat(customers: np.ndarray, strength: np.ndarray | float, discount: float, p
         block = 1 if done < ONE_BY_ONE else done // 16
         k = int(np.searchsorted(-n, -done, side="left"))  # dishes with more customers than are seated
         opens = (s[:k] + discount * t[:k]) * p[:k]
-        q = opens / (opens + done - discount * t[:k])
+        # in the middle of the block
+        q = opens / (opens + done + (block - 1) / 2 - discount * t[:k])
         if block == 1:
             t[:k] += rng.random(k) < q
         else:
@@ -265,7 +266,7 @@ def seat(customers: np.ndarray, strength: np.ndarray | float, discount: float, p
 class Bucket:
     """The cells of one bucket and their seatings, replayed sweep by sweep."""
 
-    def __init__(self, number: int, columns: dict[str, bytes], totals: Totals, params: LmParams):
+    def __init__(self, number: int, columns: dict[str, pa.Buffer], totals: Totals, params: LmParams):
         self.number, self.totals, self.params = number, totals, params
         x = {c: np.frombuffer(columns[c], STATE[c]).astype(np.int64) for c in ("word_count", "word_hot", "word_cells", "cell_context", "cell_count")}
         self.word_count, self.word_hot, self.context, self.count = x["word_count"], x["word_hot"], x["cell_context"], x["cell_count"]
@@ -348,8 +349,8 @@ def _total_batch(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(what[some]), pa.array(key[some]), pa.array(value[some])], ["what", "key", "value"])
 
 
-def _columns(batch: pa.RecordBatch, k: int) -> dict[str, bytes]:
-    return {c: batch.column(c)[k].as_py() for c in batch.schema.names if c in STATE}
+def _columns(batch: pa.RecordBatch, k: int) -> dict[str, pa.Buffer]:
+    return {c: batch.column(c)[k].as_buffer() for c in batch.schema.names if c in STATE}
 
 
 def _sweep_totals(n_hot: int, totals: Totals | None, sweep: int, params: LmParams):
