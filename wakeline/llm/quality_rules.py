@@ -43,7 +43,7 @@ RULES = (
     Rule("mean_word_chars", low=2, high=15),
     Rule("symbols_per_word", high=0.1),
     Rule("stop_word_share", low=0.02),
-    Rule("dup_line_share", high=0.3),
+    Rule("dup_line_share", high=0.5),  # a text of a few lines may repeat one
     Rule("bullet_line_share", high=0.9),
     Rule("ellipsis_line_share", high=0.3),
     Rule("repeat_word_share", high=0.5),
