@@ -176,6 +176,17 @@ STATE = {"word_count": "<u4", "word_hot": "<i4", "word_cells": "<u4", "cell_cont
 GATHERED = "bucket int, kind int, first_row long, doc_ids binary, held binary, " + ", ".join(f"{c} binary" for c in STATE)
 
 
+def squeeze(x: np.ndarray, kind: str) -> bytes:
+    """An array as compressed bytes behind its size: most counts are 1, most steps are small."""
+    raw = x.astype(kind).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: pa.Buffer, kind: str) -> np.ndarray:
+    n = int.from_bytes(data[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(data[8:], n, codec="zstd"), kind)
+
+
 def _runs(size: np.ndarray) -> np.ndarray:
     """Index of the run that each element belongs to."""
     return np.repeat(np.arange(len(size)), size)
@@ -209,7 +220,7 @@ def _gather(hot: np.ndarray):
                      "cell_count": cell_count, "cell_records": np.diff(np.append(first, len(key))), "record_doc": doc_index,
                      "record_n": times >> 1, "doc_step": np.diff(uid, prepend=0)}
             out.append(pd.DataFrame({"bucket": [bucket], "kind": [1], "first_row": [0],
-                                     **{c: [x.astype(STATE[c]).tobytes()] for c, x in state.items()}}))
+                                     **{c: [squeeze(x, STATE[c])] for c, x in state.items()}}))
         both = pd.concat(out, ignore_index=True)
         return both.reindex(columns=["bucket", "kind", "first_row", "doc_ids", "held", *STATE]).astype(object).where(lambda f: f.notna(), None)
     return gather
@@ -268,7 +279,7 @@ class Bucket:
 
     def __init__(self, number: int, columns: dict[str, pa.Buffer], totals: Totals, params: LmParams):
         self.number, self.totals, self.params = number, totals, params
-        x = {c: np.frombuffer(columns[c], STATE[c]).astype(np.int64) for c in ("word_count", "word_hot", "word_cells", "cell_context", "cell_count")}
+        x = {c: unsqueeze(columns[c], STATE[c]).astype(np.int64) for c in ("word_count", "word_hot", "word_cells", "cell_context", "cell_count")}
         self.word_count, self.word_hot, self.context, self.count = x["word_count"], x["word_hot"], x["cell_context"], x["cell_count"]
         self.word = _runs(x["word_cells"])
         self.hot = self.word_hot >= 0
@@ -417,7 +428,7 @@ def _score(totals: Totals, params: LmParams):
             for k in range(batch.num_rows):
                 columns = _columns(batch, k)
                 b = Bucket(batch.column("bucket")[k].as_py(), columns, totals, params)
-                x = {c: np.frombuffer(columns[c], STATE[c]).astype(np.int64) for c in ("cell_records", "record_doc", "record_n", "doc_step")}
+                x = {c: unsqueeze(columns[c], STATE[c]).astype(np.int64) for c in ("cell_records", "record_doc", "record_n", "doc_step")}
                 mean = np.zeros(len(b.count))
                 while b.sweep < params.sweeps:
                     b.reseat()
