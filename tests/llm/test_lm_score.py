@@ -7,10 +7,11 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import SF001, SF01
-from wakeline.llm.lm_score import LmParams, op7_pitman_yor_lm, score_corpus, seat
+from wakeline.llm.lm_score import CONTEXTS, STATE, Bucket, LmParams, gather_corpus, op7_pitman_yor_lm, score_corpus, seat, train
 
 
 def tokens(text):
@@ -40,21 +41,57 @@ def test_base_figures_and_gain(spark, sf_dir):
     assert sum(r.score for r in held) > 0.95 * sum(r.base_score for r in held)  # a better log probability
 
 
-def test_next_words_sum_to_one(spark):
-    """All one-word continuations of one context: known words and one unknown word, each in a text of its own."""
-    learn = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2][:60]
-    held = [i for i in range(1000, 9000) if zlib.crc32(str(i).encode()) % 7 == 2]
-    words = [f"w{k}" for k in range(12)]
-    rows = [(i, " ".join(words[(i * k) % 12] for k in range(1, 30))) for i in learn]
-    # the model of "w1 X": probability of X after w1 is p(w1 X) / p(w1) without the ends
-    probe = [*words, "unseen"]
-    asked = dict(zip(held, [f"w1 {w}" for w in probe]))
-    got = {r.doc_id: r for r in score_corpus(spark.createDataFrame(rows + list(asked.items()), "doc_id long, text string"), LmParams(sweeps=2, burn_in=1)).collect()}
-    single = {w: i for w, i in zip(probe, held)}
-    # p(text) = p(w1|start) p(X|w1) p(end|X); texts "w1" and "X" give p(w1|start) p(end|w1) and so on, so compare in full
-    assert all(got[single[w]].score < 0 for w in probe)
-    p = np.array([10 ** got[single[w]].score for w in probe])
-    assert 0 < p.sum() <= 1
+@pytest.mark.parametrize("width", ["8", "200"])
+def test_next_words_sum_to_one(spark, width):
+    """p(w) over the vocabulary and one unknown word, and p(w|u) over it for any context; also with hot words and cells."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        docs = spark.read.parquet(f"{SF001}/documents.parquet")
+        gathered, hot, _ = gather_corpus(docs)
+        params = LmParams()
+        buckets = gathered.where("kind = 1")
+        t = train(buckets, hot, params)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert (len(hot.cell_word) > 0) == (width == "200")
+    s, k, p = params.strength, params.sweeps, {}
+    seen = np.zeros(CONTEXTS)  # customers less discounts, by context
+    for r in buckets.collect():
+        b = Bucket(r.bucket, {c: pa.py_buffer(bytes(r[c])) for c in STATE}, t, params)
+        while b.sweep < k:
+            b.reseat()
+        parent = b.parent(t.root_tables[k])
+        hot_words = b.word_hot >= 0
+        p.update(zip(b.word_hot[hot_words].tolist(), parent[hot_words].tolist()))  # a hot word is in many buckets
+        known = (b.word_count > 0) & ~hot_words
+        p[f"bucket {r.bucket}"] = float(parent[known].sum())
+        seen += np.bincount(b.context[b.several], weights=b.count[b.several] - t.discount * b.tables, minlength=CONTEXTS)
+        seen += (1 - t.discount) * b.single_by_context
+    seen += np.bincount(hot.cell_context, weights=t.hot_cell_count - t.discount * t.hot_cell_tables[k], minlength=CONTEXTS)
+    unknown = (s + t.root_discount * t.root_tables[k]) / (t.vocabulary + 1) / (s + t.tables[k].sum())
+    assert sum(p.values()) + unknown == pytest.approx(1, abs=1e-9)
+    # sum over w of p(w|u) = (customers less discounts + strength and discounts) / (strength + customers)
+    total = (seen + s + t.discount * t.tables[k]) / (s + t.context_count)
+    assert np.allclose(total, 1, atol=1e-9)
+
+
+def test_hot_words_and_cells_score_alike(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("doc_id < 300")
+    got = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    for width in ("8", "300"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        try:
+            got.append({r.doc_id: r for r in score_corpus(docs).collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    one, many = got
+    for i, r in one.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (many[i].n_tokens, many[i].n_known, many[i].train_tokens)
+        assert r.base_score == pytest.approx(many[i].base_score, rel=1e-9)
+        assert r.score == pytest.approx(many[i].score, rel=0.05)  # another random seating
+    assert sum(r.score for r in one.values()) == pytest.approx(sum(r.score for r in many.values()), rel=0.003)
 
 
 def test_seating_has_the_chinese_restaurant_mean():

@@ -14,8 +14,8 @@ tables a cell needs only its number of tables, so all cells of a bucket are seat
 Probabilities are averaged over the sweeps after the burn-in.
 
 On the cluster: occurrences are folded to (cell, document, count) in the scan and dealt
-to buckets by word; the few words that are large next to a bucket are dealt by cell, and
-their parent counts travel with the totals. A bucket holds all it needs for training
+to buckets by word; the few words that are large next to a bucket are dealt by cell, the
+occurrences of a cell that is so large by task, and their counts travel with the totals. A bucket holds all it needs for training
 and scoring its cells. A sweep returns totals per context only; its seating is not
 stored but replayed from its seed and those totals, so a lost task repeats it exactly.
 """
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -73,44 +74,77 @@ def document_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.repeat(np.arange(n), per_text + 1), token, context
 
 
-def hot_words(rows: DataFrame, n_buckets: int) -> np.ndarray:
-    """Words with more than an eighth of a bucket's tokens, sorted (fewer than 16 per bucket).
+class Hot(NamedTuple):
+    """Words, and cells of them, that are large next to a bucket. Both sorted; cells as (index of the word, context)."""
 
-    They only decide where cells are dealt; a task leaves out words far below the bound.
+    words: np.ndarray
+    cell_word: np.ndarray
+    cell_context: np.ndarray
+
+    def word_index(self, word: np.ndarray) -> np.ndarray:
+        """Index of each word, -1 for words that are not hot."""
+        if not len(self.words):
+            return np.full(len(word), -1)
+        at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+        return np.where(self.words[at] == word, at, -1)
+
+    def cell_index(self, word_index: np.ndarray, context: np.ndarray) -> np.ndarray:
+        if not len(self.cell_word):
+            return np.full(len(word_index), -1)
+        cells = self.cell_word * CONTEXTS + self.cell_context
+        key = word_index * CONTEXTS + context
+        at = np.minimum(np.searchsorted(cells, key), len(cells) - 1)
+        return np.where((word_index >= 0) & (cells[at] == key), at, -1)
+
+
+def find_hot(rows: DataFrame, n_buckets: int) -> Hot:
+    """Words and cells with more than an eighth of a bucket's tokens (fewer than 16 of each per bucket).
+
+    They only decide where occurrences are dealt; a task leaves out what is far below the bound.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def summary() -> pa.RecordBatch:
-            word, n = np.unique(np.concatenate(kept), return_counts=True)
-            big = n * (16 * n_buckets) >= n.sum()
-            total = np.append(n[big], n.sum())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.append(word[big], U64(0)).astype(np.int64)), pa.array(total), pa.array(np.arange(len(total)) == len(total) - 1)],
-                ["word", "n", "is_total"])
+            token, context = (np.concatenate(x) for x in zip(*kept))
+            word, inverse, n = np.unique(token, return_inverse=True, return_counts=True)
+            big = n * (16 * n_buckets) >= len(token)
+            of_big = np.flatnonzero(big[inverse])
+            cell, m = np.unique(inverse[of_big] * CONTEXTS + context[of_big], return_counts=True)
+            large = m * (16 * n_buckets) >= len(token)
+            cell, m = cell[large], m[large]
+            words = np.concatenate([word[big], word[cell // CONTEXTS], np.zeros(1, U64)]).astype(np.int64)
+            contexts = np.concatenate([np.full(int(big.sum()), -1), cell % CONTEXTS, [-2]])  # -1: a word, -2: all tokens
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(contexts), pa.array(np.concatenate([n[big], m, [len(token)]]))],
+                                              ["word", "context", "n"])
 
         for batch in slices(batches, "text"):
-            kept.append(document_tokens(batch.column("text"))[1])
-            size += len(kept[-1])
+            kept.append(document_tokens(batch.column("text"))[1:])
+            size += len(kept[-1][0])
             if size >= FLUSH_TOKENS:
                 yield summary()
                 kept, size = [], 0
         if kept:
             yield summary()
 
-    counted = rows.select("text").mapInArrow(count, "word long, n long, is_total boolean")
-    sums = counted.groupBy("word", "is_total").agg(F.sum("n").alias("n"))
-    total = sums.where("is_total").agg(F.sum("n")).first()[0] or 0
-    found = sums.where(~F.col("is_total") & (F.col("n") * 8 * n_buckets >= total)).select("word").collect()
-    return np.sort(np.array([r["word"] for r in found], np.int64).astype(U64))
-
-
-def _bucket_of(word: np.ndarray, context: np.ndarray, hot: np.ndarray, n_buckets: int) -> np.ndarray:
-    key = word
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, word), len(hot) - 1)
-        key = np.where(hot[at] == word, mix(word + context.astype(U64), 52), word)
+    counted = rows.select("text").mapInArrow(count, "word long, context long, n long")
+    sums = counted.groupBy("word", "context").agg(F.sum("n").alias("n"))
+    total = sums.where("context = -2").agg(F.sum("n")).first()[0] or 0
+    found = sums.where((F.col("context") >= -1) & (F.col("n") * 8 * n_buckets >= total)).select("word", "context").collect()
+    words = np.sort(np.array([r["word"] for r in found if r["context"] == -1], np.int64).astype(U64))
+    index = {int(w): i for i, w in enumerate(words.astype(np.int64).tolist())}
+    cells = np.array(sorted((index[r["word"]], r["context"]) for r in found if r["context"] >= 0), np.int64).reshape(-1, 2)
+    return Hot(words, cells[:, 0], cells[:, 1])
+
+
+def _bucket_of(word: np.ndarray, context: np.ndarray, salt: int, hot: Hot, n_buckets: int) -> np.ndarray:
+    """By word; cells of a hot word each on their own; a hot cell's occurrences wherever ``salt`` puts them."""
+    index = hot.word_index(word)
+    cell = hot.cell_index(index, context)
+    with np.errstate(over="ignore"):
+        key = np.where(index >= 0, mix(word + context.astype(U64), 52), word)
+        key = np.where(cell >= 0, mix(key + U64(salt), 54), key)
     return (mix(key, 53) % U64(n_buckets)).astype(np.int64)
 
 
@@ -118,7 +152,7 @@ BLOBS = {"words": "<u8", "word_cells": "<u4", "cell_context": "<u2", "cell_recor
 DEALT = "bucket int, kind int, first_row long, doc_ids binary, held binary, " + ", ".join(f"{c} binary" for c in BLOBS)
 
 
-def _deal(hot: np.ndarray, n_buckets: int):
+def _deal(hot: Hot, n_buckets: int):
     """Occurrences folded per (cell, document) and packed per bucket; documents packed per flush."""
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("first_row", pa.int64()),
                         ("doc_ids", pa.binary()), ("held", pa.binary()), *((c, pa.binary()) for c in BLOBS)])
@@ -129,7 +163,7 @@ def _deal(hot: np.ndarray, n_buckets: int):
         row_n = (doc - first).astype(np.int64)[row]
         yield pa.RecordBatch.from_pylist([{"bucket": first % n_buckets, "kind": 0, "first_row": first,
                                            "doc_ids": doc_id.astype("<i8").tobytes(), "held": held.astype("<u1").tobytes()}], schema=schema)
-        bucket = _bucket_of(word, context, hot, n_buckets)
+        bucket = _bucket_of(word, context, first, hot, n_buckets)
         order = np.lexsort((row_n, context, word, bucket))
         b, w, u, d = bucket[order], word[order], context[order], row_n[order]
         new_bucket = np.append(True, b[1:] != b[:-1])
@@ -171,7 +205,7 @@ def _deal(hot: np.ndarray, n_buckets: int):
     return deal
 
 
-STATE = {"word_count": "<u4", "word_hot": "<i4", "word_cells": "<u4", "cell_context": "<u2", "cell_count": "<u4",
+STATE = {"word_count": "<u4", "word_hot": "<i4", "word_cells": "<u4", "cell_context": "<u2", "cell_hot": "<i4", "cell_count": "<u4",
          "cell_records": "<u4", "record_doc": "<u4", "record_n": "<u4", "doc_step": "<u8"}
 GATHERED = "bucket int, kind int, first_row long, doc_ids binary, held binary, " + ", ".join(f"{c} binary" for c in STATE)
 
@@ -192,7 +226,7 @@ def _runs(size: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(size)), size)
 
 
-def _gather(hot: np.ndarray):
+def _gather(hot: Hot):
     """One bucket's blobs as sorted cells with training counts and the records of each cell."""
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         bucket = int(rows["bucket"].iloc[0])
@@ -213,10 +247,10 @@ def _gather(hot: np.ndarray):
             learned = np.where(times & 1, times >> 1, 0)
             cell_count = np.add.reduceat(learned, first)
             cell_word = key[first] >> 14
-            at = np.minimum(np.searchsorted(hot, words), max(len(hot) - 1, 0))
-            is_hot = hot[at] == words if len(hot) else np.zeros(len(words), bool)
-            state = {"word_count": np.bincount(cell_word, weights=cell_count, minlength=len(words)), "word_hot": np.where(is_hot, at, -1),
+            word_hot = hot.word_index(words)
+            state = {"word_count": np.bincount(cell_word, weights=cell_count, minlength=len(words)), "word_hot": word_hot,
                      "word_cells": np.bincount(cell_word, minlength=len(words)), "cell_context": key[first] & (CONTEXTS - 1),
+                     "cell_hot": hot.cell_index(word_hot[cell_word], key[first] & (CONTEXTS - 1)),
                      "cell_count": cell_count, "cell_records": np.diff(np.append(first, len(key))), "record_doc": doc_index,
                      "record_n": times >> 1, "doc_step": np.diff(uid, prepend=0)}
             out.append(pd.DataFrame({"bucket": [bucket], "kind": [1], "first_row": [0],
@@ -238,6 +272,8 @@ class Totals:
     hot_count: np.ndarray = field(default_factory=lambda: np.zeros(0))
     tables: list[np.ndarray] = field(default_factory=list)       # per sweep: tables by context
     hot_customers: list[np.ndarray] = field(default_factory=list)  # per sweep: parent customers by hot word
+    hot_cell_count: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    hot_cell_tables: list[np.ndarray] = field(default_factory=list)  # per sweep
     root_tables: list[float] = field(default_factory=list)       # per sweep
 
 
@@ -279,14 +315,15 @@ class Bucket:
 
     def __init__(self, number: int, columns: dict[str, pa.Buffer], totals: Totals, params: LmParams):
         self.number, self.totals, self.params = number, totals, params
-        x = {c: unsqueeze(columns[c], STATE[c]).astype(np.int64) for c in ("word_count", "word_hot", "word_cells", "cell_context", "cell_count")}
+        x = {c: unsqueeze(columns[c], STATE[c]).astype(np.int64) for c in ("word_count", "word_hot", "word_cells", "cell_context", "cell_hot", "cell_count")}
         self.word_count, self.word_hot, self.context, self.count = x["word_count"], x["word_hot"], x["cell_context"], x["cell_count"]
         self.word = _runs(x["word_cells"])
         self.hot = self.word_hot >= 0
         # a cell of one customer has one table whatever happens: only the others are seated anew
-        self.several = np.flatnonzero(self.count > 1)
+        self.cell_hot, self.in_hot = x["cell_hot"], x["cell_hot"] >= 0  # a hot cell's occurrences are in many buckets
+        self.several = np.flatnonzero((self.count > 1) & ~self.in_hot)
         self.tables = np.ones(len(self.several))
-        single = self.count == 1
+        single = (self.count == 1) & ~self.in_hot
         self.single_by_word = np.bincount(self.word[single], minlength=len(self.word_count))
         self.single_by_context = np.bincount(self.context[single], minlength=CONTEXTS)
         self.sweep = 0
@@ -295,7 +332,7 @@ class Bucket:
         return np.random.default_rng([self.params.seed, *key])
 
     def customers(self) -> np.ndarray:
-        """Customers of the parent by word; for hot words this bucket's part."""
+        """Customers of the parent by word; for hot words this bucket's part, without the hot cells."""
         return self.single_by_word + np.bincount(self.word[self.several], weights=self.tables, minlength=len(self.word_count))
 
     def tables_by_context(self) -> np.ndarray:
@@ -336,9 +373,12 @@ class Bucket:
         parent = self.parent(t.root_tables[s])
         seen = strength + t.context_count[self.context]
         new = strength + t.discount * t.tables[s][self.context]
-        tables = np.minimum(self.count, 1).astype(np.float64)
+        count = self.count.astype(np.float64)
+        tables = np.minimum(count, 1)
         tables[self.several] = self.tables
-        return (self.count - t.discount * tables + new * parent[self.word]) / seen
+        count[self.in_hot] = t.hot_cell_count[self.cell_hot[self.in_hot]]
+        tables[self.in_hot] = t.hot_cell_tables[s][self.cell_hot[self.in_hot]]
+        return (count - t.discount * tables + new * parent[self.word]) / seen
 
 
 def hot_root_tables(t: Totals, sweep: int, params: LmParams) -> np.ndarray:
@@ -348,8 +388,18 @@ def hot_root_tables(t: Totals, sweep: int, params: LmParams) -> np.ndarray:
                 1 / (t.vocabulary + 1), np.random.default_rng([params.seed, sweep, 3]))
 
 
+def reseat_hot_cells(t: Totals, sweep: int, hot: Hot, params: LmParams) -> np.ndarray:
+    """Tables of the hot cells after sweep ``sweep + 1``; their words are hot, so the totals say all about them."""
+    c, tables = t.hot_customers[sweep], hot_root_tables(t, sweep, params)
+    root = t.root_tables[sweep - 1] if sweep else float(t.vocabulary)
+    parent = (c - t.root_discount * tables + (params.strength + t.root_discount * root) / (t.vocabulary + 1)) / (params.strength + t.tables[sweep].sum())
+    others = t.tables[sweep][hot.cell_context] - t.hot_cell_tables[sweep]
+    return seat(t.hot_cell_count.astype(np.int64), params.strength + t.discount * others, t.discount, parent[hot.cell_word],
+                np.random.default_rng([params.seed, sweep, 4]))
+
+
 TOTAL_ROWS = "what int, key int, value double"
-CONTEXT_COUNT, TABLES, HOT_COUNT, HOT_CUSTOMERS, SCALAR = range(5)
+CONTEXT_COUNT, TABLES, HOT_COUNT, HOT_CUSTOMERS, HOT_CELL_COUNT, SCALAR = range(6)
 
 
 def _total_batch(parts: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
@@ -364,7 +414,7 @@ def _columns(batch: pa.RecordBatch, k: int) -> dict[str, pa.Buffer]:
     return {c: batch.column(c)[k].as_buffer() for c in batch.schema.names if c in STATE}
 
 
-def _sweep_totals(n_hot: int, totals: Totals | None, sweep: int, params: LmParams):
+def _sweep_totals(hot: Hot, totals: Totals | None, sweep: int, params: LmParams):
     """Totals of all buckets after ``sweep`` sweeps; the first call counts the corpus."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,10 +423,11 @@ def _sweep_totals(n_hot: int, totals: Totals | None, sweep: int, params: LmParam
                 parts = []
                 if totals is None:
                     cells = np.bincount(b.word, weights=b.count > 0, minlength=len(b.word_count))
-                    own = ~b.hot
+                    own, cold = ~b.hot, ~b.in_hot
+                    parts.append((HOT_CELL_COUNT, np.bincount(b.cell_hot[b.in_hot], weights=b.count[b.in_hot], minlength=len(hot.cell_word))))
                     parts.append((CONTEXT_COUNT, np.bincount(b.context, weights=b.count, minlength=CONTEXTS)))
-                    parts.append((HOT_COUNT, np.bincount(b.word_hot[b.hot], weights=b.word_count[b.hot], minlength=n_hot)))
-                    parts.append((SCALAR, np.array([0.0, (own & (b.word_count > 0)).sum(), (b.count == 1).sum(), (b.count == 2).sum(),
+                    parts.append((HOT_COUNT, np.bincount(b.word_hot[b.hot], weights=b.word_count[b.hot], minlength=len(hot.words))))
+                    parts.append((SCALAR, np.array([0.0, (own & (b.word_count > 0)).sum(), (cold & (b.count == 1)).sum(), (cold & (b.count == 2)).sum(),
                                                     (own & (cells == 1)).sum(), (own & (cells == 2)).sum()])))
                 else:
                     while b.sweep < sweep - 1:
@@ -386,36 +437,44 @@ def _sweep_totals(n_hot: int, totals: Totals | None, sweep: int, params: LmParam
                         if sweep <= params.sweeps:
                             b.reseat()
                 parts.append((TABLES, b.tables_by_context()))
-                parts.append((HOT_CUSTOMERS, np.bincount(b.word_hot[b.hot], weights=b.customers()[b.hot], minlength=n_hot)))
+                parts.append((HOT_CUSTOMERS, np.bincount(b.word_hot[b.hot], weights=b.customers()[b.hot], minlength=len(hot.words))))
                 yield _total_batch(parts)
     return run
 
 
-def _collect_totals(buckets: DataFrame, run, n_hot: int) -> dict[int, np.ndarray]:
-    size = {CONTEXT_COUNT: CONTEXTS, TABLES: CONTEXTS, HOT_COUNT: n_hot, HOT_CUSTOMERS: n_hot, SCALAR: 8}
+def _collect_totals(buckets: DataFrame, run, hot: Hot) -> dict[int, np.ndarray]:
+    size = {CONTEXT_COUNT: CONTEXTS, TABLES: CONTEXTS, HOT_COUNT: len(hot.words), HOT_CUSTOMERS: len(hot.words),
+            HOT_CELL_COUNT: len(hot.cell_word), SCALAR: 8}
     got = {w: np.zeros(n) for w, n in size.items()}
-    # at most 2 CONTEXTS + 2 n_hot + 8 rows, whatever the corpus
+    # at most 2 CONTEXTS rows and a few for each hot word and cell, whatever the corpus
     for r in buckets.mapInArrow(run, TOTAL_ROWS).groupBy("what", "key").agg(F.sum("value").alias("value")).collect():
         got[r["what"]][r["key"]] = r["value"]
     return got
 
 
-def train(buckets: DataFrame, hot: np.ndarray, params: LmParams) -> Totals:
+def train(buckets: DataFrame, hot: Hot, params: LmParams) -> Totals:
     """Run the sweeps; returns the totals from which all seatings can be replayed."""
-    cells = buckets.select("bucket", "word_count", "word_hot", "word_cells", "cell_context", "cell_count")
-    got = _collect_totals(cells, _sweep_totals(len(hot), None, 0, params), len(hot))
+    cells = buckets.select("bucket", "word_count", "word_hot", "word_cells", "cell_context", "cell_hot", "cell_count")
+    got = _collect_totals(cells, _sweep_totals(hot, None, 0, params), hot)
     _, words, once, twice, root_once, root_twice = got[SCALAR][:6]
     estimate = lambda a, b: float(np.clip(a / (a + 2 * b), 0.05, 0.95)) if a else 0.5
     t = Totals(tokens=int(got[CONTEXT_COUNT].sum()), vocabulary=int(words + (got[HOT_COUNT] > 0).sum()),
                discount=estimate(once, twice), root_discount=estimate(root_once, root_twice),
-               context_count=got[CONTEXT_COUNT], hot_count=got[HOT_COUNT],
-               tables=[got[TABLES]], hot_customers=[got[HOT_CUSTOMERS]])
+               context_count=got[CONTEXT_COUNT], hot_count=got[HOT_COUNT], hot_cell_count=got[HOT_CELL_COUNT])
+
+    def add(tables: np.ndarray, customers: np.ndarray, of_hot_cells: np.ndarray) -> None:
+        """A sweep's totals: those of the buckets, and the hot cells, which are in no bucket's sums."""
+        t.tables.append(tables + np.bincount(hot.cell_context, weights=of_hot_cells, minlength=CONTEXTS))
+        t.hot_customers.append(customers + np.bincount(hot.cell_word, weights=of_hot_cells, minlength=len(hot.words)))
+        t.hot_cell_tables.append(of_hot_cells)
+
+    add(got[TABLES], got[HOT_CUSTOMERS], np.minimum(t.hot_cell_count, 1))
     for sweep in range(1, params.sweeps + 2):  # the last call only counts the parent's tables of the last seating
-        got = _collect_totals(cells, _sweep_totals(len(hot), t, sweep, params), len(hot))
+        got = _collect_totals(cells, _sweep_totals(hot, t, sweep, params), hot)
+        of_hot_cells = reseat_hot_cells(t, sweep - 1, hot, params)
         t.root_tables.append(float(got[SCALAR][0] + hot_root_tables(t, sweep - 1, params).sum()))
         if sweep <= params.sweeps:
-            t.tables.append(got[TABLES])
-            t.hot_customers.append(got[HOT_CUSTOMERS])
+            add(got[TABLES], got[HOT_CUSTOMERS], of_hot_cells)
     return t
 
 
@@ -457,6 +516,20 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(ids, mask=held > 1), pa.array(held == 1)], ["row", "doc_id", "held_out"])
 
 
+def gather_corpus(docs: DataFrame) -> tuple[DataFrame, Hot, int]:
+    """The stored buckets and document names, the hot words and cells, and the bytes of text."""
+    spark = docs.sparkSession
+    doc_id = docs["doc_id"].cast("long")
+    rows = docs.select(
+        doc_id.alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"),
+        F.when(doc_id.isNull(), 2).otherwise((F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2).cast("int")).alias("held_out"))
+    n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n_buckets = shuffle_width(spark, n_bytes, BUCKET_TEXT)
+    hot = find_hot(rows, n_buckets)
+    gathered = stored(rows.mapInArrow(_deal(hot, n_buckets), DEALT).groupBy("bucket").applyInPandas(_gather(hot), GATHERED), "lm-buckets")
+    return gathered, hot, n_bytes
+
+
 def score_corpus(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
@@ -470,14 +543,7 @@ def score_corpus(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
     probability; an empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    doc_id = docs["doc_id"].cast("long")
-    rows = docs.select(
-        doc_id.alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"),
-        F.when(doc_id.isNull(), 2).otherwise((F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2).cast("int")).alias("held_out"))
-    n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    n_buckets = shuffle_width(spark, n_bytes, BUCKET_TEXT)
-    hot = hot_words(rows, n_buckets)
-    gathered = stored(rows.mapInArrow(_deal(hot, n_buckets), DEALT).groupBy("bucket").applyInPandas(_gather(hot), GATHERED), "lm-buckets")
+    gathered, hot, n_bytes = gather_corpus(docs)
     buckets = gathered.where("kind = 1")
     totals = train(buckets, hot, params)
     # few large tasks: what a task has scored of a document is summed before the shuffle
