@@ -14,7 +14,7 @@ result is fixed by its neighbouring pairs. A window that has grown over a whole
 settles that side in any case.
 
 Leaves take each distinct white-space separated word through the library once and keep
-its ids in a memo of two bounded generations: no step of the tokenizer looks across ASCII white space.
+its ids, while the task runs, in a memo of two bounded generations: no step of the tokenizer looks across ASCII white space.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.tokens import slices
+from wakeline.llm.tokens import give_back, slices
 
 WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 SPACES = " \t\n\x0b\x0c\r"
@@ -50,16 +50,23 @@ def unpack(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, "<u4").astype(np.int64)
 
 
+@lru_cache(maxsize=4)
+def vocabulary(path: str):
+    """The library's tokenizer, loaded once in a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class Encoder:
-    """One vocabulary in one Python worker."""
+    """One vocabulary, and the words that a task has met."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = vocabulary(path)
         self.words: dict[str, tuple[bytes, str]] = {}
         self.older: dict[str, tuple[bytes, str]] = {}
         self.mark_id, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
@@ -121,11 +128,6 @@ class Encoder:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def _common(side: np.ndarray, window: np.ndarray, text: str, offset: int, after: bool) -> tuple[int, int] | None:
     """A settled pair (row in side, row in window) of one and the same token.
 
@@ -203,7 +205,7 @@ def encode_tree(enc: Encoder, text: str, leaf_chars: int = LEAF_CHARS) -> list[i
     return tree_join(enc, parts, [unpack(enc.leaf(p)) for p in parts]).tolist()
 
 
-def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
+def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
     """``doc_id, ids (little-endian u32), decoded`` of every document.
 
     Defined cases: a null text is encoded as an empty one; rows with a repeated or
@@ -213,22 +215,24 @@ def bpe_tokens(docs: DataFrame, vocabulary: str, leaf_chars: int = LEAF_CHARS) -
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
 
+    @give_back
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
-        for batch in slices(batches, "text", 2 << 20):
+        enc = Encoder(path)
+        for batch in slices(batches, "text"):
             done = [enc.leaf_and_text(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.string())],
                 ["doc_id", "ids", "decoded"])
 
+    @give_back
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
-        for batch in slices(batches, "piece", 2 << 20):
+        enc = Encoder(path)
+        for batch in slices(batches, "piece"):
             ids = [enc.leaf(t) for t in batch.column("piece").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
 
     def merge(pieces: pd.DataFrame) -> pd.DataFrame:
-        enc = encoder(vocabulary)
+        enc = Encoder(path)
         pieces = pieces.sort_values("part")
         ids = tree_join(enc, pieces["piece"].tolist(), [unpack(t) for t in pieces["ids"]]).tolist()
         return pd.DataFrame({"doc_id": pieces["doc_id"].iloc[:1], "ids": [_pack(ids)], "decoded": [enc.decode(ids)]})

@@ -7,7 +7,10 @@ text does not raise the memory of a task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 from typing import NamedTuple
 
 import numpy as np
@@ -133,7 +136,26 @@ def shingle_hashes(words: np.ndarray, row: np.ndarray, size: int) -> tuple[np.nd
     return mix(h[whole], 2), row[:n][whole]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function after which freed memory goes back to the system.
+
+    Python workers serve one task after the other; without this each keeps the most that any
+    of its tasks has held, beside what the executor itself holds.
+    """
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+    return task
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in runs of at most ``max_bytes`` of text (one row at least)."""
     for batch in batches:
         size = np.diff(text_bytes(batch.column(column))[1])
