@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm.tokens import BASE, U64, mix, slices, words_of
+from wakeline.llm.tokens import BASE, U64, give_back, mix, slices, words_of
 
 MASKS = ("11010011", "110111")
 WINDOW = 13
@@ -171,6 +171,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
 
     def finder(seeds: Seeds):
+        @give_back
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text"):
                 ids = batch.column("doc_id").to_pylist()
@@ -191,6 +192,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that any item leaks into; all columns stay as they are."""
     def keep(seeds: Seeds):
+        @give_back
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text"):
                 leaky = {row for row, _ in _overlaps(batch.column("text"), seeds)}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.components import components
 from wakeline.llm.tables import stored
-from wakeline.llm.tokens import BASE, U64, mix, shingle_hashes, slices, words_of
+from wakeline.llm.tokens import BASE, U64, give_back, mix, shingle_hashes, slices, words_of
 
 #: cumulative probabilities of a Poisson number with mean 1
 _POISSON = np.cumsum(np.exp(-1) / np.cumprod(np.concatenate([[1.0], np.arange(1.0, 20.0)])))
@@ -121,6 +121,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows_per_band: int) -> np.ndar
 
 
 def _sign(params: NearDupParams):
+    @give_back
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             row, shingle, times = text_shingles(batch.column("text"), params.shingle_words)
@@ -138,6 +139,7 @@ def _sign(params: NearDupParams):
 
 
 def _pack_sets(params: NearDupParams):
+    @give_back
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             row, shingle, times = text_shingles(batch.column("text"), params.shingle_words)
@@ -162,6 +164,7 @@ def _similarity(a: dict, b: dict, weighted: bool) -> float:
 
 
 def _verify(params: NearDupParams):
+    @give_back
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from wakeline.llm.tokens import NOT_LETTER, U64, mix, slices, text_bytes, words_of
+from wakeline.llm.tokens import NOT_LETTER, U64, give_back, mix, slices, text_bytes, words_of
 
 N_GRADES = 3
 
@@ -147,6 +147,7 @@ def graded_labels(labels: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg(F.min("grade").alias("grade")))
 
 
+@give_back
 def _pack_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         row, feature = document_features(batch.column("text"))
@@ -188,6 +189,7 @@ def score_documents(docs: DataFrame, model: OrdinalModel, min_tail: float = FitP
     added = ["expected_grade", "tail_probability", "kept"]
     docs = docs.drop(*added)
 
+    @give_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             row, feature = document_features(batch.column("text"))

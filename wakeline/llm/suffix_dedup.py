@@ -30,12 +30,12 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from wakeline.llm.suffix_array import permuted_common_prefixes, suffix_array
 from wakeline.llm.tables import shuffle_width, stored
-from wakeline.llm.tokens import BASE, U64, _powers, mix, slices, text_bytes
+from wakeline.llm.tokens import BASE, U64, _powers, give_back, mix, slices, text_bytes
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 PLACE = U64((1 << 24) - 1)
 BYTE = mix(np.arange(256, dtype=U64), 41)
-FLUSH = 1_000_000              # segments folded at a time by a task
+FLUSH = 500_000              # segments folded at a time by a task
 BUCKET_BYTES = 48 << 20        # text per bucket of anchors
 SHARD_BYTES = 3 << 19          # bytes per suffix array
 NULL_ID = np.iinfo(np.int64).min
@@ -196,9 +196,10 @@ class _Collector:
 
 
 def _deal_segments(params: MatchParams, n_buckets: int):
+    @give_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Collector(n_buckets)
-        for batch in slices(batches, "text", CHUNK):
+        for batch in slices(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             keys = batch.column("text_key").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -237,8 +238,9 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _deal_bytes(n_shards: int):
     """Cut the wanted segments out of their texts and pack them per shard."""
+    @give_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CHUNK):
+        for batch in slices(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             keys = batch.column("text_key").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -338,8 +340,9 @@ def remove_spans(data: np.ndarray, spans: list[tuple[np.ndarray, np.ndarray]]) -
     return data[~gone].tobytes(), n_spans, gone
 
 
+@give_back
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", CHUNK):
+    for batch in slices(batches, "text"):
         data, offsets = text_bytes(batch.column("text"))
         kept, n_removed, n_spans, texts = [], [], [], []
         for row, wanted in enumerate(batch.column("spans").to_pylist()):
