@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.tables import shuffle_width, stored
-from wakeline.llm.tokens import U64, mix, slices, words_of
+from wakeline.llm.tokens import U64, give_back, mix, slices, words_of
 
 CONTEXTS = 1 << 14
 START = 0
@@ -43,6 +43,7 @@ FLUSH_DOCS = 60_000
 BUCKET_TEXT = 4 << 20        # bytes of text per bucket
 SCORE_TEXT = 100 << 20        # bytes of text per scoring task
 ONE_BY_ONE = 256
+MERGE_DOCS = 2_000_000        # document sums that a scoring task holds
 
 
 @dataclass(frozen=True)
@@ -102,6 +103,7 @@ def find_hot(rows: DataFrame, n_buckets: int) -> Hot:
 
     They only decide where occurrences are dealt; a task leaves out what is far below the bound.
     """
+    @give_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -186,6 +188,7 @@ def _deal(hot: Hot, n_buckets: int):
             yield pa.RecordBatch.from_pylist([{"bucket": int(b[lo]), "kind": 1, "first_row": first,
                                                **{n: x.astype(BLOBS[n]).tobytes() for n, x in packed.items()}}], schema=schema)
 
+    @give_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, n_tokens, n_docs = [], 0, 0
         for batch in slices(batches, "text"):
@@ -416,6 +419,7 @@ def _columns(batch: pa.RecordBatch, k: int) -> dict[str, pa.Buffer]:
 
 def _sweep_totals(hot: Hot, totals: Totals | None, sweep: int, params: LmParams):
     """Totals of all buckets after ``sweep`` sweeps; the first call counts the corpus."""
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
@@ -481,8 +485,39 @@ def train(buckets: DataFrame, hot: Hot, params: LmParams) -> Totals:
 SCORED = "row long, n_tokens long, n_known long, base_score double, score double"
 
 
+class _Sums:
+    """What a task has scored of each document, added up over its buckets."""
+
+    NAMES = ("n_tokens", "n_known", "base_score", "score")
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, row: np.ndarray, *values: np.ndarray) -> None:
+        self.parts.append((row, *values))
+
+    def size(self) -> int:
+        return sum(len(p[0]) for p in self.parts)
+
+    def merge(self) -> None:
+        if len(self.parts) > 1:
+            row, *values = (np.concatenate(x) for x in zip(*self.parts))
+            rows, at = np.unique(row, return_inverse=True)
+            self.parts = [(rows, *(np.bincount(at, weights=v, minlength=len(rows)) for v in values))]
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        for row, *values in self.parts:
+            table = pa.table([pa.array(row), *(pa.array(v.astype(np.int64) if n.startswith("n_") else v) for n, v in zip(self.NAMES, values))],
+                             names=["row", *self.NAMES])
+            yield from table.to_batches(max_chunksize=100_000)
+        self.parts = []
+
+
 def _score(totals: Totals, params: LmParams):
+    @give_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
         for batch in batches:
             for k in range(batch.num_rows):
                 columns = _columns(batch, k)
@@ -499,10 +534,12 @@ def _score(totals: Totals, params: LmParams):
                 cell = _runs(x["cell_records"])
                 n, doc, uid = x["record_n"], x["record_doc"], np.cumsum(x["doc_step"])
                 add = lambda v: np.bincount(doc, weights=v, minlength=len(uid))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(uid), pa.array(add(n).astype(np.int64)), pa.array(add(n * (word_count > 0)[b.word[cell]]).astype(np.int64)),
-                     pa.array(add(n * base[b.word[cell]])), pa.array(add(n * np.log10(mean)[cell]))],
-                    ["row", "n_tokens", "n_known", "base_score", "score"])
+                sums.add(uid, add(n), add(n * (word_count > 0)[b.word[cell]]), add(n * base[b.word[cell]]), add(n * np.log10(mean)[cell]))
+                if sums.size() > MERGE_DOCS:
+                    sums.merge()
+                    if sums.size() > MERGE_DOCS // 2:
+                        yield from sums.flush()
+        yield from sums.flush()
     return run
 
 
