@@ -108,3 +108,16 @@ def test_gzip_files(spark, tmp_path):
     rows = read_ais_csv(spark, str(tmp_path))
     assert sorted(int(r.mmsi) for r in rows.collect()) == [219000000 + i for i in range(6)]
     assert rows.agg(F.count_distinct("row_id")).first()[0] == 6
+
+
+def test_counting_reads_only_the_checked_columns(spark, tmp_path):
+    from wakeline.operators.positions import CHECKED, positions_raw
+    from wakeline.operators.vessels import vessel_counts
+
+    path = write_stage(ais_strings(spark, SF001), "strings")
+    plan = vessel_counts(positions_raw(path, fields=CHECKED))._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema"):]
+    assert "callsign" not in read and "destination" not in read and "nav_status" in read
+    few = positions_raw(path, fields=("mmsi", "name"))
+    whole = positions_raw(path).select("row_id", "mmsi", "name")
+    assert sorted(map(str, few.collect())) == sorted(map(str, whole.collect()))

@@ -62,13 +62,16 @@ def _checked_columns() -> list[Column]:
 
 
 @per_context
-def _other_columns() -> list[Column]:
-    return [_OF_STRIPPED[FIELD_KINDS[f]](F.col(f)).alias(f) for f in FIELDS if f not in CHECKED]
+def _other_columns(fields: tuple[str, ...]) -> list[Column]:
+    return [_OF_STRIPPED[FIELD_KINDS[f]](F.col(f)).alias(f) for f in fields if f not in CHECKED]
 
 
-def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:
+def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Rows that pass every load check, typed.  A narrow, shuffle-free stage.
 
+    ``fields`` are the columns wanted beside ``row_id``: the ``inline`` below hides from the
+    optimizer which columns a reader leaves out, so a reader of a few names them here.
+
     Each field is parsed once: the nine checked fields are parsed, the checks
     read the parsed columns, and rejected rows are dropped by ``inline`` over a
     zero- or one-element array; the other fields are parsed after that, for kept
@@ -78,14 +81,14 @@ def positions_raw(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFr
     ``inline`` is also a plan barrier, so the parse is split over two smaller
     generated methods that the JIT compiles without raising its size limit.
     """
-    others = [f for f in FIELDS if f not in CHECKED]
+    others = [f for f in fields if f not in CHECKED]
     mmsi_text = F.coalesce(F.col("mmsi"), F.lit("")).alias(MMSI_TEXT)
     checked = (_stripped(strings)
                .select("row_id", *_checked_columns(), mmsi_text, *others)
                .withColumn("_keep", _keep(cfg)))
     row = F.struct("row_id", *CHECKED, *others)
     kept = checked.select(F.inline(F.slice(F.array(row), 1, F.when(F.col("_keep"), 1).otherwise(0))))
-    return kept.select("row_id", *(F.col(f) for f in CHECKED), *_other_columns()).select("row_id", *FIELDS)
+    return kept.select("row_id", *(F.col(f) for f in CHECKED), *_other_columns(tuple(fields))).select("row_id", *fields)
 
 
 def reject_reasons(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:

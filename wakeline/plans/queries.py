@@ -17,7 +17,7 @@ from wakeline.functions.geo import distance_nm
 from wakeline.functions.predicates import MMSI_RE
 from wakeline.functions.text import parse_float, parse_int, parse_timestamp, strip
 from wakeline.operators.histogram import gap_histogram, gap_summary
-from wakeline.operators.positions import positions_raw, reject_reasons, typed_rows
+from wakeline.operators.positions import CHECKED, positions_raw, reject_reasons, typed_rows
 from wakeline.operators.profile import layout_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
 from wakeline.operators.sequence import ms_between, with_previous_time
 from wakeline.operators.vessels import valid_vessels, vessel_counts
@@ -91,7 +91,7 @@ def q_scalar_battery(spark, sf_dir):
 
 
 def q_distance_nm(spark, sf_dir):
-    raw = positions_raw(ais_strings(spark, sf_dir), CFG)
+    raw = positions_raw(ais_strings(spark, sf_dir), CFG, ("mmsi", "lat", "lon"))
     return raw.select("row_id", "mmsi", "lat", "lon",
                       F.round(distance_nm("lat", "lon", CFG.centre_lat, CFG.centre_lon, CFG.earth_radius_nm), 6)
                       .alias("distance_nm"))
@@ -106,11 +106,11 @@ def q_reject_reasons(spark, sf_dir):
 
 
 def q_vessel_counts(spark, sf_dir):
-    return vessel_counts(positions_raw(ais_strings(spark, sf_dir), CFG), CFG)
+    return vessel_counts(positions_raw(ais_strings(spark, sf_dir), CFG, CHECKED), CFG)
 
 
 def q_valid_vessels(spark, sf_dir):
-    return valid_vessels(positions_raw(ais_strings(spark, sf_dir), CFG), CFG)
+    return valid_vessels(positions_raw(ais_strings(spark, sf_dir), CFG, CHECKED), CFG)
 
 
 def q_positions_clean(spark, sf_dir):
