@@ -62,8 +62,9 @@ def brute(rows, match):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,crowd", [(1, 4000), (2, 4000), (3, 1), (4, 2)])
+def test_against_brute_force(spark, seed, crowd):
+    """A small ``crowd`` splits anchors' segments into strings."""
     rng = random.Random(seed)
     pool = ["".join(rng.choice("abé ") for _ in range(rng.randint(5, 60))) for _ in range(12)]
     rows = []
@@ -71,7 +72,7 @@ def test_against_brute_force(spark, seed):
         text = "".join(rng.choice(pool)[:rng.randint(1, 60)] for _ in range(rng.randint(0, 6)))
         text = "a" * rng.randint(0, 50) if i % 9 == 0 else rows[-1][1] if i % 10 == 3 else None if i % 17 == 5 else text
         rows.append((i, text))
-    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), MatchParams(12, 5))
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), MatchParams(12, 5, crowd))
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got.collect()) == brute(rows, 12)
 
 

@@ -9,7 +9,10 @@ their smallest ``gram``-byte hash (the anchor) at the same offset, so:
    are settled by their earliest occurrence; different segments of one anchor go on.
 3. Their bytes are dealt into shards, an anchor's segments together. A shard's suffix array
    is built by induced sorting, and permuted common prefixes of ``match`` bytes mark the
-   groups of equal strings; all but the earliest start of a group are repeats.
+   groups of equal strings; all but the earliest start of a group are repeats. An anchor
+   with more than ``crowd`` different segments (the edge of a passage that very many documents
+   hold) would make one large shard: its segments are split into their strings, which are
+   dealt by two 64-bit hashes instead, folded per task like segments.
 4. The repeats of a document are united and cut from its bytes.
 
 Only bytes around anchors that recur are ever sorted, and all of them are.
@@ -30,11 +33,12 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from wakeline.llm.suffix_array import permuted_common_prefixes, suffix_array
 from wakeline.llm.tables import shuffle_width, stored
-from wakeline.llm.tokens import BASE, U64, _powers, give_back, mix, slices, text_bytes
+from wakeline.llm.tokens import BASE, U64, _powers, give_back, mix, release, slices, text_bytes
 
 CHUNK = 1 << 20
 PLACE = U64((1 << 24) - 1)
 BYTE = mix(np.arange(256, dtype=U64), 41)
+SECOND = mix(np.arange(256, dtype=U64), 43)
 FLUSH = 500_000              # segments folded at a time by a task
 BUCKET_BYTES = 48 << 20        # text per bucket of anchors
 SHARD_BYTES = 3 << 19          # bytes per suffix array
@@ -45,6 +49,7 @@ NULL_ID = np.iinfo(np.int64).min
 class MatchParams:
     match: int = 100
     gram: int = 40
+    crowd: int = 4_000
 
 
 class Segments(NamedTuple):
@@ -218,7 +223,17 @@ def _unpack(rows: pd.DataFrame) -> dict[str, np.ndarray]:
     return {c: np.concatenate(x) if x else np.zeros(0, TYPES[c]) for c, x in got.items()}
 
 
-def _meet(rows: pd.DataFrame) -> pd.DataFrame:
+SPANS, WHOLE, STRINGS = 0, 1, 3  # kinds of rows: settled, segments to sort, segments to split into strings
+
+
+def _meet_of(params: MatchParams):
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        release()  # what the group before has left
+        return _meet(rows, params.crowd)
+    return meet
+
+
+def _meet(rows: pd.DataFrame, crowd: int) -> pd.DataFrame:
     """One bucket: equal segments become spans, different segments of one anchor go on to the shards."""
     bucket = int(rows["bucket"].iloc[0])
     passed = rows.loc[rows["kind"] == 0, ["kind", "doc_id", "text_key", "starts", "ends", "groups"]]
@@ -228,49 +243,107 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     gone = order[later]
     anchor = x["anchors"][order]
     group = np.cumsum(np.append(True, anchor[1:] != anchor[:-1])) - 1 if len(anchor) else np.zeros(0, np.int64)
-    several = np.bincount(group, weights=first)[group] > 1 if len(group) else np.zeros(0, bool)
-    go_on = ~later & several
-    need, names = order[go_on], (anchor[go_on].astype(U64) << U64(32)) | U64(bucket)
-    out = [passed, pd.DataFrame(_by_document(0, x["docs"][gone], x["doc_ids"], x["text_keys"], start[gone], end[gone])),
-           pd.DataFrame(_by_document(1, x["docs"][need], x["doc_ids"], x["text_keys"], start[need], end[need], names, merge=False))]
+    different = np.bincount(group, weights=first)[group] if len(group) else np.zeros(0)
+    out = [passed, pd.DataFrame(_by_document(SPANS, x["docs"][gone], x["doc_ids"], x["text_keys"], start[gone], end[gone]))]
+    for kind, of in ((WHOLE, (different > 1) & (different <= crowd)), (STRINGS, different > crowd)):
+        go_on = ~later & of
+        need, names = order[go_on], (anchor[go_on].astype(U64) << U64(32)) | U64(bucket)
+        out.append(pd.DataFrame(_by_document(kind, x["docs"][need], x["doc_ids"], x["text_keys"], start[need], end[need], names, merge=False)))
     return pd.concat([f.astype({"doc_id": "int64", "text_key": "int64", "kind": "int32"}) for f in out], ignore_index=True)
 
 
-def _deal_bytes(n_shards: int):
-    """Cut the wanted segments out of their texts and pack them per shard."""
+def string_hashes(data: np.ndarray, length: np.ndarray, match: int) -> tuple[np.ndarray, ...]:
+    """All ``match``-byte strings of segments laid end to end: segment, offset in it, two hashes."""
+    ends = np.cumsum(length)
+    parts = []
+    lo = 0
+    while lo < len(length):
+        base = int(ends[lo] - length[lo])
+        hi = max(lo + 1, int(np.searchsorted(ends, base + CHUNK, side="right")))
+        part, own = data[base: int(ends[hi - 1])], length[lo:hi]
+        power, inverse = _powers_for(len(part) + 1)
+        n = np.maximum(own - match + 1, 0)
+        segment = np.repeat(np.arange(len(own)), n)
+        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = (np.cumsum(own) - own)[segment] + offset
+        hashes = []
+        with np.errstate(over="ignore"):
+            for values in (BYTE, SECOND):
+                sums = np.zeros(len(part) + 1, U64)
+                np.cumsum(values[part] * power[: len(part)], out=sums[1:])
+                hashes.append(mix((sums[at + match] - sums[at]) * inverse[at], 5))
+        parts.append((segment + lo, offset, *hashes))
+        lo = hi
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+SHARD_PACKED = ["bytes", "lengths", "first", "second", "docs", "starts", "ends", "groups", "doc_ids", "text_keys"]
+SHARDED = "shard int, kind int, doc_id long, text_key long, " + ", ".join(f"{c} binary" for c in SHARD_PACKED)
+
+
+def _deal_bytes(params: MatchParams, n_shards: int):
+    """Cut the wanted segments out of their texts and pack them per shard, or the hashes of their strings."""
+    schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()),
+                        *((c, pa.binary()) for c in SHARD_PACKED)])
+
+    def wanted_of(column: pa.Array) -> dict[str, np.ndarray]:
+        parts = {"starts": [], "ends": [], "groups": [], "docs": [], "split": []}
+        for row, wanted in enumerate(column.to_pylist()):
+            for w in wanted:
+                n = len(w["starts"]) // 4
+                parts["starts"].append(np.frombuffer(w["starts"], "<u4").astype(np.int64))
+                parts["ends"].append(np.frombuffer(w["ends"], "<u4").astype(np.int64))
+                parts["groups"].append(np.frombuffer(w["groups"], "<u8"))
+                parts["docs"].append(np.full(n, row))
+                parts["split"].append(np.full(n, w["kind"] == STRINGS))
+        return {c: np.concatenate(x) for c, x in parts.items()}
+
+    def pack(kind: int, shard: np.ndarray, doc: np.ndarray, ids: np.ndarray, keys: np.ndarray, columns) -> Iterator[dict]:
+        order = np.argsort(shard, kind="stable")
+        cut = np.searchsorted(shard[order], np.arange(n_shards + 1))
+        for k in np.flatnonzero(np.diff(cut)).tolist():
+            part = order[cut[k]: cut[k + 1]]
+            used, local = np.unique(doc[part], return_inverse=True)
+            yield {"shard": k, "kind": kind, "doc_id": 0, "text_key": 0, "docs": local.astype("<u4").tobytes(),
+                   "doc_ids": ids[used].astype("<i8").tobytes(), "text_keys": keys[used].astype("<i8").tobytes(), **columns(part)}
+
     @give_back
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             keys = batch.column("text_key").to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = {"starts": [], "ends": [], "groups": [], "docs": []}
-            for row, wanted in enumerate(batch.column("wanted").to_pylist()):
-                for w in wanted:
-                    s = np.frombuffer(w["starts"], "<u4").astype(np.int64)
-                    parts["starts"].append(s)
-                    parts["ends"].append(np.frombuffer(w["ends"], "<u4").astype(np.int64))
-                    parts["groups"].append(np.frombuffer(w["groups"], "<u8"))
-                    parts["docs"].append(np.full(len(s), row))
-            start, end, group, doc = (np.concatenate(parts[c]) for c in ("starts", "ends", "groups", "docs"))
-            shard = (mix(group, 31) % U64(n_shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            cut = np.searchsorted(shard[order], np.arange(n_shards + 1))
-            rows = []
-            for k in np.flatnonzero(np.diff(cut)).tolist():
-                part = order[cut[k]: cut[k + 1]]
-                used, local = np.unique(doc[part], return_inverse=True)
-                a, n = offsets[doc[part]] + start[part], end[part] - start[part]
-                at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-                rows.append({"shard": k, "bytes": data[at].tobytes(), "lengths": n.astype("<u4").tobytes(),
-                             "docs": local.astype("<u4").tobytes(), "starts": start[part].astype("<u4").tobytes(),
-                             "doc_ids": ids[used].astype("<i8").tobytes(), "text_keys": keys[used].astype("<i8").tobytes()})
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in (
-                "bytes", "lengths", "docs", "starts", "doc_ids", "text_keys"))]))
-    return deal
+            x = wanted_of(batch.column("wanted"))
 
+            def cut_out(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                a, n = offsets[x["docs"][part]] + x["starts"][part], x["ends"][part] - x["starts"][part]
+                return data[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())], n
 
-SHARDED = "shard int, bytes binary, lengths binary, docs binary, starts binary, doc_ids binary, text_keys binary"
+            rows = []
+            whole = np.flatnonzero(~x["split"])
+
+            def segments(part: np.ndarray) -> dict:
+                own, n = cut_out(whole[part])
+                return {"bytes": own.tobytes(), "lengths": n.astype("<u4").tobytes(), "starts": x["starts"][whole[part]].astype("<u4").tobytes()}
+
+            rows += pack(WHOLE, (mix(x["groups"][whole], 31) % U64(n_shards)).astype(np.int64), x["docs"][whole], ids, keys, segments)
+            split = np.flatnonzero(x["split"])
+            if len(split):
+                segment, offset, one, two = string_hashes(*cut_out(split), params.match)
+                doc, start = x["docs"][split[segment]], x["starts"][split[segment]] + offset
+                order, _, later = _fold(doc, ids, start, one, two)
+                gone, kept = order[later], order[~later]
+                spans = _by_document(SPANS, doc[gone], ids, keys, start[gone], start[gone] + params.match)
+                rows += [{"shard": i % n_shards, **{c: v[i] for c, v in spans.items()}} for i in range(len(spans["kind"]))]
+
+                def strings(part: np.ndarray) -> dict:
+                    at = kept[part]
+                    return {"first": one[at].astype("<u8").tobytes(), "second": two[at].astype("<u8").tobytes(), "starts": start[at].astype("<u4").tobytes()}
+
+                rows += pack(STRINGS, (mix(one[kept], 32) % U64(n_shards)).astype(np.int64), doc[kept], ids, keys, strings)
+            for lo in range(0, len(rows), 500):
+                yield pa.RecordBatch.from_pylist(rows[lo: lo + 500], schema=schema)
+    return deal
 
 
 def repeated_starts(data: np.ndarray, length: np.ndarray, key: np.ndarray, match: int) -> np.ndarray:
@@ -305,27 +378,49 @@ def repeated_starts(data: np.ndarray, length: np.ndarray, key: np.ndarray, match
     return np.sort(position[key[position] > least])
 
 
+def _shard_documents(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document and start of every packed entry, and the documents' ids and text keys."""
+    start = np.concatenate([np.frombuffer(x, "<u4") for x in rows["starts"]]).astype(np.int64)
+    ids = [np.frombuffer(x, "<i8") for x in rows["doc_ids"]]
+    base = np.cumsum([0] + [len(x) for x in ids])
+    doc = np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) + b for x, b in zip(rows["docs"], base)])
+    return doc, start, np.concatenate(ids), np.concatenate([np.frombuffer(x, "<i8") for x in rows["text_keys"]])
+
+
+def _sorted_segments(rows: pd.DataFrame, match: int) -> dict[str, list]:
+    data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
+    length = np.concatenate([np.frombuffer(x, "<u4") for x in rows["lengths"]]).astype(np.int64)
+    doc, start, ids, keys = _shard_documents(rows)
+    first = np.cumsum(length) - length
+    rank = np.unique(ids, return_inverse=True)[1]
+    segment = np.repeat(np.arange(len(length)), length)
+    place = start[segment] + np.arange(len(data)) - first[segment]  # position in the document
+    hits = repeated_starts(data, length, (rank[doc[segment]] << 32) + place, match)
+    # neighbouring starts of one segment make one span
+    new = np.append(True, (hits[1:] != hits[:-1] + 1) | (segment[hits[1:]] != segment[hits[:-1]])) if len(hits) else np.zeros(0, bool)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(hits)) - 1 if len(at) else at
+    a, b = hits[at], hits[last]
+    return _by_document(SPANS, doc[segment[a]], ids, keys, place[a], place[b] + match)
+
+
+def _folded_strings(rows: pd.DataFrame, match: int) -> dict[str, list]:
+    doc, start, ids, keys = _shard_documents(rows)
+    one, two = (np.concatenate([np.frombuffer(x, "<u8") for x in rows[c]]) for c in ("first", "second"))
+    order, _, later = _fold(doc, ids, start, one, two)
+    gone = order[later]
+    return _by_document(SPANS, doc[gone], ids, keys, start[gone], start[gone] + match)
+
+
 def _sort_shard(params: MatchParams):
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
-        data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
-        length = np.concatenate([np.frombuffer(x, "<u4") for x in rows["lengths"]]).astype(np.int64)
-        start = np.concatenate([np.frombuffer(x, "<u4") for x in rows["starts"]]).astype(np.int64)
-        ids = [np.frombuffer(x, "<i8") for x in rows["doc_ids"]]
-        base = np.cumsum([0] + [len(x) for x in ids])
-        doc = np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) + b for x, b in zip(rows["docs"], base)])
-        ids, keys = np.concatenate(ids), np.concatenate([np.frombuffer(x, "<i8") for x in rows["text_keys"]])
-        first = np.cumsum(length) - length
-        rank = np.unique(ids, return_inverse=True)[1]
-        segment = np.repeat(np.arange(len(length)), length)
-        place = start[segment] + np.arange(len(data)) - first[segment]  # position in the document
-        hits = repeated_starts(data, length, (rank[doc[segment]] << 32) + place, params.match)
-        # neighbouring starts of one segment make one span
-        new = np.append(True, (hits[1:] != hits[:-1] + 1) | (segment[hits[1:]] != segment[hits[:-1]])) if len(hits) else np.zeros(0, bool)
-        at = np.flatnonzero(new)
-        last = np.append(at[1:], len(hits)) - 1 if len(at) else at
-        a, b = hits[at], hits[last]
-        return pd.DataFrame(_by_document(0, doc[segment[a]], ids, keys, place[a], place[b] + params.match)).astype(
-            {"doc_id": "int64", "text_key": "int64", "kind": "int32"})
+        release()
+        out = [rows.loc[rows["kind"] == SPANS, ["kind", "doc_id", "text_key", "starts", "ends", "groups"]]]
+        for kind, settle in ((WHOLE, _sorted_segments), (STRINGS, _folded_strings)):
+            own = rows[rows["kind"] == kind]
+            if len(own):
+                out.append(pd.DataFrame(settle(own, params.match)))
+        return pd.concat([f.astype({"doc_id": "int64", "text_key": "int64", "kind": "int32"}) for f in out], ignore_index=True)
     return sort
 
 
@@ -382,13 +477,13 @@ def remove_repeats(docs: DataFrame, params: MatchParams = MatchParams(), keep: t
     n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     long_rows = rows.where(F.octet_length("text") >= params.match)
     dealt = long_rows.mapInArrow(_deal_segments(params, shuffle_width(spark, n_bytes, BUCKET_BYTES)), DEALT)
-    matches = stored(dealt.groupBy("bucket").applyInPandas(_meet, MATCHED), "suffix-matches")
+    matches = stored(dealt.groupBy("bucket").applyInPandas(_meet_of(params), MATCHED), "suffix-matches")
 
-    wanted = matches.where("kind = 1").groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("starts", "ends", "groups")).alias("wanted"))  # a document's own segments
-    n_wanted = matches.where("kind = 1").agg(F.sum(F.octet_length("starts").cast("long"))).first()[0] or 0
+    wanted = matches.where("kind <> 0").groupBy("doc_id", "text_key").agg(
+        F.collect_list(F.struct("kind", "starts", "ends", "groups")).alias("wanted"))  # a document's own segments
+    n_wanted = matches.where("kind <> 0").agg(F.sum(F.octet_length("starts").cast("long"))).first()[0] or 0
     n_shards = shuffle_width(spark, n_wanted // 4 * (2 * params.match - params.gram), SHARD_BYTES)
-    shards = long_rows.join(wanted, ["doc_id", "text_key"]).mapInArrow(_deal_bytes(n_shards), SHARDED)
+    shards = long_rows.join(wanted, ["doc_id", "text_key"]).mapInArrow(_deal_bytes(params, n_shards), SHARDED)
     sorted_spans = shards.groupBy("shard").applyInPandas(_sort_shard(params), MATCHED)
 
     spans = matches.where("kind = 0").unionByName(sorted_spans).groupBy("doc_id", "text_key").agg(

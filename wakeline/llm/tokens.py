@@ -136,6 +136,14 @@ def shingle_hashes(words: np.ndarray, row: np.ndarray, size: int) -> tuple[np.nd
     return mix(h[whole], 2), row[:n][whole]
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def give_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A task function after which freed memory goes back to the system.
 
@@ -148,10 +156,7 @@ def give_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
             yield from run(batches)
         finally:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-            if trim:
-                trim(0)
+            release()
     return task
 
 
