@@ -301,7 +301,8 @@ class NearDuplicates:
         """``doc_id, class_id, class_texts`` of every document row."""
         named = self.texts.select("node", "first_doc").join(self.groups, "node", "left").select(
             "node", "first_doc", F.coalesce("component", "node").alias("component"))
-        heads = named.groupBy("component").agg(F.min("first_doc").alias("class_id"), F.count("*").alias("class_texts"))
+        # stored: a class with very many texts can then be split in the join, or its head broadcast
+        heads = stored(named.groupBy("component").agg(F.min("first_doc").alias("class_id"), F.count("*").alias("class_texts")), "dart-heads")
         by_text = stored(named.join(heads, "component").select("node", "class_id", "class_texts"), "dart-classes")
         return self.rows.select("doc_id", "node").join(by_text, "node").select("doc_id", "class_id", "class_texts", "node")
 
