@@ -67,14 +67,14 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = vocabulary(path)
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
         self.mark_id, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         # without a decoder the library joins the tokens with spaces, so texts decode word by word
         self.by_word = self.tokenizer.decoder is None
 
-    def _known(self, words: list[str]) -> list[tuple[bytes, str]]:
-        """Ids and decoded text of each word."""
+    def _known(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids and decoded text (UTF-8) of each word."""
         found = list(map(self.words.get, words))
         if None in found:
             missing = {w for w, x in zip(words, found) if x is None}
@@ -89,7 +89,7 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         """Encode new words in one call, set apart by a mark that is a token of its own."""
         def keep(word: str, ids: list[int]) -> None:
-            self.words[word] = _pack(ids), self.decode(ids)
+            self.words[word] = _pack(ids), self.decode(ids).encode()
 
         for w in [w for w in words if MARK in w]:
             keep(w, self.tokenizer.encode(w, add_special_tokens=False).ids)
@@ -107,13 +107,13 @@ class Encoder:
         """Packed ids of a text, word by word."""
         return b"".join([x[0] for x in self._known(WORD.findall(text))])
 
-    def leaf_and_text(self, text: str) -> tuple[bytes, str]:
-        """Packed ids of a text and what they decode to."""
+    def leaf_and_text(self, text: str) -> tuple[bytes, bytes]:
+        """Packed ids of a text and what they decode to, in UTF-8."""
         known = self._known(WORD.findall(text))
         ids = b"".join([x[0] for x in known])
         if self.by_word:
-            return ids, " ".join([x[1] for x in known if x[0]])
-        return ids, self.decode(unpack(ids).tolist())
+            return ids, b" ".join([x[1] for x in known if x[0]])
+        return ids, self.decode(unpack(ids).tolist()).encode()
 
     def spans(self, text: str) -> np.ndarray:
         """Rows (id, start, end) of the tokens of ``text``, in characters."""
@@ -221,7 +221,8 @@ def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> Data
         for batch in slices(batches, "text"):
             done = [enc.leaf_and_text(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.string())],
+                [batch.column("doc_id"), pa.array([x[0] for x in done], pa.binary()),
+                 pa.array([x[1] for x in done], pa.binary()).cast(pa.string())],
                 ["doc_id", "ids", "decoded"])
 
     @give_back
