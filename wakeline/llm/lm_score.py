@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.tables import shuffle_width, stored
-from wakeline.llm.tokens import U64, give_back, mix, slices, words_of
+from wakeline.llm.tokens import U64, give_back, mix, release, slices, words_of
 
 CONTEXTS = 1 << 14
 START = 0
@@ -232,6 +232,7 @@ def _runs(size: np.ndarray) -> np.ndarray:
 def _gather(hot: Hot):
     """One bucket's blobs as sorted cells with training counts and the records of each cell."""
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        release()  # what the group before has left
         bucket = int(rows["bucket"].iloc[0])
         docs = rows.loc[rows["kind"] == 0, ["bucket", "kind", "first_row", "doc_ids", "held"]]
         blobs = rows[rows["kind"] == 1]
