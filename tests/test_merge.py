@@ -69,3 +69,12 @@ def test_merge_into_days_empties_a_day(spark):
     out = merge_into_days(spark, path, _table(spark, [(2, 7, _day(18, 13), "B")]))
     assert sorted((r.row_id, r.ts.day, r.v) for r in out.collect()) == [(1, 18, "a"), (2, 18, "B")]
     assert merge_into_days(spark, path, _table(spark, [])).count() == 2
+
+
+def test_merge_into_days_without_a_time(spark):
+    path = scratch_path(spark, "merge-null")
+    write_by_day(_table(spark, [(1, 7, _day(18), "a"), (2, 7, None, "b"), (3, 7, None, "c")]), path)
+    out = merge_into_days(spark, path, _table(spark, [(2, 7, None, "B"), (1, 7, None, "A")]))
+    assert sorted((r.row_id, r.v) for r in out.collect()) == [(1, "A"), (2, "B"), (3, "c")]
+    out = merge_into_days(spark, path, _table(spark, [(k, 7, _day(20), "z") for k in (1, 2, 3)]))
+    assert sorted((r.row_id, r.day.day) for r in out.collect()) == [(1, 20), (2, 20), (3, 20)]

@@ -89,12 +89,12 @@ def merge_into_days(spark: SparkSession, path: str, new: DataFrame, key: str = "
     if not days:
         return target
     # a key may stand in another day than its new row: both sides are in the touched days
-    touched = target.where(F.col(DAY).isin(days))
+    touched = target.where(F.col(DAY).isin([d for d in days if d is not None]) | (F.col(DAY).isNull() & F.lit(None in days)))
     merged = (merge_replace if when_matched == "replace" else merge_keep_existing)(touched, rows, key)
     staged = write_stage(merged.hint("rebalance", DAY, "mmsi").sortWithinPartitions(DAY, "mmsi", "ts", key), "merge-staged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path))
     left = {r[DAY] for r in staged.select(DAY).distinct().collect()}
     for day in days:
-        if day not in left and day is not None:
-            delete_path(spark, f"{path}/{DAY}={day}")
+        if day not in left:
+            delete_path(spark, f"{path}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
     return spark.read.parquet(path)
