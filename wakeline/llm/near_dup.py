@@ -29,12 +29,16 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.components import components
 from wakeline.llm.tables import stored
-from wakeline.llm.tokens import BASE, U64, give_back, mix, shingle_hashes, slices, words_of
+from wakeline.llm.tokens import BASE, U64, give_back, mix, release, shingle_hashes, slices, words_of
 
 #: cumulative probabilities of a Poisson number with mean 1
 _POISSON = np.cumsum(np.exp(-1) / np.cumprod(np.concatenate([[1.0], np.arange(1.0, 20.0)])))
 
 
+#: documents signed at a time: each takes several hundred darts, however short it is
+SIGNED_ROWS = 400
+
+
 @dataclass(frozen=True)
 class NearDupParams:
     shingle_words: int = 5
@@ -123,7 +127,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows_per_band: int) -> np.ndar
 def _sign(params: NearDupParams):
     @give_back
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", max_rows=SIGNED_ROWS):
             row, shingle, times = text_shingles(batch.column("text"), params.shingle_words)
             weight = times.astype(float) if params.weighted else np.ones(len(row))
             signature = dart_signatures(row, shingle, weight, batch.num_rows, params.bands * params.rows_per_band)
@@ -179,6 +183,7 @@ def _verify(params: NearDupParams):
 def _settle(params: NearDupParams):
     """One link for each two components of a block pair that some two of its texts connect."""
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        release()  # what the group before has left
         rows = rows.drop_duplicates("node").reset_index(drop=True)
         sets = [np.frombuffer(x, "<u8") for x in rows["shingles"]]
         m = len(sets)

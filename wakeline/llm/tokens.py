@@ -160,12 +160,13 @@ def give_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
     return task
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in runs of at most ``max_bytes`` of text (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 2 << 20,
+           max_rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in runs of at most ``max_bytes`` of text and ``max_rows`` rows (one row at least)."""
     for batch in batches:
         size = np.diff(text_bytes(batch.column(column))[1])
         lo = 0
         while lo < batch.num_rows:
-            n = max(1, int(np.searchsorted(np.cumsum(size[lo:]), max_bytes, side="right")))
+            n = min(max_rows, max(1, int(np.searchsorted(np.cumsum(size[lo: lo + max_rows]), max_bytes, side="right"))))
             yield batch.slice(lo, n)
             lo += n
