@@ -111,6 +111,46 @@ def test_seating_has_the_chinese_restaurant_mean():
     assert many == pytest.approx(t, rel=0.05)  # seated in blocks
 
 
+def stirling_weights(n, strength, d, parent):
+    """Exact weights of 1..n tables: the recursion in logarithms, for any number of customers."""
+    log_s = np.zeros(1)
+    for i in range(1, n):
+        own = log_s + np.log(i - d * np.arange(1, i + 1))
+        log_s = np.concatenate([own[:1], np.logaddexp(own[1:], log_s[:-1]), log_s[-1:]])
+    log_w = log_s + np.cumsum(np.log(strength + d * np.arange(n)) + np.log(parent))
+    w = np.exp(log_w - log_w.max())
+    return w / w.sum()
+
+
+def partitions(n):
+    """All set partitions of n customers, as lists of table sizes."""
+    out = [[]]
+    for _ in range(n):
+        out = [x[:k] + [x[k] + 1] + x[k + 1:] for x in out for k in range(len(x))] + [x + [1] for x in out]
+    return out
+
+
+def test_stirling_weights_are_those_of_all_seatings():
+    n, s, d, p = 6, 3.0, 0.4, 0.05
+    w = np.zeros(n)
+    for sizes in partitions(n):
+        w[len(sizes) - 1] += math.prod((s + d * j) * p for j in range(len(sizes))) * math.prod(i - d for m in sizes for i in range(1, m))
+    assert np.allclose(w / w.sum(), stirling_weights(n, s, d, p))
+
+
+@pytest.mark.parametrize("strength, d, parent", [(500.0, 0.7, 0.002), (3.0, 0.3, 0.05), (40.0, 0.9, 1e-4), (1.0, 0.5, 0.5), (2000.0, 0.6, 0.3), (9.0, 0.05, 0.1)])
+def test_tables_follow_their_conditional_distribution(strength, d, parent):
+    """A rare dish: its tables given all others, against the exact distribution; also past the recursion's bound."""
+    k = np.arange(1, 3001)
+    for n in (2, 5, 20, 256, 257, 600, 3000):
+        w = stirling_weights(n, strength, d, parent)
+        mean = (w * k[:n]).sum()
+        spread = math.sqrt(max((w * (k[:n] - mean) ** 2).sum(), 1e-9))
+        draws = seat(np.full(4000, n), strength, d, parent, np.random.default_rng(n))
+        assert abs(draws.mean() - mean) < 4.5 * spread / math.sqrt(4000) + 0.002 * mean, (n, draws.mean(), mean)
+        assert draws.std() == pytest.approx(spread, rel=0.08, abs=0.03), n
+
+
 def test_runs_repeat(spark):
     one, two = ({r.doc_id: r.score for r in op7_pitman_yor_lm(spark, SF001).collect()} for _ in range(2))
     assert all(one[i] == pytest.approx(two[i], rel=1e-9) for i in one)

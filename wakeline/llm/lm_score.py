@@ -9,8 +9,9 @@ table in a context restaurant is a customer of the parent, so rare events borrow
 A context is the class of the word before (``CONTEXTS`` hash classes, the start of a text
 among them), so totals per context are a bounded array. Seatings are sampled by
 Gibbs sweeps: a sweep seats the customers of every (context, word) cell anew, given the
-parent and the other tables of the restaurant as of the sweep before. Given its other
-tables a cell needs only its number of tables, so all cells of a bucket are seated together.
+parent and the other tables of the restaurant as of the sweep before. Given these a cell needs
+only its number of tables, drawn from its conditional distribution (generalized Stirling
+numbers), so all cells of a bucket are seated together.
 Probabilities are averaged over the sweeps after the burn-in.
 
 On the cluster: occurrences are folded to (cell, document, count) in the scan and dealt
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -42,7 +44,9 @@ FLUSH_TOKENS = 1_000_000
 FLUSH_DOCS = 60_000
 BUCKET_TEXT = 4 << 20        # bytes of text per bucket
 SCORE_TEXT = 100 << 20        # bytes of text per scoring task
-ONE_BY_ONE = 256
+EXACT = 256                  # customers up to which seatings are weighed by recursion
+DENSE = 16                   # customers up to which all numbers of tables are weighed
+SEAT_VALUES = 1 << 18         # weights held at a time
 MERGE_DOCS = 2_000_000        # document sums that a scoring task holds
 
 
@@ -281,39 +285,139 @@ class Totals:
     root_tables: list[float] = field(default_factory=list)       # per sweep
 
 
+class Seatings:
+    """Ratios ``S(n, t + 1) / S(n, t)`` of the generalized Stirling numbers of a discount, as logarithms.
+
+    ``S(n, t)`` is the weight of all seatings of ``n`` customers at ``t`` tables. Up to ``EXACT``
+    customers they come from their recursion. Past it they are coefficients taken at the
+    saddle point of ``((1 - (1 - u)^d) / d)^t``, with the factor by which that misses the recursion
+    for as few tables (its part in ``n^-d`` from two numbers of customers), or for as few customers
+    over the tables.
+    """
+
+    NEAR = 64
+
+    def __init__(self, discount: float):
+        d = discount
+        self.exact = np.zeros((EXACT + 1, EXACT))  # [n, t - 1]
+        log_s = np.zeros(1)
+        for n in range(1, EXACT):
+            own = log_s + np.log(n - d * np.arange(1, n + 1))
+            log_s = np.append(np.append(own[:1], np.logaddexp(own[1:], log_s[:-1])), log_s[-1])
+            self.exact[n + 1, :n] = np.diff(log_s)
+        u = np.exp(np.linspace(np.log(1e-6), np.log(0.5), 2000))
+        z = np.exp(np.linspace(np.log(0.5), -650, 6000)[1:])
+        u, z = np.append(u, 1 - z), np.append(1 - u, z)
+        log_z = np.append(np.log1p(-u[:2000]), np.log(z[2000:]))
+        f = -np.expm1(d * log_z) / d
+        g = u * np.exp((d - 1) * log_z) / f  # customers per table at the saddle point u
+        self.grid, self.log_f = np.log(g - 1), np.log(f)
+        self.log_spread = np.log(g) + np.log(1 + (1 - d) * u / z - g)
+        t = np.arange(1, self.NEAR + 1)
+        missed = [self.exact[n, t - 1] - self._saddle(n, t) for n in (EXACT // 2, EXACT)]
+        self.discount, self.few = d, missed[1]
+        self.few_step = (missed[0] - missed[1]) / (2 ** d - 1)
+        self.many = self.exact[EXACT, EXACT - t - 1] - self._saddle(EXACT, EXACT - t)  # t customers over the tables
+
+    def _spread(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+        y = np.log(np.maximum(n / t - 1, 1e-300))
+        return np.maximum(np.log(t) + np.interp(y, self.grid, self.log_spread), np.log(0.1)) / 2
+
+    def _saddle(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+        f = np.interp(np.log(n / (t + 0.5) - 1), self.grid, self.log_f)
+        return f - np.log(t + 1) - self._spread(n, t + 1) + self._spread(n, t)
+
+    def past_exact(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """For more than ``EXACT`` customers, and 1 <= t < n."""
+        out = self._saddle(n, t)
+        at = np.minimum(t, self.NEAR) - 1
+        out += np.where(t <= self.NEAR, self.few[at] + self.few_step[at] * ((n / EXACT) ** -self.discount - 1), 0)
+        return out + np.where(n - t <= self.NEAR, self.many[np.minimum(n - t, self.NEAR) - 1], 0)
+
+
+seatings = lru_cache(4)(Seatings)
+
+
+def _last(lo: np.ndarray, hi: np.ndarray, holds) -> np.ndarray:
+    """The largest ``t`` in ``lo..hi`` for which ``holds(t)``, which it does up to there; ``lo`` if it never does."""
+    lo, hi = lo.copy(), hi.copy()
+    while (lo < hi).any():
+        middle = (lo + hi + 1) // 2
+        yes = holds(middle)
+        lo, hi = np.where(yes, middle, lo), np.where(yes, hi, np.maximum(middle - 1, lo))
+    return lo
+
+
 def seat(customers: np.ndarray, strength: np.ndarray | float, discount: float, parent: np.ndarray | float,
          rng: np.random.Generator) -> np.ndarray:
-    """Tables that ``customers`` of each dish take, seated one after the other.
+    """Tables that ``customers`` of each dish take, drawn from their distribution given all other dishes.
 
-    ``strength`` is the concentration plus the discount of all other dishes' tables: customer
-    ``i`` opens a table with weight ``(strength + discount t) parent``, against ``i - 1 - discount t``
-    for the ``t`` tables there are. After ``ONE_BY_ONE`` customers, whose weights change little
-    from one to the next, they are seated in blocks of a sixteenth of those seated.
+    ``strength`` is the concentration plus the discount of all other dishes' tables. ``t``
+    tables have weight ``S(n, t) parent^t`` times the product of ``strength + discount j`` for
+    j < t. The draw is a Gibbs step of the whole cell: it depends on the cell's customers
+    and the others' tables, not on how the cell was seated before.
     """
     out = np.minimum(customers, 1).astype(np.float64)
     several = np.flatnonzero(customers > 1)  # one customer takes one table
-    several = several[np.argsort(-customers[several], kind="stable")]
-    n = customers[several]
-    s = np.broadcast_to(strength, customers.shape)[several]
-    p = np.broadcast_to(parent, customers.shape)[several]
-    t = np.ones(len(n))
-    largest = int(n[0]) if len(n) else 0
-    done = 1
-    while done < largest:
-        block = 1 if done < ONE_BY_ONE else done // 16
-        k = int(np.searchsorted(-n, -done, side="left"))  # dishes with more customers than are seated
-        opens = (s[:k] + discount * t[:k]) * p[:k]
-        # in the middle of the block
-        q = opens / (opens + done + (block - 1) / 2 - discount * t[:k])
-        if block == 1:
-            t[:k] += rng.random(k) < q
-        else:
-            t[:k] += rng.binomial(np.minimum(block, n[:k] - done), q)
-        done += block
+    several = several[np.argsort(customers[several], kind="stable")]
+    n = customers[several].astype(np.int64)
+    s = np.broadcast_to(strength, customers.shape)[several].astype(np.float64)
+    p = np.broadcast_to(parent, customers.shape)[several].astype(np.float64)
+    u = rng.random(len(n))
+    ratios = seatings(float(discount))
+    t = np.ones(len(n), np.int64)
+    exact = int(np.searchsorted(n, EXACT, side="right"))
+    dense = int(np.searchsorted(n, DENSE, side="right"))
+    cut = np.searchsorted(n[:dense], np.arange(2, DENSE + 2))
+    for size, lo, hi in zip(range(2, DENSE + 1), cut[:-1].tolist(), cut[1:].tolist()):
+        for a in range(lo, hi, SEAT_VALUES // size):
+            k = slice(a, min(a + SEAT_VALUES // size, hi))
+            w = np.empty((size, k.stop - a))  # by tables
+            np.log(p[k] * (s[k] + discount * np.arange(1, size)[:, None]), out=w[1:])
+            w[1:] += ratios.exact[size, :size - 1, None]
+            w[0] = 0
+            np.cumsum(w, axis=0, out=w)
+            w -= w.max(axis=0)
+            np.cumsum(np.exp(w, out=w), axis=0, out=w)
+            t[k] = 1 + (w[:-1] <= u[k] * w[-1]).sum(axis=0)
+    for k, ratio in ((slice(dense, exact), lambda n, t: ratios.exact[n, t - 1]), (slice(exact, len(n)), ratios.past_exact)):
+        if k.start < k.stop:
+            t[k] = _seat_in_window(n[k], s[k], discount, p[k], u[k], ratio)
     out[several] = t
     return out
 
 
+def _seat_in_window(n: np.ndarray, s: np.ndarray, discount: float, p: np.ndarray, u: np.ndarray, ratio) -> np.ndarray:
+    """The same for larger cells: the weights left out at either side are far below e^-20 of the largest."""
+    gain = lambda t: np.log((s + discount * t) * p) + ratio(n, t)
+    one = np.ones(len(n), np.int64)
+    top = _last(one, n - 1, lambda t: gain(t) > 0)
+    first = _last(one, top, lambda t: (top - t) * gain(t) > 80)
+    last = _last(top, n - 1, lambda t: (t - top) * gain(t) > -80)
+    size = last - first + 2
+    out = np.empty(len(n), np.int64)
+    lo = 0
+    while lo < len(n):
+        hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(size[lo:]), SEAT_VALUES, side="right")))
+        width = size[lo:hi]
+        start = np.cumsum(width) - width
+        cell = np.repeat(np.arange(lo, hi), width)
+        step = np.arange(len(cell)) - np.repeat(start, width)  # tables over the first
+        tables = np.maximum(first[cell] + step - 1, 1)
+        log_w = np.log((s[cell] + discount * tables) * p[cell]) + ratio(n[cell], np.minimum(tables, n[cell] - 1))
+        log_w[start] = 0
+        log_w = np.cumsum(log_w)
+        log_w -= np.repeat(log_w[start], width)
+        w = np.exp(log_w - np.repeat(np.maximum.reduceat(log_w, start), width))
+        total = np.add.reduceat(w, start)
+        w = np.cumsum(w)
+        before = np.append(0, w[start[1:] - 1])
+        below = w <= np.repeat(before + u[lo:hi] * total, width)
+        out[lo:hi] = first[lo:hi] + np.minimum(np.add.reduceat(below, start, dtype=np.int64), width - 1)
+        lo = hi
+    return out
+
+
 class Bucket:
     """The cells of one bucket and their seatings, replayed sweep by sweep."""
 
@@ -331,6 +435,7 @@ class Bucket:
         self.single_by_word = np.bincount(self.word[single], minlength=len(self.word_count))
         self.single_by_context = np.bincount(self.context[single], minlength=CONTEXTS)
         self.sweep = 0
+        self.rooted: tuple = (-1,)  # sweep, customers and tables of the parent, as last seated
 
     def _rng(self, *key: int) -> np.random.Generator:
         return np.random.default_rng([self.params.seed, *key])
@@ -345,13 +450,16 @@ class Bucket:
     def root(self) -> tuple[np.ndarray, np.ndarray]:
         """Customers and tables of the parent by word, for the current sweep's seating."""
         t, s = self.totals, self.sweep
+        if self.rooted[0] == s:
+            return self.rooted[1:]
         c = self.customers()
-        others = t.root_tables[s - 1] if s else float(t.vocabulary)
+        others = t.root_tables[s - 1] - self.rooted[2] if s else t.vocabulary - 1.0
         strength = self.params.strength + t.root_discount * others
         tables = seat(np.where(self.hot, 0, c).astype(np.int64), strength, t.root_discount, 1 / (t.vocabulary + 1), self._rng(s, 1, self.number))
         if self.hot.any():
             tables[self.hot] = hot_root_tables(t, s, self.params)[self.word_hot[self.hot]]
             c[self.hot] = t.hot_customers[s][self.word_hot[self.hot]]
+        self.rooted = s, c, tables
         return c, tables
 
     def parent(self, root_tables: float) -> np.ndarray:
@@ -387,7 +495,7 @@ class Bucket:
 
 def hot_root_tables(t: Totals, sweep: int, params: LmParams) -> np.ndarray:
     """Parent tables of the hot words: the same in every bucket."""
-    others = t.root_tables[sweep - 1] if sweep else float(t.vocabulary)
+    others = t.root_tables[sweep - 1] - hot_root_tables(t, sweep - 1, params) if sweep else t.vocabulary - 1.0
     return seat(t.hot_customers[sweep].astype(np.int64), params.strength + t.root_discount * others, t.root_discount,
                 1 / (t.vocabulary + 1), np.random.default_rng([params.seed, sweep, 3]))
 
