@@ -4,9 +4,10 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 from tests.conftest import SF01
-from wakeline.llm.license_scan import TEMPLATES, align, find_licenses, op5_license_scan
+from wakeline.llm.license_scan import TEMPLATES, TemplateIndex, align, allowed_edits, find_licenses, folded_words, op5_license_scan
 
 
 def full_alignment(template, text):
@@ -57,6 +58,36 @@ def test_notices_of_the_corpus(spark):
     assert {(r.doc_id, r.license) for r in op5_license_scan(spark, SF01).collect()} == want and want
 
 
+def test_candidates_are_those_of_full_alignment():
+    """Every change of a short notice within its edits, one or two at a time, is a candidate of its template."""
+    index = TemplateIndex(TEMPLATES)
+    rng = random.Random(5)
+    for t, name in enumerate(index.names):
+        m = len(index.tokens[t])
+        if m > 13:
+            continue
+        words = "".join(c if c.isalnum() else " " for c in TEMPLATES[name]).split()
+        changed = {" ".join(words)}
+        for _ in range(allowed_edits(m)):
+            more = set()
+            for text in changed if len(changed) < 60 else rng.sample(sorted(changed), 60):
+                w = text.split()
+                more.update(" ".join(w[:i] + part + w[i + cut:]) for i in range(len(w) + 1) for part, cut in (([], 1), (["zzz"], 1), (["zzz"], 0)))
+            changed |= more
+        texts = ["before it " + x + " after it" for x in sorted(changed)]
+        row, _, _, h = folded_words(pa.array(texts))
+        cut = np.searchsorted(row, np.arange(len(texts) + 1))
+        found = {r for r, of, *_ in index.candidates(h, row, cut) if of == t}
+        aligned = {r for r in range(len(texts)) if full_alignment(index.tokens[t].tolist(), h[cut[r]:cut[r + 1]].tolist())[0] <= allowed_edits(m)}
+        assert aligned == set(range(len(texts))) and aligned <= found, name
+
+
+def test_a_word_missing_or_added_in_the_shortest_notice(spark):
+    docs = [(1, "Released under an MIT License."), (2, "Released under MIT License"), (3, "x Released now under the MIT License")]
+    assert {(r.doc_id, r.license) for r in find_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == {
+        (i, "MIT notice") for i in (1, 2, 3)}
+
+
 def test_edges(spark, edge_docs, wide_docs, no_docs):
     rows = [(r.doc_id, r.license) for r in find_licenses(edge_docs).collect()]
     assert rows == [(10, "MIT notice")] == [(r.doc_id, r.license) for r in find_licenses(wide_docs).collect()]

@@ -3,7 +3,9 @@
 The fingerprints of a token sequence are the smallest hashes of its windows of word
 k-grams (winnowing): two sequences that share ``GRAM + WINNOW - 1`` tokens in a row share
 a fingerprint. Templates' fingerprints form an inverted index; a document's own
-fingerprints look up (template, diagonal) candidates. Each candidate is settled by an
+fingerprints look up (template, diagonal) candidates. A template whose allowed edits can leave
+shorter runs than that is indexed by all its grams of the longest run that must remain.
+Each candidate is settled by an
 edit-distance alignment of the template with the document's tokens inside a band
 around the diagonal, as wide as the edits that the coverage allows; its matched share and
 span are reported.
@@ -141,8 +143,14 @@ def align(template: np.ndarray, text: np.ndarray, centre: int, band: int) -> tup
     return errors, errors * big - key, lo + int(start[end]), lo + end
 
 
+def sure_run(length: int) -> int:
+    """Equal tokens in a row that a template of this length keeps under any allowed edits."""
+    edits = allowed_edits(length)
+    return -(-(length - edits) // (edits + 1))
+
+
 class TemplateIndex:
-    """Templates as token hashes with the inverted index of their fingerprints."""
+    """Templates as token hashes with the inverted indexes of their fingerprints, by gram size (0: winnowed)."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
@@ -150,29 +158,68 @@ class TemplateIndex:
         row, _, _, h = folded_words(column)
         cut = np.searchsorted(row, np.arange(len(self.names) + 1))
         self.tokens = [h[a:b] for a, b in zip(cut[:-1], cut[1:])]
-        finger, at = winnow(h, row)
-        order = np.argsort(finger, kind="stable")
-        self.hash, self.template = finger[order], row[at[order]]
-        self.position = at[order] - cut[row[at[order]]]
-
-    def candidates(self, tokens: np.ndarray, row: np.ndarray) -> list[tuple[int, int, int]]:
+        run = np.array([sure_run(len(x)) for x in self.tokens], np.int64)
+        size = np.where(run >= GRAM + WINNOW - 1, 0, np.minimum(run, GRAM))
+        self.grams = {}
+        for k in sorted(set(size.tolist())):
+            finger, at = self._fingers(h, row, k)
+            own = size[row[at]] == k
+            finger, at = finger[own], at[own]
+            order = np.argsort(finger, kind="stable")
+            self.grams[k] = finger[order], row[at[order]], at[order] - cut[row[at[order]]]
+
+    @staticmethod
+    def _fingers(tokens: np.ndarray, row: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Winnowed fingerprints, or all grams of a size, and the positions of their first tokens."""
+        if not size:
+            return winnow(tokens, row)
+        return shingle_hashes(tokens, row, size)[0], np.flatnonzero(row[:max(len(row) - size + 1, 0)] == row[size - 1:])
+
+    def candidates(self, tokens: np.ndarray, row: np.ndarray, cut: np.ndarray) -> list[tuple[int, int, int]]:
         """(row, template, token position of the template's start), one per band of diagonals."""
-        finger, at = winnow(tokens, row)
-        lo = np.searchsorted(self.hash, finger, side="left")
-        n = np.searchsorted(self.hash, finger, side="right") - lo
-        hit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        where = np.repeat(at, n)
-        named = sorted(set(zip(row[where].tolist(), self.template[hit].tolist(), (where - self.position[hit]).tolist())))
+        named = set()
+        for size, (known, template, position) in self.grams.items():
+            if not len(known):  # templates without a word
+                continue
+            finger, at = self._fingers(tokens, row, size)
+            lo = np.searchsorted(known, finger, side="left")
+            some = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == finger)
+            lo, at = lo[some], at[some]
+            n = np.searchsorted(known, finger[some], side="right") - lo
+            hit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            where = np.repeat(at, n)
+            start, of = where - position[hit], template[hit]
+            likely = self._likely(tokens, cut, row[where], of, start)
+            named.update(zip(row[where][likely].tolist(), of[likely].tolist(), start[likely].tolist()))
         out: list[tuple[int, int, int]] = []
-        for r, t, start in named:
+        for r, t, start in sorted(named):
             if not out or out[-1][:2] != (r, t) or start - out[-1][2] > allowed_edits(len(self.tokens[t])):
                 out.append((r, t, start))
         return out
 
+    def _likely(self, tokens: np.ndarray, cut: np.ndarray, row: np.ndarray, of: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """False where too few tokens of a short template stand within its edits of their places."""
+        out = np.ones(len(of), bool)
+        for t in np.unique(of).tolist():
+            template, edits = self.tokens[t], allowed_edits(len(self.tokens[t]))
+            if edits > 2:
+                continue
+            own = np.flatnonzero(of == t)
+            equal = np.zeros(len(own), np.int64)
+            for i, token in enumerate(template):
+                near = np.zeros(len(own), bool)
+                for shift in range(-edits, edits + 1):
+                    at = start[own] + i + shift
+                    inside = (at >= cut[row[own]]) & (at < cut[row[own] + 1])
+                    near |= inside & (tokens[np.where(inside, at, 0)] == token)
+                equal += near
+            out[own] = equal >= len(template) - edits
+        return out
+
     def find(self, tokens: np.ndarray, row: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
         """(row, template, coverage, errors, first token, end token) of the accepted places."""
         seen = set()
-        for r, t, start in self.candidates(tokens, row):
+        for r, t, start in self.candidates(tokens, row, cut):
             template, a, b = self.tokens[t], int(cut[r]), int(cut[r + 1])
             m = len(template)
             if start >= a and start + m <= b and np.array_equal(tokens[start:start + m], template):
