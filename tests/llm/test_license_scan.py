@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from tests.conftest import SF01
-from wakeline.llm.license_scan import TEMPLATES, TemplateIndex, align, allowed_edits, find_licenses, folded_words, op5_license_scan
+from wakeline.llm.license_scan import NAMING, TEMPLATES, TemplateIndex, align, allowed_edits, find_licenses, folded_words, op5_license_scan
 
 
 def full_alignment(template, text):
@@ -88,6 +88,40 @@ def test_a_word_missing_or_added_in_the_shortest_notice(spark):
         (i, "MIT notice") for i in (1, 2, 3)}
 
 
+def test_neighbouring_licenses_are_not_mistaken(spark):
+    texts = {"Licensed under CC BY-SA 4.0.": {"CC BY-SA notice"}, "Licensed under the Mozilla License, Version 2.0": {"MPL notice"},
+             "Released under the BSD License": {"BSD notice"}, "Released under the GPL License": set(), "Licensed under CC BY-NC-SA 4.0.": {"CC BY-NC-SA notice"},
+             "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL notice"},
+             "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": {"CC BY-NC long notice"},
+             "Licensed under the Acme License, Version 2.0.": set(), "Licensed under CC BY-XX 4.0.": {"CC BY short notice"},
+             TEMPLATES["Apache-2.0 header"]: {"Apache-2.0 header"}}
+    texts |= {text: {name} for name, text in TEMPLATES.items()}
+    docs = spark.createDataFrame(list(enumerate(f"Some text. {t} And more." for t in texts)), "doc_id long, text string")
+    got = [set() for _ in texts]
+    for r in find_licenses(docs).collect():
+        got[r.doc_id].add(r.license)
+    assert dict(zip(texts, got)) == texts
+
+
+def test_no_edit_in_the_naming_words():
+    """One edit of a notice is accepted outside the words that name the license and nowhere in them."""
+    for name in (n for n in TEMPLATES if n in NAMING):
+        index = TemplateIndex({name: TEMPLATES[name]})
+        if len(index.tokens[0]) > 15:
+            continue
+        words = "".join(c if c.isalnum() else " " for c in TEMPLATES[name]).split()
+        naming = NAMING[name].replace("-", " ").split()
+        at = next(i for i in range(len(words)) if words[i:i + len(naming)] == naming)
+        texts, named = [], []
+        for i in range(len(words)):
+            for part, cut in (([], 1), (["zzz"], 1), (["zzz"], 0)):
+                texts.append("before it " + " ".join(words[:i] + part + words[i + cut:]) + " after it")
+                named.append(at + (cut == 0) <= i < at + len(naming))
+        row, _, _, h = folded_words(pa.array(texts))
+        found = {p[0] for p in index.find(h, row, np.searchsorted(row, np.arange(len(texts) + 1)))}
+        assert found == {k for k in range(len(texts)) if not named[k]}, name
+
+
 def test_edges(spark, edge_docs, wide_docs, no_docs):
     rows = [(r.doc_id, r.license) for r in find_licenses(edge_docs).collect()]
     assert rows == [(10, "MIT notice")] == [(r.doc_id, r.license) for r in find_licenses(wide_docs).collect()]

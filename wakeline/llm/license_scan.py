@@ -10,7 +10,8 @@ edit-distance alignment of the template with the document's tokens inside a band
 around the diagonal, as wide as the edits that the coverage allows; its matched share and
 span are reported.
 
-Digits are folded, so a notice is found for any version or year.
+Digits are folded, so a notice is found for any version or year. The words that name a
+license allow no edit, and where places overlap the best-fitting template is reported.
 """
 
 from __future__ import annotations
@@ -65,6 +66,35 @@ TEMPLATES = {
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    # neighbours, which differ from a notice above by the words that name the license
+    "BSD notice": "Released under the BSD License.",
+    "ISC notice": "Released under the ISC License.",
+    "MPL notice": "Licensed under the Mozilla Public License, Version 2.0.",
+    "LGPL notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "CC BY short notice": "Licensed under CC BY 4.0.",
+    "CC BY-SA notice": "Licensed under CC BY-SA 4.0.",
+    "CC BY-ND notice": "Licensed under CC BY-ND 4.0.",
+    "CC BY-NC-SA notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC BY-NC-ND notice": "Licensed under CC BY-NC-ND 4.0.",
+    "CC BY-SA long notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC BY-ND long notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC BY-NC long notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC BY-NC-SA long notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC BY-NC-ND long notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+}
+
+# Words in a row that must stand unchanged in a place of the template; long texts without a name have none.
+NAMING = {
+    "Apache-2.0 notice": "Apache", "Apache-2.0 header": "Apache License", "MIT notice": "MIT", "GPL notice": "GNU General Public",
+    "GPL header": "GNU General Public License", "CC BY-NC notice": "CC BY-NC", "CC BY notice": "Creative Commons Attribution",
+    "Unlicense": "unencumbered", "MPL-2.0": "Mozilla Public License", "BSD notice": "BSD", "ISC notice": "ISC", "MPL notice": "Mozilla",
+    "LGPL notice": "GNU Lesser General Public", "AGPL notice": "GNU Affero General Public", "CC BY short notice": "CC BY",
+    "CC BY-SA notice": "CC BY-SA", "CC BY-ND notice": "CC BY-ND", "CC BY-NC-SA notice": "CC BY-NC-SA", "CC BY-NC-ND notice": "CC BY-NC-ND",
+    "CC BY-SA long notice": "Creative Commons Attribution-ShareAlike", "CC BY-ND long notice": "Creative Commons Attribution-NoDerivatives",
+    "CC BY-NC long notice": "Creative Commons Attribution-NonCommercial",
+    "CC BY-NC-SA long notice": "Creative Commons Attribution-NonCommercial-ShareAlike",
+    "CC BY-NC-ND long notice": "Creative Commons Attribution-NonCommercial-NoDerivatives",
 }
 
 NOT_TOKEN = np.ones(256, bool)
@@ -143,6 +173,40 @@ def align(template: np.ndarray, text: np.ndarray, centre: int, band: int) -> tup
     return errors, errors * big - key, lo + int(start[end]), lo + end
 
 
+#: row, template, coverage, errors, first token, end token
+Place = tuple[int, int, float, int, int, int]
+
+
+def holds(text: np.ndarray, phrase: np.ndarray) -> bool:
+    """Whether the words of ``phrase`` stand in a row in ``text``."""
+    n = len(text) - len(phrase) + 1
+    if n <= 0:
+        return False
+    here = np.ones(n, bool)
+    for k, word in enumerate(phrase):
+        here &= text[k:k + n] == word
+    return bool(here.any())
+
+
+def best_fitting(places: list[Place], lengths: list[int]) -> list[Place]:
+    """Without places of which half or more lies in, or covers half of, one that fits better.
+
+    The fit is equal tokens less errors. Templates that fit equally well are all reported,
+    a template's own overlapping places once.
+    """
+    fit = lambda p: round(p[2] * lengths[p[1]]) - p[3]
+    kept: dict[int, list[Place]] = {}
+    for p in sorted(places, key=lambda p: (p[0], -fit(p), p[3], p[4], p[1])):
+        own = kept.setdefault(p[0], [])
+        for q in own:
+            shared = min(p[5], q[5]) - max(p[4], q[4])
+            if 2 * shared >= min(p[5] - p[4], q[5] - q[4]) and (fit(q) > fit(p) or q[1] == p[1]):
+                break
+        else:
+            own.append(p)
+    return [p for own in kept.values() for p in sorted(own, key=lambda p: (p[4], p[1]))]
+
+
 def sure_run(length: int) -> int:
     """Equal tokens in a row that a template of this length keeps under any allowed edits."""
     edits = allowed_edits(length)
@@ -152,8 +216,9 @@ def sure_run(length: int) -> int:
 class TemplateIndex:
     """Templates as token hashes with the inverted indexes of their fingerprints, by gram size (0: winnowed)."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], naming: dict[str, str] = NAMING):
         self.names = list(templates)
+        self.naming = [folded_words(pa.array([naming.get(n, "")], pa.string()))[3] for n in self.names]
         column = pa.array([templates[n] for n in self.names], pa.string())
         row, _, _, h = folded_words(column)
         cut = np.searchsorted(row, np.arange(len(self.names) + 1))
@@ -216,9 +281,9 @@ class TemplateIndex:
             out[own] = equal >= len(template) - edits
         return out
 
-    def find(self, tokens: np.ndarray, row: np.ndarray, cut: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
-        """(row, template, coverage, errors, first token, end token) of the accepted places."""
-        seen = set()
+    def find(self, tokens: np.ndarray, row: np.ndarray, cut: np.ndarray) -> list[Place]:
+        """The accepted places."""
+        seen, places = set(), []
         for r, t, start in self.candidates(tokens, row, cut):
             template, a, b = self.tokens[t], int(cut[r]), int(cut[r + 1])
             m = len(template)
@@ -227,19 +292,24 @@ class TemplateIndex:
             else:
                 errors, equal, first, end = align(template, tokens[a:b], start - a, 2 * allowed_edits(m) + 1)
             coverage = equal / m
-            if coverage >= MIN_COVERAGE and errors <= allowed_edits(m) and (r, t, first) not in seen:
+            if (coverage >= MIN_COVERAGE and errors <= allowed_edits(m) and (r, t, first) not in seen
+                    and holds(tokens[a + first:a + end], self.naming[t])):
                 seen.add((r, t, first))
-                yield r, t, coverage, errors, first, end
+                places.append((r, t, coverage, errors, first, end))
+        return best_fitting(places, [len(x) for x in self.tokens])
 
 
 FOUND = "doc_id long, license string, coverage double, n_errors int, first_word int, end_word int, start_byte long, end_byte long"
 
 
-def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, naming: dict[str, str] = NAMING) -> DataFrame:
     """One row for each place where a document holds a license template.
 
     A place is reported where at least ``MIN_COVERAGE`` of the template's tokens match in
-    order, with no more than the remaining share of edits. Spans are in words
+    order, with no more than the remaining share of edits and none in the words that name the
+    license (``naming``). Of places that overlap by half of the shorter one, that with the most
+    equal tokens less edits is reported, so a notice inside a longer header is not; equal
+    fits are reported each. Spans are in words
     and in UTF-8 bytes of the text. The template set is a parameter of bounded size;
     documents are read in one map pass over whole texts.
 
@@ -247,7 +317,7 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> Dat
     a notice that occurs several times is reported at each place; an empty table gives
     an empty result; other columns are ignored.
     """
-    index = TemplateIndex(templates)
+    index = TemplateIndex(templates, naming)
     names = ["doc_id", "license", "coverage", "n_errors", "first_word", "end_word", "start_byte", "end_byte"]
     types = [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
 
