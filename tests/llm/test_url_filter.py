@@ -1,5 +1,8 @@
 """Host rules, URL parts and mined rules on small fixtures."""
 
+import random
+from itertools import combinations
+
 import pytest
 
 from wakeline.llm.url_filter import Mining, mine_rules, url_verdicts
@@ -41,6 +44,27 @@ def test_mined_rules_block_token_combinations(spark):
     assert rules and all({"p:bad", "p:casino"} <= set(r.tokens) and r.confidence == 1.0 for r in rules)
 
 
+def test_rules_of_any_size_block(spark):
+    """Pages with all of four parts are bad and no three of them tell; against brute force over all token sets."""
+    parts = ["ad", "buy", "click", "deal"]
+    rng = random.Random(8)
+    urls = ["http://h.com/" + "/".join(p for k, p in enumerate(parts) if i >> k & 1) for i in range(16)] * 30
+    bad = [i % 16 == 15 or rng.random() < 0.03 for i in range(len(urls))]
+    known = range(len(urls) // 2)
+    sets = [frozenset({"h:h", "h:com", *("p:" + p for k, p in enumerate(parts) if i >> k & 1)}) for i in range(16)] * 30
+    seen = {}
+    for i in known:
+        for size in range(1, len(sets[i]) + 1):
+            for c in map(frozenset, combinations(sorted(sets[i]), size)):
+                n, b = seen.get(c, (0, 0))
+                seen[c] = n + 1, b + bad[i]
+    rules = [c for c, (n, b) in seen.items() if b >= 10 and b / n >= 0.6]
+    assert rules and min(map(len, rules)) == 4
+    got = verdicts(spark, urls, [(i, 1, int(bad[i])) for i in known])
+    assert {i for i, r in got.items() if r.verdict == "block"} == {i for i, s in enumerate(sets) if any(c <= s for c in rules)}
+    assert {i % 16 for i, r in got.items() if r.verdict == "block"} == {15}
+
+
 def test_too_few_labels_make_no_rule(spark):
     urls = [f"http://h.com/bad/{i}" for i in range(20)]
     assert {r.verdict for r in verdicts(spark, urls, [(i, 0, 1) for i in range(9)]).values()} == {"allow"}

@@ -55,7 +55,6 @@ class Mining:
     min_confidence: float = 0.6
     min_support: float = 0.002
     min_pages: int = 10
-    max_tokens: int = 3
 
 
 def _after_scheme(url: Column) -> Column:
@@ -114,9 +113,7 @@ def mine_rules(pages: DataFrame, labels: DataFrame, mining: Mining = Mining()) -
         return spark.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=(pages_needed - 0.5) / n,
                      minConfidence=mining.min_confidence).fit(transactions)
-    rules = model.associationRules.where(
-        (F.col("consequent")[0] == BLOCK) & (F.size("antecedent") <= mining.max_tokens)
-    ).select(F.col("antecedent").alias("tokens"), "confidence", "support")
+    rules = model.associationRules.where(F.col("consequent")[0] == BLOCK).select(F.col("antecedent").alias("tokens"), "confidence", "support")
     alone = model.freqItemsets.where(F.size("items") == 1).select(
         F.col("items")[0].alias("_token"), F.col("freq").alias("_freq"))
     rarest = (rules.withColumn("_token", F.explode("tokens")).join(alone, "_token")
