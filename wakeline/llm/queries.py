@@ -9,6 +9,7 @@ from wakeline.llm.lm_score import op7_pitman_yor_lm
 from wakeline.llm.near_dup import op9_dart_minhash
 from wakeline.llm.quality_model import op4_ordinal_quality
 from wakeline.llm.quality_rules import OP8_SQL, op8_quality_rules
+from wakeline.llm.resample import OP11_SQL, op11_crc_resample
 from wakeline.llm.sharding import OP3_SQL, op3_byte_shards
 from wakeline.llm.suffix_dedup import op1_suffix_dedup
 from wakeline.llm.tables import ship_package
@@ -34,10 +35,12 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_quality_rules": op8_quality_rules,
     "op9_dart_minhash": op9_dart_minhash,
     "op10_bpe_tree": op10_bpe_tree,
+    "op11_crc_resample": op11_crc_resample,
 }.items()}
 
 ORACLE_SQL = {
     "op3_byte_shards": OP3_SQL,
     "op6_url_filter": OP6_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op11_crc_resample": OP11_SQL,
 }
