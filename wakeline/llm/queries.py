@@ -6,6 +6,7 @@ from wakeline.llm.bpe import op10_bpe_tree
 from wakeline.llm.decontam import op2_spaced_seed_leaks
 from wakeline.llm.license_scan import op5_license_scan
 from wakeline.llm.lm_score import op7_pitman_yor_lm
+from wakeline.llm.manifest import OP12_SQL, op12_postorder_manifest
 from wakeline.llm.near_dup import op9_dart_minhash
 from wakeline.llm.quality_model import op4_ordinal_quality
 from wakeline.llm.quality_rules import OP8_SQL, op8_quality_rules
@@ -36,6 +37,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op9_dart_minhash": op9_dart_minhash,
     "op10_bpe_tree": op10_bpe_tree,
     "op11_crc_resample": op11_crc_resample,
+    "op12_postorder_manifest": op12_postorder_manifest,
 }.items()}
 
 ORACLE_SQL = {
@@ -43,4 +45,5 @@ ORACLE_SQL = {
     "op6_url_filter": OP6_SQL,
     "op8_quality_rules": OP8_SQL,
     "op11_crc_resample": OP11_SQL,
+    "op12_postorder_manifest": OP12_SQL,
 }
