@@ -8,6 +8,7 @@ from wakeline.llm.license_scan import op5_license_scan
 from wakeline.llm.lm_score import op7_pitman_yor_lm
 from wakeline.llm.manifest import OP12_SQL, op12_postorder_manifest
 from wakeline.llm.near_dup import op9_dart_minhash
+from wakeline.llm.pii import op13_boosted_pii
 from wakeline.llm.quality_model import op4_ordinal_quality
 from wakeline.llm.quality_rules import OP8_SQL, op8_quality_rules
 from wakeline.llm.resample import OP11_SQL, op11_crc_resample
@@ -38,6 +39,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op10_bpe_tree": op10_bpe_tree,
     "op11_crc_resample": op11_crc_resample,
     "op12_postorder_manifest": op12_postorder_manifest,
+    "op13_boosted_pii": op13_boosted_pii,
 }.items()}
 
 ORACLE_SQL = {
