@@ -1,6 +1,9 @@
 """CSV scan: columns bound by each file's own header, odd records, ids that survive other splits."""
 
 import gzip
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from tests.conftest import SF001
 from wakeline.config import AIS_HEADERS, FIELDS
 from wakeline.plans.jobs import observed
 from wakeline.session import scratch_path
-from wakeline.sources.csv import header_lines, read_ais_csv, read_csv_strings, write_ais_csv
+from wakeline.sources.csv import header_lines, literal_path, read_ais_csv, read_csv_strings, scanned_headers, write_ais_csv
 from wakeline.sources.fixture import ais_strings
 from wakeline.sources.tables import write_stage
 
@@ -121,3 +124,105 @@ def test_counting_reads_only_the_checked_columns(spark, tmp_path):
     few = positions_raw(path, fields=("mmsi", "name"))
     whole = positions_raw(path).select("row_id", "mmsi", "name")
     assert sorted(map(str, few.collect())) == sorted(map(str, whole.collect()))
+
+
+ODD_NAMES = ["a b.csv", "c[1].csv", "d%20e{x}*?.csv", "e+f.csv", "plain.csv"]
+
+
+def _odd_files(folder, lines=20):
+    """Files of two layouts, whose names hold blanks and pattern characters."""
+    folder.mkdir()
+    for k, name in enumerate(ODD_NAMES):
+        head = "MMSI,Latitude,Name" if k % 2 else "Name,Latitude,MMSI"
+        row = (lambda i: f"{219000000 + i},55.5,{name[0]}") if k % 2 else (lambda i: f"{name[0]},55.5,{219000000 + i}")
+        (folder / name).write_text("\n" * (k == 1) + head + "\n" + "".join(row(i) + "\n" for i in range(lines)))
+    return str(folder)
+
+
+def test_odd_file_names_in_several_layouts(spark, tmp_path):
+    path = _odd_files(tmp_path / "in [x] y")
+    rows = read_ais_csv(spark, literal_path(path))
+    assert sorted((r.name, r.n) for r in rows.where("mmsi LIKE '2190%' AND NOT malformed").groupBy("name").agg(F.count("*").alias("n")).collect()) == [
+        (c, 20) for c in "acdep"]
+    assert sorted(r.file.rsplit("/")[-1] for r in header_lines(spark, literal_path(path)).collect()) == ODD_NAMES
+
+
+SPILLING = """
+import sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.shuffle.spill.numElementsForceSpillThreshold", "1000").getOrCreate())
+from wakeline.sources.csv import header_lines, read_ais_csv, scanned_headers
+for heads in (header_lines(spark, sys.argv[1]), scanned_headers(spark, sys.argv[1])):
+    print("HEADS", sorted(r.header for r in heads.collect()))
+print("ROWS", read_ais_csv(spark, sys.argv[1]).where("lat = '55.5' AND mmsi LIKE '2190%'").count())
+"""
+
+
+def test_headers_do_not_depend_on_a_sort(tmp_path):
+    """Sorts that spill at every thousandth row (a setting of a whole process): every file keeps its own first line."""
+    path = _odd_files(tmp_path / "big", lines=5_000)
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-c", SPILLING, path], cwd=home, capture_output=True, text=True, timeout=300)
+    want = str(sorted("MMSI,Latitude,Name" if k % 2 else "Name,Latitude,MMSI" for k in range(5)))
+    assert [line for line in run.stdout.splitlines() if line.startswith(("HEADS", "ROWS"))] == [f"HEADS {want}", f"HEADS {want}", "ROWS 25000"], run.stderr[-2000:]
+
+
+def test_headers_read_a_head_of_each_file(tmp_path):
+    """Bytes read for headers follow the number of files, not their size."""
+    import pyarrow as pa
+
+    from wakeline.sources.csv import _head_reader
+
+    read, opened = _head_reader(), []
+    path = tmp_path / "large.csv"
+    path.write_text("\n\nMMSI,Latitude\r\n" + "219000001,55.5\n" * 1_000_000)
+    (tmp_path / "blank.csv").write_text("\n \n")
+    (tmp_path / "wide.csv").write_text("x" * 300_000)
+
+    class Counted:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def read(self, n):
+            opened.append(n)
+            return self.stream.read(n)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+    from unittest import mock
+
+    from pyarrow import fs
+
+    class Store(fs.LocalFileSystem):
+        def open_input_stream(self, *a, **k):
+            return Counted(super().open_input_stream(*a, **k))
+
+    names = [f"file:{tmp_path}/{n}" for n in ("large.csv", "blank.csv", "wide.csv", "missing.csv")] + ["odd://x/y.csv"]
+    with mock.patch.object(fs, "LocalFileSystem", Store):
+        out = next(read(iter([pa.record_batch({"file": pa.array(names[:1])})]))).to_pylist()
+        assert out == [{"file": names[0], "header": "MMSI,Latitude"}] and sum(opened) <= 1 << 16
+        rest = next(read(iter([pa.record_batch({"file": pa.array(names[1:])})]))).to_pylist()
+    assert rest == [{"file": names[2], "header": "x" * 300_000}, {"file": names[3], "header": None}, {"file": names[4], "header": None}]
+
+
+def test_a_store_that_arrow_cannot_open_is_scanned(spark, tmp_path, monkeypatch):
+    from wakeline.sources import csv as module
+
+    def closed():
+        def read(batches):
+            import pyarrow
+
+            for b in batches:
+                yield pyarrow.record_batch({"file": b.column("file"), "header": pyarrow.nulls(b.num_rows, pyarrow.string())})
+        return read
+
+    path = _odd_files(tmp_path / "closed")
+    want = sorted(map(str, header_lines(spark, path).collect()))
+    monkeypatch.setattr(module, "_head_reader", closed)
+    assert sorted(map(str, header_lines(spark, path).collect())) == want
+    assert read_ais_csv(spark, path).where("lat = '55.5'").count() == 100

@@ -7,6 +7,7 @@ from wakeline.operators.positions import positions_raw
 from wakeline.session import scratch_path
 from wakeline.sources.csv import write_ais_csv
 from wakeline.sources.fixture import ais_strings
+from wakeline.sources.loads import read_rows
 from wakeline.streaming.ingest import start_raw_ingest
 
 
@@ -22,13 +23,13 @@ def test_stream_matches_batch(spark):
     q = start_raw_ingest(spark, src, out, checkpoint_location=scratch_path(spark, "stream-ckpt"),
                          max_files_per_trigger=3)
     q.awaitTermination(300)
-    got = spark.read.parquet(out)
-    assert got.select("batch_id").distinct().count() > 1
+    got = read_rows(spark, out)
+    assert got.select("load").distinct().count() > 1
     cols = [c for c in positions_raw(strings).columns if c != "row_id"]
     a = sorted(_norm(r) for r in got.select(*cols).collect())
     b = sorted(_norm(r) for r in positions_raw(strings).select(*cols).collect())
     assert a == b
-    assert got.select("batch_id", "row_id").distinct().count() == got.count()
+    assert got.select("row_id").distinct().count() == got.count()
 
 
 def test_stream_binds_columns_by_header_name(spark, tmp_path):
@@ -43,7 +44,7 @@ def test_stream_binds_columns_by_header_name(spark, tmp_path):
     out = scratch_path(spark, "stream-by-name")
     q = start_raw_ingest(spark, str(src), out, checkpoint_location=scratch_path(spark, "stream-by-name-ckpt"))
     q.awaitTermination(300)
-    rows = sorted((r.mmsi, r.lat, r.lon) for r in spark.read.parquet(out).collect())
+    rows = sorted((r.mmsi, r.lat, r.lon) for r in read_rows(spark, out).collect())
     assert rows == [(219000001, 55.5, 12.0), (219000002, 55.5, 12.0)]
 
 
@@ -61,6 +62,6 @@ def test_second_run_processes_only_new_files(spark, tmp_path):
     start_raw_ingest(spark, str(src), out, checkpoint_location=ckpt).awaitTermination(300)
     land("c.csv", 219000003)
     start_raw_ingest(spark, str(src), out, checkpoint_location=ckpt).awaitTermination(300)
-    got = spark.read.parquet(out)
+    got = read_rows(spark, out)
     assert sorted(r.mmsi for r in got.collect()) == [219000001, 219000002, 219000003]
-    assert got.select("batch_id").distinct().count() == 2
+    assert got.select("load").distinct().count() == 2

@@ -83,3 +83,21 @@ def test_scratch_tables_are_cleared(spark, tmp_path, monkeypatch):
 
     assert os.path.isdir(folder)
     assert clear_scratch(spark) == 1 and not os.path.exists(folder)
+
+
+def test_file_profile_reads_no_data_column(spark):
+    from wakeline.operators.profile import file_profile
+    from wakeline.plans.jobs import build_stages
+    from wakeline.sources.fixture import ais_strings
+    from tests.conftest import SF001
+
+    path = scratch_path(spark, "file-profile")
+    write_by_day(build_stages(ais_strings(spark, SF001)).raw, path)
+    df = spark.read.parquet(path)
+    profile = file_profile({"t": df})
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    got = {str(r.day): (r.n_files, r.n_rows) for r in profile.collect()}
+    files = [f.split("day=")[1][:10] for f in df.inputFiles()]
+    assert got == {d: (files.count(d), df.where(f"day = '{d}'").count()) for d in set(files)}
+    assert all(r.n_bytes > 0 for r in profile.collect())

@@ -43,6 +43,21 @@ def layout_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy("table_name", DAY)
 
 
+def file_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """Pieces and bytes per place: files, bytes and rows of each day folder of tables in the day layout.
+
+    Only the scan's file metadata is selected, so no data column is read: rows are counted
+    from the files' footers. A file counts once, however many splits it is read in.
+    """
+    parts = []
+    for name, df in tables.items():
+        files = (df.select(DAY, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+                 .groupBy(DAY, "file").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n")))
+        parts.append(files.groupBy(DAY).agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"), F.sum("n").alias("n_rows"))
+                     .select(F.lit(name).alias("table_name"), DAY, "n_files", "n_bytes", "n_rows"))
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name", DAY)
+
+
 def sample_mmsi(df: DataFrame, k: int = 10) -> DataFrame:
     """The first ``k`` rows' vessel ids in (mmsi, ts, row_id) order (a top-k, not a full sort)."""
     return (df.filter(F.col("mmsi").isNotNull() & (F.col("mmsi") != 0))

@@ -6,7 +6,7 @@ import os
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
@@ -15,7 +15,7 @@ from wakeline.operators.positions import positions_raw
 from wakeline.operators.profile import metric_rows
 from wakeline.operators.sequence import positions_dt
 from wakeline.operators.vessels import positions_clean
-from wakeline.sources.csv import MALFORMED, read_ais_csv
+from wakeline.sources.csv import observed, read_ais_csv
 from wakeline.sources.tables import write_by_day, write_stage, write_table
 
 
@@ -29,13 +29,6 @@ class Stages:
     read: dict[str, int]
 
 
-def observed(strings: DataFrame) -> tuple[DataFrame, Observation]:
-    """``strings`` with the rows read and the malformed records counted as they pass."""
-    seen = Observation("load")
-    malformed = F.count_if(F.col(MALFORMED)) if MALFORMED in strings.columns else F.count_if(F.lit(False))
-    return strings.observe(seen, F.count(F.lit(1)).alias("rows_read"), malformed.alias("rows_malformed")), seen
-
-
 def build_stages(strings: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> Stages:
     """raw -> clean -> dt. Raw and clean are written once each; all later steps read them.
 

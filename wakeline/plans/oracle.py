@@ -224,6 +224,12 @@ SELECT event_id, user_id, ts, prev_ts, epoch_us(ts) // 1000 - epoch_us(prev_ts)
 FROM (SELECT event_id, user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM events)
 WHERE prev_ts IS NOT NULL""",
     "ais_stream_ingest": PRELUDE + f"SELECT {', '.join(FIELDS)} FROM raw",
+    "ais_append_loads": PRELUDE + f"SELECT {', '.join(FIELDS)}, CAST(1 AS BIGINT) AS n_ids FROM raw",
+    "ais_valid_incremental": PRELUDE + f"SELECT {', '.join(FIELDS)} FROM clean",
+    "ais_delta_merge": PRELUDE + "SELECT mmsi, ts, prev_ts, delta_t_ms FROM dt",
+    "ais_file_profile": PRELUDE + """
+SELECT 'positions_raw' AS table_name, CAST(ts AS DATE) AS day, count(*) AS n_rows, true AS has_files, true AS has_bytes
+FROM raw GROUP BY 2""",
     "merge_keep_existing": PRELUDE + f"""
 , tgt AS (SELECT * FROM raw WHERE ts < {MERGE_TO}),
 new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= {MERGE_FROM})

@@ -18,15 +18,17 @@ from wakeline.functions.predicates import MMSI_RE
 from wakeline.functions.text import parse_float, parse_int, parse_timestamp, strip
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.positions import CHECKED, positions_raw, reject_reasons, typed_rows
-from wakeline.operators.profile import layout_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
+from wakeline.operators.profile import file_profile, layout_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
 from wakeline.operators.sequence import ms_between, with_previous_time
 from wakeline.operators.vessels import valid_vessels, vessel_counts
+from wakeline.plans.incremental import append_and_merge, append_positions, merge_gaps, read_clean
 from wakeline.plans.jobs import build_stages, load_report, run_all
 from wakeline.session import scratch_path
 from wakeline.sources.csv import read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
+from wakeline.sources.loads import append_load, read_rows
 from wakeline.sources.spread import spread
-from wakeline.sources.tables import merge_into_days, write_by_day, write_stage
+from wakeline.sources.tables import DAY, merge_into_days, write_by_day, write_stage
 from wakeline.streaming.ingest import start_raw_ingest
 
 CFG = DEFAULT_CONFIG
@@ -207,7 +209,44 @@ def q_stream_ingest(spark, sf_dir):
     query = start_raw_ingest(spark, src, out, CFG, checkpoint_location=scratch_path(spark, "ais-stream-ckpt"),
                              max_files_per_trigger=2)
     query.awaitTermination()
-    return spark.read.parquet(out).select(*FIELDS)
+    return read_rows(spark, out).select(*FIELDS)
+
+
+def _three_loads(spark, sf_dir, step) -> str:
+    """The fixture in three loads whose reports interleave, so that most of the second and third are late."""
+    rows, src, out = ais_strings(spark, sf_dir), scratch_path(spark, "ais-loads-src"), scratch_path(spark, "ais-loads")
+    for k in range(3):
+        write_ais_csv(rows.where(F.col("row_id") % 3 == k), f"{src}/{k}", AIS_HEADERS if k else AIS_HEADERS[::-1])
+        step(out, [f"{src}/{j}" for j in range(k + 1)])  # folders of earlier loads are offered again
+    step(out, src + "/*")
+    return out
+
+
+def q_append_loads(spark, sf_dir):
+    """Rows of three appended loads, each offered twice; ``n_ids`` tells whether their ids are unique."""
+    out = _three_loads(spark, sf_dir, lambda table, paths: append_load(spark, table, paths, CFG))
+    rows = read_rows(spark, out)
+    ids = rows.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_ids"))
+    return rows.join(ids, "row_id").select(*FIELDS, "n_ids")
+
+
+def q_valid_incremental(spark, sf_dir):
+    """The clean table kept load by load: vessels that become valid late bring their older rows."""
+    return read_clean(spark, _three_loads(spark, sf_dir, lambda table, paths: append_positions(spark, table, paths, CFG))).select(*FIELDS)
+
+
+def q_delta_merge(spark, sf_dir):
+    """The gap table kept by merges of three loads with late reports."""
+    out = _three_loads(spark, sf_dir, lambda path, paths: append_and_merge(spark, path, paths, CFG))
+    return merge_gaps(spark, f"{out}/positions", f"{out}/positions_dt", CFG).select("mmsi", "ts", "prev_ts", "delta_t_ms")
+
+
+def q_file_profile(spark, sf_dir):
+    """Rows per day folder of the raw table, from file metadata and footers; every folder has files and bytes."""
+    path = scratch_path(spark, "positions_raw-by-day")
+    write_by_day(_stages(spark, sf_dir).raw, path)
+    profile = file_profile({"positions_raw": spark.read.parquet(path)})
+    return profile.select("table_name", DAY, "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
 QUERIES: dict[str, Query] = {
@@ -234,4 +273,8 @@ QUERIES: dict[str, Query] = {
     "merge_replace": q_merge_replace,
     "events_inter_arrival": q_events_inter_arrival,
     "ais_stream_ingest": q_stream_ingest,
+    "ais_append_loads": q_append_loads,
+    "ais_valid_incremental": q_valid_incremental,
+    "ais_delta_merge": q_delta_merge,
+    "ais_file_profile": q_file_profile,
 }

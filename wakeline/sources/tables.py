@@ -74,18 +74,24 @@ def merge_replace(target: DataFrame, new: DataFrame, key: str = "row_id", order_
 
 
 def merge_into_days(spark: SparkSession, path: str, new: DataFrame, key: str = "row_id", when_matched: str = "replace",
-                    order_by: str | None = None) -> DataFrame:
+                    order_by: str | None = None, keys_keep_day: bool = False) -> DataFrame:
     """Merge ``new`` into the day-layout table at ``path`` and return the table as it is then.
 
     Only the days that the merge touches are read whole and rewritten: days of the new
     rows, and days in which a key of theirs stands already. They are written beside the
     table first and put in place after that write has ended; days that a replacement
     emptied are removed.
+
+    ``keys_keep_day`` promises that a key's rows never change their day (a report's time is
+    fixed): then only the days of the new rows can hold their keys, and the other days are not
+    searched. Such a merge removes no folder and may be repeated after a failure.
     """
     target = spark.read.parquet(path)
     rows = write_stage(latest(new, key, order_by).withColumn(DAY, day_of()), "merge-new")
-    matched = write_stage(target.select(key, DAY).join(rows.select(key), key, "left_semi"), "merge-matched")
-    days = [r[DAY] for r in rows.select(DAY).union(matched.select(DAY)).distinct().collect()]  # touched days
+    hit = rows.select(DAY)
+    if not keys_keep_day:
+        hit = hit.union(write_stage(target.select(key, DAY).join(rows.select(key), key, "left_semi"), "merge-matched").select(DAY))
+    days = [r[DAY] for r in hit.distinct().collect()]  # touched days
     if not days:
         return target
     # a key may stand in another day than its new row: both sides are in the touched days

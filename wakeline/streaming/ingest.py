@@ -1,14 +1,13 @@
 """Incremental load: CSV files landing in a folder -> the raw positions table.
 
-A Structured Streaming file source discovers new files and keeps the
-exactly-once bookkeeping in its checkpoint.  Each micro-batch reads *its* files
-with the batch CSV reader, grouped by each file's own header, so columns are
-bound by header name as in the original per-file reader (a streaming CSV
-source needs a fixed schema and would bind by position), then parses and checks them with :func:`positions_raw` and writes
-them to the batch's own ``batch_id=<n>`` folder of the raw table.  A re-run of
-a batch after a failure overwrites that folder, so output is exactly-once.
-Rows are identified by the two columns (batch_id, row_id): ``row_id`` is unique within its
-batch, and batches are numbered in arrival order.
+A Structured Streaming file source discovers new files and keeps the exactly-once
+bookkeeping in its checkpoint.  Each micro-batch is one load of a load table
+(:mod:`wakeline.sources.loads`): its files are read with the batch CSV reader, grouped by each
+file's own header, so columns are bound by header name as in the original per-file reader (a streaming CSV
+source needs a fixed schema and would bind by position), then parsed and checked with
+:func:`positions_raw`. Row ids are unique over all batches, so the rows can go to the gap operator
+and the merges as they are. A batch that is run again after a failure overwrites what it had written, or, if it
+was recorded already, finds that its files are known.
 """
 
 from __future__ import annotations
@@ -20,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
-from wakeline.operators.positions import positions_raw
 from wakeline.session import checkpoint_dir
-from wakeline.sources.csv import read_ais_csv
+from wakeline.sources.csv import literal_path
+from wakeline.sources.loads import append_load
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 # files per micro-batch (each file's header is read once per batch)
@@ -42,6 +41,7 @@ def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisC
                      max_files_per_trigger: int | None = None, glob: str = "*.csv") -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
+    ``out_path`` becomes a load table, read with :func:`wakeline.sources.loads.read_rows`.
     ``glob`` selects the landed files (e.g. ``"*.csv.gz"`` for compressed days).
     """
     location = checkpoint_location or os.path.join(checkpoint_dir(spark), "raw-ingest-stream")
@@ -51,8 +51,7 @@ def start_raw_ingest(spark: SparkSession, src_dir: str, out_path: str, cfg: AisC
         files = sorted(r._file for r in batch.collect())
         if not files:
             return
-        rows = positions_raw(read_ais_csv(spark, files), cfg)
-        rows.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
+        append_load(spark, out_path, [literal_path(f) for f in files], cfg)
 
     writer = (new_files(spark, src_dir, max_files_per_trigger, glob)
               .writeStream.foreachBatch(write_batch).option("checkpointLocation", location))
