@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.sources.tables import DAY
@@ -82,6 +82,21 @@ def vessel_reports(df: DataFrame, mmsi: int | None, k: int = 5) -> DataFrame:
             .select("row_id", "mmsi", "ts"))
 
 
+def gap_lookup(gaps: DataFrame, mmsi: int | None, since: Column, until: Column, longer_than: int) -> DataFrame:
+    """Gap rows by vessel, by time and by gap length, each with the name of its filter.
+
+    All three are comparisons with literals, which the Parquet scan uses to skip row groups; on an
+    interleaved copy (:mod:`wakeline.sources.interleave`) each of them skips most.
+    """
+    filters = {
+        "vessel": F.col("mmsi") == F.lit(mmsi).cast("bigint"),
+        "time": (F.col("ts") >= since) & (F.col("ts") < until),
+        "gap": F.col("delta_t_ms") > F.lit(longer_than).cast("bigint"),
+    }
+    parts = [gaps.where(f).select(F.lit(name).alias("lookup"), "row_id", "mmsi", "ts", "delta_t_ms") for name, f in filters.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def vessel_lookup(df: DataFrame, k: int = 5) -> DataFrame:
     """First vessel present (lowest mmsi) and its first ``k`` reports (find one, then query it)."""
     return vessel_reports(df, first_vessel(df), k)

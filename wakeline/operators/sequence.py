@@ -56,9 +56,10 @@ def with_previous_time(df: DataFrame, key: str = "mmsi", ts: str = "ts", order_i
     stored table.
     """
     spark = df.sparkSession
-    firsts = write_stage(df.groupBy(key, ts).agg(F.min(order_id).alias("_first_id")), "times")
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-firsts.count() // rows_per_range))
-    # written, because range bounds are sampled anew by each run of a plan
+    firsts = df.groupBy(key, ts).agg(F.min(order_id).alias("_first_id"))
+    # a stored table's rows are counted from its footers
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_range))
+    # written, because range bounds are sampled anew by each run of a plan; the sample and the write share the aggregate's shuffle
     ranged = write_stage(firsts.repartitionByRange(width, key, ts).withColumn("_part", F.spark_partition_id()), "time-ranges")
 
     inside = Window.partitionBy("_part").orderBy(key, ts)

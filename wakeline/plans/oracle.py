@@ -230,6 +230,10 @@ WHERE prev_ts IS NOT NULL""",
     "ais_file_profile": PRELUDE + """
 SELECT 'positions_raw' AS table_name, CAST(ts AS DATE) AS day, count(*) AS n_rows, true AS has_files, true AS has_bytes
 FROM raw GROUP BY 2""",
+    "ais_gap_lookup": PRELUDE + f"""
+SELECT 'vessel' AS lookup, row_id, mmsi, ts, delta_t_ms FROM dt WHERE mmsi = (SELECT min(mmsi) FROM dt)
+UNION ALL SELECT 'time', row_id, mmsi, ts, delta_t_ms FROM dt WHERE ts >= {MERGE_FROM} AND ts < {MERGE_TO}
+UNION ALL SELECT 'gap', row_id, mmsi, ts, delta_t_ms FROM dt WHERE delta_t_ms > 900000""",
     "merge_keep_existing": PRELUDE + f"""
 , tgt AS (SELECT * FROM raw WHERE ts < {MERGE_TO}),
 new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= {MERGE_FROM})

@@ -18,7 +18,7 @@ from wakeline.functions.predicates import MMSI_RE
 from wakeline.functions.text import parse_float, parse_int, parse_timestamp, strip
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.positions import CHECKED, positions_raw, reject_reasons, typed_rows
-from wakeline.operators.profile import file_profile, layout_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
+from wakeline.operators.profile import file_profile, first_vessel, gap_lookup, layout_profile, sample_mmsi, slice_profile, table_profile, vessel_lookup
 from wakeline.operators.sequence import ms_between, with_previous_time
 from wakeline.operators.vessels import valid_vessels, vessel_counts
 from wakeline.plans.incremental import append_and_merge, append_positions, merge_gaps, read_clean
@@ -26,6 +26,7 @@ from wakeline.plans.jobs import build_stages, load_report, run_all
 from wakeline.session import scratch_path
 from wakeline.sources.csv import read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
+from wakeline.sources.interleave import write_interleaved
 from wakeline.sources.loads import append_load, read_rows
 from wakeline.sources.spread import spread
 from wakeline.sources.tables import DAY, merge_into_days, write_by_day, write_stage
@@ -249,6 +250,18 @@ def q_file_profile(spark, sf_dir):
     return profile.select("table_name", DAY, "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
+GAP_MS = 900_000
+
+
+def q_gap_lookup(spark, sf_dir):
+    """Gaps of one vessel, of half an hour, and over a quarter of an hour, looked up in one interleaved copy."""
+    path = scratch_path(spark, "gaps-interleaved")
+    write_interleaved(write_stage(_stages(spark, sf_dir).dt, "positions_dt"), path)
+    gaps = spark.read.parquet(path)
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    return gap_lookup(gaps, first_vessel(gaps), at(MERGE_FROM), at(MERGE_TO), GAP_MS)
+
+
 QUERIES: dict[str, Query] = {
     "ais_csv_scan": q_csv_scan,
     "ais_typed_rows": q_typed_rows,
@@ -277,4 +290,5 @@ QUERIES: dict[str, Query] = {
     "ais_valid_incremental": q_valid_incremental,
     "ais_delta_merge": q_delta_merge,
     "ais_file_profile": q_file_profile,
+    "ais_gap_lookup": q_gap_lookup,
 }
