@@ -234,6 +234,9 @@ FROM raw GROUP BY 2""",
 SELECT 'vessel' AS lookup, row_id, mmsi, ts, delta_t_ms FROM dt WHERE mmsi = (SELECT min(mmsi) FROM dt)
 UNION ALL SELECT 'time', row_id, mmsi, ts, delta_t_ms FROM dt WHERE ts >= {MERGE_FROM} AND ts < {MERGE_TO}
 UNION ALL SELECT 'gap', row_id, mmsi, ts, delta_t_ms FROM dt WHERE delta_t_ms > 900000""",
+    "ais_versioned_merge": PRELUDE + f"""
+SELECT * REPLACE (CASE WHEN ts < {MERGE_FROM} THEN nav_status WHEN ts < {MERGE_TO} THEN nav_status || ' (new)'
+                  ELSE nav_status || ' (kept out)' END AS nav_status) FROM raw""",
     "merge_keep_existing": PRELUDE + f"""
 , tgt AS (SELECT * FROM raw WHERE ts < {MERGE_TO}),
 new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= {MERGE_FROM})

@@ -27,9 +27,10 @@ from wakeline.session import scratch_path
 from wakeline.sources.csv import read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
 from wakeline.sources.interleave import write_interleaved
-from wakeline.sources.loads import append_load, read_rows
+from wakeline.sources.loads import ROW_SCHEMA, append_load, read_rows
 from wakeline.sources.spread import spread
 from wakeline.sources.tables import DAY, merge_into_days, write_by_day, write_stage
+from wakeline.sources.versions import merge_version, read_version, replace_version
 from wakeline.streaming.ingest import start_raw_ingest
 
 CFG = DEFAULT_CONFIG
@@ -250,6 +251,18 @@ def q_file_profile(spark, sf_dir):
     return profile.select("table_name", DAY, "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
+def q_versioned_merge(spark, sf_dir):
+    """The two merges, one after the other, into a versioned table; readers switch from version to version."""
+    raw = write_stage(positions_raw(ais_strings(spark, sf_dir), CFG), "positions_raw")
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    path = scratch_path(spark, "versioned")
+    replace_version(raw.filter(F.col("ts") < at(MERGE_TO)), path)
+    marked = lambda m: raw.filter(F.col("ts") >= at(MERGE_FROM)).withColumn("nav_status", F.concat(F.col("nav_status"), F.lit(m)))
+    merge_version(spark, path, marked(" (kept out)"), when_matched="keep")
+    merge_version(spark, path, marked(" (new)").filter(F.col("ts") < at(MERGE_TO)), keys_keep_day=True)
+    return read_version(spark, path, ROW_SCHEMA).select("row_id", *FIELDS)
+
+
 GAP_MS = 900_000
 
 
@@ -291,4 +304,5 @@ QUERIES: dict[str, Query] = {
     "ais_delta_merge": q_delta_merge,
     "ais_file_profile": q_file_profile,
     "ais_gap_lookup": q_gap_lookup,
+    "ais_versioned_merge": q_versioned_merge,
 }
