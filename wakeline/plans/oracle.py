@@ -237,6 +237,7 @@ UNION ALL SELECT 'gap', row_id, mmsi, ts, delta_t_ms FROM dt WHERE delta_t_ms >
     "ais_versioned_merge": PRELUDE + f"""
 SELECT * REPLACE (CASE WHEN ts < {MERGE_FROM} THEN nav_status WHEN ts < {MERGE_TO} THEN nav_status || ' (new)'
                   ELSE nav_status || ' (kept out)' END AS nav_status) FROM raw""",
+    "ais_bucketed_clean": PRELUDE + "SELECT * FROM clean",
     "merge_keep_existing": PRELUDE + f"""
 , tgt AS (SELECT * FROM raw WHERE ts < {MERGE_TO}),
 new AS (SELECT * REPLACE (nav_status || ' (new)' AS nav_status) FROM raw WHERE ts >= {MERGE_FROM})

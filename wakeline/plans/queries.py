@@ -7,6 +7,7 @@ and runs over all of its rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wakeline.config import AIS_HEADERS, DEFAULT_CONFIG, FIELDS, NAV_STATUS_REJECT_LOWER
 from wakeline.functions.geo import distance_nm
-from wakeline.functions.predicates import MMSI_RE
+from wakeline.functions.predicates import MMSI_RE, stored_row_counts
 from wakeline.functions.text import parse_float, parse_int, parse_timestamp, strip
 from wakeline.operators.histogram import gap_histogram, gap_summary
 from wakeline.operators.positions import CHECKED, positions_raw, reject_reasons, typed_rows
@@ -24,6 +25,7 @@ from wakeline.operators.vessels import valid_vessels, vessel_counts
 from wakeline.plans.incremental import append_and_merge, append_positions, merge_gaps, read_clean
 from wakeline.plans.jobs import build_stages, load_report, run_all
 from wakeline.session import scratch_path
+from wakeline.sources.buckets import counts_in_place, place_by_vessel, semi_join_in_place
 from wakeline.sources.csv import read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
 from wakeline.sources.interleave import write_interleaved
@@ -263,6 +265,16 @@ def q_versioned_merge(spark, sf_dir):
     return read_version(spark, path, ROW_SCHEMA).select("row_id", *FIELDS)
 
 
+def q_bucketed_clean(spark, sf_dir):
+    """The clean table from raw rows that lie by vessel: neither the counts nor the semi-join shuffles them."""
+    raw = write_stage(positions_raw(ais_strings(spark, sf_dir), CFG), "positions_raw")
+    name = f"positions_raw_{uuid.uuid4().hex[:12]}"
+    buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = place_by_vessel(raw, name, scratch_path(spark, name), buckets, max(1, raw.count() // buckets))
+    valid = counts_in_place(placed, spark, stored_row_counts(CFG)).where(F.col("n_reports") >= CFG.min_reports)
+    return semi_join_in_place(placed, spark, valid)
+
+
 GAP_MS = 900_000
 
 
@@ -304,5 +316,6 @@ QUERIES: dict[str, Query] = {
     "ais_delta_merge": q_delta_merge,
     "ais_file_profile": q_file_profile,
     "ais_gap_lookup": q_gap_lookup,
+    "ais_bucketed_clean": q_bucketed_clean,
     "ais_versioned_merge": q_versioned_merge,
 }
