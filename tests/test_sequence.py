@@ -1,5 +1,7 @@
 """The skew-safe previous-time operator against a plain window lag (brute force)."""
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -45,7 +47,10 @@ def test_ranges_are_bounded_whatever_the_key(spark):
     df = spark.range(4000).select(F.col("id").alias("row_id"), F.lit(1).alias("k"),
                                   F.timestamp_micros(F.lit(1_776_000_000_000_000) + F.col("id") * 7).alias("t"))
     got = with_previous_time(df, key="k", ts="t", rows_per_range=100)
-    assert "hashpartitioning(_part" in got._jdf.queryExecution().executedPlan().toString()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(_part" in plan and "Bucketed: true" in plan and "hashpartitioning" not in plan
+    ranges = spark.table(re.search(r"spark_catalog\.default\.(time_ranges_\w+)", plan).group(1)).groupBy("_part").count().collect()
+    assert len(ranges) > 20 and max(r["count"] for r in ranges) < 400
     assert _rows(got, "k", "t") == _rows(_brute(df, "k", "t", "row_id"), "k", "t")
 
 

@@ -7,17 +7,12 @@ A plain ``lag`` over ``Window.partitionBy("mmsi")`` sends a whole vessel to one
 task, which breaks when one vessel (or one burst of copies) holds a large share
 of the rows.  Instead:
 
-1. Copies collapse first: rows with the same (mmsi, ts) reduce to one key row
-   holding the smallest row_id (partial aggregation, so before any shuffle).
-   Within such a group the first row (smallest row_id) takes the previous
-   *distinct* time; every other row's previous time is ts itself.
-2. The distinct (mmsi, ts) pairs are put in order over range partitions of equal
-   row counts. A vessel of any size, and times of any resolution, spread over as many
-   ranges as they need.
-3. The previous pair is a lag inside the range; a range's first pair takes the
-   last pair of the range before it, from a table of one row per range.
-4. Rows join back on (mmsi, ts).  This is the only shuffle of full rows; a hot
-   (mmsi, ts) group is split by AQE's skew-join handling.
+1. The rows are put in order over range partitions of (mmsi, ts, row_id), in one shuffle. Row ids
+   are unique, so ranges are of equal size whatever vessel, or one time of it, holds the rows.
+2. A range is written as one bucket of a sorted table, so the window over a range needs no second
+   shuffle.
+3. The previous row is a lag inside the range; a range's first row takes the last row of the
+   range before it, from a table of one row per range.
 """
 
 from __future__ import annotations
@@ -26,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT_CONFIG, AisConfig
-from wakeline.sources.tables import write_stage
+from wakeline.sources.tables import write_bucketed, write_stage
 
 
 def epoch_millis(ts: Column | str) -> Column:
@@ -52,28 +47,22 @@ def with_previous_time(df: DataFrame, key: str = "mmsi", ts: str = "ts", order_i
     """``df`` plus ``out`` = ts of the previous row of the same key in (ts, order_id) order.
 
     ``order_id`` must be unique (row ids are). Rows with a null key or time are
-    not returned (callers filter them first). ``df`` is read twice: it should be a
-    stored table.
+    not returned (callers filter them first). ``df`` is read twice, once for a sample of the
+    three columns: it should be a stored table.
     """
     spark = df.sparkSession
-    firsts = df.groupBy(key, ts).agg(F.min(order_id).alias("_first_id"))
     # a stored table's rows are counted from its footers
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_range))
-    # written, because range bounds are sampled anew by each run of a plan; the sample and the write share the aggregate's shuffle
-    ranged = write_stage(firsts.repartitionByRange(width, key, ts).withColumn("_part", F.spark_partition_id()), "time-ranges")
+    ordered = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).repartitionByRange(width, key, ts, order_id)
+    ranged = write_bucketed(ordered.withColumn("_part", F.spark_partition_id()), "time-ranges", width, "_part", [key, ts, order_id])
 
-    inside = Window.partitionBy("_part").orderBy(key, ts)
+    inside = Window.partitionBy("_part").orderBy(key, ts, order_id)
     # one row per range: a window and a broadcast of at most ``width`` rows
     ends = ranged.groupBy("_part").agg(F.max(F.struct(key, ts)).alias("_end"))
-    before = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_before"))
+    before = write_stage(ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_before")), "range-ends")
     previous = F.coalesce(F.lag(F.struct(key, ts)).over(inside), F.col("_before"))
-    distinct_prev = (ranged.join(F.broadcast(before), "_part").withColumn("_p", previous)
-                     .select(key, ts, "_first_id", F.when(F.col(f"_p.{key}") == F.col(key), F.col(f"_p.{ts}")).alias("_prev_distinct")))
-
-    return (df.join(distinct_prev, [key, ts], "inner")
-            .withColumn(out, F.when(F.col(order_id) == F.col("_first_id"), F.col("_prev_distinct"))
-                        .otherwise(F.col(ts)))
-            .drop("_first_id", "_prev_distinct"))
+    return (ranged.join(F.broadcast(before), "_part").withColumn("_p", previous)
+            .select(*df.columns, F.when(F.col(f"_p.{key}") == F.col(key), F.col(f"_p.{ts}")).alias(out)))
 
 
 def positions_dt(clean: DataFrame, cfg: AisConfig = DEFAULT_CONFIG) -> DataFrame:

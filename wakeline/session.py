@@ -60,6 +60,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 _SCRATCH: list[str] = []
+_TABLES: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -69,6 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A fresh path for an intermediate table, and a name for it in the session's catalog."""
+    path = scratch_path(spark, name)
+    _TABLES.append(os.path.basename(path).replace("-", "_"))
+    return path, _TABLES[-1]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder wherever Spark's file systems reach it."""
     jvm = spark.sparkContext._jvm
@@ -79,6 +87,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables that this process has made; frames read from them are void then."""
     n = len(_SCRATCH)
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     while _SCRATCH:
         delete_path(spark, _SCRATCH.pop())
     return n

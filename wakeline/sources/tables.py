@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.session import delete_path, scratch_path
+from wakeline.session import delete_path, scratch_path, scratch_table
 
 DAY = "day"
 
@@ -23,6 +23,19 @@ def write_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, buckets: int, key: str, order: list[str]) -> DataFrame:
+    """A stage written as ``buckets`` buckets of ``key``, each file sorted by ``order``.
+
+    Later grouping by ``key`` needs no shuffle. The table lies under the shared checkpoint folder; its name in
+    the session's catalog is its folder's. Beyond the number of buckets that Spark allows, a bucket holds several keys.
+    """
+    spark = df.sparkSession
+    path, table = scratch_table(spark, name)
+    allowed = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    df.write.bucketBy(min(buckets, allowed), key).sortBy(*order).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """``overwrite`` replaces the table (drop + load); ``append`` adds rows."""
     df.write.mode(mode).parquet(path)
