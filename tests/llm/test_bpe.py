@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests.conftest import SF001
-from wakeline.llm.bpe import Encoder, bpe_tokens, encode_tree, op10_bpe_tree, unpack, vocabulary_path
+from wakeline.llm.bpe import FIRST_WINDOW, Encoder, bpe_tokens, encode_tree, op10_bpe_tree, unpack, vocabulary_path
 
 PIECES = ["the ", "a", "B", "é", "é", "'s", "'re", "'", '"', "1", "23", " ", "\n", "  ", "<|endoftext|>", "<|", "|>", "!", "...", "中",
           "\U0001f600", "Σ", "word", "ing", "\x01", " ", "​", "한", "가", "x" * 7, "İ", "'ll", ".", "don't"]
@@ -42,6 +42,20 @@ def test_unsplit_text(enc):
         assert encode_tree(enc, text, 300) == whole(enc, text)
 
 
+def test_joins_encode_windows_only(enc, monkeypatch):
+    """Characters that all joins of an unsplit text encode anew: a few windows each, whatever the text's size."""
+    rng = random.Random(4)
+    seen = []
+    spans = enc.spans
+    monkeypatch.setattr(enc, "spans", lambda text: seen.append(len(text)) or spans(text))
+    for size in (1 << 16, 1 << 18, 1 << 20):
+        text = "".join(rng.choice("abcdefgh") for _ in range(size))
+        seen.clear()
+        assert encode_tree(enc, text, 4096) == whole(enc, text)
+        joins = size // 4096 - 1
+        assert sum(seen) <= joins * 8 * FIRST_WINDOW and max(seen) <= 32 * FIRST_WINDOW
+
+
 def row_of(enc, doc_id, text):
     ids = whole(enc, text or "")
     return (doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),

@@ -3,8 +3,8 @@
 A text up to the leaf size is one leaf. A longer text is halved until the pieces fit;
 the pieces of all texts are dealt out over the cluster and encoded in parallel, then
 joined pairwise up the tree. At a join only a window around the seam is encoded anew;
-it grows until its tokens agree with the tokens of both sides, so the joined tokens
-are those of the unsplit text.
+it grows until its tokens agree with the stored tokens of both sides, which keep their places
+in the text, so the joined tokens are those of the unsplit text.
 
 When do they agree? A token with the same id and the same characters in the window and
 in the side is a common token. White space ends it in the text: the vocabulary's
@@ -24,6 +24,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,7 @@ WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 SPACES = " \t\n\x0b\x0c\r"
 MARK = "\x01"
 LEAF_CHARS = 32_768
+SUBTREE = 16                 # leaves joined in one task
 FIRST_WINDOW = 32
 AGREEING = 4
 MEMO_WORDS = 250_000
@@ -62,6 +64,14 @@ def vocabulary(path: str):
     return tokenizer
 
 
+def _spans_of(encoding) -> np.ndarray:
+    out = np.empty((len(encoding.ids), 3), np.int64)
+    if len(encoding.ids):
+        out[:, 0] = encoding.ids
+        out[:, 1:] = encoding.offsets
+    return out
+
+
 class Encoder:
     """One vocabulary, and the words that a task has met."""
 
@@ -69,6 +79,7 @@ class Encoder:
         self.tokenizer = vocabulary(path)
         self.words: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.spelled: dict[str, bytes] = {}  # words of long texts, with the places of their tokens
         self.mark_id, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         # without a decoder the library joins the tokens with spaces, so texts decode word by word
         self.by_word = self.tokenizer.decoder is None
@@ -103,9 +114,19 @@ class Encoder:
         for w in rest[-1:]:
             keep(w, ids[lo:])
 
-    def leaf(self, text: str) -> bytes:
-        """Packed ids of a text, word by word."""
-        return b"".join([x[0] for x in self._known(WORD.findall(text))])
+    def leaf_spans(self, text: str) -> np.ndarray:
+        """Rows (id, start, end) of the tokens of a text, word by word."""
+        found = [(m[0], m.start()) for m in WORD.finditer(text)]
+        missing = list({w for w, _ in found}.difference(self.spelled))
+        if len(self.spelled) + len(missing) > MEMO_WORDS:
+            self.spelled = {}
+            missing = list({w for w, _ in found})
+        for w, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
+            self.spelled[w] = _spans_of(e).astype("<i4").tobytes()
+        known = [self.spelled[w] for w, _ in found]
+        out = np.frombuffer(b"".join(known), "<i4").reshape(-1, 3).astype(np.int64)
+        out[:, 1:] += np.repeat([at for _, at in found], [len(x) // 12 for x in known]).astype(np.int64)[:, None]
+        return out
 
     def leaf_and_text(self, text: str) -> tuple[bytes, bytes]:
         """Packed ids of a text and what they decode to, in UTF-8."""
@@ -117,24 +138,29 @@ class Encoder:
 
     def spans(self, text: str) -> np.ndarray:
         """Rows (id, start, end) of the tokens of ``text``, in characters."""
-        e = self.tokenizer.encode(text, add_special_tokens=False)
-        out = np.empty((len(e.ids), 3), np.int64)
-        if len(e.ids):
-            out[:, 0] = e.ids
-            out[:, 1:] = e.offsets
-        return out
+        return _spans_of(self.tokenizer.encode(text, add_special_tokens=False))
 
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
+class Node(NamedTuple):
+    """A text of the tree with its tokens: rows (id, start, end), in characters of the text."""
+
+    text: str
+    tokens: np.ndarray
+
+
 def _common(side: np.ndarray, window: np.ndarray, text: str, offset: int, after: bool) -> tuple[int, int] | None:
     """A settled pair (row in side, row in window) of one and the same token.
 
     ``after``: the side lies left of the seam and the token must settle what
     follows it; else the side lies right and the token settles what precedes it.
     """
-    at = {token: k for k, token in enumerate(map(tuple, side.tolist()))}
+    # only the side's tokens that the window reaches, and one more at either end, are looked at
+    lo = max(0, int(np.searchsorted(side[:, 1], offset)) - 1)
+    hi = int(np.searchsorted(side[:, 1], offset + len(text), side="right")) + 1
+    at = {token: k for k, token in enumerate(map(tuple, side[lo:hi].tolist()), lo)}
     rows = [(j, at.get(token)) for j, token in enumerate(map(tuple, window.tolist()))]
 
     def whole(tokens: np.ndarray, k: int) -> bool:
@@ -155,41 +181,28 @@ def _common(side: np.ndarray, window: np.ndarray, text: str, offset: int, after:
     return None
 
 
-def _edge(text: str, want: int, end: bool) -> int:
-    """How many characters from the text's end (or start) make its edge: at least ``want``, cut at white space."""
-    at = want
-    while at < len(text) and text[len(text) - at - 1 if end else at] not in SPACES:
-        at += 1
-    return min(at, len(text))
-
-
-def join(enc: Encoder, left_text: str, left: np.ndarray, right_text: str, right: np.ndarray) -> np.ndarray:
-    """Ids of ``left_text + right_text`` from the ids of its two sides."""
-    n, m = len(left_text), len(right_text)
+def join(enc: Encoder, left: Node, right: Node) -> Node:
+    """The node of ``left.text + right.text``: only windows around the seam are encoded anew."""
+    n, m = len(left.text), len(right.text)
+    beyond = right.tokens + np.array([0, n, n])
     grow = FIRST_WINDOW
     while True:
         a, b = max(0, n - grow), min(m, grow)
-        text = left_text[a:] + right_text[:b]
+        text = left.text[a:] + right.text[:b]
         window = enc.spans(text) + np.array([0, a, a])
-        # the sides' own tokens near the seam, from an edge that white space sets apart
-        z, y = n - _edge(left_text, n - a, True), _edge(right_text, b, False)
-        tail = enc.spans(left_text[z:]) + np.array([0, z, z])
-        head = enc.spans(right_text[:y]) + np.array([0, n, n])
-        first = _common(tail, window, text, a, True) if a else (-len(left) + len(tail), 0)
-        last = _common(head, window, text, a, False) if b < m else (len(right) - 1, len(window) - 1)
+        first = _common(left.tokens, window, text, a, True) if a else (0, 0)
+        last = _common(beyond, window, text, a, False) if b < m else (len(beyond) - 1, len(window) - 1)
         if first is not None and last is not None and first[1] <= last[1] + 1:
-            kept = left[: len(left) - len(tail) + first[0]] if a else left[:0]
-            return np.concatenate([kept, window[first[1]: last[1] + 1, 0], right[last[0] + 1:]])
+            kept = left.tokens[:first[0]]
+            return Node(left.text + right.text, np.concatenate([kept, window[first[1]: last[1] + 1], beyond[last[0] + 1:]]))
         grow *= 2
 
 
-def tree_join(enc: Encoder, texts: list[str], ids: list[np.ndarray]) -> np.ndarray:
-    """Join neighbouring pieces pairwise, level by level."""
-    while len(texts) > 1:
-        ids = [join(enc, texts[i], ids[i], texts[i + 1], ids[i + 1]) if i + 1 < len(texts) else ids[i]
-               for i in range(0, len(texts), 2)]
-        texts = ["".join(texts[i:i + 2]) for i in range(0, len(texts), 2)]
-    return ids[0]
+def tree_join(enc: Encoder, nodes: list[Node]) -> Node:
+    """Join neighbouring nodes pairwise, level by level."""
+    while len(nodes) > 1:
+        nodes = [join(enc, *nodes[i:i + 2]) if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
+    return nodes[0]
 
 
 def halves(text: str, leaf_chars: int) -> list[str]:
@@ -201,8 +214,7 @@ def halves(text: str, leaf_chars: int) -> list[str]:
 
 def encode_tree(enc: Encoder, text: str, leaf_chars: int = LEAF_CHARS) -> list[int]:
     """Ids of one text by tree concatenation, all in this process."""
-    parts = halves(text, leaf_chars)
-    return tree_join(enc, parts, [unpack(enc.leaf(p)) for p in parts]).tolist()
+    return tree_join(enc, [Node(p, enc.leaf_spans(p)) for p in halves(text, leaf_chars)]).tokens[:, 0].tolist()
 
 
 def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
@@ -229,13 +241,22 @@ def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> Data
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path)
         for batch in slices(batches, "piece"):
-            ids = [enc.leaf(t) for t in batch.column("piece").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], [*batch.schema.names, "ids"])
+            tokens = [enc.leaf_spans(t).astype("<i4").tobytes() for t in batch.column("piece").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.binary())], [*batch.schema.names, "tokens"])
+
+    def joined(enc: Encoder, pieces: pd.DataFrame) -> Node:
+        pieces = pieces.sort_values("part")
+        return tree_join(enc, [Node(p, np.frombuffer(t, "<i4").reshape(-1, 3).astype(np.int64))
+                               for p, t in zip(pieces["piece"], pieces["tokens"])])
+
+    def merge_subtree(pieces: pd.DataFrame) -> pd.DataFrame:
+        node = joined(Encoder(path), pieces)
+        head = pieces[["row", "doc_id", "part"]].iloc[:1].reset_index(drop=True)
+        return head.assign(part=head["part"] // SUBTREE, piece=node.text, tokens=node.tokens.astype("<i4").tobytes())
 
     def merge(pieces: pd.DataFrame) -> pd.DataFrame:
         enc = Encoder(path)
-        pieces = pieces.sort_values("part")
-        ids = tree_join(enc, pieces["piece"].tolist(), [unpack(t) for t in pieces["ids"]]).tolist()
+        ids = joined(enc, pieces).tokens[:, 0].tolist()
         return pd.DataFrame({"doc_id": pieces["doc_id"].iloc[:1], "ids": [_pack(ids)], "decoded": [enc.decode(ids)]})
 
     schema = "doc_id long, ids binary, decoded string"
@@ -252,9 +273,11 @@ def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> Data
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.pow(F.lit(2), "depth").cast("int") - 1)))
         .select("row", "doc_id", "part", F.substring("text", cut(F.col("part")) + 1, cut(F.col("part") + 1) - cut(F.col("part"))).alias("piece"))
     )
-    encoded = pieces.repartition("row", "part").mapInArrow(
-        encode_pieces, "row struct<n:long,doc_id:long>, doc_id long, part int, piece string, ids binary")
-    return short.unionByName(encoded.groupBy("row").applyInPandas(merge, schema))
+    node = "row struct<n:long,doc_id:long>, doc_id long, part int, piece string, tokens binary"
+    encoded = pieces.repartition("row", "part").mapInArrow(encode_pieces, node)
+    # the lower levels of one document's tree are joined in as many tasks as it has subtrees
+    subtrees = encoded.groupBy("row", F.floor(F.col("part") / SUBTREE).alias("subtree")).applyInPandas(merge_subtree, node)
+    return short.unionByName(subtrees.groupBy("row").applyInPandas(merge, schema))
 
 
 VOCABULARY = "word_bpe_49k.json"
