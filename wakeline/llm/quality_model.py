@@ -5,14 +5,19 @@ is shared by all grades; ordered thresholds cut its score into grades:
 ``P(grade <= k) = sigmoid(threshold_k - score)``. A document gets its expected grade
 and the tail probability of the top grade, by which it is selected.
 
-The model is fitted on a bounded sample of labelled documents (``max_labelled``); all
+The model is fitted on a bounded sample of labelled documents (``max_labelled``), a third of it
+for each grade, so that a rare grade is learned as well as a common one; the thresholds are
+then fitted anew with every grade weighted by its share of all labels. Features are chosen in
+Spark, so only those that get a weight come to the driver. All
 documents are scored by a map over Arrow batches with the fitted weights.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from wakeline.llm.tables import stored
 from wakeline.llm.tokens import NOT_LETTER, U64, give_back, mix, slices, text_bytes, words_of
 
 N_GRADES = 3
@@ -27,11 +33,12 @@ N_GRADES = 3
 
 @dataclass(frozen=True)
 class FitParams:
-    max_labelled: int = 6_000   # bound of the labelled sample
-    min_documents: int = 10     # documents of the sample that a feature must occur in
+    max_labelled: int = 6_000   # bound of the labelled sample, a third of it for each grade
+    min_share: float = 0.005    # a feature must occur in as many documents as this share of the rarest grade's sample
     min_z: float = 4.0          # standard errors between the grades with and without it
     l2: float = 0.5
-    rounds: int = 300
+    rounds: int = 3_000         # of the descent, at most
+    slope: float = 1e-4         # at which it ends: the largest derivative per document
     min_tail: float = 0.5       # keep from this probability of the top grade on
 
 
@@ -94,46 +101,85 @@ def document_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.concatenate([h, *extra])
 
 
-def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, params: FitParams = FitParams()) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty, by full-batch Adam on the bounded sample.
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+
+def feature_floor(grade_counts: Iterable[int], params: FitParams) -> int:
+    """Documents that a feature must occur in: relative to the rarest grade of the sample, three at least."""
+    return max(3, math.ceil(params.min_share * min(n for n in grade_counts if n)))
+
+
+def loss_and_gradient(p: np.ndarray, rows: np.ndarray, cols: np.ndarray, grade: np.ndarray, weight: np.ndarray,
+                      l2: float) -> tuple[float, np.ndarray]:
+    """Negative log likelihood of the grades with its penalty, and its gradient.
+
+    ``p``: the feature weights, the first threshold, the logarithms of the gaps between thresholds
+    (so they stay ordered). ``rows, cols``: which document holds which feature. ``weight``: of each document.
+    """
+    n, m = len(grade), len(p) - (N_GRADES - 1)
+    w, cuts = p[:m], np.cumsum(np.concatenate([p[m:m + 1], np.exp(p[m + 1:])]))
+    score = np.bincount(rows, weights=w[cols], minlength=n)
+    edge = np.concatenate([[-np.inf], cuts, [np.inf]])
+    hi, lo = _sigmoid(edge[grade + 1] - score), _sigmoid(edge[grade] - score)
+    lo[grade == 0], hi[grade == N_GRADES - 1] = 0, 1
+    mass = np.maximum(hi - lo, 1e-12)
+    d_hi, d_lo = weight * hi * (1 - hi) / mass, weight * lo * (1 - lo) / mass
+    g = np.zeros_like(p)
+    g[:m] = np.bincount(cols, weights=(d_hi - d_lo)[rows], minlength=m) + l2 * w
+    by_edge = np.bincount(grade, weights=d_lo, minlength=N_GRADES + 1)[:N_GRADES + 1] - np.bincount(grade + 1, weights=d_hi, minlength=N_GRADES + 1)
+    tails = np.cumsum(by_edge[1:-1][::-1])[::-1]
+    g[m] = tails[0]
+    g[m + 1:] = tails[1:] * np.exp(p[m + 1:])
+    return float(-(weight * np.log(mass)).sum() + l2 / 2 * (w * w).sum()), g
+
+
+def _descend(p: np.ndarray, free: slice, rounds: int, flat: float, gradient) -> np.ndarray:
+    """Full-batch Adam over the parameters ``free``, until all their derivatives are below ``flat``."""
+    p, first, second = p.copy(), np.zeros_like(p), np.zeros_like(p)
+    for t in range(1, rounds + 1):
+        g = gradient(p)
+        if np.abs(g[free]).max() < flat:
+            break
+        first = 0.9 * first + 0.1 * g
+        second = 0.999 * second + 0.001 * g * g
+        rate = 0.05 / (1 + t / 300)
+        p[free] -= (rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8))[free]
+    return p
+
+
+def _log_odds_cuts(share: np.ndarray) -> np.ndarray:
+    """First threshold and logarithms of gaps that give grades these shares at a score of 0."""
+    below = np.clip(np.cumsum(share)[:-1], 1e-6, 1 - 1e-6)
+    theta = np.log(below / (1 - below))
+    for k in range(1, len(theta)):
+        theta[k] = max(theta[k], theta[k - 1] + 0.1)
+    return np.concatenate([theta[:1], np.log(np.diff(theta))])
+
+
+def fit_ordinal(row: np.ndarray, feature: np.ndarray, grade: np.ndarray, params: FitParams = FitParams(),
+                share: np.ndarray | None = None) -> OrdinalModel:
+    """Maximum likelihood with an L2 penalty on the bounded sample; ``share``: of the grades among all labels.
 
     Features whose documents' mean grade is not clearly off the overall mean get no weight:
-    most words of a corpus are rare, and labels are noisy.
+    most words of a corpus are rare, and labels are noisy. The weights are those of the sample as it is;
+    the thresholds are fitted again, from the given shares on, with the documents of a grade weighted to them.
     """
+    n = len(grade)
+    counts = np.bincount(grade, minlength=N_GRADES)
     names, inverse, seen = np.unique(feature, return_inverse=True, return_counts=True)
     z = (np.bincount(inverse, weights=grade[row]) / seen - grade.mean()) / (grade.std() / np.sqrt(seen))
-    use = (seen >= params.min_documents) & (np.abs(z) >= params.min_z)
+    use = (seen >= feature_floor(counts, params)) & (np.abs(z) >= params.min_z)
     column = np.cumsum(use) - 1
     on = use[inverse]
     rows, cols, names = row[on], column[inverse[on]], names[use]
-    n, m = len(grade), len(names)
-    share = np.clip([(grade <= k).mean() for k in range(N_GRADES - 1)], 1e-3, 1 - 1e-3)
-    theta = np.log(share / (1 - share))
-    theta[1:] = np.maximum(theta[1:], theta[:-1] + 0.1)
-    # thresholds stay ordered: the first is free, the gaps are exponentials
-    p = np.concatenate([np.zeros(m), theta[:1], np.log(np.diff(theta))])
-    first, second = np.zeros_like(p), np.zeros_like(p)
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-    for t in range(1, params.rounds + 1):
-        w, cuts = p[:m], np.cumsum(np.concatenate([p[m:m + 1], np.exp(p[m + 1:])]))
-        score = np.bincount(rows, weights=w[cols], minlength=n)
-        edge = np.concatenate([[-np.inf], cuts, [np.inf]])
-        hi, lo = sig(edge[grade + 1] - score), sig(edge[grade] - score)
-        lo[grade == 0], hi[grade == N_GRADES - 1] = 0, 1
-        mass = np.maximum(hi - lo, 1e-12)
-        d_hi, d_lo = hi * (1 - hi) / mass, lo * (1 - lo) / mass
-        g = np.zeros_like(p)
-        g[:m] = np.bincount(cols, weights=(d_hi - d_lo)[rows], minlength=m) + params.l2 * w
-        g_cut = np.zeros(N_GRADES + 1)
-        np.add.at(g_cut, grade + 1, -d_hi)
-        np.add.at(g_cut, grade, d_lo)
-        tails = np.cumsum(g_cut[1:-1][::-1])[::-1]
-        g[m] = tails[0]
-        g[m + 1:] = tails[1:] * np.exp(p[m + 1:])
-        first = 0.9 * first + 0.1 * g
-        second = 0.999 * second + 0.001 * g * g
-        rate = 0.05 * (1 - t / (params.rounds + 1)) + 0.001
-        p = p - rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.999 ** t)) + 1e-8)
+    m = len(names)
+    ones = np.ones(n)
+    p = np.concatenate([np.zeros(m), _log_odds_cuts(counts / n)])
+    p = _descend(p, slice(None), params.rounds, params.slope * n, lambda p: loss_and_gradient(p, rows, cols, grade, ones, params.l2)[1])
+    if share is not None:
+        weight = (np.asarray(share) / np.maximum(counts / n, 1e-300))[grade]
+        p = _descend(p, slice(m, None), params.rounds, params.slope * n, lambda p: loss_and_gradient(p, rows, cols, grade, weight, params.l2)[1])
     return OrdinalModel(names, p[:m].copy(), np.cumsum(np.concatenate([p[m:m + 1], np.exp(p[m + 1:])])))
 
 
@@ -148,34 +194,50 @@ def graded_labels(labels: DataFrame) -> DataFrame:
 
 
 @give_back
-def _pack_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         row, feature = document_features(batch.column("text"))
         order = np.argsort(row, kind="stable")
-        cut = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
-        feature = feature[order].astype("<u8")
-        packed = [feature[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(packed, pa.binary())], ["grade", "features"])
+        cut = np.searchsorted(row[order], np.arange(batch.num_rows + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(feature[order].astype(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), lists], ["doc_id", "grade", "features"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: FitParams = FitParams()) -> OrdinalModel:
-    """Fit on at most ``max_labelled`` labelled documents, chosen by a hash of the doc_id.
+    """Fit on at most ``max_labelled`` labelled documents, a third of them per grade, chosen by a hash of the doc_id.
 
     With no labelled document, or one grade only, the model has no features and its
     thresholds put all documents in that grade (the top grade when there is none).
     """
-    chosen = graded_labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.max_labelled)
+    graded = graded_labels(labels)
+    total = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}  # a row per grade
+    by_hash = [graded.where(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.max_labelled // N_GRADES)
+               for g in range(N_GRADES)]
+    chosen = reduce(DataFrame.unionByName, by_hash)
     # bounded by max_labelled rows of two numbers
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     one_each = sample.groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min("text").alias("text"))
-    got = one_each.select("grade", "text").mapInArrow(_pack_features, "grade int, features binary").collect()
-    grade = np.array([r["grade"] for r in got], np.int64)
-    if len(np.unique(grade)) < 2:
-        only = int(grade[0]) if len(grade) else N_GRADES - 1
+    listed = stored(one_each.mapInArrow(_list_features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, grade int, features array<long>"),
+                    "quality-sample")
+    counts = {r["grade"]: r["count"] for r in listed.groupBy("grade").count().collect()}
+    if len(counts) < 2:
+        only = next(iter(counts), N_GRADES - 1)
         return OrdinalModel(np.zeros(0, U64), np.zeros(0), np.where(np.arange(N_GRADES - 1) < only, -60.0, 60.0))
-    features = [np.frombuffer(r["features"], "<u8") for r in got]
+    n = sum(counts.values())
+    mean = sum(g * c for g, c in counts.items()) / n
+    deviation = math.sqrt(sum((g - mean) ** 2 * c for g, c in counts.items()) / n)
+    pairs = listed.select("doc_id", "grade", F.explode("features").alias("feature"))
+    z = (F.avg("grade") - mean) / deviation * F.sqrt(F.count("*"))
+    clear = pairs.groupBy("feature").agg(F.count("*").alias("seen"), z.alias("z")).where(
+        (F.col("seen") >= feature_floor(counts.values(), params)) & (F.abs("z") >= params.min_z * (1 - 1e-9)))
+    weighed = pairs.join(clear.select("feature"), "feature", "left_semi").groupBy("doc_id").agg(F.collect_list("feature").alias("features"))
+    # at most max_labelled rows; of their features those that get a weight
+    got = listed.select("doc_id", "grade").join(weighed, "doc_id", "left").collect()
+    grade = np.array([r["grade"] for r in got], np.int64)
+    features = [np.array(r["features"] or [], np.int64).astype(U64) for r in got]
     row = np.repeat(np.arange(len(features)), [len(f) for f in features])
-    return fit_ordinal(row, np.concatenate(features), grade, params)
+    share = np.array([total.get(g, 0) if g in counts else 0 for g in range(N_GRADES)], float)
+    return fit_ordinal(row, np.concatenate(features), grade, params, share / share.sum())
 
 
 def score_documents(docs: DataFrame, model: OrdinalModel, min_tail: float = FitParams.min_tail) -> DataFrame:
