@@ -45,7 +45,7 @@ class NearDupParams:
     similarity: float = 0.8
     bands: int = 25          # a pair at 0.8 shares no band with probability 2e-6
     rows_per_band: int = 4
-    weighted: bool = False   # weights: occurrences of a shingle instead of 1
+    weighted: bool = True    # weights: occurrences of a shingle; else all are 1
     pivot_rounds: int = 2
     block_texts: int = 2048  # texts of a bucket that a task holds, twice
 
@@ -262,8 +262,9 @@ class NearDuplicates:
 
     def _still_open(self, rows: DataFrame, groups: DataFrame) -> DataFrame:
         """Rows with their components as of now, in the buckets that hold several."""
-        labelled = rows.select("key", "node", "n_shingles").join(groups, "node", "left").select(
-            "key", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+        # stored: the aggregate then sums up in each task before its shuffle, whatever joined the rows
+        labelled = stored(rows.select("key", "node", "n_shingles").join(groups, "node", "left").select(
+            "key", "node", "n_shingles", F.coalesce("component", "node").alias("component")), "dart-labelled")
         mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         return stored(labelled.join(mixed.select("key"), "key", "left_semi"), "dart-open")
 
@@ -315,8 +316,8 @@ class NearDuplicates:
 def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
     """``doc_id, class_id, class_texts``: the class of every document.
 
-    Documents are in one class when a chain of links (similarity of the shingle sets at
-    least ``similarity``, or equal texts) joins them; ``class_id`` is the smallest doc_id of the
+    Documents are in one class when a chain of links (weighted Jaccard similarity of the shingles,
+    each weighing as much as it occurs, at least ``similarity``, or equal texts) joins them; ``class_id`` is the smallest doc_id of the
     class, ``class_texts`` the number of its different texts.
 
     Defined cases: null counts as the empty text; texts without a word form one class per
@@ -328,7 +329,11 @@ def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParam
 
 
 def one_per_class(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
-    """``docs`` with one row of each class: that of its ``class_id``; of repeated rows one stays."""
+    """``docs`` with one row of each class: that of its ``class_id``; of repeated rows one stays.
+
+    Defined cases: as in :func:`near_duplicate_classes`; a null doc_id stays where its class has no other;
+    all columns stay as they are, whatever their names; an empty table gives an empty result.
+    """
     key = lambda c: F.coalesce(c.cast("long"), F.lit(-(1 << 63)))  # noqa: E731  null doc_ids are one key
     named = NearDuplicates(docs, params).classes()
     first = named.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key(F.col("class_id")).alias("_near_dup_id"), "node")
