@@ -39,7 +39,7 @@ class Rule:
 
 # bounds in the spirit of published web-corpus filters
 RULES = (
-    Rule("n_words", low=50, high=5_000_000),
+    Rule("n_words", low=50),
     Rule("mean_word_chars", low=2, high=15),
     Rule("symbols_per_word", high=0.1),
     Rule("stop_word_share", low=0.02),
@@ -210,7 +210,7 @@ j AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed
-       AND n_words BETWEEN {bounds['n_words'].low} AND {bounds['n_words'].high}
+       AND n_words >= {bounds['n_words'].low}
        AND word_chars / n_words BETWEEN {bounds['mean_word_chars'].low} AND {bounds['mean_word_chars'].high}
        AND n_symbols / n_words <= {bounds['symbols_per_word'].high}
        AND n_stop / n_words >= {bounds['stop_word_share'].low}
