@@ -185,15 +185,14 @@ class _Collector:
         kept = order[~later]
         bucket = ((anchor[kept] >> U64(32)) % U64(self.n_buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
-        kept, cut = kept[by], np.searchsorted(bucket[by], np.arange(self.n_buckets + 1))
-        for b in range(self.n_buckets):
-            part = kept[cut[b]: cut[b + 1]]
-            if len(part):
-                used, local = np.unique(doc[part], return_inverse=True)
-                packed = {"anchors": anchor[part] & U64(0xFFFFFFFF), "contents": content[part], "docs": local,
-                          "starts": start[part], "ends": end[part], "doc_ids": ids[used], "text_keys": keys[used]}
-                # numbers, not nulls: pandas would turn a column of longs with nulls into floats
-                rows.append({"bucket": b, "kind": 2, "doc_id": 0, "text_key": 0, **{c: x.astype(TYPES[c]).tobytes() for c, x in packed.items()}})
+        kept = kept[by]
+        present, cut = np.unique(bucket[by], return_index=True)
+        for b, part in zip(present.tolist(), np.split(kept, cut[1:])):
+            used, local = np.unique(doc[part], return_inverse=True)
+            packed = {"anchors": anchor[part] & U64(0xFFFFFFFF), "contents": content[part], "docs": local,
+                      "starts": start[part], "ends": end[part], "doc_ids": ids[used], "text_keys": keys[used]}
+            # numbers, not nulls: pandas would turn a column of longs with nulls into floats
+            rows.append({"bucket": b, "kind": 2, "doc_id": 0, "text_key": 0, **{c: x.astype(TYPES[c]).tobytes() for c, x in packed.items()}})
         schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()),
                             ("groups", pa.binary()), *((c, pa.binary()) for c in PACKED)])
         for lo in range(0, len(rows), 500):
@@ -300,9 +299,8 @@ def _deal_bytes(params: MatchParams, n_shards: int):
 
     def pack(kind: int, shard: np.ndarray, doc: np.ndarray, ids: np.ndarray, keys: np.ndarray, columns) -> Iterator[dict]:
         order = np.argsort(shard, kind="stable")
-        cut = np.searchsorted(shard[order], np.arange(n_shards + 1))
-        for k in np.flatnonzero(np.diff(cut)).tolist():
-            part = order[cut[k]: cut[k + 1]]
+        present, cut = np.unique(shard[order], return_index=True)
+        for k, part in zip(present.tolist(), np.split(order, cut[1:])):
             used, local = np.unique(doc[part], return_inverse=True)
             yield {"shard": k, "kind": kind, "doc_id": 0, "text_key": 0, "docs": local.astype("<u4").tobytes(),
                    "doc_ids": ids[used].astype("<i8").tobytes(), "text_keys": keys[used].astype("<i8").tobytes(), **columns(part)}
