@@ -7,7 +7,7 @@ import duckdb
 
 import corpus_pipeline
 from tests.conftest import SF001, SF01
-from tests.llm.conftest import DOC_COLUMNS
+from tests.llm.conftest import CLASHING, DOC_COLUMNS
 from tests.llm.test_bpe import whole
 from tests.llm.test_decontam import brute as brute_leaks
 from tests.llm.test_near_dup import brute as brute_classes
@@ -56,15 +56,16 @@ def test_run_is_all_stages(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in stages_of(spark, SF001)[-1])
 
 
-def test_edges(spark, edge_docs, no_docs):
-    """Odd rows and no rows: every stage keeps the columns of documents and adds no document."""
-    for start in (no_docs, edge_docs):
+def test_edges(spark, edge_docs, wide_docs, no_docs):
+    """Odd rows, clashing names and no rows: every stage keeps all columns of documents and adds no document."""
+    for start in (no_docs, edge_docs, wide_docs):
         docs, left = start, Counter(r.doc_id for r in start.collect())
         for name, stage in corpus_pipeline.STAGES:
             last = name == corpus_pipeline.STAGES[-1][0]
             docs = stored(stage(spark, docs, SF001), "test-edge")
-            assert last or sorted(docs.columns) == sorted(start.columns)
+            assert last or docs.columns == start.columns
+            assert last or start is not wide_docs or all(r[c] == 7 for r in docs.collect() for c in CLASHING)
             ids = Counter(r.doc_id for r in docs.collect())
             assert ids <= left and (ids == left or not last)  # encoding keeps every document
             left = ids
-        assert start is edge_docs or not left
+        assert start is not no_docs or not left
