@@ -20,15 +20,26 @@ from wakeline.llm.suffix_dedup import remove_repeats
 from wakeline.llm.tables import ship_package, stored
 
 
+def _set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns but doc_id and text under names that no operator uses, and those names by column."""
+    names = {c: f"_column_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    return docs.withColumnsRenamed(names), names
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose tail probability of the top grade the classifier accepts."""
+    """Documents whose tail probability of the top grade the classifier accepts, with all their columns.
+
+    Defined cases: those of :func:`score_documents`; with no labels, or labels of the top grade only, all stay.
+    """
     ship_package(spark)
-    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_documents(docs, model).where("kept").select(*docs.columns)
+    model = fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    apart, names = _set_apart(docs)
+    kept = score_documents(apart, model).where("kept")
+    return kept.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate class."""
+    """The first document of each near-duplicate class, with all its columns; defined cases as in :func:`one_per_class`."""
     ship_package(spark)
     return one_per_class(docs)
 
@@ -36,22 +47,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the byte strings that start earlier; whole characters only.
 
-    A document that consists of such strings stays with an empty text.
+    A document that consists of such strings stays with an empty text, as do those with a null one. ``n_chars``, where
+    there is such a column, is that of the new text; all other columns stay. Further defined cases: :func:`remove_repeats`.
     """
     ship_package(spark)
-    cut = remove_repeats(docs, keep=("lang", "source"))
-    return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source",
-                      F.length("kept_text").cast("long").alias("n_chars"))
+    apart, names = _set_apart(docs)
+    cut = remove_repeats(apart, keep=tuple(names.values()))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return cut.select(*(new.get(c, F.col(names.get(c, c))).alias(c) for c in docs.columns))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item leaks into."""
+    """Documents that no benchmark item leaks into, with all their columns; defined cases as in :func:`drop_leaks`."""
     ship_package(spark)
     return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded``: token ids (little-endian u32) and the text that they decode to."""
+    """``doc_id, n_tokens, ids, decoded``: token ids (little-endian u32) and the text that they decode to.
+
+    Every row is encoded; defined cases as in :func:`bpe_tokens`.
+    """
     ship_package(spark)
     return bpe_tokens(docs, vocabulary_path()).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
