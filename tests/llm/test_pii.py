@@ -183,3 +183,35 @@ def test_redact(spark):
     rows = [(1, "é mail a@b.cd, ip 1.2.3.4 end"), (2, None), (3, "nothing"), (3, "+1 (017) 555-7713"), (None, "4111111111111111x@y.zz.")]
     got = sorted((str(r.doc_id), str(r.text)) for r in redact(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == sorted([("1", "é mail <email>, ip <ip> end"), ("2", "None"), ("3", "nothing"), ("3", "<phone>"), ("None", "<email>.")])
+
+
+def test_trees_and_thresholds_take_in_every_proposal(spark, monkeypatch):
+    """What is fitted and calibrated adds up to all different proposals, far more than the 20,000 of a former sample."""
+    import wakeline.llm.pii as pii
+
+    n, weights = 30_000, {}
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("tel +1 "), F.format_string("(%03d) 555-%04d", F.floor(F.col("id") / 10_000) + 200, F.col("id") % 10_000),
+                                                                       F.lit(" id "), F.col("id") + 1_000_000_000_000_000).alias("text"))
+    found = pii.stored(find_spans(docs), "pii-all")
+    want = found.select(F.explode("proposals").alias("c")).select("c.kind", "c.match").distinct().count()
+
+    class Counted(GBTClassifier):
+        def fit(self, data):
+            weights["fitted"] = data.agg(F.sum("n")).first()[0]
+            return super().fit(data)
+
+    calibrate = pii.calibrate
+    monkeypatch.setattr(pii, "GBTClassifier", Counted)
+    monkeypatch.setattr(pii, "calibrate", lambda judged, least: weights.update(held=judged.agg(F.sum("n")).first()[0]) or calibrate(judged, least))
+    pii.fit_spans(found, PiiParams(trees=2))
+    assert want > 2 * n - 10 and weights["fitted"] + weights["held"] == want
+    assert 0.3 < weights["held"] / want < 0.37
+
+
+def test_thresholds_are_those_of_all_held_out_scores(spark):
+    from wakeline.llm.pii import calibrate
+
+    rng = random.Random(11)
+    rows = [(rng.randrange(3), float(rng.random() < 0.85), float(rng.randrange(1, 4)), rng.randrange(100) / 100) for _ in range(2000)]
+    got = calibrate(spark.createDataFrame(rows, "kind int, label double, n double, p double"), 0.8)
+    assert got == tuple(threshold([(p, y) for k, y, n, p in rows if k == kind for _ in range(int(n))], 0.8) for kind in range(len(KINDS)))

@@ -7,9 +7,9 @@ trees (Spark ML) judge a proposal by its format (digits, groups, check digit, ..
 (neighbouring characters, cue words); a proposal is added where its score reaches the threshold of its kind.
 
 The trees learn from the table itself: a proposal that agrees with a base span of its kind is
-an example of it, any other one is not (few of those are the spans looked for). They are fitted on a
-bounded sample of the different proposals, and a kind's threshold is the lowest score from which on enough of
-the held-out proposals agree with the base.
+an example of it, any other one is not (few of those are the spans looked for). Every different proposal
+takes part: a third of them is held out, the trees are fitted on all others, and a kind's threshold is the
+lowest score from which on enough of the held-out ones agree with the base.
 
 Texts are read in one map pass, which keeps spans and features only. The fitted trees become one SQL
 expression, so all proposals are judged in a second map pass over the small table: no text and no
@@ -59,14 +59,15 @@ CONTEXT = 24
 CUES = r"(?i)(?:mail|contact|tel|phone|call|fax|mobile|cell|card|visa|credit|address|host|server|ip)[^a-z0-9]{0,4}$"
 _SPAN = "array<struct<start:bigint,end:bigint,match:string,before:string,after:string>>"
 _BLOCK = 256
+MAX_VALUES = 1024      # more than any feature takes: the trees may split at every value, not at quantiles of some rows
+SCORE_STEPS = 1 << 16  # in which scores are counted for the thresholds
 
 
 @dataclass(frozen=True)
 class PiiParams:
-    max_proposals: int = 20_000  # different proposals that the trees are fitted on, about
     trees: int = 20
     depth: int = 3
-    held_out: int = 3            # one in so many of the sample calibrates the thresholds
+    held_out: int = 3            # one in so many of the different proposals calibrates the thresholds
     min_agreement: float = 0.8   # of the held-out proposals from the threshold on (one of each added to the counts)
 
 
@@ -199,43 +200,56 @@ def tree_sql(tree: str, feature: str) -> str:
 
 
 def fit_spans(found: DataFrame, params: PiiParams = PiiParams()) -> SpanModel:
-    """Fit the trees on a bounded sample of the different proposals of :func:`find_spans`, and calibrate them.
+    """Fit the trees on the different proposals of :func:`find_spans`, and calibrate them: all of them take part.
 
-    Copies of a proposal count once, so a document that many repeat has no more weight than another.
+    Copies of a proposal count once, so a document that many repeat has no more weight than another. Proposals of
+    equal features and label are one row with their number as its weight.
     """
     each = found.select(F.explode("proposals").alias("c")).select("c.*")
-    distinct = stored(each.groupBy("kind", "match").agg(F.max(F.struct("label", "f")).alias("x"))
-                      .select("kind", F.xxhash64("kind", "match").alias("h"), "x.*"), "pii-proposals")
-    n = distinct.count()
-    share = min(1.0, params.max_proposals / max(n, 1))
-    places = 1 << 30
-    sample = stored(distinct.where(F.pmod("h", F.lit(places)) < int(share * places)).select(
-        "kind", "label", (F.pmod(F.shiftright("h", 32), F.lit(params.held_out)) == 0).alias("held"),
-        *(F.col("f")[k].alias(name) for k, name in enumerate(FEATURES))), "pii-sample")
-    train, held = sample.where("not held"), sample.where("held")
+    distinct = (each.groupBy("kind", "match").agg(F.max(F.struct("label", "f")).alias("x"))
+                .select("kind", F.xxhash64("kind", "match").alias("h"), "x.*"))
+    held_out = F.pmod(F.shiftright("h", 32), F.lit(params.held_out)) == 0
+    folded = stored(distinct.groupBy("kind", "label", held_out.alias("held"), "f").agg(F.count(F.lit(1)).cast("double").alias("n")).select(
+        "kind", "label", "held", "n", *(F.col("f")[k].alias(name) for k, name in enumerate(FEATURES))), "pii-proposals")
+    train, held = folded.where("not held"), folded.where("held")
     if train.agg(F.count_distinct("label")).first()[0] < 2:
         return NO_MODEL
-    trees = GBTClassifier(maxIter=params.trees, maxDepth=params.depth, stepSize=0.3, seed=1, labelCol="label", featuresCol="x")
-    model = trees.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(train).select("x", "label"))
+    trees = GBTClassifier(maxIter=params.trees, maxDepth=params.depth, maxBins=MAX_VALUES, stepSize=0.3, seed=1, labelCol="label",
+                          featuresCol="x", weightCol="n")
+    model = trees.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(train).select("x", "label", "n"))
     margin = " + ".join(f"({w!r}D) * {tree_sql(t.toDebugString, 'c.f')}" for w, t in zip(model.treeWeights, model.trees))
     score = f"1D / (1D + exp(-2D * ({margin})))"
-    judged = held.select("kind", "label", F.struct(F.array(*FEATURES).alias("f")).alias("c")).select("kind", "label", F.expr(score).alias("p"))
-    rows = [(r.kind, r.p, r.label) for r in judged.collect()]  # a part of the bounded sample
-    return SpanModel(score, tuple(threshold([(p, y) for k, p, y in rows if k == kind], params.min_agreement) for kind in range(len(KINDS))))
+    judged = held.select("kind", "label", "n", F.struct(F.array(*FEATURES).alias("f")).alias("c")).select("kind", "label", "n", F.expr(score).alias("p"))
+    return SpanModel(score, calibrate(judged, params.min_agreement))
 
 
-def threshold(scored: list[tuple[float, float]], min_agreement: float) -> float | None:
-    """The lowest score from which on enough agree; None where no score does, or not above a half."""
+def calibrate(judged: DataFrame, min_agreement: float) -> tuple[float | None, ...]:
+    """The threshold of each kind from all of ``kind, label, n, p``; scores are counted in steps of 1 / SCORE_STEPS."""
+    steps = (judged.where("p >= 0.5").groupBy("kind", F.floor(F.col("p") * SCORE_STEPS).alias("step"))
+             .agg(F.min("p").alias("p"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("agreed")))
+    rows = steps.collect()  # at most SCORE_STEPS / 2 + 1 counts for each kind
+    return tuple(lowest([(r.p, r.n, r.agreed) for r in rows if r.kind == kind], min_agreement) for kind in range(len(KINDS)))
+
+
+def lowest(counted: list[tuple[float, float, float]], min_agreement: float) -> float | None:
+    """The lowest of the scores ``(score, how many, how many agree)`` from which on enough agree; None where none does."""
     best, n, agreed = None, 0, 0
-    scored = sorted(scored, reverse=True)
-    for k, (p, y) in enumerate(scored):
-        n, agreed = n + 1, agreed + y
-        last = k + 1 == len(scored) or scored[k + 1][0] < p  # equal scores go together
-        if last and p >= 0.5 and (agreed + 1) / (n + 2) >= min_agreement:
+    for p, here, agree in sorted(counted, reverse=True):
+        n, agreed = n + here, agreed + agree
+        if p >= 0.5 and (agreed + 1) / (n + 2) >= min_agreement:
             best = p
     return best
 
 
+def threshold(scored: list[tuple[float, float]], min_agreement: float) -> float | None:
+    """The lowest score from which on enough agree; None where no score does, or not above a half."""
+    counted: dict[float, tuple[int, float]] = {}  # equal scores go together
+    for p, y in scored:
+        n, agreed = counted.get(p, (0, 0))
+        counted[p] = n + 1, agreed + y
+    return lowest([(p, *x) for p, x in counted.items()], min_agreement)
+
+
 # ---- the result ----
 
 def select_spans(found: DataFrame, model: SpanModel) -> DataFrame:
