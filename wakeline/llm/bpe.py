@@ -24,6 +24,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -99,20 +100,21 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Encode new words in one call, set apart by a mark that is a token of its own."""
-        def keep(word: str, ids: list[int]) -> None:
-            self.words[word] = _pack(ids), self.decode(ids).encode()
-
-        for w in [w for w in words if MARK in w]:
-            keep(w, self.tokenizer.encode(w, add_special_tokens=False).ids)
+        new = [w for w in words if MARK in w]
+        found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in new]
         rest = [w for w in words if MARK not in w]
-        ids = self.tokenizer.encode_batch_fast([f" {MARK} ".join(rest)], add_special_tokens=False)[0].ids
-        lo = 0
-        for w in rest[:-1]:
-            hi = ids.index(self.mark_id, lo)
-            keep(w, ids[lo:hi])
-            lo = hi + 1
-        for w in rest[-1:]:
-            keep(w, ids[lo:])
+        if rest:
+            ids = self.tokenizer.encode_batch_fast([f" {MARK} ".join(rest)], add_special_tokens=False)[0].ids
+            marks = np.flatnonzero(np.asarray(ids, np.int64) == self.mark_id).tolist()
+            found += [ids[lo:hi] for lo, hi in zip([0, *(m + 1 for m in marks)], [*marks, len(ids)])]
+            new += rest
+        packed, at = _pack([i for x in found for i in x]), 0
+        # only where texts decode word by word is the decoded word of use
+        decoded = self.tokenizer.decode_batch(found, skip_special_tokens=False) if self.by_word else repeat("")
+        for w, x, d in zip(new, found, decoded):
+            to = at + 4 * len(x)
+            self.words[w] = packed[at:to], d.encode()
+            at = to
 
     def leaf_spans(self, text: str) -> np.ndarray:
         """Rows (id, start, end) of the tokens of a text, word by word."""
@@ -144,6 +146,17 @@ class Encoder:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def pack_tokens(tokens: np.ndarray) -> bytes:
+    """Rows (id, start, end) as columns of ids, steps between starts and lengths: small numbers, which a shuffle compresses."""
+    return np.stack([tokens[:, 0], np.diff(tokens[:, 1], prepend=0), tokens[:, 2] - tokens[:, 1]]).astype("<i4").tobytes()
+
+
+def unpack_tokens(data: bytes) -> np.ndarray:
+    ids, step, length = np.frombuffer(data, "<i4").reshape(3, -1).astype(np.int64)
+    start = np.cumsum(step)
+    return np.stack([ids, start, start + length], axis=1)
+
+
 class Node(NamedTuple):
     """A text of the tree with its tokens: rows (id, start, end), in characters of the text."""
 
@@ -241,18 +254,17 @@ def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> Data
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path)
         for batch in slices(batches, "piece"):
-            tokens = [enc.leaf_spans(t).astype("<i4").tobytes() for t in batch.column("piece").to_pylist()]
+            tokens = [pack_tokens(enc.leaf_spans(t)) for t in batch.column("piece").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.binary())], [*batch.schema.names, "tokens"])
 
     def joined(enc: Encoder, pieces: pd.DataFrame) -> Node:
         pieces = pieces.sort_values("part")
-        return tree_join(enc, [Node(p, np.frombuffer(t, "<i4").reshape(-1, 3).astype(np.int64))
-                               for p, t in zip(pieces["piece"], pieces["tokens"])])
+        return tree_join(enc, [Node(p, unpack_tokens(t)) for p, t in zip(pieces["piece"], pieces["tokens"])])
 
     def merge_subtree(pieces: pd.DataFrame) -> pd.DataFrame:
         node = joined(Encoder(path), pieces)
         head = pieces[["row", "doc_id", "part"]].iloc[:1].reset_index(drop=True)
-        return head.assign(part=head["part"] // SUBTREE, piece=node.text, tokens=node.tokens.astype("<i4").tobytes())
+        return head.assign(part=head["part"] // SUBTREE, piece=node.text, tokens=pack_tokens(node.tokens))
 
     def merge(pieces: pd.DataFrame) -> pd.DataFrame:
         enc = Encoder(path)
