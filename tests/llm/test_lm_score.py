@@ -170,3 +170,21 @@ def test_edges(spark, edge_docs, wide_docs, no_docs):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     alone = score_corpus(spark.createDataFrame([(held, "nothing learned")], "doc_id long, text string")).collect()
     assert [(r.n_known, r.train_tokens) for r in alone] == [(0, 0)] and math.isfinite(alone[0].score)
+
+
+def test_a_scoring_task_holds_a_document_once():
+    """Sums of many buckets take the room of their documents, not of buckets times documents."""
+    import numpy as np
+
+    from wakeline.llm.lm_score import _Sums
+
+    rng, sums, want = np.random.default_rng(5), _Sums(), np.zeros((4, 1000))
+    for _ in range(20):
+        row = np.sort(rng.choice(1000, 600, replace=False))
+        values = [rng.integers(0, 9, 600).astype(float) for _ in range(4)]
+        sums.add(row, *values)
+        want[:, row] += values
+        assert sums.size() <= 1000
+    got = [b.to_pydict() for b in sums.flush()]
+    assert sums.size() == 0 and len(got) == 1 and got[0]["row"] == list(range(1000))
+    assert np.array_equal([got[0][c] for c in sums.NAMES], want)

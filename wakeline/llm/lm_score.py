@@ -41,13 +41,14 @@ CONTEXTS = 1 << 14
 START = 0
 END_WORD = U64(0xE0D)
 FLUSH_TOKENS = 1_000_000
+DEAL_TOKENS = 500_000
 FLUSH_DOCS = 60_000
 BUCKET_TEXT = 4 << 20        # bytes of text per bucket
 SCORE_TEXT = 100 << 20        # bytes of text per scoring task
 EXACT = 256                  # customers up to which seatings are weighed by recursion
 DENSE = 16                   # customers up to which all numbers of tables are weighed
 SEAT_VALUES = 1 << 18         # weights held at a time
-MERGE_DOCS = 2_000_000        # document sums that a scoring task holds
+MERGE_DOCS = 500_000          # document sums that a scoring task holds, about
 
 
 @dataclass(frozen=True)
@@ -199,7 +200,7 @@ def _deal(hot: Hot, n_buckets: int):
             for lo in range(0, batch.num_rows, FLUSH_DOCS):
                 own = batch.slice(lo, FLUSH_DOCS)
                 row, word, context = document_tokens(own.column("text"))
-                if parts and (n_tokens + len(word) > FLUSH_TOKENS or n_docs + own.num_rows > FLUSH_DOCS):
+                if parts and (n_tokens + len(word) > DEAL_TOKENS or n_docs + own.num_rows > FLUSH_DOCS):
                     yield from flush(parts)
                     parts, n_tokens, n_docs = [], 0, 0
                 ids = own.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -600,27 +601,30 @@ class _Sums:
     NAMES = ("n_tokens", "n_known", "base_score", "score")
 
     def __init__(self):
-        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.row = np.zeros(0, np.int64)  # ascending
+        self.values = [np.zeros(0) for _ in self.NAMES]
 
     def add(self, row: np.ndarray, *values: np.ndarray) -> None:
-        self.parts.append((row, *values))
+        """One bucket's sums, its rows ascending; they are added to those held, so no document is held twice."""
+        rows = np.union1d(self.row, row)
+        held, new = np.searchsorted(rows, self.row), np.searchsorted(rows, row)
+        for k, v in enumerate(values):
+            total = np.zeros(len(rows))
+            total[held] = self.values[k]
+            total[new] += v
+            self.values[k] = total
+        self.row = rows
 
     def size(self) -> int:
-        return sum(len(p[0]) for p in self.parts)
-
-    def merge(self) -> None:
-        if len(self.parts) > 1:
-            row, *values = (np.concatenate(x) for x in zip(*self.parts))
-            rows, at = np.unique(row, return_inverse=True)
-            self.parts = [(rows, *(np.bincount(at, weights=v, minlength=len(rows)) for v in values))]
+        return len(self.row)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        self.merge()
-        for row, *values in self.parts:
-            table = pa.table([pa.array(row), *(pa.array(v.astype(np.int64) if n.startswith("n_") else v) for n, v in zip(self.NAMES, values))],
-                             names=["row", *self.NAMES])
-            yield from table.to_batches(max_chunksize=100_000)
-        self.parts = []
+        for lo in range(0, len(self.row), 100_000):
+            values = (v[lo: lo + 100_000] for v in self.values)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.row[lo: lo + 100_000]), *(pa.array(v.astype(np.int64) if n.startswith("n_") else v) for n, v in zip(self.NAMES, values))],
+                ["row", *self.NAMES])
+        self.__init__()
 
 
 def _score(totals: Totals, params: LmParams):
@@ -645,9 +649,7 @@ def _score(totals: Totals, params: LmParams):
                 add = lambda v: np.bincount(doc, weights=v, minlength=len(uid))
                 sums.add(uid, add(n), add(n * (word_count > 0)[b.word[cell]]), add(n * base[b.word[cell]]), add(n * np.log10(mean)[cell]))
                 if sums.size() > MERGE_DOCS:
-                    sums.merge()
-                    if sums.size() > MERGE_DOCS // 2:
-                        yield from sums.flush()
+                    yield from sums.flush()
         yield from sums.flush()
     return run
 
