@@ -87,3 +87,21 @@ def test_old_versions_are_dropped(spark):
     replace_version(_table(spark, NEW), path)
     assert drop_old_versions(spark, path) == 2
     assert _rows(read_version(spark, path, SCHEMA)) == [(2, 20, "B"), (4, 20, "D")]
+
+
+@pytest.mark.parametrize("how", ["replace", "keep"])
+def test_a_merge_collapses_new_rows_once(spark, monkeypatch, how):
+    """The stored new rows hold a key once: no second sort and shuffle of whole rows, and each is held once in the first."""
+    from wakeline.sources import tables
+
+    calls, latest = [], tables.latest
+    monkeypatch.setattr(tables, "latest", lambda *a: calls.append(a) or latest(*a))
+    monkeypatch.setattr(versions, "latest", tables.latest)
+    path = scratch_path(spark, "versions-once")
+    replace_version(_table(spark, BASE), path)
+    twice = [*NEW, (2, 7, _day(20), "A"), (4, 7, _day(20), None)]
+    merge_version(spark, path, _table(spark, twice), when_matched=how)
+    assert len(calls) == 1
+    assert _rows(read_version(spark, path, SCHEMA)) == [(1, 18, "a"), (2, 20, "B") if how == "replace" else (2, 19, "b"), (3, 19, "c"), (4, 20, "D"), (5, 21, "e")]
+    plan = latest(_table(spark, twice), "row_id", "ts")._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan

@@ -62,11 +62,21 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def latest(new: DataFrame, key: str, order_by: str | None = None) -> DataFrame:
     """One row per key: the last by ``order_by`` (ties, and no order: by all columns).
 
-    A partial aggregate, so many rows of one key meet before the shuffle.
+    A partial aggregate, so many rows of one key meet before the shuffle; it holds each row once.
     """
-    row = F.struct(*new.columns)
-    by = F.struct(*([order_by] if order_by else []), *new.columns)
-    return new.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, by).alias("_row")).select("_row.*")
+    by = F.struct(*([F.col(order_by).alias("_order_by")] if order_by else []), *new.columns)
+    last = new.groupBy(F.col(key).alias("_key")).agg(F.max(by).alias("_row"))
+    return last.select(*(F.col("_row").getField(c).alias(c) for c in new.columns))
+
+
+def insert_absent(target: DataFrame, last: DataFrame, key: str) -> DataFrame:
+    """``target`` and the rows of ``last``, one of each key, whose key is absent from it."""
+    return target.unionByName(last.join(target.select(key), key, "left_anti").select(*target.columns))
+
+
+def put_over(target: DataFrame, last: DataFrame, key: str) -> DataFrame:
+    """``target`` with the rows of ``last``, one of each key, in the place of those with their keys."""
+    return target.join(last.select(key), key, "left_anti").select(*target.columns).unionByName(last.select(*target.columns))
 
 
 def merge_keep_existing(target: DataFrame, new: DataFrame, key: str = "row_id", order_by: str | None = None) -> DataFrame:
@@ -74,7 +84,7 @@ def merge_keep_existing(target: DataFrame, new: DataFrame, key: str = "row_id",
 
     Of several new rows with one key the last goes in (:func:`latest`).
     """
-    return target.unionByName(latest(new, key, order_by).join(target.select(key), key, "left_anti").select(*target.columns))
+    return insert_absent(target, latest(new, key, order_by), key)
 
 
 def merge_replace(target: DataFrame, new: DataFrame, key: str = "row_id", order_by: str | None = None) -> DataFrame:
@@ -82,8 +92,7 @@ def merge_replace(target: DataFrame, new: DataFrame, key: str = "row_id", order_
 
     Of several new rows with one key the last counts (:func:`latest`).
     """
-    last = latest(new, key, order_by)
-    return target.join(last.select(key), key, "left_anti").select(*target.columns).unionByName(last.select(*target.columns))
+    return put_over(target, latest(new, key, order_by), key)
 
 
 def merge_into_days(spark: SparkSession, path: str, new: DataFrame, key: str = "row_id", when_matched: str = "replace",
@@ -109,7 +118,7 @@ def merge_into_days(spark: SparkSession, path: str, new: DataFrame, key: str = "
         return target
     # a key may stand in another day than its new row: both sides are in the touched days
     touched = target.where(F.col(DAY).isin([d for d in days if d is not None]) | (F.col(DAY).isNull() & F.lit(None in days)))
-    merged = (merge_replace if when_matched == "replace" else merge_keep_existing)(touched, rows, key)
+    merged = (put_over if when_matched == "replace" else insert_absent)(touched, rows, key)
     staged = write_stage(merged.hint("rebalance", DAY, "mmsi").sortWithinPartitions(DAY, "mmsi", "ts", key), "merge-staged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path))
     left = {r[DAY] for r in staged.select(DAY).distinct().collect()}

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.session import delete_path, path_exists
-from wakeline.sources.tables import DAY, day_of, latest, merge_keep_existing, merge_replace, write_by_day, write_stage
+from wakeline.sources.tables import DAY, day_of, insert_absent, latest, put_over, write_by_day, write_stage
 
 VERSION = "version"
 LIST_SCHEMA = f"{DAY} date, {VERSION} bigint"
@@ -109,7 +109,7 @@ def merge_version(spark: SparkSession, path: str, new: DataFrame, key: str = "ro
         hit = hit.union(target.select(key, DAY).join(rows.select(key), key, "left_semi").select(DAY))
     hit = write_stage(hit.distinct(), "merge-days")
     touched = target.join(hit, target[DAY].eqNullSafe(hit[DAY]), "left_semi")
-    merged = (merge_replace if when_matched == "replace" else merge_keep_existing)(touched, rows.select(touched.columns), key)
+    merged = (put_over if when_matched == "replace" else insert_absent)(touched, rows.select(touched.columns), key)
     write_by_day(merged.drop(DAY), _folder(path, version + 1))
     old = _list(spark, path, version)
     kept = old.join(hit, old[DAY].eqNullSafe(hit[DAY]), "left_anti")
