@@ -15,6 +15,7 @@ settles that side in any case.
 
 Leaves take each distinct white-space separated word through the library once and keep
 its ids, while the task runs, in a memo of two bounded generations: no step of the tokenizer looks across ASCII white space.
+Arrow numbers the distinct words of a batch, so the memo is asked once a batch for each, and joins the tokens' texts.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +66,13 @@ def vocabulary(path: str):
     return tokenizer
 
 
+@lru_cache(maxsize=4)
+def _token_names(path: str) -> pa.Array:
+    """The text of every token, by id."""
+    names = {i: name for name, i in vocabulary(path).get_vocab(with_added_tokens=True).items()}
+    return pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string())
+
+
 def _spans_of(encoding) -> np.ndarray:
     out = np.empty((len(encoding.ids), 3), np.int64)
     if len(encoding.ids):
@@ -78,43 +86,65 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = vocabulary(path)
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.spelled: dict[str, bytes] = {}  # words of long texts, with the places of their tokens
         self.mark_id, = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        # without a decoder the library joins the tokens with spaces, so texts decode word by word
+        # without a decoder the library joins the tokens with spaces
         self.by_word = self.tokenizer.decoder is None
+        if self.by_word:
+            self.names = _token_names(path)
 
-    def _known(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        """Packed ids and decoded text (UTF-8) of each word."""
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word."""
         found = list(map(self.words.get, words))
         if None in found:
             missing = {w for w, x in zip(words, found) if x is None}
             if len(self.words) + len(missing) > MEMO_WORDS:
                 self.older, self.words = self.words, {}
             again = {w: self.older[w] for w in missing if w in self.older}
-            self.words.update(again)
-            self._learn(missing.difference(again))
-            found = [self.words[w] if x is None else x for w, x in zip(words, found)]
+            new = self._learn(missing.difference(again))
+            self.words |= again
+            self.words |= new
+            found = [(again[w] if w in again else new[w]) if x is None else x for w, x in zip(words, found)]
         return found
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Encode new words in one call, set apart by a mark that is a token of its own."""
         new = [w for w in words if MARK in w]
         found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in new]
+        packed = dict(zip(new, map(_pack, found)))
         rest = [w for w in words if MARK not in w]
         if rest:
-            ids = self.tokenizer.encode_batch_fast([f" {MARK} ".join(rest)], add_special_tokens=False)[0].ids
-            marks = np.flatnonzero(np.asarray(ids, np.int64) == self.mark_id).tolist()
-            found += [ids[lo:hi] for lo, hi in zip([0, *(m + 1 for m in marks)], [*marks, len(ids)])]
-            new += rest
-        packed, at = _pack([i for x in found for i in x]), 0
-        # only where texts decode word by word is the decoded word of use
-        decoded = self.tokenizer.decode_batch(found, skip_special_tokens=False) if self.by_word else repeat("")
-        for w, x, d in zip(new, found, decoded):
-            to = at + 4 * len(x)
-            self.words[w] = packed[at:to], d.encode()
-            at = to
+            ids = np.asarray(self.tokenizer.encode_batch_fast([f" {MARK} ".join(rest)], add_special_tokens=False)[0].ids, "<u4")
+            marks = np.flatnonzero(ids == self.mark_id)
+            data, lo, hi = ids.tobytes(), [0, *((marks + 1) * 4).tolist()], [*(marks * 4).tolist(), 4 * len(ids)]
+            packed.update((w, data[i:j]) for w, i, j in zip(rest, lo, hi, strict=True))
+        return packed
+
+    def leaves(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Packed ids of each text, and what they decode to.
+
+        Arrow splits a batch into words and numbers the distinct ones: each of them is looked up once a batch.
+        """
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        words = split.flatten().dictionary_encode()
+        known = self._known(words.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(size) - size  # of each distinct word in all their ids
+        at = words.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size[at])])
+        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(first[at] - ends[:-1], size[at]) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy()]
+        packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds * 4), pa.py_buffer(ids)])
+        if self.by_word:
+            return packed.cast(pa.binary()), pc.binary_join(pa.ListArray.from_arrays(bounds.astype(np.int32), self.names.take(pa.array(ids))), " ")
+        return packed.cast(pa.binary()), pa.array([self.decode(ids[i:j].tolist()) for i, j in zip(bounds, bounds[1:])], pa.string())
+
+    def leaf_and_text(self, text: str) -> tuple[bytes, bytes]:
+        """Packed ids of one text and what they decode to, in UTF-8."""
+        ids, decoded = self.leaves(pa.array([text], pa.string()))
+        return ids[0].as_py(), decoded[0].as_py().encode()
 
     def leaf_spans(self, text: str) -> np.ndarray:
         """Rows (id, start, end) of the tokens of a text, word by word."""
@@ -130,14 +160,6 @@ class Encoder:
         out[:, 1:] += np.repeat([at for _, at in found], [len(x) // 12 for x in known]).astype(np.int64)[:, None]
         return out
 
-    def leaf_and_text(self, text: str) -> tuple[bytes, bytes]:
-        """Packed ids of a text and what they decode to, in UTF-8."""
-        known = self._known(WORD.findall(text))
-        ids = b"".join([x[0] for x in known])
-        if self.by_word:
-            return ids, b" ".join([x[1] for x in known if x[0]])
-        return ids, self.decode(unpack(ids).tolist()).encode()
-
     def spans(self, text: str) -> np.ndarray:
         """Rows (id, start, end) of the tokens of ``text``, in characters."""
         return _spans_of(self.tokenizer.encode(text, add_special_tokens=False))
@@ -244,11 +266,7 @@ def bpe_tokens(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> Data
     def encode_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path)
         for batch in slices(batches, "text"):
-            done = [enc.leaf_and_text(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([x[0] for x in done], pa.binary()),
-                 pa.array([x[1] for x in done], pa.binary()).cast(pa.string())],
-                ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *enc.leaves(batch.column("text"))], ["doc_id", "ids", "decoded"])
 
     @give_back
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
