@@ -142,3 +142,23 @@ def test_repeating_a_merge_changes_nothing(spark, tmp_path):
     again = merge_into_days(spark, path, changed_gaps(spark, table, 1, CFG), keys_keep_day=True)
     assert gaps(again) == want
     assert gaps(merge_gaps(spark, table, path, CFG)) == want
+
+
+def test_the_files_of_a_load_are_ordered_before_their_fields_are_made(spark, tmp_path):
+    """Ranges were cut and shuffled with all 26 fields, which were made once more for the sample."""
+    from wakeline.config import FIELDS
+    from wakeline.sources.csv import write_ais_csv
+    from wakeline.sources.fixture import ais_strings
+
+    sf = tmp_path / "sf"
+    (spark.range(300).orderBy(F.rand(1)).select(F.col("id").alias("event_id"), (F.col("id") % 9).alias("user_id"), F.lit("e").alias("event_type"))
+     .write.parquet(str(sf / "events.parquet")))
+    rows = ais_strings(spark, str(sf), in_order=True, n_parts=3).where("row_id % 3 = 1")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    ranged = plan[plan.index("RepartitionByExpression"):]
+    assert "Filter" in ranged and not any(f" AS {f}#" in ranged for f in FIELDS)
+    write_ais_csv(rows, str(tmp_path / "csv"), in_order=True)
+    lines = [x.splitlines()[1:] for x in (f.read_text() for f in sorted((tmp_path / "csv").glob("part-*.csv"))) if x]
+    assert len(lines) == 3
+    want = ais_strings(spark, str(sf)).where("row_id % 3 = 1").orderBy("row_id").select("ts", "mobile_type").collect()
+    assert [x.split(",")[:2] for part in lines for x in part] == [[r.ts, r.mobile_type] for r in want]

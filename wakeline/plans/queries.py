@@ -46,10 +46,10 @@ def _stages(spark: SparkSession, sf_dir: str):
 
 def _two_layouts(spark, sf_dir) -> list[str]:
     """The fixture as two CSV folders: the real column order, and the reverse order."""
-    rows = ais_strings(spark, sf_dir)
+    rows = ais_strings(spark, sf_dir, in_order=True)
     paths = [scratch_path(spark, "ais-csv"), scratch_path(spark, "ais-csv-reversed")]
-    write_ais_csv(rows.where("row_id % 3 <> 0"), paths[0])
-    write_ais_csv(rows.where("row_id % 3 = 0"), paths[1], AIS_HEADERS[::-1])
+    write_ais_csv(rows.where("row_id % 3 <> 0"), paths[0], in_order=True)
+    write_ais_csv(rows.where("row_id % 3 = 0"), paths[1], AIS_HEADERS[::-1], in_order=True)
     return paths
 
 
@@ -208,7 +208,7 @@ def q_events_inter_arrival(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     """Fixture written as CSV files, loaded by the streaming ingest (several micro-batches)."""
     src = scratch_path(spark, "ais-stream-src")
-    write_ais_csv(ais_strings(spark, sf_dir), src, n_files=4)
+    write_ais_csv(ais_strings(spark, sf_dir, in_order=True, n_parts=4), src, in_order=True)
     out = scratch_path(spark, "ais-stream-out")
     query = start_raw_ingest(spark, src, out, CFG, checkpoint_location=scratch_path(spark, "ais-stream-ckpt"),
                              max_files_per_trigger=2)
@@ -218,9 +218,9 @@ def q_stream_ingest(spark, sf_dir):
 
 def _three_loads(spark, sf_dir, step) -> str:
     """The fixture in three loads whose reports interleave, so that most of the second and third are late."""
-    rows, src, out = ais_strings(spark, sf_dir), scratch_path(spark, "ais-loads-src"), scratch_path(spark, "ais-loads")
+    rows, src, out = ais_strings(spark, sf_dir, in_order=True), scratch_path(spark, "ais-loads-src"), scratch_path(spark, "ais-loads")
     for k in range(3):
-        write_ais_csv(rows.where(F.col("row_id") % 3 == k), f"{src}/{k}", AIS_HEADERS if k else AIS_HEADERS[::-1])
+        write_ais_csv(rows.where(F.col("row_id") % 3 == k), f"{src}/{k}", AIS_HEADERS if k else AIS_HEADERS[::-1], in_order=True)
         step(out, [f"{src}/{j}" for j in range(k + 1)])  # folders of earlier loads are offered again
     step(out, src + "/*")
     return out

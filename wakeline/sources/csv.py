@@ -159,13 +159,16 @@ def observed(strings: DataFrame) -> tuple[DataFrame, Observation]:
     return strings.observe(seen, F.count(F.lit(1)).alias("rows_read"), malformed.alias("rows_malformed")), seen
 
 
-def write_ais_csv(rows: DataFrame, path: str, header_map=AIS_HEADERS, n_files: int | None = None) -> None:
+def write_ais_csv(rows: DataFrame, path: str, header_map=AIS_HEADERS, n_files: int | None = None, in_order: bool = False) -> None:
     """Write field-named string rows as CSV with the real headers, in ``row_id`` order.
 
-    Cell text is written verbatim (no whitespace trimming).
+    Cell text is written verbatim (no whitespace trimming). Rows that are ``in_order`` already are
+    written as they lie, a file per partition.
     """
-    ranged = rows.repartitionByRange(n_files, "row_id") if n_files else rows.repartitionByRange("row_id")
-    out = ranged.sortWithinPartitions("row_id")
+    out = rows
+    if not in_order:
+        ranged = rows.repartitionByRange(n_files, "row_id") if n_files else rows.repartitionByRange("row_id")
+        out = ranged.sortWithinPartitions("row_id")
     (out.select(*(F.col(f).alias(h) for f, h in header_map))
      .write.mode("overwrite").options(**CSV_OPTIONS)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.config import AIS_HEADERS
-from wakeline.sources.spread import spread
+from wakeline.sources.spread import spread, width
 
 _V = "(CASE WHEN user_id % 3 = 0 THEN user_id ELSE user_id - user_id % 3 + 1 END)"
 # seconds from 23:00 of the first day on, so that gaps across midnight occur at every size
@@ -103,9 +103,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(ev)
 
 
-def ais_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Field-named string rows plus ``row_id`` (= event_id, the input position)."""
+def ais_strings(spark: SparkSession, sf_dir: str, in_order: bool = False, n_parts: int | None = None) -> DataFrame:
+    """Field-named string rows plus ``row_id`` (= event_id, the input position).
+
+    ``in_order`` puts them in ``row_id`` order, in ``n_parts`` ranges (as many as the scan has partitions by
+    default). The events are ordered before the strings are made, so neither the sample that cuts the
+    ranges nor the shuffle holds the 26 fields.
+    """
     ev = events(spark, sf_dir)
+    if in_order:
+        ev = ev.repartitionByRange(n_parts or width(ev), "event_id").sortWithinPartitions("event_id")
     return ev.selectExpr("event_id AS row_id", *(f"{e} AS {f}" for f, e in FIXTURE_EXPRS.items()))
 
 

@@ -20,3 +20,11 @@ def spread(df: DataFrame) -> DataFrame:
     except PySparkException:  # a session without the RDD API keeps the scan as it is
         return df
     return df.repartition(target) if current < target else df
+
+
+def width(df: DataFrame) -> int:
+    """The number of partitions of a scan, which grows with its input (planning only); the shuffle's where the session has no RDD API."""
+    try:
+        return max(1, df.rdd.getNumPartitions())
+    except PySparkException:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
