@@ -144,6 +144,20 @@ def test_repeating_a_merge_changes_nothing(spark, tmp_path):
     assert gaps(merge_gaps(spark, table, path, CFG)) == want
 
 
+def test_counts_of_ids_leave_the_rows_where_they_lie(spark):
+    """The join with the counts of all ids shuffled every field."""
+    from wakeline.sources.loads import with_id_counts
+
+    once = write_stage(spark.range(2_000).select(F.col("id").alias("row_id"), F.lit("x").alias("name")), "once")
+    counted = with_id_counts(once)
+    assert {r.n_ids for r in counted.collect()} == {1} and counted.count() == 2_000
+    assert "SortMergeJoin" not in counted._jdf.queryExecution().executedPlan().toString()
+    twice = write_stage(once.unionByName(once.where("row_id % 7 = 0")).unionByName(once.where("row_id = 7")), "twice")
+    want = {i: 3 if i == 7 else 2 if i % 7 == 0 else 1 for i in range(2_000)}
+    got = sorted((r.row_id, r.n_ids) for r in with_id_counts(twice).collect())
+    assert got == sorted((i, n) for i, n in want.items() for _ in range(n))
+
+
 def test_the_files_of_a_load_are_ordered_before_their_fields_are_made(spark, tmp_path):
     """Ranges were cut and shuffled with all 26 fields, which were made once more for the sample."""
     from wakeline.config import FIELDS

@@ -29,7 +29,7 @@ from wakeline.sources.buckets import counts_in_place, place_by_vessel, semi_join
 from wakeline.sources.csv import read_ais_csv, write_ais_csv
 from wakeline.sources.fixture import ais_strings
 from wakeline.sources.interleave import write_interleaved
-from wakeline.sources.loads import ROW_SCHEMA, append_load, read_rows
+from wakeline.sources.loads import ROW_SCHEMA, append_load, read_rows, with_id_counts
 from wakeline.sources.spread import spread
 from wakeline.sources.tables import DAY, merge_into_days, write_by_day, write_stage
 from wakeline.sources.versions import merge_version, read_version, replace_version
@@ -229,9 +229,7 @@ def _three_loads(spark, sf_dir, step) -> str:
 def q_append_loads(spark, sf_dir):
     """Rows of three appended loads, each offered twice; ``n_ids`` tells whether their ids are unique."""
     out = _three_loads(spark, sf_dir, lambda table, paths: append_load(spark, table, paths, CFG))
-    rows = read_rows(spark, out)
-    ids = rows.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_ids"))
-    return rows.join(ids, "row_id").select(*FIELDS, "n_ids")
+    return with_id_counts(read_rows(spark, out)).select(*FIELDS, "n_ids")
 
 
 def q_valid_incremental(spark, sf_dir):

@@ -66,6 +66,16 @@ def read_rows(spark: SparkSession, table: str, numbers: list[int] | None = None)
     return read_parts(spark, table, "rows", ROW_SCHEMA, load_numbers(spark, table) if numbers is None else numbers)
 
 
+def with_id_counts(rows: DataFrame) -> DataFrame:
+    """``rows``, a stored table, with ``n_ids``: how many of them have the row's ``row_id``.
+
+    Only ids that occur more than once are stored and joined: where there are few or none, the rows stay where they lie.
+    """
+    counts = rows.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_ids"))
+    repeated = write_stage(counts.where(F.col("n_ids") > 1), "repeated-ids")
+    return rows.join(repeated, "row_id", "left").withColumn("n_ids", F.coalesce("n_ids", F.lit(1).cast("bigint")))
+
+
 def add_load(spark: SparkSession, table: str, paths: str | list[str], cfg: AisConfig = DEFAULT_CONFIG,
              multiline: bool = False, derived: Callable[[int], None] | None = None) -> int | None:
     """Load the files under ``paths`` that no load has taken yet; the load's number, None where there is none.
